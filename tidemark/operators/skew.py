@@ -1,0 +1,24 @@
+"""Finding groups that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+
+MOST_HOT_GROUPS = 1000
+HOT_ROWS = 2_000_000
+
+
+def hot_groups(
+    df: DataFrame, group: Sequence[str], floor: int = HOT_ROWS, most: int = MOST_HOT_GROUPS
+) -> list[Row]:
+    """The largest groups with at least ``floor`` rows, at most ``most`` of them.
+
+    Counting combines in each task before the shuffle. A group beyond the first
+    ``most`` holds less than that fraction of all rows, so leaving it out costs balance
+    in one small task and never rows.
+    """
+    counts = df.groupBy(*group).agg(F.count("*").alias("n_rows"))
+    return counts.filter(F.col("n_rows") >= floor).orderBy(F.col("n_rows").desc()).limit(most).collect()
