@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import number_after
-from tidemark.operators.keys import allocate_missing_keys, highest_key
 from tidemark.operators.latest import deduplicate
 from tidemark.operators.text import ordered_text
-from tidemark.sources.tables import AppendTable, KeyedTable
+from tidemark.sources.tables import AppendTable
 from tidemark.spec import TIME_SENTINEL, struct_type
 
 # States, step names and detail labels of the control tables.
@@ -138,44 +137,57 @@ def fold_events(
     return source.groupBy(key).agg(*aggregates).select(*[f.name for f in schema.fields])
 
 
+def _log_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("event_no", T.LongType()),
+            T.StructField("kind", T.StringType()),
+            *schema.fields,
+        ]
+    )
+
+
 class Control:
-    """The three control tables below one folder."""
+    """The control tables below one folder.
+
+    Batch and watermark records are appended as events, which is one small write, and
+    the two state tables are the fold of all events of their log.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.audit = AppendTable(spark, f"{root}/load_audit", "event_time")
-        self.batches = KeyedTable(spark, f"{root}/batch_execution", ["batch_id"], 1)
-        self.watermarks = KeyedTable(spark, f"{root}/pipeline_watermark", ["pipeline_name"], 1)
+        self.audit_log = AppendTable(spark, f"{root}/load_audit", "event_time")
+        self.batch_log = AppendTable(spark, f"{root}/batch_execution", "updated_at")
+        self.watermark_log = AppendTable(spark, f"{root}/pipeline_watermark", "updated_at")
+
+    def audit(self) -> DataFrame:
+        return self._read(self.audit_log, AUDIT_SCHEMA)
 
-    def _rows(self, rows: Sequence[Mapping[str, Any]], schema: T.StructType) -> DataFrame:
-        data = [tuple(r.get(f.name) for f in schema.fields) for r in rows]
-        return self.spark.createDataFrame(data, schema)
+    def batches(self) -> DataFrame:
+        events = self._read(self.batch_log, _log_schema(BATCH_SCHEMA))
+        return fold_events(events, "batch_id", ["event_no"], BATCH_UPDATES, BATCH_SCHEMA)
 
-    def _fold(self, table: KeyedTable, rows, key, updates, schema: T.StructType) -> None:
-        wide = T.StructType(
-            [*schema.fields, T.StructField("kind", T.StringType()), T.StructField("seq", T.LongType())]
+    def watermarks(self) -> DataFrame:
+        events = self._read(self.watermark_log, _log_schema(WATERMARK_SCHEMA))
+        return fold_events(
+            events, "pipeline_name", ["event_no"], WATERMARK_UPDATES, WATERMARK_SCHEMA
         )
-        events = self._rows([{**r, "seq": i} for i, r in enumerate(rows)], wide)
-        keys = sorted({r[key] for r in rows})
-        state = table.read().filter(F.col(key).isin(keys)) if table.exists() else None
-        table.merge(fold_events(events, key, ["seq"], updates, schema, state))
+
+    def _read(self, table: AppendTable, schema: T.StructType) -> DataFrame:
+        return table.read() if table.exists() else self.spark.createDataFrame([], schema)
 
     def log(self, rows: Sequence[Mapping[str, Any]], run_ts: datetime) -> None:
-        """Append audit events; ids continue after the highest one stored."""
-        filled = [{"event_time": run_ts, "started_at": run_ts, "created_at": run_ts, **r} for r in rows]
-        for r in filled:
-            if r["status"] != STARTED:
-                r.setdefault("ended_at", run_ts)
-        events = self._rows(filled, AUDIT_SCHEMA)
-        highest = highest_key(self.audit.read(), "audit_event_id") if self.audit.exists() else 0
-        order = ["batch_id", "event_time", "execution_order", "step_name", "status"]
-        self.audit.append(
-            allocate_missing_keys(events, "audit_event_id", order, highest, lanes=1)
-        )
+        """Append audit events; one that has only started has no end time."""
+        defaults = {"event_time": run_ts, "started_at": run_ts, "created_at": run_ts}
+        filled = [
+            {**defaults, **({} if r["status"] == STARTED else {"ended_at": run_ts}), **r}
+            for r in rows
+        ]
+        self.audit_log.append_rows(filled, AUDIT_SCHEMA, "audit_event_id")
 
     def batch_events(self, rows: Sequence[Mapping[str, Any]], run_ts: datetime) -> None:
         filled = [{"created_at": run_ts, "updated_at": run_ts, **r} for r in rows]
-        self._fold(self.batches, filled, "batch_id", BATCH_UPDATES, BATCH_SCHEMA)
+        self.batch_log.append_rows(filled, _log_schema(BATCH_SCHEMA), "event_no")
 
     def batch_start(self, run_ts: datetime, **row: Any) -> None:
         self.batch_events([{"kind": "START", "status": RUNNING, "started_at": run_ts, **row}], run_ts)
@@ -183,9 +195,22 @@ class Control:
     def batch_end(self, run_ts: datetime, **row: Any) -> None:
         self.batch_events([{"kind": "END", "ended_at": run_ts, **row}], run_ts)
 
+    def delete_batches(self, expired: Column) -> int:
+        """Remove batches and shorten their log to one state record per kept batch."""
+        state = self.batches()
+        removed = state.filter(expired).count()
+        if removed:
+            kept = state.filter(~expired | expired.isNull())
+            self.batch_log.overwrite(
+                kept.select(
+                    F.lit(0).cast("bigint").alias("event_no"), F.lit("STATE").alias("kind"), "*"
+                )
+            )
+        return removed
+
     def watermark_events(self, rows: Sequence[Mapping[str, Any]], run_ts: datetime) -> None:
         filled = [{"updated_at": run_ts, **r} for r in rows]
-        self._fold(self.watermarks, filled, "pipeline_name", WATERMARK_UPDATES, WATERMARK_SCHEMA)
+        self.watermark_log.append_rows(filled, _log_schema(WATERMARK_SCHEMA), "event_no")
 
     def mark_running(self, pipelines: Sequence[str], batch_id: str, run_ts: datetime) -> None:
         base = {"kind": RUNNING, "last_run_status": RUNNING, "last_run_batch_id": batch_id}
@@ -224,10 +249,17 @@ class Control:
         )
 
     def watermark(self, pipeline: str) -> datetime:
-        if not self.watermarks.exists():
+        """The committed watermark; before the first commit a time before all data."""
+        if not self.watermark_log.exists():
             return TIME_SENTINEL
-        rows = self.watermarks.read().filter(F.col("pipeline_name") == pipeline)
-        return rows.agg(F.max("last_bi_updated_at")).first()[0] or TIME_SENTINEL
+        # Only the last success carries a watermark, so the fold of one column is enough.
+        events = self.watermark_log.read().filter(
+            (F.col("pipeline_name") == pipeline) & F.col("kind").isin(SUCCESS, "STATE")
+        )
+        return events.agg(F.max_by("last_bi_updated_at", "event_no")).first()[0] or TIME_SENTINEL
+
+    def status(self) -> DataFrame:
+        return run_status(self.batches(), self.watermarks(), self.audit())
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:

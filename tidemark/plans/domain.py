@@ -7,6 +7,7 @@ from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.plans.control import EXTRACT_STEP, FAILED, LOAD_STEP, STARTED, SUCCESS, Control
 from tidemark.plans.control import batch_row_totals
@@ -106,9 +107,7 @@ def run_domain(
                  "status": SUCCESS, "rows_processed": removed, "execution_order": order}
             )
     control.log(events, run_ts)
-    totals = batch_row_totals(
-        control.audit.read().filter(f"batch_id = '{batch_id}'")
-    ).first()
+    totals = batch_row_totals(control.audit().filter(F.col("batch_id") == batch_id)).first()
     control.batch_end(
         run_ts,
         batch_id=batch_id,

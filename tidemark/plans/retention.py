@@ -71,6 +71,6 @@ def purge_control(control: Control, run_ts: datetime) -> dict[str, int]:
     """Keep today and yesterday in the audit log and the batch table."""
     first_kept = run_ts.date() - timedelta(days=1)
     return {
-        "load_audit": control.audit.drop_days_before(first_kept),
-        "batch_execution": control.batches.delete(before_day("started_at", first_kept)),
+        "load_audit": control.audit_log.drop_days_before(first_kept),
+        "batch_execution": control.delete_batches(before_day("started_at", first_kept)),
     }

@@ -11,23 +11,22 @@ from pyspark.sql import functions as F
 FINE_STATES = ["success", "pass", "skipped"]
 FINAL_PREFIXES = ("dim_", "fct_")
 COUNTERS = ("rows_inserted", "rows_updated", "rows_deleted", "rows_affected")
-RESULTS_SCHEMA = (
-    "array<struct<unique_id:string, status:string, message:string, execution_time:double,"
-    " adapter_response:struct<rows_affected:bigint, rows_inserted:bigint,"
-    " rows_updated:bigint, rows_deleted:bigint, query_id:string>>>"
-)
-
 
-def run_results(documents: DataFrame, run: str, payload: str) -> DataFrame:
-    """One row per result of each run document."""
-    parsed = F.from_json(F.get_json_object(payload, "$.results"), RESULTS_SCHEMA)
+def run_results(
+    documents: DataFrame, run: str, payload: str, counters: Sequence[str] = COUNTERS
+) -> DataFrame:
+    """One row per result of each run document, parsing only the fields that are used."""
+    response = "".join(f"{c}:bigint," for c in counters).rstrip(",")
+    fields = "unique_id:string, status:string"
+    fields += f", adapter_response:struct<{response}>" if counters else ""
+    parsed = F.from_json(payload, f"results array<struct<{fields}>>")["results"]
     exploded = documents.select(run, F.explode(parsed).alias("r"))
     return exploded.select(
         run,
         F.col("r.unique_id").alias("unique_id"),
         F.split_part("r.unique_id", F.lit("."), F.lit(1)).alias("resource_type"),
         F.lower("r.status").alias("status"),
-        *[F.coalesce(f"r.adapter_response.{c}", F.lit(0)).alias(c) for c in COUNTERS],
+        *[F.coalesce(f"r.adapter_response.{c}", F.lit(0)).alias(c) for c in counters],
     )
 
 

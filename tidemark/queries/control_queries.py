@@ -328,7 +328,7 @@ SELECT run, p AS pipeline_name FROM named
 UNION ALL SELECT run, unnest(['dim_part', 'dim_line', 'DIM_A', 'dim_r']) FROM none""",
 )
 def failed_attribution(t: Tables) -> DataFrame:
-    results = L.run_results(run_documents(t.lineitem), "run", "payload")
+    results = L.run_results(run_documents(t.lineitem), "run", "payload", counters=())
     return L.failed_pipelines(results, "run", ["dim_part", "dim_line", "DIM_A", "dim_r"])
 
 

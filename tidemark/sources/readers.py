@@ -36,14 +36,14 @@ def changed_since(df: DataFrame, cursor: str, last: datetime | None) -> DataFram
 
 def read_seed(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A CSV with a header and a declared schema; an empty field is null."""
-    return spark.read.csv(
+    reader = spark.read.option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm[:ss[.SSSSSS]]]")
+    return reader.csv(
         path,
         schema=schema,
         header=True,
         enforceSchema=True,
         nullValue="",
         encoding="UTF-8",
-        timestampNTZFormat="yyyy-MM-dd[ HH:mm[:ss[.SSSSSS]]]",
         mode="FAILFAST",
     )
 

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.merge import align
 
@@ -26,10 +29,12 @@ PART = "_part"
 class Listing:
     version: int = 0
     schema: str | None = None
-    # Folder below the table root -> rows in it.
-    folders: dict[str, int] = field(default_factory=dict)
+    # Folders in force, below the table root.
+    folders: list[str] = field(default_factory=list)
     # Writer name -> last batch it has published.
     applied: dict[str, str] = field(default_factory=dict)
+    # Last id handed out to appended rows.
+    serial: int = 0
 
 
 class _StoredTable:
@@ -92,30 +97,28 @@ class _StoredTable:
         return self._read_folders(sorted(listing.folders), schema)
 
     def rows(self) -> int:
-        return sum(self.listing().folders.values())
+        """Row count, from the file footers."""
+        return self.read().count()
 
     def clear(self) -> int:
         """Publish an empty table and return how many rows it held."""
         listing = self.listing()
-        removed = sum(listing.folders.values())
-        if listing.folders:
-            listing.folders = {}
-            self._publish(listing)
+        if not listing.folders:
+            return 0
+        removed = self.rows()
+        listing.folders = []
+        self._publish(listing)
         return removed
 
-    def _write_split(self, df: DataFrame, by: Column, name: str) -> dict[str, int]:
-        """Write ``df`` in one folder per value of ``by`` and count what was written."""
+    def _write_split(self, df: DataFrame, by: Column, name: str) -> list[str]:
+        """Write ``df`` in one folder per value of ``by``; returns the folders."""
         run = f"data/{uuid.uuid4().hex[:16]}"
         # Adaptive rebalancing sizes the files and splits a value that holds many rows.
         split = df.withColumn(name, by).hint("rebalance", F.col(name))
         split.write.partitionBy(name).parquet(f"{self.root}/{run}")
-        schema = T.StructType(list(df.schema.fields) + [T.StructField(name, T.StringType())])
-        written = self.spark.read.schema(schema).parquet(f"{self.root}/{run}")
-        counts = written.groupBy(name).count().collect()
-        return {
-            f"{run}/{name}={'__HIVE_DEFAULT_PARTITION__' if r[0] is None else r[0]}": r[1]
-            for r in counts
-        }
+        path, fs = self._hadoop_path(run)
+        found = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+        return [f"{run}/{n}" for n in found if n.startswith(f"{name}=")]
 
 
 class KeyedTable(_StoredTable):
@@ -151,41 +154,38 @@ class KeyedTable(_StoredTable):
         listing = self.listing()
         if writer is not None and listing.applied.get(writer) == batch:
             return 0
-        fresh = self._write_split(changes, self._part(), PART)
-        if writer is not None:
-            listing.applied[writer] = batch
         schema = changes.schema
+        fresh = self._write_split(changes, self._part(), PART)
+        arrived = self._read_folders(fresh, schema).count()
         previous = listing.schema and T.StructType.fromJson(json.loads(listing.schema))
-        retyped = bool(previous) and _types(previous).items() - _types(schema).items()
+        # A column that changed its type forces all parts to be written again.
+        retyped = bool(previous) and any(
+            _types(schema).get(n, t) != t for n, t in _types(previous).items()
+        )
         touched = {self._part_of(f) for f in fresh}
-        stale = {
-            f: n for f, n in listing.folders.items() if retyped or self._part_of(f) in touched
-        }
+        stale = [f for f in listing.folders if retyped or self._part_of(f) in touched]
         if stale:
-            old = align(self._read_folders(sorted(stale), previous or schema), schema)
-            overlap = [f for f in fresh if any(self._part_of(f) == self._part_of(s) for s in stale)]
+            held = {self._part_of(f) for f in stale}
+            overlap = [f for f in fresh if self._part_of(f) in held]
+            old = align(self._read_folders(sorted(stale), previous), schema)
             new = self._read_folders(sorted(overlap), schema)
             kept = old.join(new.select(*self.keys), self.keys, "left_anti")
             rewritten = self._write_split(kept.unionByName(new), self._part(), PART)
-        else:
-            overlap, rewritten = [], {}
-        listing.folders = {
-            **{f: n for f, n in listing.folders.items() if f not in stale},
             # A part without older rows takes the change folder as it is.
-            **{f: n for f, n in fresh.items() if f not in overlap},
-            **rewritten,
-        }
+            fresh = [f for f in fresh if f not in overlap] + rewritten
+        listing.folders = [f for f in listing.folders if f not in stale] + fresh
         listing.schema = schema.json()
+        if writer is not None:
+            listing.applied[writer] = batch
         self._publish(listing)
-        return sum(fresh.values())
+        return arrived
 
-    def overwrite(self, df: DataFrame) -> int:
+    def overwrite(self, df: DataFrame) -> None:
         """Publish exactly these rows."""
         listing = self.listing()
         listing.folders = self._write_split(df, self._part(), PART)
         listing.schema = df.schema.json()
         self._publish(listing)
-        return sum(listing.folders.values())
 
     def delete(self, condition: Column) -> int:
         """Remove the rows where ``condition`` is true; returns how many went."""
@@ -199,8 +199,8 @@ class KeyedTable(_StoredTable):
         stale = [f for f in listing.folders if self._part_of(f) in removed]
         rows = self._read_folders(sorted(stale), self.schema())
         kept = rows.filter(~condition | condition.isNull())
-        listing.folders = {f: n for f, n in listing.folders.items() if f not in stale}
-        listing.folders |= self._write_split(kept, self._part(), PART)
+        listing.folders = [f for f in listing.folders if f not in stale]
+        listing.folders += self._write_split(kept, self._part(), PART)
         self._publish(listing)
         return sum(removed.values())
 
@@ -214,27 +214,63 @@ class AppendTable(_StoredTable):
         super().__init__(spark, root)
         self.day_column = day_column
 
+    def _publish_more(self, listing: Listing, folders: list[str], schema: T.StructType) -> None:
+        listing.folders += folders
+        listing.schema = schema.json()
+        self._publish(listing)
+
     def append(self, df: DataFrame) -> int:
-        listing = self.listing()
         day = F.col(self.day_column).cast("date").cast("string")
         fresh = self._write_split(df, day, self.DAY)
-        listing.folders |= fresh
-        listing.schema = df.schema.json()
-        self._publish(listing)
-        return sum(fresh.values())
+        self._publish_more(self.listing(), fresh, df.schema)
+        return self._read_folders(fresh, df.schema).count()
+
+    def append_rows(
+        self,
+        rows: Sequence[Mapping[str, Any]],
+        schema: T.StructType,
+        id_column: str,
+    ) -> None:
+        """Append a few rows made by the driver, numbered on from the last id.
+
+        All rows of one call belong to the day of the first one.
+        """
+        listing = self.listing()
+        first = listing.serial + 1
+        data = [
+            {f.name: first + i if f.name == id_column else r.get(f.name) for f in schema.fields}
+            for i, r in enumerate(rows)
+        ]
+        folder = f"data/{uuid.uuid4().hex[:16]}/{self.DAY}={rows[0][self.day_column]:%Y-%m-%d}"
+        # An Arrow table becomes a local relation, so no Python worker is started.
+        table = pa.Table.from_pylist(data, schema=to_arrow_schema(schema))
+        self.spark.createDataFrame(table, schema).coalesce(1).write.parquet(f"{self.root}/{folder}")
+        listing.serial += len(rows)
+        self._publish_more(listing, [folder], schema)
+
+    def overwrite(self, df: DataFrame) -> None:
+        """Publish exactly these rows; ids go on from where they were."""
+        listing = self.listing()
+        listing.folders = []
+        day = F.col(self.day_column).cast("date").cast("string")
+        self._publish_more(listing, self._write_split(df, day, self.DAY), df.schema)
 
     def drop_days_before(self, first_kept: date) -> int:
-        """Remove whole days; rows without a day stay. No file is read or rewritten."""
+        """Remove whole days; rows without a day stay. No file is rewritten."""
         listing = self.listing()
-        old = {
-            f: n
-            for f, n in listing.folders.items()
-            if f.rsplit("=", 1)[1][:2] != "__" and f.rsplit("=", 1)[1] < first_kept.isoformat()
-        }
-        if old:
-            listing.folders = {f: n for f, n in listing.folders.items() if f not in old}
-            self._publish(listing)
-        return sum(old.values())
+        old = [f for f in listing.folders if self._day_of(f) < first_kept.isoformat()]
+        if not old:
+            return 0
+        removed = self._read_folders(sorted(old), self.schema()).count()
+        listing.folders = [f for f in listing.folders if f not in old]
+        self._publish(listing)
+        return removed
+
+    @staticmethod
+    def _day_of(folder: str) -> str:
+        day = folder.rsplit("=", 1)[1]
+        # The folder of rows without a day sorts after every date.
+        return "~" if day.startswith("__") else day
 
 
 def _types(schema: T.StructType) -> dict[str, str]:
