@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_source_row
 from tidemark.operators.skew import hot_groups
@@ -62,7 +63,7 @@ def product_within(
     schema = left.select(*group).schema
     counted = spark.createDataFrame(
         [(*[r[g] for g in group], int(r["n_rows"] // heavy) + 1) for r in hot],
-        schema.add("__spreads", "int"),
+        schema.add("__spreads", T.IntegerType()),
     )
     spreads = F.coalesce(F.col("__spreads"), F.lit(1))
     # The list of hot groups has a fixed upper length, so it is safe to broadcast.
