@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.session import work_folder
+from tidemark.sources import tables
 from tidemark.sources.tables import AppendTable, KeyedTable
 from tidemark.spec import struct_type
 
@@ -97,11 +98,30 @@ def test_a_second_writer_is_refused(spark, table):
     assert rows(table.read().select("v").distinct()) == [("b",)]
 
 
-def test_read_parts_holds_all_matching_keys(spark, table):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_matching_holds_all_rows_with_arriving_keys(spark, table, few, monkeypatch):
+    monkeypatch.setattr(tables, "FEW_KEYS", few)
     table.merge(numbers(spark, 0, 100, v="a"))
     wanted = numbers(spark, 40, 42)
-    found = table.read_parts(table.parts_of(wanted))
+    found = table.matching(wanted)
     assert found.join(wanted, "k").count() == 2 and found.count() < 100
+    assert table.matching(numbers(spark, 0, 0)).count() == 0
+
+
+def test_highest_values_are_kept_with_the_table(spark, table):
+    assert table.highest("k") is None
+    record = {"k": F.max("k"), "t": F.max("t")}
+    for top, day in ((10, 5), (8, 7)):
+        df = numbers(spark, 0, top).withColumn("t", F.lit(datetime(2024, 1, day)).cast("timestamp_ntz"))
+        table.merge(df, highest=record)
+    assert table.highest("k") == 9 and table.highest("t") == datetime(2024, 1, 7)
+
+
+def test_the_number_of_parts_is_fixed_by_the_first_write(spark, table):
+    table.merge(numbers(spark, 0, 50, v="a"))
+    other = KeyedTable(spark, table.root, ["k"], 16)
+    other.merge(numbers(spark, 0, 50, v="b"))
+    assert other.rows() == 50 and len(other.listing().folders) == 4
 
 
 def test_missing_table(spark, table):

@@ -11,7 +11,7 @@ from tidemark import entities as E
 from tidemark.operators.checks import entity_checks, run_checks
 from tidemark.operators.keys import allocate_missing_keys, highest_key
 from tidemark.plans.control import Control, fold_events, run_status
-from tidemark.plans.current_state import merge_current_state, staging_view
+from tidemark.plans.current_state import merge_current_state
 from tidemark.plans.dimension import dimension_watermark, load_dimension, unknown_member
 from tidemark.plans.domain import Warehouse, run_domain
 from tidemark.plans.monitor import active_keys, expectations, freshness, missing_success, stalled
@@ -128,9 +128,7 @@ def test_text_is_cut_to_its_length(spark):
 
 def load(spark, table, dimension, landing, at, batch, watermark=None):
     merge_current_state(E.STATE, landing, table, at, batch)
-    return load_dimension(
-        E.STATE, staging_view(E.STATE, table.read()), dimension, watermark, at, batch
-    )
+    return load_dimension(E.STATE, table.read(), dimension, watermark, at, batch)
 
 
 def test_dimension_keys_survive_and_unknown_member_comes_once(spark):
@@ -139,7 +137,7 @@ def test_dimension_keys_survive_and_unknown_member_comes_once(spark):
     first = as_map(dimension.read(), "cd_estado", "sk_estado", "desc_estado")
     assert first["-1"] == (-1, "UNDEFINED") and first["a1"][1] == "ALPHA"
     t1 = T0 + timedelta(days=1)
-    mark = dimension_watermark(E.STATE, dimension.read())
+    mark = dimension_watermark(E.STATE, dimension)
     assert mark == T0
     loaded = load(
         spark, table, dimension, states(spark, ("a1", "alpha2", T0), ("c1", "gamma", T0)), t1, "b2", mark
@@ -148,7 +146,7 @@ def test_dimension_keys_survive_and_unknown_member_comes_once(spark):
     assert loaded == 2 and len(second) == 4
     assert second["a1"] == (first["a1"][0], "ALPHA2") and second["b1"] == first["b1"]
     assert second["c1"][0] not in {k for k, _ in first.values()}
-    assert dimension_watermark(E.STATE, dimension.read()) == t1
+    assert dimension_watermark(E.STATE, dimension) == t1
 
 
 def test_dimension_keeps_the_first_created_time(spark):
@@ -166,15 +164,14 @@ def test_empty_slice_changes_nothing(spark):
     table, dimension = state_table(spark), state_table(spark)
     load(spark, table, dimension, states(spark, ("A", "x", T0)), T0, "b1")
     before = sorted(map(tuple, dimension.read().collect()))
-    staged = staging_view(E.STATE, table.read())
-    assert load_dimension(E.STATE, staged, dimension, T0, T0, "b2") == 0
+    assert load_dimension(E.STATE, table.read(), dimension, T0, T0, "b2") == 0
     assert sorted(map(tuple, dimension.read().collect())) == before
 
 
 def test_empty_dimension_has_no_watermark(spark):
     dimension = state_table(spark)
     dimension.merge(unknown_member(spark, E.STATE, T0, "b1"))
-    assert dimension_watermark(E.STATE, dimension.read()) is None
+    assert dimension_watermark(E.STATE, dimension) is None
 
 
 @pytest.mark.parametrize("spec", [s for s in E.DIMENSIONS if s.surrogate_key], ids=lambda s: s.name)

@@ -321,7 +321,7 @@ def sequential_values(
     """
     previous = f"previous_{slug(column)}"
     counted = df.groupBy(*group, column).agg(F.count("*").alias("__n"))
-    ordered = with_neighbours(counted, group, column, floor)
+    ordered = with_neighbours(counted, group, column, floor, sized_by=df)
     copies = F.array(
         F.struct(F.col("previous_value").alias("p"), F.lit(1).cast("bigint").alias("n")),
         F.struct(F.col(column).alias("p"), (F.col("__n") - 1).alias("n")),
@@ -390,7 +390,7 @@ def mutually_exclusive_ranges(
     longest = F.when(F.count("*") == F.count("upper_bound"), F.max("upper_bound"))
     tops = rows.groupBy(*group, "lower_bound").agg(longest.alias("upper_bound"))
     after = (
-        with_neighbours(tops, group, "lower_bound", floor)
+        with_neighbours(tops, group, "lower_bound", floor, sized_by=rows)
         .withColumn("next_lower_bound", F.col("next_value"))
         .withColumn("is_last_record", ~F.col("has_next"))
     )

@@ -50,18 +50,20 @@ def with_neighbours(
     group: Sequence[str],
     value: str,
     floor: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``previous_value``, ``next_value`` and ``has_next``; nulls sort last.
 
     ``df`` holds each value once per group. A group below ``floor`` rows is sorted in one
     task. The larger ones are cut into stretches of the value range that are sorted
     apart, and only the first and last row of each stretch meet again to connect them.
+    ``sized_by`` may name rows that are cheaper to count and at least as many per group.
     """
+    hot = hot_groups(df if sized_by is None else sized_by, group, floor)
     grouping = list(group)
     if not grouping:
         df = df.withColumn("__all", F.lit(0))
         grouping = ["__all"]
-    hot = hot_groups(df, grouping, floor)
     position = _position(df, value)
     rising = F.col(value).asc_nulls_last()
 
@@ -78,14 +80,16 @@ def with_neighbours(
     if not hot or position is None:
         return linked(df, whole_group).drop("__all")
 
-    schema = df.select(*grouping).schema
-    # At most MOST_HOT_GROUPS rows, so broadcasting them is safe.
-    large = F.broadcast(
-        df.sparkSession.createDataFrame([tuple(r[g] for g in grouping) for r in hot], schema)
-    )
-    same = [F.col(f"l.{g}").eqNullSafe(F.col(f"h.{g}")) for g in grouping]
-    spread_rows = df.alias("l").join(large.alias("h"), same, "left_semi")
-    other_rows = df.alias("l").join(large.alias("h"), same, "left_anti")
+    spread_rows, other_rows = df, None
+    if group:
+        schema = df.select(*grouping).schema
+        # At most MOST_HOT_GROUPS rows, so broadcasting them is safe.
+        large = F.broadcast(
+            df.sparkSession.createDataFrame([tuple(r[g] for g in grouping) for r in hot], schema)
+        ).alias("h")
+        same = [F.col(f"l.{g}").eqNullSafe(F.col(f"h.{g}")) for g in grouping]
+        spread_rows = df.alias("l").join(large, same, "left_semi")
+        other_rows = df.alias("l").join(large, same, "left_anti")
 
     shares = [i / COARSE for i in range(COARSE + 1)]
     cuts = spread_rows.select(F.percentile_approx(position, shares, 10_000)).first()[0] or [0.0, 0.0]
@@ -109,21 +113,26 @@ def with_neighbours(
         (F.col("has_next") | F.col("__more")).alias("has_next"),
     )
     columns = joined.columns
-    return (
-        joined.unionByName(marked.filter(~edge).select(*columns))
-        .unionByName(linked(other_rows, whole_group).select(*columns))
-        .drop("__all")
-    )
+    result = joined.unionByName(marked.filter(~edge).select(*columns))
+    if other_rows is not None:
+        result = result.unionByName(linked(other_rows, whole_group).select(*columns))
+    return result.drop("__all")
 
 
 def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:
-    """Each row as often as ``copies`` says, without building a long array for one row."""
+    """Each row as often as ``copies`` says.
+
+    Copies are made in chunks, and the chunks are spread over all tasks first, so one
+    row with very many copies neither needs a long array nor keeps one task busy.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = F.col(copies).cast("bigint")
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / chunk).cast("bigint"))
     per_chunk = F.least(F.lit(chunk).cast("bigint"), n - F.col("__chunk") * chunk)
     return (
         df.filter(n > 0)
         .withColumn("__chunk", F.explode(chunks))
+        .repartition(tasks, *df.columns, "__chunk")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), per_chunk)))
         .drop("__chunk", "__copy", copies)
     )

@@ -6,12 +6,19 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators.changes import changed_or_new, split_null_keys
 from tidemark.operators.latest import latest_in_landing, latest_in_staging
 from tidemark.operators.merge import upsert
 from tidemark.sources.tables import KeyedTable
-from tidemark.spec import EntitySpec, conform_current_state, conform_landing
+from tidemark.spec import (
+    TIME_SENTINEL,
+    UPDATED_AT,
+    EntitySpec,
+    conform_current_state,
+    conform_landing,
+)
 
 
 @dataclass
@@ -54,13 +61,27 @@ def merge_current_state(
 ) -> MergeOutcome:
     """Merge a landing slice into the stored current state."""
     complete, rejected = split_null_keys(conform_landing(landing, spec), spec.key)
-    # Only parts that can hold one of the arriving keys are read and compared.
-    target = table.read_parts(table.parts_of(complete)) if table.exists() else None
+    target = table.matching(complete) if table.exists() else None
     latest = latest_in_landing(complete, spec.key)
     changes = changed_or_new(latest, target, spec, run_ts, batch_id)
     return MergeOutcome(table.merge(changes, writer, batch_id), rejected)
 
 
+def staging_slice(
+    spec: EntitySpec, current_state: DataFrame, watermark: datetime | None
+) -> DataFrame:
+    """The rows of the staging view that are newer than the watermark.
+
+    Filtering the stored rows first gives the same rows as filtering the view: a row
+    without a time outranks all others of its key, so it has to stay until the ranking.
+    The scan can then skip everything older.
+    """
+    bound = F.lit(watermark or TIME_SENTINEL).cast("timestamp_ntz")
+    newer = F.col(UPDATED_AT) > bound
+    candidates = current_state.filter(newer | F.col(UPDATED_AT).isNull())
+    return staging_view(spec, candidates).filter(newer)
+
+
 def staging_view(spec: EntitySpec, current_state: DataFrame) -> DataFrame:
     """Typed current state with one row per key; never stored."""
     return latest_in_staging(conform_current_state(current_state, spec), spec.key)

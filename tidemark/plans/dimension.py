@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import allocate_missing_keys, highest_key
 from tidemark.operators.merge import upsert
+from tidemark.plans.current_state import staging_slice, staging_view
 from tidemark.sources.tables import KeyedTable
 from tidemark.spec import (
     BATCH_ID,
@@ -68,39 +69,55 @@ def dimension_rows(
     return rows.select(*spec.dimension_columns)
 
 
-def dimension_watermark(spec: EntitySpec, dimension: DataFrame) -> datetime | None:
-    """Largest update time over the whole dimension, leaving out the unknown member."""
-    return dimension.filter(_is_business(spec)).agg(F.max(UPDATED_AT)).first()[0]
+WATERMARK = "watermark"
+SURROGATE = "surrogate_key"
 
 
-def _is_business(spec: EntitySpec):
+def _business_update_time(spec: EntitySpec) -> Column:
+    """The update time of business rows; null for the unknown member."""
+    updated = F.col(UPDATED_AT)
     if spec.surrogate_key:
-        return F.col(spec.surrogate_key) != UNKNOWN_KEY
-    condition = F.lit(True)
-    for value in spec.dropped_keys:
-        condition = condition & (F.col(spec.key[0]) != value)
-    return condition
+        return F.when(F.col(spec.surrogate_key) != UNKNOWN_KEY, updated)
+    return F.when(~F.col(spec.key[0]).isin(list(spec.dropped_keys)), updated)
+
+
+def dimension_watermark(spec: EntitySpec, table: KeyedTable) -> datetime | None:
+    """Largest update time over the whole dimension, leaving out the unknown member.
+
+    Loads record it with the table, since a dimension only gains newer rows; a table
+    that was filled in another way is read.
+    """
+    recorded = table.highest(WATERMARK)
+    if recorded is not None:
+        return recorded
+    return table.read().agg(F.max(_business_update_time(spec))).first()[0]
 
 
 def load_dimension(
     spec: EntitySpec,
-    staged: DataFrame,
+    current_state: DataFrame,
     table: KeyedTable,
     watermark: datetime | None,
     run_ts: datetime,
     batch_id: str,
 ) -> int:
     """Merge the rows past the watermark into the stored dimension; returns how many."""
+    sk = spec.surrogate_key
     if table.exists():
-        slice_ = watermark_slice(staged, watermark)
-        known = table.read_parts(table.parts_of(slice_))
-        highest = highest_key(table.read(), spec.surrogate_key) if spec.surrogate_key else 0
-        rows = dimension_rows(spec, slice_, known, highest)
+        slice_ = staging_slice(spec, current_state, watermark)
+        used = table.highest(SURROGATE) if sk else 0
+        if used is None:
+            used = highest_key(table.read(), sk)
+        rows = dimension_rows(spec, slice_, table.matching(slice_), max(used, 0))
     else:
-        rows = dimension_rows(spec, staged, None)
-        if spec.surrogate_key:
-            rows = unknown_member(staged.sparkSession, spec, run_ts, batch_id).unionByName(rows)
-    merged = table.merge(rows)
+        rows = dimension_rows(spec, staging_view(spec, current_state), None)
+        if sk:
+            spark = current_state.sparkSession
+            rows = unknown_member(spark, spec, run_ts, batch_id).unionByName(rows)
+    record = {WATERMARK: F.max(_business_update_time(spec))}
+    if sk:
+        record[SURROGATE] = F.max(sk)
+    merged = table.merge(rows, highest=record)
     for value in spec.dropped_keys:
         table.delete(F.col(spec.key[0]) == value)
     return merged

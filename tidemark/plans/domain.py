@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.control import EXTRACT_STEP, FAILED, LOAD_STEP, STARTED, SUCCESS, Control
 from tidemark.plans.control import batch_row_totals
-from tidemark.plans.current_state import merge_current_state, staging_view
+from tidemark.plans.current_state import merge_current_state
 from tidemark.plans.dimension import dimension_watermark, load_dimension
 from tidemark.sources.tables import AppendTable, KeyedTable
 from tidemark.spec import LANDING_EXTRACTED_AT, EntitySpec
@@ -42,11 +42,10 @@ def load_entity(wh: Warehouse, spec: EntitySpec, run_ts: datetime, batch_id: str
     """Landing to current state to dimension for one entity."""
     state, dimension = wh.current_state(spec), wh.dimension(spec)
     merged = merge_current_state(spec, wh.landing(spec).read(), state, run_ts, batch_id)
-    staged = staging_view(spec, state.read())
     watermark = wh.control.watermark(spec.pipeline_name)
-    loaded = load_dimension(spec, staged, dimension, watermark, run_ts, batch_id)
+    loaded = load_dimension(spec, state.read(), dimension, watermark, run_ts, batch_id)
     # Data first, watermark second: a stop in between repeats rows, which changes nothing.
-    committed = dimension_watermark(spec, dimension.read())
+    committed = dimension_watermark(spec, dimension)
     wh.control.commit({spec.pipeline_name: committed}, batch_id, run_ts)
     return {"merged": merged.rows, "loaded": loaded, "rejected": merged.rejected}
 

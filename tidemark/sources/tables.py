@@ -11,7 +11,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime
 from typing import Any
 
 import pyarrow as pa
@@ -35,6 +35,10 @@ class Listing:
     applied: dict[str, str] = field(default_factory=dict)
     # Last id handed out to appended rows.
     serial: int = 0
+    # Number of hash parts, fixed when a keyed table is first written.
+    parts: int = 0
+    # Largest values seen by the writers, under the names they chose.
+    highest: dict[str, Any] = field(default_factory=dict)
 
 
 class _StoredTable:
@@ -121,42 +125,83 @@ class _StoredTable:
         return [f"{run}/{n}" for n in found if n.startswith(f"{name}=")]
 
 
+# Up to this many keys are sent to every task, which is some ten megabytes.
+FEW_KEYS = 200_000
+
+
 class KeyedTable(_StoredTable):
-    """One row per key, spread over hash parts so that a merge rewrites few of them."""
+    """One row per key, spread over hash parts so that a merge rewrites few of them.
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], parts: int = 8):
+    ``parts`` counts when the table is first written; by default there are as many as
+    shuffle partitions.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, keys: Sequence[str], parts: int | None = None
+    ):
         super().__init__(spark, root)
         self.keys = list(keys)
-        self.parts = parts
+        self._wanted_parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _part(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("string")
+    def _part(self, listing: Listing) -> Column:
+        parts = F.lit(listing.parts or self._wanted_parts)
+        return F.pmod(F.xxhash64(*self.keys), parts).cast("string")
 
     @staticmethod
     def _part_of(folder: str) -> str:
         return folder.rsplit("=", 1)[1]
 
-    def parts_of(self, df: DataFrame) -> set[str]:
-        """The parts that the keys of ``df`` fall in; at most ``parts`` values."""
-        return {r[0] for r in df.select(self._part().alias(PART)).distinct().collect()}
-
-    def read_parts(self, parts: set[str]) -> DataFrame:
-        """Only the rows that can share a key with the given parts."""
-        folders = [f for f in self.listing().folders if self._part_of(f) in parts]
-        return self._read_folders(sorted(folders), self.schema())
+    def matching(self, arriving: DataFrame) -> DataFrame:
+        """Stored rows that can share a key with ``arriving``.
 
-    def merge(self, changes: DataFrame, writer: str | None = None, batch: str = "") -> int:
+        Parts without an arriving key are not read. If few keys arrive they are sent to
+        every task, so the stored rows are reduced before any shuffle.
+        """
+        listing = self.listing()
+        part = self._part(listing).alias(PART)
+        counts = {r[0]: r[1] for r in arriving.groupBy(part).count().collect()}
+        folders = [f for f in listing.folders if self._part_of(f) in counts]
+        rows = self._read_folders(sorted(folders), self.schema())
+        if sum(counts.values()) > FEW_KEYS:
+            return rows
+        return rows.join(F.broadcast(arriving.select(*self.keys)), self.keys, "left_semi")
+
+    def highest(self, name: str) -> Any:
+        """The largest value a writer has recorded under this name, or None."""
+        value = self.listing().highest.get(name)
+        return datetime.fromisoformat(value) if isinstance(value, str) else value
+
+    def merge(
+        self,
+        changes: DataFrame,
+        writer: str | None = None,
+        batch: str = "",
+        highest: Mapping[str, Column] | None = None,
+    ) -> int:
         """Replace or add the rows of ``changes``; returns how many there were.
 
         The columns of ``changes`` become the columns of the table. A batch that its
-        writer has already published is skipped.
+        writer has already published is skipped. ``highest`` names aggregates (numbers
+        or times) over the changes whose maximum is kept with the table, so that it can
+        be known without reading the table.
         """
         listing = self.listing()
         if writer is not None and listing.applied.get(writer) == batch:
             return 0
+        listing.parts = listing.parts or self._wanted_parts
         schema = changes.schema
-        fresh = self._write_split(changes, self._part(), PART)
-        arrived = self._read_folders(fresh, schema).count()
+        fresh = self._write_split(changes, self._part(listing), PART)
+        summary = self._read_folders(fresh, schema).agg(
+            F.count("*").alias("__rows"), *[c.alias(n) for n, c in (highest or {}).items()]
+        )
+        arrived = summary.first().asDict()
+        rows = arrived.pop("__rows")
+        for name, value in arrived.items():
+            if isinstance(value, datetime):
+                value = value.isoformat(timespec="microseconds")
+            known = [v for v in (listing.highest.get(name), value) if v is not None]
+            if known:
+                listing.highest[name] = max(known)
         previous = listing.schema and T.StructType.fromJson(json.loads(listing.schema))
         # A column that changed its type forces all parts to be written again.
         retyped = bool(previous) and any(
@@ -170,7 +215,7 @@ class KeyedTable(_StoredTable):
             old = align(self._read_folders(sorted(stale), previous), schema)
             new = self._read_folders(sorted(overlap), schema)
             kept = old.join(new.select(*self.keys), self.keys, "left_anti")
-            rewritten = self._write_split(kept.unionByName(new), self._part(), PART)
+            rewritten = self._write_split(kept.unionByName(new), self._part(listing), PART)
             # A part without older rows takes the change folder as it is.
             fresh = [f for f in fresh if f not in overlap] + rewritten
         listing.folders = [f for f in listing.folders if f not in stale] + fresh
@@ -178,12 +223,13 @@ class KeyedTable(_StoredTable):
         if writer is not None:
             listing.applied[writer] = batch
         self._publish(listing)
-        return arrived
+        return rows
 
     def overwrite(self, df: DataFrame) -> None:
         """Publish exactly these rows."""
         listing = self.listing()
-        listing.folders = self._write_split(df, self._part(), PART)
+        listing.parts = listing.parts or self._wanted_parts
+        listing.folders = self._write_split(df, self._part(listing), PART)
         listing.schema = df.schema.json()
         self._publish(listing)
 
@@ -192,7 +238,7 @@ class KeyedTable(_StoredTable):
         listing = self.listing()
         if listing.schema is None:
             return 0
-        counts = self.read().filter(condition).groupBy(self._part().alias(PART)).count()
+        counts = self.read().filter(condition).groupBy(self._part(listing).alias(PART)).count()
         removed = {r[0]: r[1] for r in counts.collect()}
         if not removed:
             return 0
@@ -200,7 +246,7 @@ class KeyedTable(_StoredTable):
         rows = self._read_folders(sorted(stale), self.schema())
         kept = rows.filter(~condition | condition.isNull())
         listing.folders = [f for f in listing.folders if f not in stale]
-        listing.folders += self._write_split(kept, self._part(), PART)
+        listing.folders += self._write_split(kept, self._part(listing), PART)
         self._publish(listing)
         return sum(removed.values())
 

@@ -96,7 +96,7 @@ class EntitySpec:
     # Keys removed from the dimension after each load.
     dropped_keys: tuple[Any, ...] = ()
     # Hash parts of the stored tables; a merge rewrites only the parts it touches.
-    parts: int = 8
+    parts: int | None = None
 
     def __post_init__(self) -> None:
         names = {c.name for c in self.columns}
