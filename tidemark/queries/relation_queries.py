@@ -68,9 +68,8 @@ def union_by_pattern(t: Tables) -> DataFrame:
     """
 WITH picked AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
     CASE WHEN l_discount < 0.05 THEN NULL ELSE l_discount END AS l_discount FROM lineitem)
-SELECT l_orderkey, l_linenumber, field_name, value FROM (
-  UNPIVOT INCLUDE NULLS picked
-  ON l_quantity, l_extendedprice, l_discount INTO NAME field_name VALUE value)""",
+SELECT l_orderkey, l_linenumber, field_name, value
+FROM picked UNPIVOT INCLUDE NULLS (value FOR field_name IN (l_quantity, l_extendedprice, l_discount))""",
 )
 def unpivot_measures(t: Tables) -> DataFrame:
     """Nulls stay; two columns are kept, the rest but three are removed."""

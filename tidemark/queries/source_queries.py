@@ -18,13 +18,13 @@ def _bigints(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("bigint") for n in names})
 
 
-@query(
-    "source_client_view",
-    """
+CLIENT_VIEW_SQL = """
 SELECT c_custkey AS id_cliente, upper(c_name) AS nome_cliente, upper(c_mktsegment) AS owner_cliente,
   upper('host-' || c_nationkey) AS server_cliente, c_acctbal > 0 AS fg_ativo, TIMESTAMP '1900-01-01' AS source_updated_at
-FROM customer""",
-)
+FROM customer"""
+
+
+@query("source_client_view", CLIENT_VIEW_SQL)
 def source_client_view(t: Tables) -> DataFrame:
     """The input holds every client twice; one row each comes out."""
     clients = t.customer.select(
@@ -37,17 +37,17 @@ def source_client_view(t: Tables) -> DataFrame:
     return _bigints(views.client_view(clients.unionByName(clients)), "id_cliente")
 
 
-@query(
-    "source_state_view",
-    """
+STATE_VIEW_SQL = """
 WITH base AS (SELECT user_id, event_type, ts, value, 'U' || user_id AS cd_estado, event_type AS desc_estado,
   CASE WHEN value < 5 THEN NULL WHEN value < 30 THEN '{"en-us": "' || event_type || '", "pt-br": "t' || user_id || '"}'
     ELSE '{"es-es": "v-' || event_type || '"}' END AS estado_json,
   CASE WHEN value < 1 THEN NULL ELSE ts END AS dt_updated FROM events)
 SELECT cd_estado, desc_estado, upper(estado_json->>'en-us') AS desc_estado_en_us, upper(estado_json->>'pt-br') AS desc_estado_pt_br,
   upper(estado_json->>'es-es') AS desc_estado_es_es, coalesce(dt_updated, TIMESTAMP '1900-01-01') AS source_updated_at
-FROM base QUALIFY row_number() OVER (PARTITION BY cd_estado ORDER BY dt_updated DESC NULLS LAST, desc_estado DESC, estado_json DESC NULLS LAST) = 1""",
-)
+FROM base QUALIFY row_number() OVER (PARTITION BY cd_estado ORDER BY dt_updated DESC NULLS LAST, desc_estado DESC, estado_json DESC NULLS LAST) = 1"""
+
+
+@query("source_state_view", STATE_VIEW_SQL)
 def source_state_view(t: Tables) -> DataFrame:
     kind, v = F.col("event_type"), F.col("value")
     both = F.concat(F.lit('{"en-us": "'), kind, F.lit('", "pt-br": "t'), "user_id", F.lit('"}'))
@@ -65,9 +65,7 @@ _LINES = """
   SELECT l.*, p.* FROM lineitem l JOIN part p ON l_partkey = p_partkey"""
 
 
-@query(
-    "source_equipment_view",
-    f"""
+EQUIPMENT_VIEW_SQL = f"""
 WITH lines AS ({_LINES}),
 e AS (SELECT l_suppkey, l_partkey, p_name, p_size, 100 + p_size AS tp, l_linenumber, l_returnflag <> 'R' AS fg, l_shipdate
   FROM lines WHERE p_size IN (1, 3, 4, 5, 6, 7, 8, 20, 21, 22)
@@ -88,8 +86,10 @@ SELECT e.l_suppkey AS id_cliente, CAST(e.l_partkey AS VARCHAR) AS cd_equipamento
   greatest(e.l_shipdate, coalesce(m.l_shipdate, TIMESTAMP '1900-01-01'), coalesce(ty.l_shipdate, TIMESTAMP '1900-01-01'), coalesce(st.l_shipdate, TIMESTAMP '1900-01-01')) AS source_updated_at
 FROM e LEFT JOIN m ON e.l_suppkey = m.l_suppkey AND e.p_size = m.p_size
 LEFT JOIN ty ON e.l_suppkey = ty.l_suppkey AND e.tp = ty.tp
-LEFT JOIN st ON e.l_suppkey = st.l_suppkey AND e.l_partkey = st.l_partkey""",
-)
+LEFT JOIN st ON e.l_suppkey = st.l_suppkey AND e.l_partkey = st.l_partkey"""
+
+
+@query("source_equipment_view", EQUIPMENT_VIEW_SQL)
 def source_equipment_view(t: Tables) -> DataFrame:
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     client, shipped = F.col("l_suppkey").alias("cd_cliente"), F.col("l_shipdate").alias("dt_updated")
@@ -125,9 +125,7 @@ def source_equipment_view(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "source_operation_view",
-    """
+OPERATION_VIEW_SQL = """
 WITH o AS (SELECT o_custkey, o_orderkey, o_orderpriority, CAST(o_custkey AS BIGINT) AS grp, nullif(o_orderstatus, 'P') AS st, length(o_orderpriority) AS pr, o_orderdate, o_totalprice > 100000 AS fg FROM orders),
 g AS (SELECT c_custkey AS grp, c_name, TIMESTAMP '1996-01-01' + to_days(c_nationkey) AS at FROM customer WHERE c_acctbal > 0),
 p AS (SELECT o_custkey, length(o_orderpriority) AS pr, o_orderpriority AS txt, o_orderdate AS at FROM orders WHERE o_orderstatus = 'F'
@@ -136,8 +134,10 @@ SELECT o.o_custkey AS id_cliente, o_orderkey AS cd_operacao, o_orderpriority AS
   coalesce(g.c_name, 'UNDEFINED') AS desc_grupo_operacao, CAST(-1 AS BIGINT) AS cd_grupo_parada, o.pr AS cd_processo,
   coalesce(p.txt, 'UNDEFINED') AS desc_processo, st AS fg_tipo_operacao, fg AS fg_ativo,
   greatest(o_orderdate, coalesce(g.at, TIMESTAMP '1900-01-01'), coalesce(p.at, TIMESTAMP '1900-01-01')) AS source_updated_at
-FROM o LEFT JOIN g ON o.grp = g.grp LEFT JOIN p ON o.o_custkey = p.o_custkey AND o.pr = p.pr""",
-)
+FROM o LEFT JOIN g ON o.grp = g.grp LEFT JOIN p ON o.o_custkey = p.o_custkey AND o.pr = p.pr"""
+
+
+@query("source_operation_view", OPERATION_VIEW_SQL)
 def source_operation_view(t: Tables) -> DataFrame:
     client, ordered = F.col("o_custkey").alias("cd_cliente"), F.col("o_orderdate").alias("dt_updated")
     process = F.length("o_orderpriority").alias("cd_processo")
@@ -168,9 +168,7 @@ def source_operation_view(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "source_farm_view",
-    """
+FARM_VIEW_SQL = """
 WITH base AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate, l_linestatus, l_returnflag FROM lineitem),
 f AS (SELECT *, CAST(l_orderkey AS VARCHAR) AS farm, CAST(l_linenumber AS VARCHAR) AS plot, l_returnflag AS zone FROM base
   QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_orderkey, l_returnflag, l_linenumber ORDER BY l_shipdate DESC, CAST(l_extendedprice AS DECIMAL(18,2)) DESC, l_partkey DESC, l_linestatus DESC) = 1),
@@ -178,8 +176,10 @@ pr AS (SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 0)
 SELECT f.l_suppkey AS id_cliente, farm AS cd_fazenda, plot AS cd_talhao, zone AS cd_zona, 'farm ' || farm AS desc_fazenda,
   'plot ' || plot AS desc_talhao, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS area_total, f.l_suppkey AS cd_produtor, pr.s_name AS desc_produtor,
   l_linestatus = 'O' AS fg_ativo, CASE WHEN pr.s_suppkey IS NULL THEN l_shipdate ELSE greatest(l_shipdate, TIMESTAMP '1998-06-01') END AS source_updated_at
-FROM f LEFT JOIN pr ON f.l_suppkey = pr.s_suppkey""",
-)
+FROM f LEFT JOIN pr ON f.l_suppkey = pr.s_suppkey"""
+
+
+@query("source_farm_view", FARM_VIEW_SQL)
 def source_farm_view(t: Tables) -> DataFrame:
     plots = t.lineitem.select(
         F.col("l_suppkey").alias("cd_cliente"),
@@ -203,9 +203,7 @@ def source_farm_view(t: Tables) -> DataFrame:
     return found.withColumn("area_total", F.col("area_total").cast("double"))
 
 
-@query(
-    "source_front_view",
-    """
+FRONT_VIEW_SQL = """
 WITH g AS (SELECT c_nationkey AS client, length(c_mktsegment) AS code, max(c_mktsegment) AS txt FROM customer GROUP BY 1, 2),
 r AS (SELECT n_nationkey AS client, n_regionkey AS code, n_regionkey + 100 AS corp, n_name AS txt FROM nation WHERE n_regionkey <> 2),
 c AS (SELECT n_nationkey AS client, n_regionkey + 100 AS corp, 'C-' || n_name AS txt FROM nation WHERE n_regionkey <> 3)
@@ -214,8 +212,10 @@ SELECT CAST(u.c_nationkey AS BIGINT) AS id_cliente, CAST(c.corp AS BIGINT) AS cd
   TIMESTAMP '2024-01-15' AS source_updated_at
 FROM customer u JOIN nation n ON u.c_nationkey = n.n_nationkey JOIN g ON u.c_nationkey = g.client
 LEFT JOIN r ON r.client = u.c_nationkey AND r.code = n.n_regionkey
-LEFT JOIN c ON c.client = r.client AND c.corp = r.corp""",
-)
+LEFT JOIN c ON c.client = r.client AND c.corp = r.corp"""
+
+
+@query("source_front_view", FRONT_VIEW_SQL)
 def source_front_view(t: Tables) -> DataFrame:
     """Customers as units of their nation, with the nation's market segments as groups."""
     at = F.lit(RUN_1).cast("timestamp_ntz").alias("dt_updated")
