@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import changed_or_new, split_null_keys
@@ -67,6 +67,15 @@ def merge_current_state(
     return MergeOutcome(table.merge(changes, writer, batch_id), rejected)
 
 
+def _newer(watermark: datetime | None) -> Column:
+    return F.col(UPDATED_AT) > F.lit(watermark or TIME_SENTINEL).cast("timestamp_ntz")
+
+
+def newer_rows(current_state: DataFrame, watermark: datetime | None) -> DataFrame:
+    """Stored rows past the watermark, and those without a time."""
+    return current_state.filter(_newer(watermark) | F.col(UPDATED_AT).isNull())
+
+
 def staging_slice(
     spec: EntitySpec, current_state: DataFrame, watermark: datetime | None
 ) -> DataFrame:
@@ -76,10 +85,7 @@ def staging_slice(
     without a time outranks all others of its key, so it has to stay until the ranking.
     The scan can then skip everything older.
     """
-    bound = F.lit(watermark or TIME_SENTINEL).cast("timestamp_ntz")
-    newer = F.col(UPDATED_AT) > bound
-    candidates = current_state.filter(newer | F.col(UPDATED_AT).isNull())
-    return staging_view(spec, candidates).filter(newer)
+    return staging_view(spec, newer_rows(current_state, watermark)).filter(_newer(watermark))
 
 
 def staging_view(spec: EntitySpec, current_state: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.keys import allocate_missing_keys, highest_key
 from tidemark.operators.merge import upsert
-from tidemark.plans.current_state import staging_slice, staging_view
+from tidemark.plans.current_state import newer_rows, staging_slice, staging_view
 from tidemark.sources.tables import KeyedTable
 from tidemark.spec import (
     BATCH_ID,
@@ -108,7 +108,8 @@ def load_dimension(
         used = table.highest(SURROGATE) if sk else 0
         if used is None:
             used = highest_key(table.read(), sk)
-        rows = dimension_rows(spec, slice_, table.matching(slice_), max(used, 0))
+        known = table.matching(newer_rows(current_state, watermark))
+        rows = dimension_rows(spec, slice_, known, max(used, 0))
     else:
         rows = dimension_rows(spec, staging_view(spec, current_state), None)
         if sk:

@@ -190,40 +190,40 @@ class KeyedTable(_StoredTable):
             return 0
         listing.parts = listing.parts or self._wanted_parts
         schema = changes.schema
-        fresh = self._write_split(changes, self._part(listing), PART)
-        summary = self._read_folders(fresh, schema).agg(
-            F.count("*").alias("__rows"), *[c.alias(n) for n, c in (highest or {}).items()]
-        )
-        arrived = summary.first().asDict()
-        rows = arrived.pop("__rows")
-        for name, value in arrived.items():
-            if isinstance(value, datetime):
-                value = value.isoformat(timespec="microseconds")
-            known = [v for v in (listing.highest.get(name), value) if v is not None]
+        part = self._part(listing)
+        # Written once, so that the parts they touch are known before any is rewritten
+        # and a lost executor does not repeat the work behind them.
+        if listing.folders:
+            written = [f"data/{uuid.uuid4().hex[:16]}"]
+            changes.write.parquet(f"{self.root}/{written[0]}")
+        else:
+            written = self._write_split(changes, part, PART)
+        fresh = self._read_folders(written, schema)
+        aggregates = [c.alias(n) for n, c in (highest or {}).items()]
+        touched = fresh.groupBy(part.alias(PART)).agg(F.count("*").alias("__rows"), *aggregates)
+        arrived = {r[PART]: r.asDict() for r in touched.collect()}
+        for name in highest or {}:
+            values = [_storable(r[name]) for r in arrived.values()] + [listing.highest.get(name)]
+            known = [v for v in values if v is not None]
             if known:
                 listing.highest[name] = max(known)
-        previous = listing.schema and T.StructType.fromJson(json.loads(listing.schema))
-        # A column that changed its type forces all parts to be written again.
-        retyped = bool(previous) and any(
-            _types(schema).get(n, t) != t for n, t in _types(previous).items()
-        )
-        touched = {self._part_of(f) for f in fresh}
-        stale = [f for f in listing.folders if retyped or self._part_of(f) in touched]
-        if stale:
-            held = {self._part_of(f) for f in stale}
-            overlap = [f for f in fresh if self._part_of(f) in held]
+        if listing.folders:
+            previous = T.StructType.fromJson(json.loads(listing.schema))
+            # A column that changed its type forces all parts to be written again.
+            retyped = any(_types(schema).get(n, t) != t for n, t in _types(previous).items())
+            stale = [f for f in listing.folders if retyped or self._part_of(f) in arrived]
             old = align(self._read_folders(sorted(stale), previous), schema)
-            new = self._read_folders(sorted(overlap), schema)
-            kept = old.join(new.select(*self.keys), self.keys, "left_anti")
-            rewritten = self._write_split(kept.unionByName(new), self._part(listing), PART)
-            # A part without older rows takes the change folder as it is.
-            fresh = [f for f in fresh if f not in overlap] + rewritten
-        listing.folders = [f for f in listing.folders if f not in stale] + fresh
+            kept = old.join(fresh.select(*self.keys), self.keys, "left_anti")
+            merged = kept.unionByName(fresh)
+            rewritten = self._write_split(merged, part, PART) if arrived or stale else []
+            listing.folders = [f for f in listing.folders if f not in stale] + rewritten
+        else:
+            listing.folders = written
         listing.schema = schema.json()
         if writer is not None:
             listing.applied[writer] = batch
         self._publish(listing)
-        return rows
+        return sum(r["__rows"] for r in arrived.values())
 
     def overwrite(self, df: DataFrame) -> None:
         """Publish exactly these rows."""
@@ -319,5 +319,9 @@ class AppendTable(_StoredTable):
         return "~" if day.startswith("__") else day
 
 
+def _storable(value: Any) -> Any:
+    return value.isoformat(timespec="microseconds") if isinstance(value, datetime) else value
+
+
 def _types(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema.fields}
