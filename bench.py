@@ -25,7 +25,7 @@ HEADLINE = [
     "surrogate_key_stability",
     "unknown_member",
     "latest_per_key",
-    "latest_per_key_by_max",
+    "latest_per_key_by_rank",
     "source_equipment_view",
     "source_farm_view",
     "source_front_view",

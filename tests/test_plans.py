@@ -33,8 +33,11 @@ def test_bounds_reach_the_scan(spark, folder, name, column):
 
 
 def test_latest_row_is_ranked_before_the_shuffle(spark, folder):
-    text = plan(REGISTRY["latest_per_key"].run(spark, folder))
+    text = plan(REGISTRY["latest_per_key_by_rank"].run(spark, folder))
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange hashpartitioning") == 1
+    text = plan(REGISTRY["latest_per_key"].run(spark, folder))
+    assert "Window" not in text and text.count("Exchange hashpartitioning") == 1
+    assert "partial_max" in text
 
 
 @pytest.mark.parametrize("name", ["q_equality", "q_cardinality_equality", "q_equal_rowcount", "q_fewer_rows_than"])

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.skew import HOT_ROWS, hot_groups
-
 COARSE = 64
 FINE = 64
 
@@ -45,57 +43,35 @@ def _block(position: Column, cuts: list[float]) -> Column:
     return stretch.otherwise(F.lit(-1)).cast("int")
 
 
-def with_neighbours(
-    df: DataFrame,
-    group: Sequence[str],
-    value: str,
-    floor: int = HOT_ROWS,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``previous_value``, ``next_value`` and ``has_next``; nulls sort last.
+def can_spread(df: DataFrame, value: str) -> bool:
+    """Whether values of this type can be cut into stretches."""
+    return _position(df, value) is not None
+
+
+def with_neighbours(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Add ``previous_value``, ``next_value`` and ``has_next`` in large groups.
 
-    ``df`` holds each value once per group. A group below ``floor`` rows is sorted in one
-    task. The larger ones are cut into stretches of the value range that are sorted
-    apart, and only the first and last row of each stretch meet again to connect them.
-    ``sized_by`` may name rows that are cheaper to count and at least as many per group.
+    ``df`` holds each value once per group; nulls sort last. The value range is cut into
+    stretches that are sorted apart, and only the first and last row of each stretch
+    meet again to connect them, so no task sees a whole group.
     """
-    hot = hot_groups(df if sized_by is None else sized_by, group, floor)
     grouping = list(group)
     if not grouping:
         df = df.withColumn("__all", F.lit(0))
         grouping = ["__all"]
     position = _position(df, value)
-    rising = F.col(value).asc_nulls_last()
-
-    def linked(rows: DataFrame, window) -> DataFrame:
-        return rows.withColumns(
-            {
-                "previous_value": F.lag(value).over(window),
-                "next_value": F.lead(value).over(window),
-                "has_next": F.lead(F.lit(1)).over(window).isNotNull(),
-            }
-        )
-
-    whole_group = Window.partitionBy(*grouping).orderBy(rising)
-    if not hot or position is None:
-        return linked(df, whole_group).drop("__all")
-
-    spread_rows, other_rows = df, None
-    if group:
-        schema = df.select(*grouping).schema
-        # At most MOST_HOT_GROUPS rows, so broadcasting them is safe.
-        large = F.broadcast(
-            df.sparkSession.createDataFrame([tuple(r[g] for g in grouping) for r in hot], schema)
-        ).alias("h")
-        same = [F.col(f"l.{g}").eqNullSafe(F.col(f"h.{g}")) for g in grouping]
-        spread_rows = df.alias("l").join(large, same, "left_semi")
-        other_rows = df.alias("l").join(large, same, "left_anti")
-
     shares = [i / COARSE for i in range(COARSE + 1)]
-    cuts = spread_rows.select(F.percentile_approx(position, shares, 10_000)).first()[0] or [0.0, 0.0]
-    blocked = spread_rows.withColumn("__block", _block(position, [float(c) for c in cuts]))
+    cuts = df.select(F.percentile_approx(position, shares, 10_000)).first()[0] or [0.0, 0.0]
+    rising = F.col(value).asc_nulls_last()
     stretch = Window.partitionBy(*grouping, "__block").orderBy(rising)
-    marked = linked(blocked, stretch).withColumn("__first", F.row_number().over(stretch) == 1)
+    marked = df.withColumn("__block", _block(position, [float(c) for c in cuts])).withColumns(
+        {
+            "previous_value": F.lag(value).over(stretch),
+            "next_value": F.lead(value).over(stretch),
+            "has_next": F.lead(F.lit(1)).over(stretch).isNotNull(),
+            "__first": F.row_number().over(stretch) == 1,
+        }
+    )
     edge = F.col("__first") | ~F.col("has_next")
     # Two rows per stretch, and a group has a fixed number of stretches.
     across = Window.partitionBy(*grouping).orderBy("__block", rising)
@@ -106,17 +82,15 @@ def with_neighbours(
             "__more": F.lead(F.lit(1)).over(across).isNotNull(),
         }
     )
+    before = F.when(F.col("__first"), F.col("__before")).otherwise(F.col("previous_value"))
+    after = F.when(F.col("has_next"), F.col("next_value")).otherwise(F.col("__after"))
     joined = ends.select(
         *df.columns,
-        F.when(F.col("__first"), F.col("__before")).otherwise(F.col("previous_value")).alias("previous_value"),
-        F.when(F.col("has_next"), F.col("next_value")).otherwise(F.col("__after")).alias("next_value"),
+        before.alias("previous_value"),
+        after.alias("next_value"),
         (F.col("has_next") | F.col("__more")).alias("has_next"),
     )
-    columns = joined.columns
-    result = joined.unionByName(marked.filter(~edge).select(*columns))
-    if other_rows is not None:
-        result = result.unionByName(linked(other_rows, whole_group).select(*columns))
-    return result.drop("__all")
+    return joined.unionByName(marked.filter(~edge).select(*joined.columns)).drop("__all")
 
 
 def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 MOST_HOT_GROUPS = 1000
-HOT_ROWS = 2_000_000
+HOT_ROWS = 10_000_000
 
 
 def hot_groups(
@@ -22,3 +22,17 @@ def hot_groups(
     """
     counts = df.groupBy(*group).agg(F.count("*").alias("n_rows"))
     return counts.filter(F.col("n_rows") >= floor).orderBy(F.col("n_rows").desc()).limit(most).collect()
+
+
+def split_hot(
+    df: DataFrame, group: Sequence[str], hot: Sequence[Row]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the hot groups and all other rows; null counts as a value of the group."""
+    schema = df.select(*group).schema
+    # At most MOST_HOT_GROUPS rows, so broadcasting them is safe.
+    listed = F.broadcast(
+        df.sparkSession.createDataFrame([tuple(r[g] for g in group) for r in hot], schema)
+    ).alias("h")
+    rows = df.alias("l")
+    same = [F.col(f"l.{g}").eqNullSafe(F.col(f"h.{g}")) for g in group]
+    return rows.join(listed, same, "left_semi"), rows.join(listed, same, "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.entities import CLIENT
 from tidemark.operators.keys import highest_key
-from tidemark.operators.latest import deduplicate, latest_by_aggregate, latest_source_row
+from tidemark.operators.latest import deduplicate, latest_source_row
 from tidemark.operators.merge import upsert
 from tidemark.plans.current_state import (
     landing_changes,
@@ -266,9 +266,9 @@ def latest_per_key(t: Tables) -> DataFrame:
     return latest_source_row(t.lineitem, ["l_partkey"], "l_shipdate")
 
 
-@query("latest_per_key_by_max", _LATEST_LINE)
-def latest_per_key_by_max(t: Tables) -> DataFrame:
-    return latest_by_aggregate(t.lineitem, ["l_partkey"], "l_shipdate")
+@query("latest_per_key_by_rank", _LATEST_LINE)
+def latest_per_key_by_rank(t: Tables) -> DataFrame:
+    return deduplicate(t.lineitem, ["l_partkey"], [F.col("l_shipdate").desc_nulls_last()])
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import three_state
-from tidemark.operators.latest import deduplicate, latest_source_row
+from tidemark.operators.latest import any_row, latest_source_row
 from tidemark.operators.lookups import enrich, latest_time, product_within
 from tidemark.spec import TIME_SENTINEL, UNDEFINED, UNKNOWN_KEY
 
@@ -41,7 +41,7 @@ def _or_undefined(name: str, length: int = 1000):
 def client_view(clients: DataFrame) -> DataFrame:
     """The source has no update time; a constant keeps the contract."""
     base = clients.select("cd_id", "nome", "owner", "server", "fg_ativo")
-    return deduplicate(base, ["cd_id"], []).select(
+    return any_row(base, ["cd_id"]).select(
         _number("cd_id").alias("id_cliente"),
         _cut(F.upper("nome"), 255).alias("nome_cliente"),
         _cut(F.upper("owner"), 255).alias("owner_cliente"),
