@@ -167,5 +167,33 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         class sparkContext:
             master = "yarn"
 
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
     with pytest.raises(ValueError):
         session.shared_folder(Fake())
+
+
+def test_parts_follow_the_size_of_the_input(spark, folder, monkeypatch):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    assert tables.input_bytes(lines) > 0
+    assert tables.input_bytes(spark.createDataFrame([(1,)], "k int").repartition(2)) < 1 << 60
+    monkeypatch.setattr(tables, "PART_BYTES", tables.input_bytes(lines) // 20)
+    sized = KeyedTable(spark, work_folder(spark, "sized"), ["l_orderkey", "l_linenumber"])
+    sized.merge(lines.dropDuplicates(["l_orderkey", "l_linenumber"]))
+    assert sized.listing().parts == 20
+
+
+def test_a_local_session_without_the_setting_gets_a_folder(spark):
+    from tidemark import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Local:
+        conf = Conf()
+        sparkContext = spark.sparkContext
+
+    assert session.shared_folder(Local()) == session.shared_folder(Local())

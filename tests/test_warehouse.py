@@ -332,3 +332,58 @@ def test_stream_merges_each_file_and_skips_replays(spark):
     assert merge_current_state(
         E.STATE, states(spark, ("Z", "z", T0)), table, T0, last, writer="landing"
     ).rows == 0
+
+
+def client_landing(spark, *ids):
+    schema = struct_type(
+        {
+            "id_cliente": "bigint", "nome_cliente": "string", "owner_cliente": "string",
+            "server_cliente": "string", "fg_ativo": "boolean",
+            "source_updated_at": "timestamp_ntz", "_airbyte_extracted_at": "timestamp_ntz",
+        }
+    )
+    return spark.createDataFrame([(i, f"n{i}", "o", "s", True, T0, T0) for i in ids], schema)
+
+
+def test_client_dimension_drops_key_minus_one(spark):
+    wh = Warehouse(spark, work_folder(spark, "wh"))
+    run_domain(wh, [E.CLIENT], {E.CLIENT.name: client_landing(spark, -1, 1, 2)}, T0, "b1")
+    rows = as_map(wh.dimension(E.CLIENT).read(), "id_cliente", "nome_cliente")
+    assert rows == {1: ("N1",), 2: ("N2",)}
+
+
+def test_entities_load_side_by_side_and_serve_sql(spark):
+    wh = Warehouse(spark, work_folder(spark, "wh"))
+    arrivals = {
+        E.CLIENT.name: client_landing(spark, 1, 2, 3),
+        E.STATE.name: states(spark, ("A", "x", T0)),
+    }
+    specs = [E.CLIENT, E.STATE, E.FARM]
+    result = run_domain(wh, specs, arrivals, T0, "b1")
+    assert result["status"] == "SUCCESS" and result["entities"][E.FARM.name]["merged"] == 0
+    assert wh.control.watermarks().filter("last_run_status = 'SUCCESS'").count() == 2
+    wh.create_views(specs)
+    joined = spark.sql(
+        "select count(*) from dim_sx_cliente_d cross join stg_ds__sx_estado_d"
+        " cross join (select * from vw_pipeline_run_status where batch_id is not null)"
+    )
+    assert joined.first()[0] == 3
+
+
+def test_one_failing_entity_leaves_the_others_committed(spark):
+    wh = Warehouse(spark, work_folder(spark, "wh"))
+    bad = states(spark, ("A", "x", T0)).withColumn("source_updated_at", F.lit("no time"))
+    arrivals = {E.CLIENT.name: client_landing(spark, 1), E.STATE.name: bad}
+    result = run_domain(wh, [E.CLIENT, E.STATE], arrivals, T0, "b1")
+    assert set(result["errors"]) == {E.STATE.name}
+    states_found = as_map(wh.control.watermarks(), "pipeline_name", "last_run_status")
+    assert states_found == {"dim_sx_cliente_d": ("SUCCESS",), "dim_sx_estado_d": ("FAILED",)}
+    assert wh.landing(E.CLIENT).rows() == 1 and wh.landing(E.STATE).rows() == 1
+
+
+def test_merge_into_needs_a_table_with_row_level_updates(spark):
+    from tidemark.operators.merge import merge_into
+
+    spark.range(3).selectExpr("id as k", "id as v").createOrReplaceTempView("plain_target")
+    with pytest.raises(Exception, match="(?i)merge|unsupported|not supported"):
+        merge_into("plain_target", spark.range(2).selectExpr("id as k", "id as v"), ["k"])

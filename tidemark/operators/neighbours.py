@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,8 +13,11 @@ COARSE = 64
 FINE = 64
 
 
-def _position(df: DataFrame, value: str) -> Column | None:
-    """A number that never falls as the value rises, or None for other types."""
+def _position(df: DataFrame, value: str, skip: int = 0) -> Column | None:
+    """A number that never falls as the value rises, or None for other types.
+
+    ``skip`` leading bytes of a text are the same everywhere and are left out.
+    """
     kind = df.schema[value].dataType
     c = F.col(value)
     if isinstance(kind, T.NumericType):
@@ -24,11 +28,19 @@ def _position(df: DataFrame, value: str) -> Column | None:
         seconds = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
         return F.unix_date(c.cast("date")).cast("double") * 86400 + seconds
     if isinstance(kind, T.StringType):
-        lead = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
+        lead = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), skip + 1, 6)), 12, "0")
         return F.conv(lead, 16, 10).cast("double")
     return None
 
 
+def _shared_bytes(df: DataFrame, value: str) -> int:
+    """How many leading bytes all texts share: those of the smallest and largest one."""
+    if not isinstance(df.schema[value].dataType, T.StringType):
+        return 0
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    return len(os.path.commonprefix([(low or "").encode(), (high or "").encode()]))
+
+
 def _block(position: Column, cuts: list[float]) -> Column:
     """Stretch number of a position: equal-row cuts, each split into equal-width pieces."""
     stretch = F.when(position.isNull(), F.lit(len(cuts) * (FINE + 2)))
@@ -59,7 +71,7 @@ def with_neighbours(df: DataFrame, group: Sequence[str], value: str) -> DataFram
     if not grouping:
         df = df.withColumn("__all", F.lit(0))
         grouping = ["__all"]
-    position = _position(df, value)
+    position = _position(df, value, _shared_bytes(df, value))
     shares = [i / COARSE for i in range(COARSE + 1)]
     cuts = df.select(F.percentile_approx(position, shares, 10_000)).first()[0] or [0.0, 0.0]
     rising = F.col(value).asc_nulls_last()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import Any
@@ -156,6 +157,8 @@ class Control:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
+        # Entities may load side by side; a log takes one writer at a time.
+        self._writing = threading.Lock()
         self.audit_log = AppendTable(spark, f"{root}/load_audit", "event_time")
         self.batch_log = AppendTable(spark, f"{root}/batch_execution", "updated_at")
         self.watermark_log = AppendTable(spark, f"{root}/pipeline_watermark", "updated_at")
@@ -183,11 +186,13 @@ class Control:
             {**defaults, **({} if r["status"] == STARTED else {"ended_at": run_ts}), **r}
             for r in rows
         ]
-        self.audit_log.append_rows(filled, AUDIT_SCHEMA, "audit_event_id")
+        with self._writing:
+            self.audit_log.append_rows(filled, AUDIT_SCHEMA, "audit_event_id")
 
     def batch_events(self, rows: Sequence[Mapping[str, Any]], run_ts: datetime) -> None:
         filled = [{"created_at": run_ts, "updated_at": run_ts, **r} for r in rows]
-        self.batch_log.append_rows(filled, _log_schema(BATCH_SCHEMA), "event_no")
+        with self._writing:
+            self.batch_log.append_rows(filled, _log_schema(BATCH_SCHEMA), "event_no")
 
     def batch_start(self, run_ts: datetime, **row: Any) -> None:
         self.batch_events([{"kind": "START", "status": RUNNING, "started_at": run_ts, **row}], run_ts)
@@ -210,7 +215,8 @@ class Control:
 
     def watermark_events(self, rows: Sequence[Mapping[str, Any]], run_ts: datetime) -> None:
         filled = [{"updated_at": run_ts, **r} for r in rows]
-        self.watermark_log.append_rows(filled, _log_schema(WATERMARK_SCHEMA), "event_no")
+        with self._writing:
+            self.watermark_log.append_rows(filled, _log_schema(WATERMARK_SCHEMA), "event_no")
 
     def mark_running(self, pipelines: Sequence[str], batch_id: str, run_ts: datetime) -> None:
         base = {"kind": RUNNING, "last_run_status": RUNNING, "last_run_batch_id": batch_id}

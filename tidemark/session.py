@@ -46,12 +46,13 @@ def shared_folder(spark: SparkSession) -> str:
     cluster a missing setting is an error: a machine-local folder would lose data
     with the machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

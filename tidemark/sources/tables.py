@@ -125,6 +125,10 @@ class _StoredTable:
         return [f"{run}/{n}" for n in found if n.startswith(f"{name}=")]
 
 
+# A part of a keyed table aims at this size, within these numbers of parts.
+PART_BYTES = 256 * 1024 * 1024
+FEWEST_PARTS, MOST_PARTS = 8, 8192
+
 # Up to this many keys are sent to every task, which is some ten megabytes.
 FEW_KEYS = 200_000
 
@@ -132,8 +136,8 @@ FEW_KEYS = 200_000
 class KeyedTable(_StoredTable):
     """One row per key, spread over hash parts so that a merge rewrites few of them.
 
-    ``parts`` counts when the table is first written; by default there are as many as
-    shuffle partitions.
+    ``parts`` counts when the table is first written; by default it follows the size of
+    the data behind that write.
     """
 
     def __init__(
@@ -141,11 +145,15 @@ class KeyedTable(_StoredTable):
     ):
         super().__init__(spark, root)
         self.keys = list(keys)
-        self._wanted_parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._wanted_parts = parts
+
+    def _fix_parts(self, listing: Listing, df: DataFrame) -> None:
+        if not listing.parts:
+            by_size = min(max(input_bytes(df) // PART_BYTES, FEWEST_PARTS), MOST_PARTS)
+            listing.parts = self._wanted_parts or by_size
 
     def _part(self, listing: Listing) -> Column:
-        parts = F.lit(listing.parts or self._wanted_parts)
-        return F.pmod(F.xxhash64(*self.keys), parts).cast("string")
+        return F.pmod(F.xxhash64(*self.keys), F.lit(listing.parts)).cast("string")
 
     @staticmethod
     def _part_of(folder: str) -> str:
@@ -188,7 +196,7 @@ class KeyedTable(_StoredTable):
         listing = self.listing()
         if writer is not None and listing.applied.get(writer) == batch:
             return 0
-        listing.parts = listing.parts or self._wanted_parts
+        self._fix_parts(listing, changes)
         schema = changes.schema
         part = self._part(listing)
         # Written once, so that the parts they touch are known before any is rewritten
@@ -228,7 +236,7 @@ class KeyedTable(_StoredTable):
     def overwrite(self, df: DataFrame) -> None:
         """Publish exactly these rows."""
         listing = self.listing()
-        listing.parts = listing.parts or self._wanted_parts
+        self._fix_parts(listing, df)
         listing.folders = self._write_split(df, self._part(listing), PART)
         listing.schema = df.schema.json()
         self._publish(listing)
@@ -319,6 +327,14 @@ class AppendTable(_StoredTable):
         return "~" if day.startswith("__") else day
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files and tables a query reads, as far as Spark knows it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    # Data without a known size reports an enormous one.
+    return sum(s for s in sizes if s < 1 << 60)
+
+
 def _storable(value: Any) -> Any:
     return value.isoformat(timespec="microseconds") if isinstance(value, datetime) else value
 
