@@ -300,9 +300,8 @@ def run_status(batches: DataFrame, watermarks: DataFrame, audit: DataFrame) -> D
         [F.coalesce("started_at", "updated_at").desc_nulls_first()],
     ).alias("b")
     w = watermarks.alias("w")
-    # Only the events of the batches that are reported get summarised.
-    reported = audit.join(latest.select("batch_id"), "batch_id", "left_semi")
-    summary = audit_summary(reported).alias("a")
+    # Summing up first and joining after keeps the events of a large batch apart.
+    summary = audit_summary(audit).alias("a")
     floor = F.lit(TIME_SENTINEL).cast("timestamp_ntz")
     return (
         w.join(latest, F.col("w.pipeline_name") == F.col("b.pipeline_name"), "full_outer")

@@ -333,11 +333,11 @@ def failed_attribution(t: Tables) -> DataFrame:
 
 
 @query(
-    "models_to_pipelines",
+    "models_to_dimensions",
     """
 SELECT p_partkey, CASE WHEN p_size < 15 THEN 'dim_' || p_brand WHEN p_size < 30 THEN 'dim_' || p_type WHEN p_size < 40 THEN 'dim_' || p_brand END AS pipeline_name FROM part""",
 )
-def models_to_pipelines(t: Tables) -> DataFrame:
+def models_to_dimensions(t: Tables) -> DataFrame:
     size = F.col("p_size")
     model = (
         F.when(size < 15, F.concat(F.lit(" dim_"), "p_brand"))

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where the split costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Group and rank by all keys, not by the part of them a join happened to shuffle on.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
 }
 
 

@@ -221,7 +221,10 @@ class KeyedTable(_StoredTable):
             retyped = any(_types(schema).get(n, t) != t for n, t in _types(previous).items())
             stale = [f for f in listing.folders if retyped or self._part_of(f) in arrived]
             old = align(self._read_folders(sorted(stale), previous), schema)
-            kept = old.join(fresh.select(*self.keys), self.keys, "left_anti")
+            replaced = fresh.select(*self.keys)
+            if sum(r["__rows"] for r in arrived.values()) <= FEW_KEYS:
+                replaced = F.broadcast(replaced)
+            kept = old.join(replaced, self.keys, "left_anti")
             merged = kept.unionByName(fresh)
             rewritten = self._write_split(merged, part, PART) if arrived or stale else []
             listing.folders = [f for f in listing.folders if f not in stale] + rewritten
