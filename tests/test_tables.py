@@ -101,6 +101,7 @@ def test_a_second_writer_is_refused(spark, table):
 @pytest.mark.parametrize("few", [0, 1000])
 def test_matching_holds_all_rows_with_arriving_keys(spark, table, few, monkeypatch):
     monkeypatch.setattr(tables, "FEW_KEYS", few)
+    monkeypatch.setattr(tables, "SMALL_TABLE_BYTES", 0)
     table.merge(numbers(spark, 0, 100, v="a"))
     wanted = numbers(spark, 40, 42)
     found = table.matching(wanted)
@@ -182,7 +183,20 @@ def test_parts_follow_the_size_of_the_input(spark, folder, monkeypatch):
     monkeypatch.setattr(tables, "PART_BYTES", tables.input_bytes(lines) // 20)
     sized = KeyedTable(spark, work_folder(spark, "sized"), ["l_orderkey", "l_linenumber"])
     sized.merge(lines.dropDuplicates(["l_orderkey", "l_linenumber"]))
-    assert sized.listing().parts == 20
+    assert sized.listing().parts == 21
+
+
+def test_an_outgrown_table_is_split_again(spark, monkeypatch):
+    grown = KeyedTable(spark, work_folder(spark, "grown"), ["k"])
+    grown.merge(numbers(spark, 0, 1000, v="a"))
+    assert grown.listing().parts == 1
+    size = sum(grown.listing().folders.values())
+    monkeypatch.setattr(tables, "PART_BYTES", size // 10)
+    grown.merge(numbers(spark, 990, 1010, v="b"))
+    assert grown.listing().parts == 11 and len(grown.listing().folders) == 11
+    assert rows(grown.read().groupBy("v").count()) == [("a", 990), ("b", 20)]
+    grown.merge(numbers(spark, 5, 6, v="c"))
+    assert grown.listing().parts == 11 and grown.rows() == 1010
 
 
 def test_a_local_session_without_the_setting_gets_a_folder(spark):

@@ -10,7 +10,8 @@ from tidemark.operators.lookups import enrich, latest_time
 from tidemark.plans.monitor import active_keys
 from tidemark.queries.registry import RUN_1, Tables, query
 from tidemark.sources import views
-from tidemark.sources.readers import changed_since, pruned
+from tidemark.session import work_folder
+from tidemark.sources.readers import changed_since, pruned, read_seed
 
 
 def _bigints(df: DataFrame, *names: str) -> DataFrame:
@@ -292,6 +293,31 @@ def extract_by_cursor(t: Tables) -> DataFrame:
     return changed_since(pruned(t.events, ["event_id", "ts", "value"]), "ts", RUN_1)
 
 
+@query(
+    "seed_from_csv",
+    """
+SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus, o_totalprice, o_orderdate,
+  CASE WHEN o_totalprice >= 50000 THEN o_custkey END AS o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders""",
+)
+def seed_from_csv(t: Tables) -> DataFrame:
+    """Orders written as CSV files and read back with declared types; blanks are null."""
+    path = work_folder(t.spark, "seed")
+    t.orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("o_orderstatus"),
+        "o_totalprice",
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"),
+        F.when(F.col("o_totalprice") >= 50000, F.col("o_custkey")).alias("o_custkey"),
+        F.col("o_orderdate").cast("date").alias("day"),
+    ).write.csv(path, header=True)
+    return read_seed(
+        t.spark,
+        path,
+        "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+        " o_custkey bigint, day date",
+    )
+
+
 @query(
     "active_keys",
     """SELECT DISTINCT l_suppkey FROM lineitem WHERE upper(l_returnflag) IN ('1', 'TRUE', 'T', 'ATIVO', 'A') ORDER BY 1""",

@@ -29,13 +29,13 @@ PART = "_part"
 class Listing:
     version: int = 0
     schema: str | None = None
-    # Folders in force, below the table root.
-    folders: list[str] = field(default_factory=list)
+    # Folders in force, below the table root, with their size in bytes.
+    folders: dict[str, int] = field(default_factory=dict)
     # Writer name -> last batch it has published.
     applied: dict[str, str] = field(default_factory=dict)
     # Last id handed out to appended rows.
     serial: int = 0
-    # Number of hash parts, fixed when a keyed table is first written.
+    # Number of hash parts of a keyed table.
     parts: int = 0
     # Largest values seen by the writers, under the names they chose.
     highest: dict[str, Any] = field(default_factory=dict)
@@ -110,24 +110,33 @@ class _StoredTable:
         if not listing.folders:
             return 0
         removed = self.rows()
-        listing.folders = []
+        listing.folders = {}
         self._publish(listing)
         return removed
 
-    def _write_split(self, df: DataFrame, by: Column, name: str) -> list[str]:
-        """Write ``df`` in one folder per value of ``by``; returns the folders."""
+    def _write_split(self, df: DataFrame, by: Column, name: str) -> dict[str, int]:
+        """Write ``df`` in one folder per value of ``by``; returns the folders and sizes."""
         run = f"data/{uuid.uuid4().hex[:16]}"
         # Adaptive rebalancing sizes the files and splits a value that holds many rows.
         split = df.withColumn(name, by).hint("rebalance", F.col(name))
         split.write.partitionBy(name).parquet(f"{self.root}/{run}")
         path, fs = self._hadoop_path(run)
-        found = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-        return [f"{run}/{n}" for n in found if n.startswith(f"{name}=")]
+        found = [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+        return {
+            f"{run}/{p.getName()}": fs.getContentSummary(p).getLength()
+            for p in found
+            if p.getName().startswith(f"{name}=")
+        }
 
 
-# A part of a keyed table aims at this size, within these numbers of parts.
+# A part of a keyed table aims at this size; a table that outgrows its parts several
+# times over is split again.
 PART_BYTES = 256 * 1024 * 1024
-FEWEST_PARTS, MOST_PARTS = 8, 8192
+MOST_PARTS = 8192
+OUTGROWN = 4
+
+# A table up to this size is read whole.
+SMALL_TABLE_BYTES = 64 * 1024 * 1024
 
 # Up to this many keys are sent to every task, which is some ten megabytes.
 FEW_KEYS = 200_000
@@ -136,8 +145,8 @@ FEW_KEYS = 200_000
 class KeyedTable(_StoredTable):
     """One row per key, spread over hash parts so that a merge rewrites few of them.
 
-    ``parts`` counts when the table is first written; by default it follows the size of
-    the data behind that write.
+    The number of parts follows the size of the table, unless ``parts`` sets it before
+    the first write.
     """
 
     def __init__(
@@ -147,10 +156,16 @@ class KeyedTable(_StoredTable):
         self.keys = list(keys)
         self._wanted_parts = parts
 
-    def _fix_parts(self, listing: Listing, df: DataFrame) -> None:
+    def _fix_parts(self, listing: Listing, df: DataFrame) -> bool:
+        """Settle the number of parts; true if the stored rows have to move to new ones."""
+        size = sum(listing.folders.values())
         if not listing.parts:
-            by_size = min(max(input_bytes(df) // PART_BYTES, FEWEST_PARTS), MOST_PARTS)
+            by_size = min(input_bytes(df) // PART_BYTES + 1, MOST_PARTS)
             listing.parts = self._wanted_parts or by_size
+        elif size > OUTGROWN * PART_BYTES * listing.parts and listing.parts < MOST_PARTS:
+            listing.parts = min(size // PART_BYTES + 1, MOST_PARTS)
+            return True
+        return False
 
     def _part(self, listing: Listing) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(listing.parts)).cast("string")
@@ -166,6 +181,8 @@ class KeyedTable(_StoredTable):
         every task, so the stored rows are reduced before any shuffle.
         """
         listing = self.listing()
+        if sum(listing.folders.values()) <= SMALL_TABLE_BYTES:
+            return self.read()
         part = self._part(listing).alias(PART)
         counts = {r[0]: r[1] for r in arriving.groupBy(part).count().collect()}
         folders = [f for f in listing.folders if self._part_of(f) in counts]
@@ -196,17 +213,18 @@ class KeyedTable(_StoredTable):
         listing = self.listing()
         if writer is not None and listing.applied.get(writer) == batch:
             return 0
-        self._fix_parts(listing, changes)
+        resplit = self._fix_parts(listing, changes)
         schema = changes.schema
         part = self._part(listing)
         # Written once, so that the parts they touch are known before any is rewritten
         # and a lost executor does not repeat the work behind them.
         if listing.folders:
-            written = [f"data/{uuid.uuid4().hex[:16]}"]
-            changes.write.parquet(f"{self.root}/{written[0]}")
+            staged = f"data/{uuid.uuid4().hex[:16]}"
+            changes.write.parquet(f"{self.root}/{staged}")
+            written = {staged: 0}
         else:
             written = self._write_split(changes, part, PART)
-        fresh = self._read_folders(written, schema)
+        fresh = self._read_folders(list(written), schema)
         aggregates = [c.alias(n) for n, c in (highest or {}).items()]
         touched = fresh.groupBy(part.alias(PART)).agg(F.count("*").alias("__rows"), *aggregates)
         arrived = {r[PART]: r.asDict() for r in touched.collect()}
@@ -219,15 +237,16 @@ class KeyedTable(_StoredTable):
             previous = T.StructType.fromJson(json.loads(listing.schema))
             # A column that changed its type forces all parts to be written again.
             retyped = any(_types(schema).get(n, t) != t for n, t in _types(previous).items())
-            stale = [f for f in listing.folders if retyped or self._part_of(f) in arrived]
+            everything = retyped or resplit
+            stale = [f for f in listing.folders if everything or self._part_of(f) in arrived]
             old = align(self._read_folders(sorted(stale), previous), schema)
             replaced = fresh.select(*self.keys)
             if sum(r["__rows"] for r in arrived.values()) <= FEW_KEYS:
                 replaced = F.broadcast(replaced)
             kept = old.join(replaced, self.keys, "left_anti")
             merged = kept.unionByName(fresh)
-            rewritten = self._write_split(merged, part, PART) if arrived or stale else []
-            listing.folders = [f for f in listing.folders if f not in stale] + rewritten
+            rewritten = self._write_split(merged, part, PART) if arrived or stale else {}
+            listing.folders = _without(listing.folders, stale) | rewritten
         else:
             listing.folders = written
         listing.schema = schema.json()
@@ -256,8 +275,8 @@ class KeyedTable(_StoredTable):
         stale = [f for f in listing.folders if self._part_of(f) in removed]
         rows = self._read_folders(sorted(stale), self.schema())
         kept = rows.filter(~condition | condition.isNull())
-        listing.folders = [f for f in listing.folders if f not in stale]
-        listing.folders += self._write_split(kept, self._part(listing), PART)
+        rewritten = self._write_split(kept, self._part(listing), PART)
+        listing.folders = _without(listing.folders, stale) | rewritten
         self._publish(listing)
         return sum(removed.values())
 
@@ -271,8 +290,10 @@ class AppendTable(_StoredTable):
         super().__init__(spark, root)
         self.day_column = day_column
 
-    def _publish_more(self, listing: Listing, folders: list[str], schema: T.StructType) -> None:
-        listing.folders += folders
+    def _publish_more(
+        self, listing: Listing, folders: dict[str, int], schema: T.StructType
+    ) -> None:
+        listing.folders |= folders
         listing.schema = schema.json()
         self._publish(listing)
 
@@ -280,7 +301,7 @@ class AppendTable(_StoredTable):
         day = F.col(self.day_column).cast("date").cast("string")
         fresh = self._write_split(df, day, self.DAY)
         self._publish_more(self.listing(), fresh, df.schema)
-        return self._read_folders(fresh, df.schema).count()
+        return self._read_folders(list(fresh), df.schema).count()
 
     def append_rows(
         self,
@@ -303,12 +324,12 @@ class AppendTable(_StoredTable):
         table = pa.Table.from_pylist(data, schema=to_arrow_schema(schema))
         self.spark.createDataFrame(table, schema).coalesce(1).write.parquet(f"{self.root}/{folder}")
         listing.serial += len(rows)
-        self._publish_more(listing, [folder], schema)
+        self._publish_more(listing, {folder: 0}, schema)
 
     def overwrite(self, df: DataFrame) -> None:
         """Publish exactly these rows; ids go on from where they were."""
         listing = self.listing()
-        listing.folders = []
+        listing.folders = {}
         day = F.col(self.day_column).cast("date").cast("string")
         self._publish_more(listing, self._write_split(df, day, self.DAY), df.schema)
 
@@ -319,7 +340,7 @@ class AppendTable(_StoredTable):
         if not old:
             return 0
         removed = self._read_folders(sorted(old), self.schema()).count()
-        listing.folders = [f for f in listing.folders if f not in old]
+        listing.folders = _without(listing.folders, old)
         self._publish(listing)
         return removed
 
@@ -330,6 +351,10 @@ class AppendTable(_StoredTable):
         return "~" if day.startswith("__") else day
 
 
+def _without(folders: dict[str, int], gone: Sequence[str]) -> dict[str, int]:
+    return {f: size for f, size in folders.items() if f not in set(gone)}
+
+
 def input_bytes(df: DataFrame) -> int:
     """Size of the files and tables a query reads, as far as Spark knows it."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
