@@ -168,3 +168,28 @@ def test_sync_logs(spark):
         "text": (6, "records_extracted"),
         "silent": (None, None),
     }
+
+
+def test_sync_payload_spellings(spark):
+    wrapped = {
+        "job": {
+            "attempts": [
+                {
+                    "attempt": {
+                        "status": "Succeeded",
+                        "stream_stats": [
+                            {"streamDescriptor": {"name": "a"}, "stats": {"records_synced": 2, "recordsEmitted": 9}},
+                            {"stream_name": "b", "stats": {}},
+                            {"streamName": "c", "stats": {"recordsLoaded": 5}},
+                        ],
+                    }
+                },
+                {"status": "running"},
+            ]
+        }
+    }
+    payloads = frame(spark, "batch string, payload string", ("w", json.dumps(wrapped)), ("e", "{}"))
+    rows = {r["batch"]: r for r in L.payload_stats(payloads, "batch", "payload").collect()}
+    assert rows["w"]["stream_stats_summary"] == "a=2, c=5"
+    assert rows["w"]["rows_stream_stats_total"] == 14 and not rows["w"]["has_totals"]
+    assert rows["e"]["stream_stats_summary"] is None and rows["e"]["rows_stream_stats_total"] is None

@@ -211,3 +211,23 @@ def test_a_local_session_without_the_setting_gets_a_folder(spark):
         sparkContext = spark.sparkContext
 
     assert session.shared_folder(Local()) == session.shared_folder(Local())
+
+
+def test_vacuum_keeps_what_is_in_force(spark, table):
+    for text in "abc":
+        table.merge(numbers(spark, 0, 20, v=text))
+    assert table.vacuum(datetime(2000, 1, 1)) == 0
+    assert table.vacuum(datetime(2100, 1, 1)) > 0
+    assert rows(table.read().groupBy("v").count()) == [("c", 20)]
+    assert table.vacuum(datetime(2100, 1, 1)) == 0
+
+
+def test_old_listings_are_dropped(spark, table, monkeypatch):
+    import os
+
+    monkeypatch.setattr(tables, "KEPT_LISTINGS", 2)
+    for text in "abcd":
+        table.merge(numbers(spark, 0, 2, v=text))
+    names = [n for n in os.listdir(f"{table.root}/_published") if n.endswith(".json") and n[0] != "."]
+    assert sorted(names) == ["0000000003.json", "0000000004.json"]
+    assert rows(table.read().select("v").distinct()) == [("d",)]

@@ -11,10 +11,18 @@ from tidemark import entities as E
 from tidemark.operators.checks import entity_checks, run_checks
 from tidemark.operators.keys import allocate_missing_keys, highest_key
 from tidemark.plans.control import Control, fold_events, run_status
-from tidemark.plans.current_state import merge_current_state
+from tidemark.plans.current_state import extract, merge_current_state
 from tidemark.plans.dimension import dimension_watermark, load_dimension, unknown_member
 from tidemark.plans.domain import Warehouse, run_domain
-from tidemark.plans.monitor import active_keys, expectations, freshness, missing_success, stalled
+from tidemark.plans.monitor import (
+    active_keys,
+    default_expectations,
+    default_thresholds,
+    expectations,
+    freshness,
+    missing_success,
+    stalled,
+)
 from tidemark.plans.retention import purge_control, purge_current_state
 from tidemark.session import work_folder
 from tidemark.sources.tables import KeyedTable
@@ -387,3 +395,41 @@ def test_merge_into_needs_a_table_with_row_level_updates(spark):
     spark.range(3).selectExpr("id as k", "id as v").createOrReplaceTempView("plain_target")
     with pytest.raises(Exception, match="(?i)merge|unsupported|not supported"):
         merge_into("plain_target", spark.range(2).selectExpr("id as k", "id as v"), ["k"])
+
+
+def test_extract_reads_past_the_last_merged_time(spark):
+    source = states(
+        spark, ("A", "x", T0), ("B", "y", T0 + timedelta(hours=1)), ("C", "z", T0 + timedelta(hours=2))
+    ).drop("_airbyte_extracted_at")
+    table = state_table(spark)
+    first = extract(E.STATE, source.filter("cd_estado <> 'C'"), table, T0)
+    assert first.count() == 2
+    merge_current_state(E.STATE, first, table, T0, "b1")
+    second = extract(E.STATE, source, table, T0 + timedelta(days=1))
+    assert [r["cd_estado"] for r in second.collect()] == ["C"]
+    assert extract(replace(E.STATE, full_extract=True), source, table, T0).count() == 3
+
+
+def test_shortened_logs_keep_the_state(spark):
+    control = Control(spark, work_folder(spark, "ctl"))
+    for i in range(3):
+        control.commit({"a": T0 + timedelta(hours=i), "b": None}, f"b{i}", T0)
+    before = sorted(map(tuple, control.watermarks().collect()), key=repr)
+    control.shorten_watermarks()
+    assert len(control.watermark_log.listing().folders) == 1
+    assert sorted(map(tuple, control.watermarks().collect()), key=repr) == before
+    assert control.watermark("a") == T0 + timedelta(hours=2)
+    control.mark_failed(["a"], "b9", "boom", T0 + timedelta(days=1))
+    assert control.watermark("a") == T0 + timedelta(hours=2)
+    row = [r for r in control.watermarks().collect() if r["pipeline_name"] == "a"][0]
+    assert (row["last_run_status"], row["last_success_batch_id"]) == ("FAILED", "b2")
+    assert control.watermark("b") == TIME_SENTINEL
+
+
+def test_default_monitor_specs(spark):
+    control = Control(spark, work_folder(spark, "ctl"))
+    missing = missing_success(default_expectations(spark), control.batches(), T0)
+    assert missing.count() == 2
+    control.mark_running([s.pipeline_name for s in E.DIMENSIONS], "b", T0)
+    limits = default_thresholds(spark, E.DIMENSIONS)
+    assert stalled(limits, control.watermarks(), T0 + timedelta(hours=2)).count() == 6

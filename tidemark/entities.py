@@ -40,6 +40,7 @@ CLIENT = EntitySpec(
         Column("server_cliente", upper=True),
         Column("fg_ativo", "boolean"),
     ),
+    full_extract=True,
     dropped_keys=(UNKNOWN_KEY,),
 )
 

@@ -76,6 +76,9 @@ WATERMARK_SCHEMA = struct_type(
     }
 )
 
+# Kind of a record that carries the whole state of a key.
+STATE = "STATE"
+
 # Columns an event overwrites on an existing row; every other column keeps its value.
 BATCH_UPDATES = {
     "START": ["status", "started_at", "error_message", "orchestration_type", "updated_at"],
@@ -125,7 +128,7 @@ def fold_events(
             F.lit(0), *[F.lit(None).cast(f.dataType) for f in nothing.fields[1:]]
         ).cast(nothing)
         source = source.unionByName(
-            state.select(key, F.lit("STATE").alias(kind), empty.alias("__at"), *columns)
+            state.select(key, F.lit(STATE).alias(kind), empty.alias("__at"), *columns)
         )
     at = F.col("__at")
     aggregates = []
@@ -205,14 +208,19 @@ class Control:
         state = self.batches()
         removed = state.filter(expired).count()
         if removed:
-            kept = state.filter(~expired | expired.isNull())
-            self.batch_log.overwrite(
-                kept.select(
-                    F.lit(0).cast("bigint").alias("event_no"), F.lit("STATE").alias("kind"), "*"
-                )
-            )
+            self._shorten(self.batch_log, state.filter(~expired | expired.isNull()))
         return removed
 
+    def shorten_watermarks(self) -> None:
+        """Replace the watermark events by one state record per pipeline."""
+        if self.watermark_log.exists():
+            self._shorten(self.watermark_log, self.watermarks())
+
+    def _shorten(self, log: AppendTable, state: DataFrame) -> None:
+        with self._writing:
+            number, kind = F.lit(0).cast("bigint"), F.lit(STATE)
+            log.overwrite(state.select(number.alias("event_no"), kind.alias("kind"), "*"))
+
     def watermark_events(self, rows: Sequence[Mapping[str, Any]], run_ts: datetime) -> None:
         filled = [{"updated_at": run_ts, **r} for r in rows]
         with self._writing:
@@ -260,7 +268,7 @@ class Control:
             return TIME_SENTINEL
         # Only the last success carries a watermark, so the fold of one column is enough.
         events = self.watermark_log.read().filter(
-            (F.col("pipeline_name") == pipeline) & F.col("kind").isin(SUCCESS, "STATE")
+            (F.col("pipeline_name") == pipeline) & F.col("kind").isin(SUCCESS, STATE)
         )
         return events.agg(F.max_by("last_bi_updated_at", "event_no")).first()[0] or TIME_SENTINEL
 

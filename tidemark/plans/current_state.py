@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import changed_or_new, split_null_keys
 from tidemark.operators.latest import latest_in_landing, latest_in_staging
 from tidemark.operators.merge import upsert
+from tidemark.sources.readers import changed_since
 from tidemark.sources.tables import KeyedTable
 from tidemark.spec import (
+    LANDING_EXTRACTED_AT,
+    SOURCE_UPDATED_AT,
     TIME_SENTINEL,
     UPDATED_AT,
     EntitySpec,
@@ -21,6 +24,9 @@ from tidemark.spec import (
 )
 
 
+CURSOR = "cursor"
+
+
 @dataclass
 class MergeOutcome:
     rows: int
@@ -64,7 +70,20 @@ def merge_current_state(
     target = table.matching(complete) if table.exists() else None
     latest = latest_in_landing(complete, spec.key)
     changes = changed_or_new(latest, target, spec, run_ts, batch_id)
-    return MergeOutcome(table.merge(changes, writer, batch_id), rejected)
+    record = {CURSOR: F.max(SOURCE_UPDATED_AT)}
+    return MergeOutcome(table.merge(changes, writer, batch_id, record), rejected)
+
+
+def extract(
+    spec: EntitySpec, source: DataFrame, table: KeyedTable, extracted_at: datetime
+) -> DataFrame:
+    """Landing rows of a source view: those past the last source time that was merged.
+
+    A source without an update time is read whole.
+    """
+    last = None if spec.full_extract else table.highest(CURSOR)
+    at = F.lit(extracted_at).cast("timestamp_ntz")
+    return changed_since(source, SOURCE_UPDATED_AT, last).withColumn(LANDING_EXTRACTED_AT, at)
 
 
 def _newer(watermark: datetime | None) -> Column:

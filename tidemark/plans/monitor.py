@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.relations import boundaries_between
 from tidemark.plans.control import RUNNING, SUCCESS
+from tidemark.spec import EntitySpec
 
 # Monitoring windows.
 DEFAULT_STALL_MINUTES = 90
@@ -29,6 +30,33 @@ def expectations(spark, specs: Sequence[Mapping[str, Any]], minutes: str) -> Dat
     return spark.createDataFrame(rows, f"pipeline_name string, description string, {minutes} int")
 
 
+def default_expectations(spark) -> DataFrame:
+    """The two jobs that are expected to succeed within a time."""
+    return expectations(
+        spark,
+        [
+            {
+                "pipeline_name": "dimensions_domain",
+                "description": "dimension loads, twice a day",
+                "expected_success_within_minutes": DOMAIN_SUCCESS_MINUTES,
+            },
+            {
+                "pipeline_name": "cleanup_retention",
+                "description": "daily retention",
+                "expected_success_within_minutes": CLEANUP_SUCCESS_MINUTES,
+            },
+        ],
+        "expected_success_within_minutes",
+    )
+
+
+def default_thresholds(spark, specs: Sequence[EntitySpec]) -> DataFrame:
+    """A stall threshold for every entity's dimension load."""
+    return expectations(
+        spark, [{"pipeline_name": s.pipeline_name} for s in specs], "stall_threshold_minutes"
+    )
+
+
 def missing_success(expected: DataFrame, batches: DataFrame, run_ts: datetime) -> DataFrame:
     """Pipelines without a successful end inside their window.
 

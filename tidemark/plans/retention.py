@@ -68,8 +68,12 @@ def purge_current_state(
 
 
 def purge_control(control: Control, run_ts: datetime) -> dict[str, int]:
-    """Keep today and yesterday in the audit log and the batch table."""
+    """Keep today and yesterday in the audit log and the batch table.
+
+    Watermarks stay; their log is shortened to the current state.
+    """
     first_kept = run_ts.date() - timedelta(days=1)
+    control.shorten_watermarks()
     return {
         "load_audit": control.audit_log.drop_days_before(first_kept),
         "batch_execution": control.delete_batches(before_day("started_at", first_kept)),

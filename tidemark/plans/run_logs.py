@@ -103,6 +103,7 @@ _COMMITTED = ("recordsCommitted", "records_committed")
 _EMITTED = ("recordsEmitted", "records_emitted")
 _EXTRACTED = ("recordsExtracted", "records_extracted")
 STREAM_METRIC_ORDER = (*_LOADED, *_COMMITTED, *_EMITTED, *_EXTRACTED, *_SYNCED)
+STREAM_SUMMARY_ORDER = (*_SYNCED, *_LOADED, *_COMMITTED, *_EMITTED, *_EXTRACTED)
 TERMINAL_STATES = ["succeeded", "completed", "failed", "cancelled", "canceled"]
 STREAM_TEXTS = (
     # pattern, group with the stream, group with the count
@@ -173,38 +174,76 @@ def _stats(*names: str) -> str:
     return ", ".join(f"{n}:bigint" for n in names)
 
 
-_ALL_METRICS = _stats(*STREAM_METRIC_ORDER)
-PAYLOAD_SCHEMA = (
-    f"struct<attempts:array<struct<status:string, totalStats:struct<{_ALL_METRICS}>,"
-    f" streamStats:array<struct<streamName:string, stats:struct<{_ALL_METRICS}>>>>>>"
+_ALL_METRICS = f"struct<{_stats(*STREAM_METRIC_ORDER)}>"
+_STREAMS = (
+    f"array<struct<streamName:string, stream_name:string, streamDescriptor:struct<name:string>,"
+    f" stats:{_ALL_METRICS}>>"
 )
+_BODY = (
+    f"status:string, totalStats:{_ALL_METRICS}, total_stats:{_ALL_METRICS},"
+    f" streamStats:{_STREAMS}, stream_stats:{_STREAMS}"
+)
+_ATTEMPTS = f"array<struct<{_BODY}, attempt:struct<{_BODY}>>>"
+PAYLOAD_SCHEMA = f"struct<attempts:{_ATTEMPTS}, job:struct<attempts:{_ATTEMPTS}>>"
 
 
 def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
-    """Totals and stream sums of the last finished attempt in each sync payload."""
-    attempts = F.from_json(payload, PAYLOAD_SCHEMA)["attempts"]
-    finished = F.filter("__attempts", lambda a: F.lower(F.trim(a["status"])).isin(TERMINAL_STATES))
+    """Totals and stream sums of the last finished attempt in each sync payload.
+
+    Attempts may lie below a job and wrap their content, and names come in two spellings.
+    """
+    parsed = F.from_json(payload, PAYLOAD_SCHEMA)
+    attempts = F.coalesce(parsed["job"]["attempts"], parsed["attempts"])
+
+    def ended(a: Column) -> Column:
+        status = F.coalesce(a["status"], a["attempt"]["status"])
+        return F.lower(F.trim(status)).isin(TERMINAL_STATES)
+
+    finished = F.filter("__attempts", ended)
     last = F.when(F.size(finished) > 0, F.element_at(finished, -1)).otherwise(
         F.try_element_at("__attempts", F.lit(-1))
     )
+
+    def either(*names: str) -> Column:
+        found = [F.col(f"__last.{n}") for n in names]
+        return F.coalesce(*found, *[F.col(f"__last.attempt.{n}") for n in names])
+
     rows = payloads.withColumn("__attempts", attempts).withColumn("__last", last)
+    rows = rows.withColumns(
+        {
+            "__totals": either("totalStats", "total_stats"),
+            "__streams": either("streamStats", "stream_stats"),
+        }
+    )
 
     def total(*names: str) -> Column:
-        return F.coalesce(*[F.col(f"__last.totalStats.{n}") for n in names])
+        return F.coalesce(*[F.col(f"__totals.{n}") for n in names])
+
+    def metric(stream: Column, names: Sequence[str]) -> Column:
+        return F.coalesce(*[stream["stats"][n] for n in names])
 
-    per_stream = F.transform(
-        "__last.streamStats", lambda s: F.coalesce(*[s["stats"][n] for n in STREAM_METRIC_ORDER])
+    known = F.filter(
+        F.transform("__streams", lambda s: metric(s, STREAM_METRIC_ORDER)),
+        lambda v: v.isNotNull(),
     )
-    known = F.filter(per_stream, lambda v: v.isNotNull())
-    summed = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0).cast("bigint"), lambda a, b: a + b))
+    summed = F.when(
+        F.size(known) > 0, F.aggregate(known, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    )
+
+    def described(s: Column) -> Column:
+        name = F.coalesce(s["streamDescriptor"]["name"], s["streamName"], s["stream_name"])
+        return F.concat(name, F.lit("="), metric(s, STREAM_SUMMARY_ORDER).cast("string"))
+
+    summary = F.nullif(F.array_join(F.transform("__streams", described), ", "), F.lit(""))
     return rows.select(
         batch,
-        F.col("__last.totalStats").isNotNull().alias("has_totals"),
+        F.col("__totals").isNotNull().alias("has_totals"),
         total(*_SYNCED, *_LOADED).alias("rows_synced"),
         total(*_COMMITTED).alias("rows_committed"),
         total(*_EMITTED).alias("rows_emitted"),
         total(*_EXTRACTED).alias("rows_extracted"),
         summed.alias("rows_stream_stats_total"),
+        summary.alias("stream_stats_summary"),
     )
 
 

@@ -24,6 +24,9 @@ from tidemark.operators.merge import align
 
 PART = "_part"
 
+# Lists of earlier versions that stay readable on disk.
+KEPT_LISTINGS = 100
+
 
 @dataclass
 class Listing:
@@ -77,6 +80,8 @@ class _StoredTable:
             stream.close()
         if fs.exists(final) or not fs.rename(draft, final):
             raise RuntimeError(f"{self.root}: another writer has published {listing.version}")
+        expired, _ = self._hadoop_path(f"_published/{listing.version - KEPT_LISTINGS:010d}.json")
+        fs.delete(expired, False)
 
     def exists(self) -> bool:
         return self.listing().schema is not None
@@ -104,6 +109,26 @@ class _StoredTable:
         """Row count, from the file footers."""
         return self.read().count()
 
+    def vacuum(self, before: datetime) -> int:
+        """Delete data folders that are out of force and were written before a time.
+
+        The time has to lie before the start of every reader and writer still at work.
+        """
+        listing = self.listing()
+        used = {"/".join(f.split("/")[:2]) for f in listing.folders}
+        path, fs = self._hadoop_path("data")
+        if not fs.exists(path):
+            return 0
+        gone = [
+            s.getPath()
+            for s in fs.listStatus(path)
+            if f"data/{s.getPath().getName()}" not in used
+            and s.getModificationTime() < before.timestamp() * 1000
+        ]
+        for folder in gone:
+            fs.delete(folder, True)
+        return len(gone)
+
     def clear(self) -> int:
         """Publish an empty table and return how many rows it held."""
         listing = self.listing()

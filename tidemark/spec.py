@@ -93,6 +93,8 @@ class EntitySpec:
     null_safe: bool = False
     # The dimension keeps the earliest created time it has seen.
     keep_first_created: bool = True
+    # The source has no update time, so every extract reads all of it.
+    full_extract: bool = False
     # Keys removed from the dimension after each load.
     dropped_keys: tuple[Any, ...] = ()
     # Hash parts of the stored tables; a merge rewrites only the parts it touches.
