@@ -8,7 +8,7 @@ STORED = {
     # These write tables while they are built; their plan is only the final read.
     "current_state_two_batches", "dimension_two_runs", "domain_two_runs", "stream_upsert",
     "retention_delete_current_state", "retention_drop_audit_days", "purge_landing_after_load",
-    "retention_many_tables", "entity_check_matrix", "fact_star_keys", "dimension_state",
+    "retention_many_tables", "domain_control_state", "extract_after_merge", "entity_check_matrix", "fact_star_keys", "dimension_state",
     "dimension_equipment", "dimension_operation", "dimension_farm", "dimension_front",
 }
 

@@ -22,13 +22,13 @@ def test_deduplicate(spark):
 
 
 def test_union_of_unlike(spark):
-    a = spark.createDataFrame([(1, "drew", "pi"), (2, "bob", "e")], "id int, name string, favorite_number string")
+    a = spark.createDataFrame([(1, "ann", "pi"), (2, "bob", "e")], "id int, name string, favorite_number string")
     b = spark.createDataFrame([(1, "green", 7)], "id int, favorite_color string, favorite_number int")
     both = R.union_unlike({"a": a, "b": b})
     assert both.columns == ["source_relation", "id", "name", "favorite_number", "favorite_color"]
     assert dict(both.dtypes)["favorite_number"] == "string"
     assert rows(both.drop("source_relation")) == [
-        (1, "drew", "pi", None), (1, None, "7", "green"), (2, "bob", "e", None),
+        (1, "ann", "pi", None), (1, None, "7", "green"), (2, "bob", "e", None),
     ]
     slim = R.union_unlike({"a": a, "b": b}, exclude=["NAME"], label=None, where="id = 1")
     assert slim.columns == ["id", "favorite_number", "favorite_color"] and slim.count() == 2

@@ -104,7 +104,7 @@ def test_product_of_a_large_group_is_whole(spark):
     left = spark.range(500).select(F.when(F.col("id") < 450, 1).otherwise(2).alias("g"), F.col("id").alias("a"))
     right = spark.range(6).select(F.when(F.col("id") < 4, 1).otherwise(2).alias("g"), F.col("id").alias("b"))
     plain = product_within(left, right, ["g"], ["a"])
-    spread = product_within(left, right, ["g"], ["a"], heavy=50)
+    spread = product_within(left, right, ["g"], ["a"], heavy=60)
     assert spread.count() == 450 * 4 + 50 * 2
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, spread.select(*plain.columns).collect()))
 

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_source_row
-from tidemark.operators.skew import hot_groups
+from tidemark.operators.skew import MOST_HOT_GROUPS
 from tidemark.spec import TIME_SENTINEL
 
+MOST_SPREADS = 10_000
+
 
 def enrich(
     base: DataFrame,
@@ -48,33 +50,40 @@ def product_within(
     right: DataFrame,
     group: Sequence[str],
     spread_by: Sequence[str],
-    heavy: int = 5_000_000,
+    heavy: int = 50_000_000,
 ) -> DataFrame:
     """Every left row with every right row of the same group.
 
-    The product is the wanted result, so its size is given; a group with very many left
-    rows is spread over several tasks by ``spread_by`` and its right rows are repeated
-    once per spread.
+    The product is the wanted result, so its size is given. A group with more than
+    ``heavy`` pairs is spread over several tasks: its left rows by ``spread_by``, its
+    right rows repeated once per spread.
     """
-    hot = hot_groups(left, group, heavy)
-    if not hot:
-        return left.join(right, list(group))
-    spark = left.sparkSession
-    schema = left.select(*group).schema
-    counted = spark.createDataFrame(
-        [(*[r[g] for g in group], int(r["n_rows"] // heavy) + 1) for r in hot],
-        schema.add("__spreads", T.IntegerType()),
+    keys = list(group)
+    pairs = left.groupBy(*keys).agg(F.count("*").alias("__left")).join(
+        right.groupBy(*keys).agg(F.count("*").alias("__right")), keys
     )
-    spreads = F.coalesce(F.col("__spreads"), F.lit(1))
+    # A product of counts may pass the range of a bigint.
+    size = F.col("__left").cast("double") * F.col("__right")
+    largest = pairs.withColumn("__pairs", size).filter(F.col("__pairs") > heavy)
+    hot = largest.orderBy(F.col("__pairs").desc()).limit(MOST_HOT_GROUPS).collect()
+    if not hot:
+        return left.join(right, keys)
+    schema = left.select(*keys).schema.add("__spreads", T.IntegerType())
+    rows = [
+        (*[r[k] for k in keys], int(min(r["__pairs"] // heavy + 1, r["__left"], MOST_SPREADS)))
+        for r in hot
+    ]
     # The list of hot groups has a fixed upper length, so it is safe to broadcast.
-    spread_left = left.join(F.broadcast(counted), list(group), "left").withColumn(
+    counted = F.broadcast(left.sparkSession.createDataFrame(rows, schema))
+    spreads = F.coalesce(F.col("__spreads"), F.lit(1))
+    spread_left = left.join(counted, keys, "left").withColumn(
         "__spread", F.pmod(F.xxhash64(*spread_by), spreads).cast("int")
     )
-    spread_right = right.join(F.broadcast(counted), list(group), "left").withColumn(
+    spread_right = right.join(counted, keys, "left").withColumn(
         "__spread", F.explode(F.sequence(F.lit(0), spreads - 1))
     )
     return (
         spread_left.drop("__spreads")
-        .join(spread_right.drop("__spreads"), [*group, "__spread"])
+        .join(spread_right.drop("__spreads"), [*keys, "__spread"])
         .drop("__spread")
     )

@@ -78,7 +78,7 @@ def _business_update_time(spec: EntitySpec) -> Column:
     updated = F.col(UPDATED_AT)
     if spec.surrogate_key:
         return F.when(F.col(spec.surrogate_key) != UNKNOWN_KEY, updated)
-    return F.when(~F.col(spec.key[0]).isin(list(spec.dropped_keys)), updated)
+    return updated
 
 
 def dimension_watermark(spec: EntitySpec, table: KeyedTable) -> datetime | None:
@@ -115,13 +115,13 @@ def load_dimension(
         if sk:
             spark = current_state.sparkSession
             rows = unknown_member(spark, spec, run_ts, batch_id).unionByName(rows)
+    if spec.dropped_keys:
+        # Taken out before they are stored, so the dimension need not be searched for them.
+        rows = rows.filter(~F.col(spec.key[0]).isin(list(spec.dropped_keys)))
     record = {WATERMARK: F.max(_business_update_time(spec))}
     if sk:
         record[SURROGATE] = F.max(sk)
-    merged = table.merge(rows, highest=record)
-    for value in spec.dropped_keys:
-        table.delete(F.col(spec.key[0]) == value)
-    return merged
+    return table.merge(rows, highest=record)
 
 
 def next_dimension(

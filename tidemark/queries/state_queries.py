@@ -13,6 +13,7 @@ from tidemark.operators.keys import highest_key
 from tidemark.operators.latest import deduplicate, latest_source_row
 from tidemark.operators.merge import upsert
 from tidemark.plans.current_state import (
+    extract,
     landing_changes,
     merge_current_state,
     staging_slice,
@@ -541,6 +542,11 @@ def domain_two_runs(t: Tables) -> DataFrame:
     The second run extracts everything again; a newer extract time makes every row
     changed.
     """
+    found = _client_domain(t).dimension(CLIENT).read()
+    return found.withColumn("id_cliente", F.col("id_cliente").cast("bigint"))
+
+
+def _client_domain(t: Tables) -> Warehouse:
     wh = Warehouse(t.spark, work_folder(t.spark, "domain"))
     clients = t.customer.select(
         F.col("c_custkey").alias("cd_id"),
@@ -554,6 +560,43 @@ def domain_two_runs(t: Tables) -> DataFrame:
         (RUN_1, "run-1", clients.join(buyers, "cd_id", "left_semi")),
         (RUN_2, "run-2", clients),
     ):
-        landing = client_view(rows).withColumn(LANDING_EXTRACTED_AT, ntz(run_ts))
+        landing = extract(CLIENT, client_view(rows), wh.current_state(CLIENT), run_ts)
         run_domain(wh, [CLIENT], {CLIENT.name: landing}, run_ts, batch)
-    return wh.dimension(CLIENT).read().withColumn("id_cliente", F.col("id_cliente").cast("bigint"))
+    return wh
+
+
+@query(
+    "domain_control_state",
+    """
+WITH n AS (SELECT count(*) AS n FROM customer)
+SELECT 'dimensions_domain' AS pipeline_name, 'run-2' AS batch_id, 'SUCCESS' AS batch_status, NULL AS watermark_status,
+  n AS rows_extracted, n AS rows_loaded, n AS rows_affected, CAST(NULL AS TIMESTAMP) AS last_bi_updated_at,
+  CAST(NULL AS VARCHAR) AS last_success_batch_id, CAST(4 AS BIGINT) AS audit_events, CAST(1 AS BIGINT) AS started_events, '' AS failed_steps FROM n
+UNION ALL
+SELECT 'dim_sx_cliente_d', NULL, NULL, 'SUCCESS', NULL, NULL, NULL, TIMESTAMP '2024-02-01', 'run-2', NULL, NULL, NULL""",
+)
+def domain_control_state(t: Tables) -> DataFrame:
+    """What the control tables say after the two domain runs."""
+    return _client_domain(t).control.status().select(
+        "pipeline_name", "batch_id", "batch_status", "watermark_status", "rows_extracted",
+        "rows_loaded", "rows_affected", "last_bi_updated_at", "last_success_batch_id",
+        "audit_events", "started_events", "failed_steps",
+    )
+
+
+@query(
+    "extract_after_merge",
+    """
+SELECT event_id, user_id, ts AS source_updated_at FROM events
+WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15')""",
+)
+def extract_after_merge(t: Tables) -> DataFrame:
+    """The stored table knows the last source time it has merged."""
+    spec = EntitySpec(
+        "event", ("event_id",), (Column("event_id", "bigint"), Column("user_id", "bigint"))
+    )
+    state = KeyedTable(t.spark, work_folder(t.spark, "event"), spec.key)
+    source = t.events.select("event_id", "user_id", F.col("ts").alias(SOURCE_UPDATED_AT))
+    early = extract(spec, source.filter(F.col(SOURCE_UPDATED_AT) < ntz(RUN_1)), state, RUN_1)
+    merge_current_state(spec, early, state, RUN_1, "run-1")
+    return extract(spec, source, state, RUN_2).drop(LANDING_EXTRACTED_AT)

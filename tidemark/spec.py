@@ -95,7 +95,7 @@ class EntitySpec:
     keep_first_created: bool = True
     # The source has no update time, so every extract reads all of it.
     full_extract: bool = False
-    # Keys removed from the dimension after each load.
+    # Keys that must not be in the dimension.
     dropped_keys: tuple[Any, ...] = ()
     # Hash parts of the stored tables; a merge rewrites only the parts it touches.
     parts: int | None = None
