@@ -1,5 +1,5 @@
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tidemark import entities as E
 from tidemark.operators.checks import entity_checks, run_checks
 from tidemark.operators.keys import allocate_missing_keys, highest_key
-from tidemark.plans.control import Control, fold_events, run_status
+from tidemark.plans.control import Control
 from tidemark.plans.current_state import extract, merge_current_state
 from tidemark.plans.dimension import dimension_watermark, load_dimension, unknown_member
 from tidemark.plans.domain import Warehouse, run_domain
+from tidemark.plans.facts import fact_table, repeated_grain, resolve_operation_details
 from tidemark.plans.monitor import (
     active_keys,
     default_expectations,
@@ -433,3 +434,42 @@ def test_default_monitor_specs(spark):
     control.mark_running([s.pipeline_name for s in E.DIMENSIONS], "b", T0)
     limits = default_thresholds(spark, E.DIMENSIONS)
     assert stalled(limits, control.watermarks(), T0 + timedelta(hours=2)).count() == 6
+
+
+def test_facts_by_closing_day(spark):
+    codes = {c: Decimal(1) for c in E.OPERATION_DETAILS_GRAIN}
+    base = {**codes, "cd_estado": "SP", "data": date(2024, 1, 1)}
+    rows = [
+        {**base, "dt_dia_fechamento": date(2024, 1, 1)},
+        {**base, "dt_dia_fechamento": date(2024, 1, 2), "cd_equipamento": Decimal(2)},
+        {**base, "dt_dia_fechamento": date(2024, 1, 2), "cd_equipamento": Decimal(2)},
+        {**base, "dt_dia_fechamento": date(2024, 1, 3), "cd_ordem_servico": None},
+    ]
+    schema = E.OPERATION_DETAILS_SCHEMA
+    facts = spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in rows], schema)
+    stored = fact_table(spark, work_folder(spark, "facts"))
+    assert stored.append(facts) == 4 and len(stored.listing().folders) == 3
+    assert repeated_grain(stored.read()).count() == 1
+    equipment = unknown_member(spark, E.EQUIPMENT, T0, "b").unionByName(
+        unknown_member(spark, E.EQUIPMENT, T0, "b").withColumns(
+            {
+                "sk_equipamento": F.lit(7).cast("bigint"),
+                "id_cliente": F.lit(1).cast(E.NUMBER),
+                "cd_equipamento": F.lit("1"),
+            }
+        )
+    )
+    state = unknown_member(spark, E.STATE, T0, "b")
+    found = resolve_operation_details(stored.read(), {"sk_equipamento": equipment, "sk_estado": state})
+    keys = sorted((r["sk_equipamento"], r["sk_estado"]) for r in found.collect())
+    assert keys == [(-1, -1), (-1, -1), (7, -1), (7, -1)]
+
+
+def test_work_orders_are_kept_by_key(spark):
+    orders = KeyedTable(spark, work_folder(spark, "orders"), E.WORK_ORDER_KEY)
+    row = {"id_cliente": Decimal(1), "cd_ordem_servico": Decimal(5), "fg_ativo": Decimal(1)}
+    for text in ("open", "closed"):
+        values = {**row, "desc_ord_status": text, "vl_latitude": Decimal("-23.550520000000000")}
+        schema = E.WORK_ORDER_SCHEMA
+        orders.merge(spark.createDataFrame([tuple(values.get(n) for n in schema.names)], schema))
+    assert [r["desc_ord_status"] for r in orders.read().collect()] == ["closed"]

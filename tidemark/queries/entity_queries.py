@@ -16,7 +16,7 @@ from tidemark.plans.facts import resolve_star
 from tidemark.plans.retention import purge_current_state
 from tidemark.plans.domain import Warehouse
 from tidemark.queries import source_queries as Q
-from tidemark.queries.registry import REGISTRY, RUN_1, RUN_2, Tables, query
+from tidemark.queries.registry import REGISTRY, RUN_1, Tables, query
 from tidemark.session import work_folder
 from tidemark.spec import LANDING_EXTRACTED_AT, EntitySpec
 

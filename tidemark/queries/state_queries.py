@@ -13,6 +13,7 @@ from tidemark.operators.keys import highest_key
 from tidemark.operators.latest import deduplicate, latest_source_row
 from tidemark.operators.merge import upsert
 from tidemark.plans.current_state import (
+    apply_landing,
     extract,
     landing_changes,
     merge_current_state,
@@ -22,6 +23,7 @@ from tidemark.plans.current_state import (
 from tidemark.plans.dimension import (
     dimension_rows,
     load_dimension,
+    next_dimension,
     resolve_keys,
     unknown_member,
     watermark_slice,
@@ -99,6 +101,25 @@ def current_state_two_batches(t: Tables) -> DataFrame:
     return state.read().select(*STATE_OUTPUT)
 
 
+@query(
+    "current_state_as_one_query",
+    _LATEST_EVENTS
+    + """
+SELECT l.user_id, l.event_type, l.value, l.props,
+  'batch-' || last_batch AS etl_batch_id,
+  CASE WHEN first_batch = 1 THEN TIMESTAMP '2024-01-15' ELSE TIMESTAMP '2024-02-01' END AS bi_created_at,
+  CASE WHEN last_batch = 1 THEN TIMESTAMP '2024-01-15' ELSE TIMESTAMP '2024-02-01' END AS bi_updated_at,
+  l.ts AS source_updated_at
+FROM last l JOIN seen s USING (user_id, event_type)""",
+)
+def current_state_as_one_query(t: Tables) -> DataFrame:
+    """The same two batches without stored tables."""
+    first = event_landing(t.events.filter(F.col("ts") < ntz(RUN_1)), RUN_1)
+    second = event_landing(t.events.filter(F.col("ts") >= ntz(RUN_1)), RUN_2)
+    state = apply_landing(EVENT_STATE, first, None, RUN_1, "batch-1")
+    return apply_landing(EVENT_STATE, second, state, RUN_2, "batch-2").select(*STATE_OUTPUT)
+
+
 @query(
     "stream_upsert",
     _LATEST_EVENTS
@@ -410,6 +431,28 @@ def surrogate_key_stability(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "dimension_as_one_query",
+    """
+SELECT p_partkey, p_brand, CASE WHEN p_size <= 25 THEN '1' ELSE '2' END AS etl_batch_id, TIMESTAMP '2024-01-15' AS bi_created_at,
+  CASE WHEN p_size <= 25 THEN TIMESTAMP '2024-01-15' ELSE TIMESTAMP '2024-02-01' END AS bi_updated_at, p_size > 40 AS has_new_key
+FROM part WHERE p_size <= 40
+UNION ALL
+SELECT p_partkey, p_brand, '2', TIMESTAMP '2024-02-01', TIMESTAMP '2024-02-01', true FROM part WHERE p_size > 40""",
+)
+def dimension_as_one_query(t: Tables) -> DataFrame:
+    """An incremental load on top of a first one, as a query; small parts are not newer."""
+    first = dimension_rows(PART, _staged_parts(t.part.filter("p_size <= 40"), RUN_1, "1"), None)
+    highest = highest_key(first, "sk_part")
+    old = _staged_parts(t.part.filter("p_size <= 25"), RUN_1, "1")
+    new = _staged_parts(t.part.filter("p_size > 25"), RUN_2, "2")
+    loaded = next_dimension(PART, old.unionByName(new), first, RUN_1, highest)
+    return loaded.select(
+        "p_partkey", "p_brand", "etl_batch_id", "bi_created_at", "bi_updated_at",
+        (F.col("sk_part") > highest).alias("has_new_key"),
+    )
+
+
 @query(
     "unknown_member",
     """

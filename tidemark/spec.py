@@ -118,10 +118,6 @@ class EntitySpec:
     def attributes(self) -> list[Column]:
         return [c for c in self.columns if c.name not in self.key]
 
-    @property
-    def current_state_columns(self) -> list[str]:
-        return self.names + list(TECHNICAL_TYPES)
-
     @property
     def dimension_columns(self) -> list[str]:
         lead = [self.surrogate_key] if self.surrogate_key else []
@@ -133,10 +129,6 @@ class EntitySpec:
             types[self.surrogate_key] = "bigint"
         return struct_type({n: types[n] for n in names})
 
-    @property
-    def current_state_schema(self) -> T.StructType:
-        return self.schema(self.current_state_columns)
-
     @property
     def dimension_schema(self) -> T.StructType:
         return self.schema(self.dimension_columns)
