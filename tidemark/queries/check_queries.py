@@ -155,7 +155,8 @@ def q_expression_is_true(t: Tables) -> DataFrame:
 
 
 _RANGES = """
-  SELECT l_suppkey, CAST(l_shipdate AS DATE) AS valid_from, CAST(l_shipdate AS DATE) + CAST(l_linenumber - 2 AS INTEGER) AS valid_to
+  SELECT l_suppkey, CAST(l_shipdate AS DATE) AS valid_from, CAST(l_shipdate AS DATE) + CAST(l_linenumber - 2 AS INTEGER) AS valid_to,
+    row_number() OVER () AS copy
   FROM lineitem"""
 
 
@@ -167,13 +168,14 @@ def _ranges(t: Tables) -> DataFrame:
 
 
 def _range_sql(partition: str, gaps: str, zero: str) -> str:
+    # Equal ranges need one order for both windows, or the last record is arbitrary.
     over = f"PARTITION BY {partition} " if partition else ""
     shown = f"{partition} AS partition_by_col, " if partition else ""
     keep = "partition_by_col, " if partition else ""
     return f"""
 WITH w AS (SELECT {shown}valid_from AS lower_bound, valid_to AS upper_bound,
-    lead(valid_from) OVER ({over}ORDER BY valid_from, valid_to) AS next_lower_bound,
-    row_number() OVER ({over}ORDER BY valid_from DESC, valid_to DESC) = 1 AS is_last_record
+    lead(valid_from) OVER ({over}ORDER BY valid_from, valid_to, copy) AS next_lower_bound,
+    row_number() OVER ({over}ORDER BY valid_from DESC, valid_to DESC, copy DESC) = 1 AS is_last_record
   FROM ({_RANGES}))
 SELECT {keep}lower_bound, upper_bound, next_lower_bound, is_last_record FROM w
 WHERE NOT (coalesce(lower_bound {zero} upper_bound, false)
