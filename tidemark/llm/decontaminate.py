@@ -1,12 +1,16 @@
 """Benchmark passages in training documents, by a broadcast hash set of test n-grams.
 
 Only built-in column functions. Items and documents are cut into normalised words. Every window of
-an item goes into the set; an item shorter than a window is one window as a whole. Documents are
-scanned window by window against the set, joined on the words themselves, so a hit of the hash
-table is verified word by word. Items are looked up for windows that hit.
+an item goes into the set; an item shorter than a window is one window as a whole. Windows of
+documents are looked up in the set, joined on the words themselves, so a hit of the hash table is
+verified word by word. Items are looked up for windows that hit.
+
+Each window of the set has an anchor, its longest word. A document window can only hit around a word
+that is some anchor, so only those windows are spelt out; no hit is lost. Documents are scanned once.
 
 The set is broadcast while it has ``BROADCAST_BYTES`` at most, as counted before the scan. A larger
-one is joined by shuffle. A passage that very many documents share meets one row of the set.
+one is joined by shuffle, and beyond ``ANCHORS`` anchors all windows are spelt out. A passage that
+very many documents share meets one row of the set.
 
 Defined results: a null text has no words; a null item id counts as an empty one; rows with equal
 id and text get equal results, rows with equal id and different texts their own; an empty benchmark
@@ -21,58 +25,102 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ascii_lower, cut, text_key, unused
 
 WINDOW = 10
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words: ASCII other than letters and digits.
+APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[0-9A-Za-z\u0080-\x{10FFFF}]+"
 #: The most a set may take, in bytes of its windows, to be sent to all executors.
 BROADCAST_BYTES = 32 << 20
+#: The most anchors that go into the plan.
+ANCHORS = 20_000
+SPELT = "array<struct<start:int,size:int,gram:string>>"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
-
-
-def _windows(tokens: Column, size: int) -> Column:
-    """(start, size, gram) of all windows of the given size; none if there are too few words."""
-    return F.when(
-        F.size(tokens) >= size,
-        F.transform(
-            F.sequence(F.lit(0), F.size(tokens) - size),
-            lambda i: F.struct(
-                i.alias("start"), F.lit(size).alias("size"), F.array_join(F.slice(tokens, i + 1, F.lit(size)), " ").alias("gram")
-            ),
+    """Words as they are written; lowering A-Z moves no border."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), APART, -1), "")
+
+
+def _windows(tokens: Column, starts: Column, size: int) -> Column:
+    """(start, size, gram) of the windows of the given size at the given starts."""
+    return F.transform(
+        starts,
+        lambda i: F.struct(
+            i.cast("int").alias("start"),
+            F.lit(size).alias("size"),
+            ascii_lower(F.array_join(F.slice(tokens, i + 1, F.lit(size)), " ")).alias("gram"),
         ),
-    ).otherwise(F.array().cast("array<struct<start:int,size:int,gram:string>>"))
+    ).cast(SPELT)
+
+
+def _starts(tokens: Column, size: int, anchors: Column | None) -> Column:
+    """Starts of all windows of a size, or of those around the anchors."""
+    none = F.array().cast("array<int>")
+    last = F.size(tokens) - size
+    if anchors is None:
+        found = F.sequence(F.lit(0), last)
+    else:
+        around = lambda p: F.sequence(F.greatest(p - size + 1, F.lit(0)), F.least(p, last))
+        found = F.array_distinct(F.flatten(F.transform(anchors, around)))
+    return F.when(last >= 0, found).otherwise(none)
 
 
 def benchmark_grams(benchmark: DataFrame, id_col: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """(item, size, gram) of every window of every item."""
     items = benchmark.select(
-        F.coalesce(benchmark[id_col].cast("string"), F.lit("")).alias("item"), words(benchmark[text]).alias("tokens")
+        F.coalesce(benchmark[id_col].cast("string"), F.lit("")).alias("item"),
+        words(ascii_lower(benchmark[text])).alias("tokens"),
     )
+    tokens = F.col("tokens")
     short = F.array(
-        F.struct(F.lit(0).alias("start"), F.size("tokens").alias("size"), F.array_join("tokens", " ").alias("gram"))
-    )
-    items = items.filter(F.size("tokens") > 0)
-    grams = F.when(F.size("tokens") < window, short).otherwise(_windows(F.col("tokens"), window))
-    return items.select("item", F.explode(grams).alias("w")).select("item", "w.size", "w.gram").distinct()
-
-
-def _set_of(grams: DataFrame) -> tuple[DataFrame, list[int]]:
-    """The distinct windows, to be broadcast if small, and the sizes that occur."""
-    found = grams.select("size", "gram").distinct()
-    sums = found.groupBy("size").agg(F.sum(F.octet_length("gram") + 32).alias("bytes")).collect()
-    small = sum(r["bytes"] for r in sums) <= BROADCAST_BYTES
-    chosen = found.select("gram")
-    return (F.broadcast(chosen) if small else chosen), sorted(r["size"] for r in sums)
-
-
-def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(id, key, start, size, gram) of windows that are in the set, and the grams with their items."""
-    grams = cut(benchmark_grams(benchmark, item_col, item_text, window))
-    chosen, sizes = _set_of(grams)
-    tokens = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), words(docs[text]).alias("tokens"))
-    every = F.concat(*[_windows(F.col("tokens"), s) for s in sizes]) if sizes else _windows(F.col("tokens"), window)
-    seen = tokens.select("id", "key", F.explode(every).alias("w")).select("id", "key", "w.start", "w.size", "w.gram")
-    return seen.join(chosen, "gram"), grams
+        F.struct(F.lit(0).alias("start"), F.size(tokens).alias("size"), F.array_join(tokens, " ").alias("gram"))
+    ).cast(SPELT)
+    grams = F.when(F.size(tokens) < window, short).otherwise(_windows(tokens, _starts(tokens, window, None), window))
+    items = items.filter(F.size(tokens) > 0).select("item", F.explode(grams).alias("w"))
+    return items.select("item", "w.size", "w.gram").distinct()
+
+
+class GramSet:
+    """The windows of a benchmark, written once, and how documents are joined to them."""
+
+    def __init__(self, benchmark: DataFrame, id_col: str, text: str, window: int):
+        grams = benchmark_grams(benchmark, id_col, text, window)
+        numbered = grams.groupBy("size", "gram").agg(F.collect_set("item").alias("items"))
+        self.grams = cut(numbered.withColumn("number", F.monotonically_increasing_id()))
+        longest = F.array_max(
+            F.transform(F.split("gram", " "), lambda w: F.struct(F.char_length(w).alias("n"), w.alias("word")))
+        )
+        anchors = self.grams.select(F.lower(longest["word"]).alias("anchor")).distinct()
+        sums = self.grams.groupBy("size").agg(F.sum(F.octet_length("gram") + 40).alias("bytes")).collect()
+        self.sizes = sorted(r["size"] for r in sums)
+        self.small = sum(r["bytes"] for r in sums) <= BROADCAST_BYTES
+        few = self.small and anchors.count() <= ANCHORS
+        self.anchors = [r["anchor"] for r in anchors.sort("anchor").collect()] if few else None
+
+    def spelt(self, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+        """(id, key, n_words, spelt): the windows of each document that may be in the set."""
+        rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), words(docs[text]).alias("tokens"))
+        tokens, at = F.col("tokens"), None
+        if self.anchors:
+            # Words hold letters, digits and signs beyond ASCII alone, so they need no escape.
+            known = ", ".join(f"'{a}'" for a in self.anchors)
+            found = F.expr(f"transform(tokens, (w, i) -> if(lower(w) in ({known}), i, null))")
+            rows = rows.withColumn("at", F.filter(found, lambda i: i.isNotNull()))
+            at = F.col("at")
+        parts = [_windows(tokens, _starts(tokens, size, at), size) for size in self.sizes]
+        every = F.concat(*parts) if parts else F.array().cast(SPELT)
+        return rows.select("id", "key", F.size(tokens).cast("long").alias("n_words"), every.alias("spelt"))
+
+    def join(self, rows: DataFrame, how: str) -> DataFrame:
+        """Rows with a gram, and the number of that gram in the set."""
+        chosen = self.grams.select("gram", "number")
+        return rows.join(F.broadcast(chosen) if self.small else chosen, "gram", how)
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """(id, key, start, size, gram, number) of windows that are in the set."""
+    grams = GramSet(benchmark, item_col, item_text, window)
+    seen = grams.spelt(docs, id_col, text).select("id", "key", F.explode("spelt").alias("w"))
+    return grams.join(seen.select("id", "key", "w.start", "w.size", "w.gram"), "inner")
 
 
 def _places(spans: Column) -> Column:
@@ -82,32 +130,42 @@ def _places(spans: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """(id, key, n_words, n_hit, items) for each row; items are ids as strings, sorted."""
-    found, grams = hits(docs, benchmark, id_col, text, item_col, item_text, window)
-    spans = found.groupBy("id", "key").agg(F.size(_places(F.collect_set(F.struct("start", "size")))).cast("long").alias("n_hit"))
+    grams = GramSet(benchmark, item_col, item_text, window)
+    seen = grams.spelt(docs, id_col, text).select("id", "key", "n_words", F.posexplode_outer("spelt").alias("at", "w"))
+    seen = grams.join(seen.select("id", "key", "n_words", "at", "w.start", "w.size", "w.gram"), "left")
+    # Of every document its first row stays, so that one without hits is not lost.
+    first = F.coalesce(F.col("at") == 0, F.lit(True))
+    hit = F.when(F.col("number").isNotNull(), F.struct("start", "size", "number"))
+    found = cut(
+        seen.filter(first | F.col("number").isNotNull())
+        .groupBy("id", "key")
+        .agg(
+            F.max("n_words").alias("n_words"),
+            F.sum(F.when(first, 1).otherwise(0)).cast("int").alias("copies"),
+            F.collect_set(hit).alias("hits"),
+        )
+    )
     items = (
-        found.select("id", "key", "gram")
-        .distinct()
-        .join(grams.select("gram", "item"), "gram")
+        found.select("id", "key", F.explode(F.array_distinct(F.transform("hits", lambda h: h["number"]))).alias("number"))
+        .join(grams.grams.select("number", F.explode("items").alias("item")), "number")
         .groupBy("id", "key")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
+        .withColumnsRenamed({"id": "__id", "key": "__key"})
     )
-    base = docs.select(
-        docs[id_col].alias("id"),
-        text_key(docs[text]).alias("key"),
-        F.coalesce(F.regexp_count(ascii_lower(docs[text]), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
-    )
-    for part in (spans, items):
-        part = part.withColumnsRenamed({"id": "__id", "key": "__key"})
-        on = base["id"].eqNullSafe(part["__id"]) & (base["key"] == part["__key"])
-        base = base.join(part, on, "left").drop("__id", "__key")
-    return base.withColumns(
-        {"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), "items": F.coalesce("items", F.array().cast("array<string>"))}
+    out = found.join(items, found["id"].eqNullSafe(items["__id"]) & (found["key"] == items["__key"]), "left")
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.select(
+        "id",
+        "key",
+        "n_words",
+        F.size(_places(F.col("hits"))).cast("long").alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The rows without any hit, with their columns."""
-    found, _ = hits(docs, benchmark, id_col, text, **names)
+    found = hits(docs, benchmark, id_col, text, **names)
     gone = found.select(F.col("id").alias("__id"), F.col("key").alias("__key")).distinct()
     key = unused(docs, "__own")
     keyed = docs.withColumn(key, text_key(docs[text]))
@@ -117,16 +175,15 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """All rows, their texts without the words under hits; what stands between words stays."""
-    found, _ = hits(docs, benchmark, id_col, text, **names)
+    found = hits(docs, benchmark, id_col, text, **names)
     gone = found.groupBy("id", "key").agg(_places(F.collect_set(F.struct("start", "size"))).alias("__gone"))
     gone = gone.withColumnsRenamed({"id": "__id", "key": "__key"})
     key = unused(docs, "__own")
     keyed = docs.withColumn(key, text_key(docs[text]))
     on = keyed[id_col].eqNullSafe(gone["__id"]) & (keyed[key] == gone["__key"])
     both = keyed.join(gone, on, "left")
-    any_case = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    own = F.regexp_extract_all(both[text], F.lit(any_case), F.lit(0))
-    gaps = F.split(both[text], any_case, -1)
+    own = words(both[text])
+    gaps = F.split(both[text], WORD, -1)
     # Words and places as one list: of each number the word goes if a place has it too.
     stays = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("__gone"))
     kept = F.transform(stays, lambda i: F.struct(i.alias("at"), F.get(own, i).alias("word")))
