@@ -84,13 +84,13 @@ class GramSet:
 
     def __init__(self, benchmark: DataFrame, id_col: str, text: str, window: int):
         grams = benchmark_grams(benchmark, id_col, text, window)
-        numbered = grams.groupBy("size", "gram").agg(F.collect_set("item").alias("items"))
-        self.grams = cut(numbered.withColumn("number", F.monotonically_increasing_id()))
+        self.grams = cut(grams.groupBy("size", "gram").agg(F.sort_array(F.collect_set("item")).alias("items")))
         longest = F.array_max(
             F.transform(F.split("gram", " "), lambda w: F.struct(F.char_length(w).alias("n"), w.alias("word")))
         )
         anchors = self.grams.select(F.lower(longest["word"]).alias("anchor")).distinct()
-        sums = self.grams.groupBy("size").agg(F.sum(F.octet_length("gram") + 40).alias("bytes")).collect()
+        size = F.octet_length("gram") + F.octet_length(F.array_join("items", "")) + 16 * F.size("items") + 40
+        sums = self.grams.groupBy("size").agg(F.sum(size).alias("bytes")).collect()
         self.sizes = sorted(r["size"] for r in sums)
         self.small = sum(r["bytes"] for r in sums) <= BROADCAST_BYTES
         few = self.small and anchors.count() <= ANCHORS
@@ -111,13 +111,13 @@ class GramSet:
         return rows.select("id", "key", F.size(tokens).cast("long").alias("n_words"), every.alias("spelt"))
 
     def join(self, rows: DataFrame, how: str) -> DataFrame:
-        """Rows with a gram, and the number of that gram in the set."""
-        chosen = self.grams.select("gram", "number")
+        """Rows with a gram, and the items that hold it."""
+        chosen = self.grams.select("gram", "items")
         return rows.join(F.broadcast(chosen) if self.small else chosen, "gram", how)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, key, start, size, gram, number) of windows that are in the set."""
+    """(id, key, start, size, gram, items) of windows that are in the set."""
     grams = GramSet(benchmark, item_col, item_text, window)
     seen = grams.spelt(docs, id_col, text).select("id", "key", F.explode("spelt").alias("w"))
     return grams.join(seen.select("id", "key", "w.start", "w.size", "w.gram"), "inner")
@@ -135,31 +135,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     seen = grams.join(seen.select("id", "key", "n_words", "at", "w.start", "w.size", "w.gram"), "left")
     # Of every document its first row stays, so that one without hits is not lost.
     first = F.coalesce(F.col("at") == 0, F.lit(True))
-    hit = F.when(F.col("number").isNotNull(), F.struct("start", "size", "number"))
-    found = cut(
-        seen.filter(first | F.col("number").isNotNull())
+    hit = F.col("items").isNotNull()
+    found = (
+        seen.filter(first | hit)
         .groupBy("id", "key")
         .agg(
             F.max("n_words").alias("n_words"),
             F.sum(F.when(first, 1).otherwise(0)).cast("int").alias("copies"),
-            F.collect_set(hit).alias("hits"),
+            F.collect_set(F.when(hit, F.struct("start", "size"))).alias("hits"),
+            F.collect_set("items").alias("items"),
         )
     )
-    items = (
-        found.select("id", "key", F.explode(F.array_distinct(F.transform("hits", lambda h: h["number"]))).alias("number"))
-        .join(grams.grams.select("number", F.explode("items").alias("item")), "number")
-        .groupBy("id", "key")
-        .agg(F.array_sort(F.collect_set("item")).alias("items"))
-        .withColumnsRenamed({"id": "__id", "key": "__key"})
-    )
-    out = found.join(items, found["id"].eqNullSafe(items["__id"]) & (found["key"] == items["__key"]), "left")
-    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return out.select(
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return found.select(
         "id",
         "key",
         "n_words",
         F.size(_places(F.col("hits"))).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.sort_array(F.array_distinct(F.flatten("items"))).alias("items"),
     )
 
 
