@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _ship(spark: SparkSession) -> None:
+    """Let the Python workers of a local session import this package from wherever it was started.
+
+    On a cluster the package is installed or sent with the job, as for any PySpark program.
+    """
+    context = spark.sparkContext
+    local = context.master == "local" or context.master.startswith("local[")
+    if local and not getattr(context, "_tidemark_shipped", False):
+        context.addFile(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), recursive=True)
+        context._tidemark_shipped = True
+
+
+def mapped(rows: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """The rows after ``run`` over the Arrow batches of each task."""
+    _ship(rows.sparkSession)
+    return rows.mapInPandas(run, schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written to the shared checkpoint folder, so that nothing before runs again."""
     context = df.sparkSession.sparkContext

@@ -23,6 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tidemark.llm.common import mapped
+
 # Elements without article text, elements without end tag, elements that end a line.
 NEVER = frozenset(
     "script style head title nav footer header aside form noscript template iframe svg button select textarea "
@@ -164,4 +166,4 @@ def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None)
             frame["main_text"] = [main_text(h) for h in frame.pop("__html")]
             yield frame
 
-    return rows.mapInPandas(run, ", ".join([*kinds, "main_text string"]))
+    return mapped(rows, run, ", ".join([*kinds, "main_text string"]))

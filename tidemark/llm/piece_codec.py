@@ -26,6 +26,8 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from tidemark.llm.common import mapped
+
 SPACE = "▁"
 #: Stretches whose ids a task keeps; beyond it the table starts anew, results stay the same.
 KEPT_STRETCHES = 300_000
@@ -293,4 +295,4 @@ def _map_texts(docs: DataFrame, model_path: str, text: str, keep: list[str], add
                 frame[name] = [m[n] for m in made]
             yield frame
 
-    return rows.mapInPandas(run, f"{kinds}, {added}" if kinds else added)
+    return mapped(rows, run, f"{kinds}, {added}" if kinds else added)

@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import mapped
+
 #: Labelled documents the rules are learned from, at most.
 SAMPLE = 20_000
 LEAST_PRECISION = 0.97
@@ -85,7 +87,7 @@ def with_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None
                 frame[name] = np.array([c[n] for c in counted], dtype=np.int64)
             yield frame
 
-    return rows.mapInPandas(run, ", ".join([*kinds, *[f"{s} long" for s in STATISTICS]]))
+    return mapped(rows, run, ", ".join([*kinds, *[f"{s} long" for s in STATISTICS]]))
 
 
 @dataclass(frozen=True)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, text_key
+from tidemark.llm.common import cut, mapped, text_key
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -69,7 +69,7 @@ def with_fingerprint(docs: DataFrame, ids: list[str], text: str, name: str, shin
             frame[name] = made.view(np.int64)
             yield frame
 
-    return rows.mapInPandas(run, f"{kinds}, `{name}` long")
+    return mapped(rows, run, f"{kinds}, `{name}` long")
 
 
 def _cells(fp: Column, radius: int) -> Column:
@@ -172,7 +172,7 @@ def links(prints: DataFrame, name: str, radius: int = MAX_BITS) -> DataFrame:
         if rest is not None:
             yield _linked(rest, radius)
 
-    return met.mapInPandas(run, "a long, b long").distinct()
+    return mapped(met, run, "a long, b long").distinct()
 
 
 def _linked(frame: pd.DataFrame, radius: int) -> pd.DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LAST_ID, text_key
+from tidemark.llm.common import LAST_ID, mapped, text_key
 
 LENGTH = 20
 SEED_WORDS = 8
@@ -163,7 +163,7 @@ def _seeds(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
                 {"doc": np.concatenate(ids), "seed": np.concatenate(seeds), "times": np.concatenate(times)}
             )
 
-    return rows.select("doc", "text").mapInPandas(run, "doc long, seed long, times long")
+    return mapped(rows.select("doc", "text"), run, "doc long, seed long, times long")
 
 
 def _stretch_rows(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
@@ -183,8 +183,7 @@ def _stretch_rows(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
                     out.append((int(signed[n]), doc, key, a, b - a, b" ".join(words[a:b])))
             yield pd.DataFrame(out, columns=["seed", "doc", "key", "start", "size", "part"])
 
-    found = rows.select("id", "doc", "key", "text", "picks").mapInPandas(
-        run, "seed long, doc long, key long, start int, size int, part binary"
+    found = mapped(rows.select("id", "doc", "key", "text", "picks"), run, "seed long, doc long, key long, start int, size int, part binary"
     )
     return found.withColumn("part_key", F.xxhash64("part"))
 
@@ -217,8 +216,7 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
         if rest is not None:
             yield found(rest)
 
-    return dealt.mapInPandas(
-        run, "seed long, doc long, key long, start int, part_key long, low int, high int"
+    return mapped(dealt, run, "seed long, doc long, key long, start int, part_key long, low int, high int"
     )
 
 
@@ -299,4 +297,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: i
             yield pd.DataFrame({"id": frame["id"], "n_words": total, "n_removed": gone, "kept": kept})
 
     kind = joined.schema["id"].dataType.simpleString()
-    return joined.mapInPandas(run, f"id {kind}, n_words long, n_removed long, kept string")
+    return mapped(joined, run, f"id {kind}, n_words long, n_removed long, kept string")

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import mapped
 from tidemark.llm.quality_rules import sample_labelled
 
 SAMPLE = 20_000
@@ -284,7 +285,7 @@ def with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str], t
                 frame[f"f{n}"] = [m[n] for m in made]
             yield frame
 
-    return rows.mapInPandas(run, ", ".join([*kinds, *[f"f{n} double" for n in range(FEATURES)]]))
+    return mapped(rows, run, ", ".join([*kinds, *[f"f{n} double" for n in range(FEATURES)]]))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -302,4 +303,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
             frame["score"] = [model.score(scorer.features(t)) for t in frame.pop("__text")]
             yield frame
 
-    return rows.mapInPandas(run, ", ".join([*kinds, "score double"]))
+    return mapped(rows, run, ", ".join([*kinds, "score double"]))
