@@ -17,6 +17,7 @@ without labels of both kinds every score is zero; repeated labels of a document
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -204,7 +205,18 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 1, F.lit(False))
 
 
-_TOKEN = r"[^\x00-\x26\x28-\x40\x5B-\x60\x7B-\x7F]+"
+#: Forms a task counts before it passes the counts on.
+COUNTED = 200_000
+
+
+def _forms(text: str | None) -> set[str]:
+    """Words of a text and their beginnings, each once."""
+    words = {token.strip(_MARKS) for token in set(text.lower().split())} if text else set()
+    words.discard("")
+    forms = {f"={w}" for w in words}
+    for size in STEMS:
+        forms.update(f"^{w[:size]}" for w in words if len(w) >= size)
+    return forms
 
 
 def _lexicon(rows: DataFrame) -> dict[str, float]:
@@ -213,25 +225,29 @@ def _lexicon(rows: DataFrame) -> dict[str, float]:
     size = {r["label"]: r["count"] for r in totals}
     if not size.get(1) or not size.get(0):
         return {}
-    tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TOKEN), F.lit(0)))
-    words = rows.select("label", "id", F.explode(tokens).alias("w"))
-    forms = F.array_distinct(
-        F.concat(
-            F.array(F.concat(F.lit("="), F.col("w"))),
-            *[
-                F.when(F.char_length("w") >= s, F.array(F.concat(F.lit("^"), F.left(F.col("w"), F.lit(s))))).otherwise(
-                    F.array().cast("array<string>")
-                )
-                for s in STEMS
-            ],
-        )
-    )
-    counted = (
-        words.select("label", "id", F.explode(forms).alias("form"))
-        .distinct()
-        .groupBy("form")
-        .agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
-    )
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        toxic, other = Counter(), Counter()
+
+        def counts() -> pd.DataFrame:
+            forms = list(toxic.keys() | other.keys())
+            frame = pd.DataFrame(
+                {"form": forms, "p": [toxic[f] for f in forms], "n": [other[f] for f in forms]}
+            )
+            toxic.clear()
+            other.clear()
+            return frame
+
+        for frame in frames:
+            for label, text in zip(frame["label"], frame["text"]):
+                (toxic if label == 1 else other).update(_forms(text))
+                if len(toxic) + len(other) > COUNTED:
+                    yield counts()
+        if toxic or other:
+            yield counts()
+
+    counted = mapped(rows.select("label", "text"), run, "form string, p long, n long")
+    counted = counted.groupBy("form").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     p, n = F.col("p") + 0.5, F.col("n") + 0.5
     p_rest, n_rest = size[1] - F.col("p") + 0.5, size[0] - F.col("n") + 0.5
     odds = F.log(p * n_rest / (n * p_rest))
