@@ -119,7 +119,8 @@ class GramSet:
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """(id, key, start, size, gram, items) of windows that are in the set."""
     grams = GramSet(benchmark, item_col, item_text, window)
-    seen = grams.spelt(docs, id_col, text).select("id", "key", F.explode("spelt").alias("w"))
+    # The outer form: for the plain one Spark infers a filter that spells the windows out once more.
+    seen = grams.spelt(docs, id_col, text).select("id", "key", F.explode_outer("spelt").alias("w"))
     return grams.join(seen.select("id", "key", "w.start", "w.size", "w.gram"), "inner")
 
 

@@ -118,8 +118,8 @@ def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     digests = known_digests(known)
     whole = F.array_join("lines", " ")
     rows = rows.withColumn("digest", F.when(whole != "", _digest(whole)))
-    lines = rows.select("id", "key", F.posexplode("lines").alias("at", "line"))
-    lines = lines.select("id", "key", "at", _digest(F.col("line")).alias("digest"))
+    lines = rows.select("id", "key", F.posexplode_outer("lines").alias("at", "line"))
+    lines = lines.filter("line is not null").select("id", "key", "at", _digest(F.col("line")).alias("digest"))
     found = (
         lines.join(digests, "digest")
         .groupBy("id", "key")
