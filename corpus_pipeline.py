@@ -20,8 +20,12 @@ from tidemark.session import work_folder
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned rules and the base keep."""
-    rows = quality_rules.judge(docs, read(spark, sf_dir, "labels"))
-    return rows.filter("kept").select(*docs.columns)
+    # Under other names, so that a column of the table never meets a statistic of its name.
+    names = {c: f"__{n}" for n, c in enumerate(docs.columns)}
+    rows = docs.withColumnsRenamed(names)
+    labels = read(spark, sf_dir, "labels")
+    rows = quality_rules.judge(rows, labels, id_col=names["doc_id"], text=names["text"], label_id="doc_id")
+    return rows.filter("kept").select(*[F.col(inner).alias(c) for c, inner in names.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,14 +26,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped
+from tidemark.llm.common import mapped, unused
 
 #: Labelled documents the rules are learned from, at most.
 SAMPLE = 20_000
 LEAST_PRECISION = 0.97
-LEAST_COVERED = 5
+LEAST_COVERED = 3
 MOST_TESTS = 4
 MOST_RULES = 12
+MOST_TRIES = 24
 #: Thresholds tried for each statistic.
 STEPS = 64
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
@@ -77,12 +78,13 @@ def with_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None
     """Columns ``keep`` of each row, all by default, and the statistics of its text."""
     keep = docs.columns if keep is None else keep
     keep = [c for c in keep if c not in STATISTICS]
-    rows = docs.select(*[docs[c] for c in keep], docs[text].alias("__text"))
+    inner = unused(docs, "__text")
+    rows = docs.select(*[docs[c] for c in keep], docs[text].alias(inner))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            counted = [text_statistics(t) for t in frame.pop("__text")]
+            counted = [text_statistics(t) for t in frame.pop(inner)]
             for n, name in enumerate(STATISTICS):
                 frame[name] = np.array([c[n] for c in counted], dtype=np.int64)
             yield frame
@@ -165,44 +167,51 @@ def _prune(tests: list[Test], rows: dict[str, np.ndarray], target: np.ndarray) -
 
 
 def learn_rules(frame: pd.DataFrame, label: str, features: list[str]) -> list[list[Test]]:
-    """Rules for label 0, in order; ``frame`` is in a fixed order, every third row prunes."""
+    """Rules for label 0, in order; ``frame`` is in a fixed order, a drawn third of it prunes."""
     rows = {f: frame[f].to_numpy(dtype=float) for f in features}
     target = frame[label].to_numpy() == 0
-    prunes = np.arange(len(frame)) % 3 == 2
+    prunes = np.random.default_rng(0).permutation(len(frame)) % 3 == 2
     left = np.ones(len(frame), dtype=bool)
     rules: list[list[Test]] = []
-    while len(rules) < MOST_RULES and (left & target & ~prunes).any():
+    for _ in range(MOST_TRIES):
         grow, prune = left & ~prunes, left & prunes
-        tests = _grow({f: v[grow] for f, v in rows.items()}, target[grow])
-        if not tests:
+        if len(rules) == MOST_RULES or not (grow & target).any():
             break
-        tests = _prune(tests, {f: v[prune] for f, v in rows.items()}, target[prune])
-        inside = _covered(tests, rows, len(frame)) & left
-        held = inside & prune
-        right, all_held = (held & target).sum(), held.sum()
-        if all_held < LEAST_COVERED or right < LEAST_PRECISION * all_held:
+        grown = _grow({f: v[grow] for f, v in rows.items()}, target[grow])
+        if not grown:
             break
-        if (inside & target).sum() < LEAST_PRECISION * inside.sum():
-            break
-        rules.append(tests)
-        left &= ~inside
+        pruned = _prune(grown, {f: v[prune] for f, v in rows.items()}, target[prune])
+        for tests in (pruned, grown):
+            inside = _covered(tests, rows, len(frame)) & left
+            if _precise(inside & prune, target) and _precise(inside, target):
+                rules.append(tests)
+                left &= ~inside
+                break
+        else:
+            # What it found can't be told apart; the rest may still have a rule.
+            left &= ~(_covered(grown, rows, len(frame)) & target)
     return rules
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", bound: int = SAMPLE) -> DataFrame:
+def _precise(inside: np.ndarray, target: np.ndarray) -> bool:
+    return inside.sum() >= LEAST_COVERED and (inside & target).sum() >= LEAST_PRECISION * inside.sum()
+
+
+def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", bound: int = SAMPLE, label_id: str | None = None) -> DataFrame:
     """Rows of ``docs`` with a label, for at most ``bound`` labels of the smallest id hash."""
+    label_id = label_id or id_col
     picked = (
-        labels.filter(labels[label].isNotNull() & labels[id_col].isNotNull())
-        .select(labels[id_col].alias("__label_id"), labels[label].alias("__label"))
+        labels.filter(labels[label].isNotNull() & labels[label_id].isNotNull())
+        .select(labels[label_id].alias("__label_id"), labels[label].alias("__label"))
         .orderBy(F.xxhash64("__label_id"), "__label_id", "__label")
         .limit(bound)
     )
     return docs.join(F.broadcast(picked), docs[id_col] == picked["__label_id"])
 
 
-def decision_list(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text", bound: int = SAMPLE) -> list[list[Test]]:
+def decision_list(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text", bound: int = SAMPLE, label_id: str | None = None) -> list[list[Test]]:
     """Learn the rules from labelled documents."""
-    rows = with_statistics(sample_labelled(docs, labels, label, id_col, bound), text, ["__label_id", "__label"])
+    rows = with_statistics(sample_labelled(docs, labels, label, id_col, bound, label_id), text, ["__label_id", "__label"])
     features = _features()
     frame = rows.select("__label_id", "__label", *STATISTICS, *[c.alias(n) for n, c in features.items()]).toPandas()
     names = ["n_words", *features]
@@ -227,8 +236,8 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, bound: int = SAMPLE) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None, bound: int = SAMPLE, label_id: str | None = None) -> DataFrame:
     """Columns ``keep`` with statistics, ``base_failed`` and ``kept``."""
-    rules = decision_list(docs, labels, label, id_col, text, bound)
+    rules = decision_list(docs, labels, label, id_col, text, bound, label_id)
     rows = with_statistics(docs, text, keep).withColumn("base_failed", base_failed())
     return rows.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(verdict(rules)))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, mapped, text_key
+from tidemark.llm.common import cut, mapped, text_key, unused
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -165,6 +165,8 @@ def links(prints: DataFrame, name: str, radius: int = MAX_BITS) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
+            if frame.empty:
+                continue
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             last = frame["meeting"].iloc[-1]
             rest = frame[frame["meeting"] == last]
@@ -239,9 +241,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     """One row of each component, with the columns of ``docs``."""
     found = near_duplicates(docs, id_col, text, shingle, radius)
     stay = found.select(F.col("keeper.id").alias("__id"), F.col("keeper.text_key").alias("__key")).distinct()
-    keyed = docs.withColumns({"__own": text_key(docs[text]), "__own_id": docs[id_col]})
-    rows = keyed.join(stay, keyed["__own_id"].eqNullSafe(stay["__id"]) & (keyed["__own"] == stay["__key"]), "left_semi")
-    return rows.dropDuplicates(["__own_id", "__own"]).select(*[rows[c] for c in docs.columns])
+    own, own_id = unused(docs, "__own"), unused(docs, "__own_id")
+    keyed = docs.withColumns({own: text_key(docs[text]), own_id: docs[id_col]})
+    rows = keyed.join(stay, keyed[own_id].eqNullSafe(stay["__id"]) & (keyed[own] == stay["__key"]), "left_semi")
+    return rows.dropDuplicates([own_id, own]).select(*[rows[c] for c in docs.columns])
 
 
 def hex_of(fp: Column) -> Column:

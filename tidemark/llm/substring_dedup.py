@@ -150,7 +150,8 @@ def repeated(texts: list[bytes], length: int) -> list[list[tuple[int, int]]]:
 def _seeds(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ids, seeds, times = [], [], []
+            none = np.zeros(0, dtype=np.int64)
+            ids, seeds, times = [none], [none], [none]
             for doc, text in zip(frame["doc"], frame["text"]):
                 words = words_of(text)
                 hashes = shingle_hashes(words, seed_words)
@@ -183,7 +184,10 @@ def _stretch_rows(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
                     out.append((int(signed[n]), doc, key, a, b - a, b" ".join(words[a:b])))
             yield pd.DataFrame(out, columns=["seed", "doc", "key", "start", "size", "part"])
 
-    found = mapped(rows.select("id", "doc", "key", "text", "picks"), run, "seed long, doc long, key long, start int, size int, part binary"
+    found = mapped(
+        rows.select("id", "doc", "key", "text", "picks"),
+        run,
+        "seed long, doc long, key long, start int, size int, part binary",
     )
     return found.withColumn("part_key", F.xxhash64("part"))
 
@@ -193,6 +197,8 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
     dealt = rows.repartition("seed").sortWithinPartitions("seed", "doc", "start", "key")
 
     def found(frame: pd.DataFrame) -> pd.DataFrame:
+        # A repeated row brings each of its stretches twice; neither copy is the earlier one.
+        frame = frame.drop_duplicates(["seed", "doc", "start", "key"])
         seeds, parts = frame["seed"].to_numpy(), frame["part"].tolist()
         edges = np.flatnonzero(np.diff(seeds)) + 1
         at, low, high = [], [], []
@@ -209,6 +215,8 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
+            if frame.empty:
+                continue
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             last = frame["seed"].iloc[-1]
             rest = frame[frame["seed"] == last]
@@ -216,7 +224,8 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
         if rest is not None:
             yield found(rest)
 
-    return mapped(dealt, run, "seed long, doc long, key long, start int, part_key long, low int, high int"
+    return mapped(
+        dealt, run, "seed long, doc long, key long, start int, part_key long, low int, high int"
     )
 
 
