@@ -10,6 +10,8 @@ STORED = {
     "retention_delete_current_state", "retention_drop_audit_days", "purge_landing_after_load",
     "retention_many_tables", "domain_control_state", "extract_after_merge", "entity_check_matrix", "fact_star_keys", "dimension_state",
     "dimension_equipment", "dimension_operation", "dimension_farm", "dimension_front",
+    "two_streams_one_table", "surrogate_key_upper_key", "dropped_client_key", "quarantine_front",
+    "domain_rejects_audited", "views_for_sql",
 }
 
 
@@ -24,12 +26,13 @@ def test_no_python_and_no_cross_join(spark, folder, name):
         assert operator not in text, f"{operator} in {name}"
 
 
-@pytest.mark.parametrize("name, column", [("watermark_slice", "ts"), ("extract_by_cursor", "ts"), ("retained_rows", None)])
+@pytest.mark.parametrize("name, column", [
+    ("watermark_slice", "IsNotNull(ts), GreaterThan(ts,"), ("extract_by_cursor", "IsNotNull(ts), GreaterThan(ts,"),
+    ("retained_rows", "Or(IsNull(o_orderdate),GreaterThanOrEqual(o_orderdate,"),
+])
 def test_bounds_reach_the_scan(spark, folder, name, column):
     text = plan(REGISTRY[name].run(spark, folder))
-    if column:
-        assert f"GreaterThan({column}," in text
-    assert "PushedFilters: [" in text or "DataFilters" in text
+    assert f"PushedFilters: [{column}" in text
 
 
 def test_latest_row_is_ranked_before_the_shuffle(spark, folder):
@@ -51,6 +54,11 @@ def test_scan_reads_only_what_is_used(spark, folder):
     assert "o_totalprice" not in text.split("== Optimized Logical Plan ==")[1].split("ReadSchema")[-1]
 
 
+def test_check_matrix_scans_once_for_nulls_and_once_for_each_key(spark, folder):
+    text = plan(REGISTRY["entity_check_matrix"].run(spark, folder))
+    assert text.count("FileScan parquet") <= 3
+
+
 def test_row_checks_share_one_scan(spark, folder):
     text = plan(REGISTRY["row_checks_one_scan"].run(spark, folder))
     assert text.count("FileScan parquet") == 1

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark import entities as E
-from tidemark.operators.checks import entity_checks, run_checks
+from tidemark.operators.checks import entity_checks
 from tidemark.operators.keys import allocate_missing_keys, highest_key
 from tidemark.plans.control import Control
 from tidemark.plans.current_state import extract, merge_current_state
@@ -26,9 +26,9 @@ from tidemark.plans.monitor import (
 )
 from tidemark.plans.retention import purge_control, purge_current_state
 from tidemark.session import work_folder
-from tidemark.sources.tables import KeyedTable
-from tidemark.spec import TIME_SENTINEL, struct_type
-from tidemark.streaming.upsert import landing_stream, stream_upsert
+from tidemark.sources.tables import AppendTable, KeyedTable
+from tidemark.spec import EXTRACTED_AT, TIME_SENTINEL, EntitySpec, struct_type
+from tidemark.streaming.upsert import landing_stream, stream_id, stream_upsert
 
 T0 = datetime(2024, 3, 1, 6)
 STATE_LANDING = struct_type(
@@ -232,7 +232,7 @@ def test_domain_run_records_and_purges(spark):
     audit = wh.control.audit()
     assert audit.filter("status = 'STARTED' and ended_at is null").count() == 1
     assert audit.select("audit_event_id").distinct().count() == audit.count()
-    report = run_checks(entity_checks(wh.dimension(E.STATE).read(), E.STATE, True), "dim")
+    report = entity_checks(wh.dimension(E.STATE).read(), E.STATE, True, "dim")
     assert {r["status"] for r in report.collect()} == {"pass"}
 
 
@@ -337,10 +337,80 @@ def test_stream_merges_each_file_and_skips_replays(spark):
     assert as_map(table.read(), "cd_estado", "desc_estado") == {
         "A": ("three",), "K0": ("one",), "K1": ("two",), "K2": ("three",),
     }
-    last = table.listing().applied["landing"]
+    # A true replay: the same stream and batch once more.
+    ((writer, last),) = table.listing().applied.items()
+    assert writer == f"stream-{stream_id(spark, f'{root}/checkpoint')}"
     assert merge_current_state(
-        E.STATE, states(spark, ("Z", "z", T0)), table, T0, last, writer="landing"
+        E.STATE, states(spark, ("Z", "z", T0)), table, T0, last, writer=writer
     ).rows == 0
+    # A fresh checkpoint reads all files again, and a new file is not taken for an old batch.
+    states(spark, ("N", "new", T0)).write.mode("append").parquet(f"{root}/landing")
+    stream = landing_stream(spark, f"{root}/landing", STATE_LANDING)
+    stream_upsert(E.STATE, stream, table, f"{root}/fresh", T0).awaitTermination()
+    assert as_map(table.read(), "cd_estado", "desc_estado")["N"] == ("new",)
+
+
+def test_stream_keeps_rows_without_a_key(spark):
+    root = work_folder(spark, "stream")
+    table = KeyedTable(spark, f"{root}/state", E.STATE.key, 4)
+    quarantine = AppendTable(spark, f"{root}/quarantine", EXTRACTED_AT)
+    states(spark, (None, "lost", T0), ("A", "kept", T0)).write.parquet(f"{root}/landing")
+    stream = landing_stream(spark, f"{root}/landing", STATE_LANDING)
+    stream_upsert(E.STATE, stream, table, f"{root}/checkpoint", T0, quarantine).awaitTermination()
+    assert [r["desc_estado"] for r in quarantine.read().collect()] == ["lost"]
+    assert table.rows() == 1
+
+
+def test_quarantine_takes_a_batch_once_and_null_keys_can_be_kept(spark):
+    root = work_folder(spark, "quarantine")
+    quarantine = AppendTable(spark, f"{root}/quarantine", EXTRACTED_AT)
+    landing = states(spark, (None, "x", T0), (None, "y", T0 + timedelta(hours=1)), ("A", "z", T0))
+    table = state_table(spark)
+    for _ in range(2):
+        outcome = merge_current_state(
+            E.STATE, landing, table, T0, "b1", writer="w", quarantine=quarantine
+        )
+    assert quarantine.rows() == 2 and outcome.rejected.count() == 2 and table.rows() == 1
+    kept = replace(E.STATE, keep_null_keys=True)
+    table = state_table(spark, kept)
+    for batch in ("b1", "b2"):
+        merge_current_state(kept, landing, table, T0, batch, quarantine=quarantine)
+    # A null key matches nothing, so it is new every time, as in the source system.
+    assert table.read().filter("cd_estado IS NULL").count() == 2 and quarantine.rows() == 2
+
+
+def test_domain_keeps_and_counts_rejected_rows(spark):
+    wh = Warehouse(spark, work_folder(spark, "wh"))
+    arrivals = {E.STATE.name: states(spark, (None, "x", T0), ("A", "y", T0))}
+    found = run_domain(wh, [E.STATE], arrivals, T0, "b1")
+    assert found["status"] == "SUCCESS" and found["purged"] == 2
+    event = wh.control.audit().filter("step_name LIKE 'QUARANTINE%'").first()
+    assert (event["target_name"], event["rows_processed"]) == (E.STATE.name, 1)
+    wh.landing(E.STATE).vacuum(T0 + timedelta(days=3650))
+    assert [r["desc_estado"] for r in wh.quarantine(E.STATE).read().collect()] == ["x"]
+    assert found["entities"][E.STATE.name]["rejected"].count() == 1
+
+
+@pytest.mark.parametrize("small_bytes", [0, None])
+@pytest.mark.parametrize("column", [{"upper": True}, {"length": 3}, {"upper": True, "length": 3}])
+def test_surrogate_keys_stay_on_both_sides_of_the_size_switch(spark, small_bytes, column):
+    spec = EntitySpec(
+        "coded", ("code",), (E.Column("code", **column), E.Column("value", "int")), "sk_coded"
+    )
+    root = work_folder(spark, "coded")
+    state = KeyedTable(spark, f"{root}/state", spec.key, 4, small_bytes)
+    dimension = KeyedTable(spark, f"{root}/dimension", spec.key, 4, small_bytes)
+    keys = []
+    for n in range(2):
+        at = T0 + timedelta(days=n)
+        rows = [(f"k{i}xyz", n, at, at) for i in range(9)]
+        landing = spark.createDataFrame(
+            rows, "code string, value int, source_updated_at timestamp_ntz, _airbyte_extracted_at timestamp_ntz"
+        )
+        merge_current_state(spec, landing, state, at, f"b{n}")
+        load_dimension(spec, state.read(), dimension, T0 if n else None, at, f"b{n}")
+        keys.append(as_map(dimension.read().filter("sk_coded <> -1"), "code", "sk_coded"))
+    assert keys[0] == keys[1] and len(keys[0]) == 9
 
 
 def client_landing(spark, *ids):

@@ -525,13 +525,19 @@ def run_checks(
     return result.withColumn("status", status)
 
 
-def entity_checks(df: DataFrame, spec: Any, surrogate: bool) -> dict[str, DataFrame]:
-    """The standard matrix: unique key, complete key and technical columns."""
-    checks = {"unique_key": unique_combination_of_columns(df, spec.key)}
+def entity_checks(
+    df: DataFrame, spec: Any, surrogate: bool, table: str, thresholds: Thresholds = Thresholds()
+) -> DataFrame:
+    """The standard matrix: unique keys, complete key and technical columns.
+
+    All columns are searched for nulls in one scan; each key takes one more.
+    """
+    unique_keys = {"unique_key": unique_combination_of_columns(df, spec.key)}
     required = [*spec.key, "etl_batch_id", "bi_created_at", "bi_updated_at"]
     if surrogate and spec.surrogate_key:
-        checks["unique_surrogate_key"] = unique(df, spec.surrogate_key)
+        unique_keys["unique_surrogate_key"] = unique(df, spec.surrogate_key)
         required.insert(0, spec.surrogate_key)
-    for column in required:
-        checks[f"not_null_{column}"] = not_null(df, column)
-    return checks
+    complete = [RowCheck(f"not_null_{c}", F.col(c).isNull()) for c in required]
+    return run_checks(unique_keys, table, thresholds).unionByName(
+        run_row_checks(df, table, complete, thresholds)
+    )

@@ -12,8 +12,9 @@ from tidemark.operators.changes import changed_or_new, split_null_keys
 from tidemark.operators.latest import latest_in_landing, latest_in_staging
 from tidemark.operators.merge import upsert
 from tidemark.sources.readers import changed_since
-from tidemark.sources.tables import KeyedTable
+from tidemark.sources.tables import AppendTable, KeyedTable
 from tidemark.spec import (
+    BATCH_ID,
     LANDING_EXTRACTED_AT,
     SOURCE_UPDATED_AT,
     TIME_SENTINEL,
@@ -31,6 +32,16 @@ CURSOR = "cursor"
 class MergeOutcome:
     rows: int
     rejected: DataFrame
+    # How many rows the quarantine took; None without one.
+    quarantined: int | None = None
+
+
+def _usable(spec: EntitySpec, landing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conformed rows that can be merged, and those to set aside."""
+    rows = conform_landing(landing, spec)
+    if spec.keep_null_keys:
+        return rows, rows.limit(0)
+    return split_null_keys(rows, spec.key)
 
 
 def landing_changes(
@@ -41,7 +52,7 @@ def landing_changes(
     batch_id: str,
 ) -> DataFrame:
     """New and changed rows of a landing slice, stamped for this run."""
-    complete, _ = split_null_keys(conform_landing(landing, spec), spec.key)
+    complete, _ = _usable(spec, landing)
     return changed_or_new(latest_in_landing(complete, spec.key), target, spec, run_ts, batch_id)
 
 
@@ -64,14 +75,24 @@ def merge_current_state(
     run_ts: datetime,
     batch_id: str,
     writer: str | None = None,
+    quarantine: AppendTable | None = None,
 ) -> MergeOutcome:
-    """Merge a landing slice into the stored current state."""
-    complete, rejected = split_null_keys(conform_landing(landing, spec), spec.key)
+    """Merge a landing slice into the stored current state.
+
+    Rows with an incomplete key are stored in the quarantine, with the batch that met
+    them, before the merge is published; a replayed batch adds them once.
+    """
+    complete, rejected = _usable(spec, landing)
+    quarantined = None
+    if quarantine is not None and not spec.keep_null_keys:
+        stamped = rejected.withColumn(BATCH_ID, F.lit(batch_id))
+        quarantined = quarantine.append(stamped, writer, batch_id)
+        rejected = quarantine.read().filter(F.col(BATCH_ID) == batch_id)
     target = table.matching(complete) if table.exists() else None
     latest = latest_in_landing(complete, spec.key)
     changes = changed_or_new(latest, target, spec, run_ts, batch_id)
     record = {CURSOR: F.max(SOURCE_UPDATED_AT)}
-    return MergeOutcome(table.merge(changes, writer, batch_id, record), rejected)
+    return MergeOutcome(table.merge(changes, writer, batch_id, record), rejected, quarantined)
 
 
 def extract(

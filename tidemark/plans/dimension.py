@@ -18,6 +18,7 @@ from tidemark.spec import (
     UNKNOWN_KEY,
     UPDATED_AT,
     EntitySpec,
+    conform_current_state,
 )
 
 
@@ -41,6 +42,12 @@ def unknown_member(
     )
 
 
+def _stored(spec: EntitySpec, name: str) -> Column:
+    """A business column as the dimension stores it."""
+    upper = any(c.upper for c in spec.columns if c.name == name)
+    return (F.upper(name) if upper else F.col(name)).alias(name)
+
+
 def dimension_rows(
     spec: EntitySpec,
     slice_: DataFrame,
@@ -49,7 +56,7 @@ def dimension_rows(
 ) -> DataFrame:
     """The slice in dimension form; known natural keys keep their surrogate key."""
     rows = slice_.select(
-        *[(F.upper(c.name) if c.upper else F.col(c.name)).alias(c.name) for c in spec.columns],
+        *[_stored(spec, c.name) for c in spec.columns],
         BATCH_ID,
         CREATED_AT,
         UPDATED_AT,
@@ -108,7 +115,8 @@ def load_dimension(
         used = table.highest(SURROGATE) if sk else 0
         if used is None:
             used = highest_key(table.read(), sk)
-        known = table.matching(newer_rows(current_state, watermark))
+        arriving = conform_current_state(newer_rows(current_state, watermark), spec)
+        known = table.matching(arriving.select(*[_stored(spec, k) for k in spec.key]))
         rows = dimension_rows(spec, slice_, known, max(used, 0))
     else:
         rows = dimension_rows(spec, staging_view(spec, current_state), None)

@@ -24,7 +24,9 @@ from tidemark.plans.control import (
 from tidemark.plans.current_state import merge_current_state, staging_view
 from tidemark.plans.dimension import dimension_watermark, load_dimension
 from tidemark.sources.tables import AppendTable, KeyedTable
-from tidemark.spec import LANDING_EXTRACTED_AT, EntitySpec
+from tidemark.spec import EXTRACTED_AT, LANDING_EXTRACTED_AT, EntitySpec
+
+QUARANTINE_STEP = "QUARANTINE_"
 
 
 class Warehouse:
@@ -44,6 +46,10 @@ class Warehouse:
     def current_state(self, spec: EntitySpec) -> KeyedTable:
         return KeyedTable(self.spark, self.path("ds", spec.name), spec.key, spec.parts)
 
+    def quarantine(self, spec: EntitySpec) -> AppendTable:
+        """Rows whose key is incomplete, by the day they were extracted."""
+        return AppendTable(self.spark, self.path("quarantine", spec.name), EXTRACTED_AT)
+
     def dimension(self, spec: EntitySpec) -> KeyedTable:
         return KeyedTable(self.spark, self.path("dw", spec.name), spec.key, spec.parts)
 
@@ -65,13 +71,20 @@ class Warehouse:
 def load_entity(wh: Warehouse, spec: EntitySpec, run_ts: datetime, batch_id: str) -> dict[str, Any]:
     """Landing to current state to dimension for one entity."""
     state, dimension = wh.current_state(spec), wh.dimension(spec)
-    merged = merge_current_state(spec, wh.landing(spec).read(), state, run_ts, batch_id)
+    merged = merge_current_state(
+        spec, wh.landing(spec).read(), state, run_ts, batch_id, quarantine=wh.quarantine(spec)
+    )
     watermark = wh.control.watermark(spec.pipeline_name)
     loaded = load_dimension(spec, state.read(), dimension, watermark, run_ts, batch_id)
     # Data first, watermark second: a stop in between repeats rows, which changes nothing.
     committed = dimension_watermark(spec, dimension)
     wh.control.commit({spec.pipeline_name: committed}, batch_id, run_ts)
-    return {"merged": merged.rows, "loaded": loaded, "rejected": merged.rejected}
+    return {
+        "merged": merged.rows,
+        "loaded": loaded,
+        "rejected": merged.rejected,
+        "quarantined": merged.quarantined or 0,
+    }
 
 
 def run_domain(
@@ -141,6 +154,15 @@ def run_domain(
                     "details": detail,
                 }
             )
+            if found.get("quarantined"):
+                events.append(
+                    {
+                        **record,
+                        "step_name": f"{QUARANTINE_STEP}{spec.name.upper()}",
+                        "status": SUCCESS,
+                        "rows_processed": found["quarantined"],
+                    }
+                )
 
     purged = 0
     if not errors:

@@ -14,12 +14,16 @@ from tidemark.spec import UPDATED_AT
 
 
 def before_day(column: str, day: date) -> Column:
-    """True for times on an earlier day; a null time is never old."""
-    return F.col(column).cast("date") < F.lit(day)
+    """True for times on an earlier day; a null time is never old.
+
+    Compared with the start of the day, so the scan can use the bound.
+    """
+    return F.col(column) < F.lit(day).cast("timestamp_ntz")
 
 
-def retained(df: DataFrame, expired: Column) -> DataFrame:
-    return df.filter(~expired | expired.isNull())
+def retained(df: DataFrame, column: str, day: date) -> DataFrame:
+    """Rows that a cut at ``day`` keeps, those without a time among them."""
+    return df.filter(F.col(column).isNull() | ~before_day(column, day))
 
 
 def retention_counts(df: DataFrame, column: str, day: date) -> DataFrame:

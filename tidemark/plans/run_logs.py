@@ -54,8 +54,8 @@ def pipeline_of_model(model: Column) -> Column:
     text = F.trim(model)
     return (
         F.when(text.startswith("dim_"), text)
-        .when(text.startswith("stg_ds__"), F.concat(F.lit("dim_"), F.substring(text, 9, 10_000)))
-        .when(text.startswith("ds_"), F.concat(F.lit("dim_"), F.substring(text, 4, 10_000)))
+        .when(text.startswith("stg_ds__"), F.concat(F.lit("dim_"), F.substr(text, F.lit(9))))
+        .when(text.startswith("ds_"), F.concat(F.lit("dim_"), F.substr(text, F.lit(4))))
     )
 
 
@@ -132,13 +132,22 @@ TEXT_METRICS = {
 }
 
 
+def _hits(text: str, pattern: str, stream: int, count: int) -> Column:
+    """(stream_name, row_count) of all matches; the text is searched once."""
+    return F.transform(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda m: F.struct(
+            F.regexp_extract(m, pattern, stream).alias("stream_name"),
+            F.regexp_extract(m, pattern, count).alias("row_count"),
+        ),
+    )
+
+
 def stream_counts(logs: DataFrame, batch: str, text: str) -> DataFrame:
     """Largest row count each stream reports in the log texts of a batch."""
     found: list[Column] = []
     for pattern, stream, count in STREAM_TEXTS:
-        names = F.regexp_extract_all(text, F.lit(pattern), F.lit(stream))
-        counts = F.regexp_extract_all(text, F.lit(pattern), F.lit(count))
-        found.append(F.arrays_zip(names.alias("stream_name"), counts.alias("row_count")))
+        found.append(_hits(text, pattern, stream, count))
     hits = logs.select(batch, F.explode(F.concat(*found)).alias("hit"))
     return (
         hits.select(batch, "hit.stream_name", F.col("hit.row_count").cast("bigint").alias("n"))
@@ -175,52 +184,124 @@ def _stats(*names: str) -> str:
 
 
 _ALL_METRICS = f"struct<{_stats(*STREAM_METRIC_ORDER)}>"
-_STREAMS = (
-    f"array<struct<streamName:string, stream_name:string, streamDescriptor:struct<name:string>,"
-    f" stats:{_ALL_METRICS}>>"
+# Metrics that make an object the statistics of a sync.
+_SYNC_METRICS = (*_SYNCED, *_COMMITTED, *_EMITTED, *_EXTRACTED)
+_STREAM_KEYS = (
+    "streamStats", "stream_stats", "streamStatuses", "stream_statuses", "streamStatus",
+    "stream_status",
+)
+# An object of a payload; nested text stays JSON until its shape is known.
+_LEVEL = (
+    f"{_stats(*STREAM_METRIC_ORDER)}, totalStats:{_ALL_METRICS}, total_stats:{_ALL_METRICS}, "
+    + ", ".join(f"{k}:string" for k in _STREAM_KEYS)
 )
-_BODY = (
-    f"status:string, totalStats:{_ALL_METRICS}, total_stats:{_ALL_METRICS},"
-    f" streamStats:{_STREAMS}, stream_stats:{_STREAMS}"
+_DESCRIPTOR = "struct<name:string, streamName:string, stream_name:string>"
+_STREAM = (
+    f"{_stats(*STREAM_METRIC_ORDER)}, streamName:string, stream_name:string, name:string, "
+    f"streamDescriptor:{_DESCRIPTOR}, stream_descriptor:{_DESCRIPTOR}, stats:{_ALL_METRICS}"
 )
-_ATTEMPTS = f"array<struct<{_BODY}, attempt:struct<{_BODY}>>>"
-PAYLOAD_SCHEMA = f"struct<attempts:{_ATTEMPTS}, job:struct<attempts:{_ATTEMPTS}>>"
 
 
-def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
-    """Totals and stream sums of the last finished attempt in each sync payload.
+def _struct(fields: str) -> str:
+    return f"struct<{fields}>"
 
-    Attempts may lie below a job and wrap their content, and names come in two spellings.
-    """
-    parsed = F.from_json(payload, PAYLOAD_SCHEMA)
-    attempts = F.coalesce(parsed["job"]["attempts"], parsed["attempts"])
+
+def _is_object(json: Column) -> Column:
+    return F.coalesce(json.startswith("{"), F.lit(False))
+
+
+def _child(json: Column, name: str) -> Column:
+    """The JSON object below a key, or null."""
+    value = F.get_json_object(json, f"$.{name}")
+    return F.when(_is_object(value), value)
+
+
+def _objects(json: Column) -> Column:
+    """The objects of a JSON list, or the one object in place of a list."""
+    none = F.array().cast("array<string>")
+    listed = F.filter(F.from_json(json, "array<string>"), _is_object)
+    return F.when(json.startswith("["), listed).when(_is_object(json), F.array(json)).otherwise(none)
+
+
+def _terminal_attempt(job: Column) -> Column:
+    """The last finished attempt of a job, else its last or its only one."""
 
     def ended(a: Column) -> Column:
-        status = F.coalesce(a["status"], a["attempt"]["status"])
-        return F.lower(F.trim(status)).isin(TERMINAL_STATES)
+        status = F.coalesce(F.get_json_object(a, "$.status"), F.get_json_object(a, "$.attempt.status"))
+        return F.coalesce(F.lower(F.trim(status)).isin(TERMINAL_STATES), F.lit(False))
+
+    attempts = _objects(F.get_json_object(job, "$.attempts"))
+    finished = F.filter(attempts, ended)
+    return F.coalesce(
+        F.try_element_at(finished, F.lit(-1)), F.try_element_at(attempts, F.lit(-1)), _child(job, "attempt")
+    )
+
+
+def _streams(json: Column) -> Column:
+    """(name, stream) for each stream of a list, of one stream, or of a map by name."""
+    one = F.lit(None).cast("string")
+    nothing = F.lit(None).cast(f"array<struct<name:string, stream:{_struct(_STREAM)}>>")
 
-    finished = F.filter("__attempts", ended)
-    last = F.when(F.size(finished) > 0, F.element_at(finished, -1)).otherwise(
-        F.try_element_at("__attempts", F.lit(-1))
+    def parsed(name: Column, text: Column) -> Column:
+        return F.struct(name.alias("name"), F.from_json(text, _struct(_STREAM)).alias("stream"))
+
+    single = F.lit(False)
+    for key in ("streamName", "stream_name", "streamDescriptor", "stats"):
+        single = single | F.get_json_object(json, f"$.{key}").isNotNull()
+    by_name = F.filter(
+        F.map_entries(F.from_json(json, "map<string,string>")), lambda e: _is_object(e["value"])
+    )
+    found = (
+        F.when(json.startswith("["), F.transform(_objects(json), lambda t: parsed(one, t)))
+        .when(_is_object(json) & single, F.array(parsed(one, json)))
+        .when(_is_object(json), F.transform(by_name, lambda e: parsed(e["key"], e["value"])))
     )
+    return F.when(F.size(found) > 0, found).otherwise(nothing)
+
 
-    def either(*names: str) -> Column:
-        found = [F.col(f"__last.{n}") for n in names]
-        return F.coalesce(*found, *[F.col(f"__last.attempt.{n}") for n in names])
+def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
+    """Metrics, totals and stream sums of the last finished attempt in each sync payload.
+
+    Attempts may lie below a job, be one object or wrap their content. What an attempt lacks
+    is taken from the job, or from the payload if there is no job. Metrics may stand on the
+    object itself or in its totals; streams may be a list, one stream or a map by name, with
+    the metrics in their stats or beside them; names come in two spellings.
+    """
+    rows = payloads.withColumn("__job", F.coalesce(_child(F.col(payload), "job"), F.col(payload)))
+    rows = rows.withColumn("__last", _terminal_attempt(F.col("__job")))
+    levels = {
+        "__l0": F.col("__last"),
+        "__l1": _child(F.col("__last"), "attempt"),
+        "__l2": F.col("__job"),
+        "__l3": _child(F.col("__job"), "attempt"),
+    }
+    rows = rows.withColumns({n: F.from_json(text, _struct(_LEVEL)) for n, text in levels.items()})
+
+    def first(make) -> Column:
+        return F.coalesce(*[make(F.col(n)) for n in levels])
+
+    def sync(level: Column) -> Column:
+        held = F.coalesce(*[level[m] for m in _SYNC_METRICS]).isNotNull()
+        return F.when(held, F.struct(*[level[m].alias(m) for m in STREAM_METRIC_ORDER]))
+
+    def streams(level: Column) -> Column:
+        return F.coalesce(*[_streams(level[k]) for k in _STREAM_KEYS])
 
-    rows = payloads.withColumn("__attempts", attempts).withColumn("__last", last)
     rows = rows.withColumns(
         {
-            "__totals": either("totalStats", "total_stats"),
-            "__streams": either("streamStats", "stream_stats"),
+            "__sync": first(sync),
+            "__totals": first(lambda v: F.coalesce(v["totalStats"], v["total_stats"])),
+            "__streams": first(streams),
         }
     )
 
-    def total(*names: str) -> Column:
-        return F.coalesce(*[F.col(f"__totals.{n}") for n in names])
+    def total(own: Sequence[str], *more: str) -> Column:
+        names = [F.col(f"__sync.{n}") for n in own] + [F.col(f"__totals.{n}") for n in (*own, *more)]
+        return F.coalesce(*names)
 
-    def metric(stream: Column, names: Sequence[str]) -> Column:
-        return F.coalesce(*[stream["stats"][n] for n in names])
+    def metric(item: Column, names: Sequence[str]) -> Column:
+        stream = item["stream"]
+        return F.coalesce(*[F.coalesce(stream["stats"][n], stream[n]) for n in names])
 
     known = F.filter(
         F.transform("__streams", lambda s: metric(s, STREAM_METRIC_ORDER)),
@@ -230,18 +311,22 @@ def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
         F.size(known) > 0, F.aggregate(known, F.lit(0).cast("bigint"), lambda a, b: a + b)
     )
 
-    def described(s: Column) -> Column:
-        name = F.coalesce(s["streamDescriptor"]["name"], s["streamName"], s["stream_name"])
-        return F.concat(name, F.lit("="), metric(s, STREAM_SUMMARY_ORDER).cast("string"))
+    def described(item: Column) -> Column:
+        stream = item["stream"]
+        label = F.coalesce(stream["streamDescriptor"], stream["stream_descriptor"])
+        name = F.when(
+            label.isNotNull(), F.coalesce(label["name"], label["streamName"], label["stream_name"])
+        ).otherwise(F.coalesce(stream["streamName"], stream["stream_name"], stream["name"], item["name"]))
+        return F.concat(name, F.lit("="), metric(item, STREAM_SUMMARY_ORDER).cast("string"))
 
     summary = F.nullif(F.array_join(F.transform("__streams", described), ", "), F.lit(""))
     return rows.select(
         batch,
         F.col("__totals").isNotNull().alias("has_totals"),
-        total(*_SYNCED, *_LOADED).alias("rows_synced"),
-        total(*_COMMITTED).alias("rows_committed"),
-        total(*_EMITTED).alias("rows_emitted"),
-        total(*_EXTRACTED).alias("rows_extracted"),
+        total(_SYNCED, *_LOADED).alias("rows_synced"),
+        total(_COMMITTED).alias("rows_committed"),
+        total(_EMITTED).alias("rows_emitted"),
+        total(_EXTRACTED).alias("rows_extracted"),
         summed.alias("rows_stream_stats_total"),
         summary.alias("stream_stats_summary"),
     )

@@ -416,3 +416,40 @@ def sync_log_stats(t: Tables) -> DataFrame:
     payloads = t.customer.select(F.col("c_custkey").alias("batch"), payload.alias("payload"))
     found = L.sync_log_stats(payloads, _sync_texts(t.events), "batch", "payload", "text")
     return found.select("batch", "rows_processed", "rows_metric_source")
+
+
+_SHAPES = [
+    # payload around the number, metric that counts, what it adds to the number
+    ('{"job":{"attempts":[{"status":"succeeded","recordsSynced":#}]}}', "records_synced", 0),
+    ('{"job":{"attempts":{"status":"failed","totalStats":{"recordsEmitted":#}}}}', "records_emitted", 0),
+    ('{"attempt":{"status":"running","total_stats":{"records_committed":#}}}', "records_committed", 0),
+    ('{"totalStats":{"recordsExtracted":#}}', "records_extracted", 0),
+    ('{"attempts":[{"streamStatuses":[{"streamName":"a","recordsLoaded":#},{"name":"b","stats":{"recordsSynced":1}}]}]}', "stream_stats_total", 1),
+    ('{"attempts":[{"stream_stats":{"a":{"recordsCommitted":#},"b":{"records_emitted":2}}}]}', "stream_stats_total", 2),
+    ('{"job":{"recordsCommitted":#}}', "records_committed", 0),
+    ('{"attempts":[{"attempt":{"status":"completed","recordsEmitted":#}},{"status":"running","recordsEmitted":1}]}', "records_emitted", 0),
+    ('{"streamStatus":{"stream_descriptor":{"name":"x"},"stats":{"recordsSynced":#}}}', "stream_stats_total", 0),
+]
+
+
+@query(
+    "sync_payload_shapes",
+    "WITH c AS (SELECT c_custkey AS batch, CAST(floor(abs(c_acctbal)) AS BIGINT) + 1 AS n, c_custkey % 9 AS k FROM customer)"
+    + "\nSELECT batch, n + CASE k "
+    + " ".join(f"WHEN {i} THEN {more}" for i, (_, _, more) in enumerate(_SHAPES))
+    + " END AS rows_processed, CASE k "
+    + " ".join(f"WHEN {i} THEN '{metric}'" for i, (_, metric, _) in enumerate(_SHAPES))
+    + " END AS rows_metric_source FROM c",
+)
+def sync_payload_shapes(t: Tables) -> DataFrame:
+    """The shapes in which sync payloads come, each with its own place for the metrics."""
+    number = (F.floor(F.abs("c_acctbal")) + 1).cast("string")
+    payload = F.lit(None).cast("string")
+    for i, (shape, _, _) in enumerate(_SHAPES):
+        before, after = shape.split("#")
+        made = F.concat(F.lit(before), number, F.lit(after))
+        payload = F.when(F.col("c_custkey") % 9 == i, made).otherwise(payload)
+    payloads = t.customer.select(F.col("c_custkey").alias("batch"), payload.alias("payload"))
+    stats = L.payload_stats(payloads, "batch", "payload")
+    texts = {"text_metric": F.lit(None).cast("string"), "rows_from_text": F.lit(None).cast("bigint")}
+    return L.chosen_metric(stats.withColumns(texts)).select("batch", "rows_processed", "rows_metric_source")

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import entities as E
-from tidemark.operators.checks import entity_checks, run_checks
+from tidemark.operators.checks import entity_checks
 from tidemark.plans.current_state import merge_current_state
 from tidemark.plans.dimension import load_dimension
 from tidemark.plans.facts import resolve_star
 from tidemark.plans.retention import purge_current_state
-from tidemark.plans.domain import Warehouse
+from tidemark.plans.domain import Warehouse, run_domain
 from tidemark.queries import source_queries as Q
 from tidemark.queries.registry import REGISTRY, RUN_1, Tables, query
 from tidemark.session import work_folder
@@ -26,7 +26,7 @@ def load_entity_once(t: Tables, spec: EntitySpec, view: str) -> Warehouse:
     at = F.lit(RUN_1).cast("timestamp_ntz").alias(LANDING_EXTRACTED_AT)
     landing = REGISTRY[view].run(t.spark, t.folder).select("*", at)
     state = wh.current_state(spec)
-    merge_current_state(spec, landing, state, RUN_1, "run-1")
+    merge_current_state(spec, landing, state, RUN_1, "run-1", quarantine=wh.quarantine(spec))
     load_dimension(spec, state.read(), wh.dimension(spec), None, RUN_1, "run-1")
     return wh
 
@@ -77,6 +77,61 @@ _register("dimension_farm", E.FARM, "source_farm_view", Q.FARM_VIEW_SQL)
 _register("dimension_front", E.FRONT, "source_front_view", Q.FRONT_VIEW_SQL)
 
 
+def _front_sql() -> str:
+    keys = " AND ".join(f"{k} IS NOT NULL" for k in E.FRONT.key)
+    shown = ", ".join(f"upper({c.name}) AS {c.name}" if c.upper else c.name for c in E.FRONT.columns)
+    return f"SELECT {shown}, NOT ({keys}) AS quarantined FROM ({Q.FRONT_VIEW_SQL})"
+
+
+@query("quarantine_front", _front_sql())
+def quarantine_front(t: Tables) -> DataFrame:
+    """Every row of the view is in the dimension or, for want of a key part, in quarantine."""
+    wh = load_entity_once(t, E.FRONT, "source_front_view")
+    stored = wh.dimension(E.FRONT).read().filter(F.col(E.FRONT.surrogate_key) != -1)
+
+    def shown(df: DataFrame, quarantined: bool) -> DataFrame:
+        columns = []
+        for c in E.FRONT.columns:
+            value = F.upper(c.name) if c.upper else F.col(c.name)
+            columns.append((value.cast("bigint") if c.type.startswith("decimal") else value).alias(c.name))
+        return df.select(*columns, F.lit(quarantined).alias("quarantined"))
+
+    return shown(stored, False).unionByName(shown(wh.quarantine(E.FRONT).read(), True))
+
+
+@query(
+    "domain_rejects_audited",
+    f"""
+SELECT 'QUARANTINE_SX_FRENTE_D' AS step_name, 'SUCCESS' AS status, count(*) FILTER (WHERE quarantined) AS rows_processed
+FROM ({_front_sql()})""",
+)
+def domain_rejects_audited(t: Tables) -> DataFrame:
+    """The audit log counts what a domain run has set aside."""
+    wh = Warehouse(t.spark, work_folder(t.spark, "rejects"))
+    at = F.lit(RUN_1).cast("timestamp_ntz").alias(LANDING_EXTRACTED_AT)
+    landing = REGISTRY["source_front_view"].run(t.spark, t.folder).select("*", at)
+    run_domain(wh, [E.FRONT], {E.FRONT.name: landing}, RUN_1, "run-1")
+    events = wh.control.audit().filter(F.col("step_name").startswith("QUARANTINE"))
+    return events.select("step_name", "status", "rows_processed")
+
+
+@query(
+    "views_for_sql",
+    """
+SELECT o_custkey AS id_cliente, count(*) AS n_operations, count(*) AS n_staged FROM orders GROUP BY 1""",
+)
+def views_for_sql(t: Tables) -> DataFrame:
+    """SQL over the views of a loaded entity: dimension joined with its staging view."""
+    wh = load_entity_once(t, E.OPERATION, "source_operation_view")
+    wh.create_views([E.OPERATION])
+    return t.spark.sql(
+        """
+SELECT CAST(d.id_cliente AS bigint) AS id_cliente, count(*) AS n_operations, count(s.cd_operacao) AS n_staged
+FROM dim_sx_operacao_d d LEFT JOIN stg_ds__sx_operacao_d s ON d.id_cliente = s.id_cliente AND d.cd_operacao = s.cd_operacao
+WHERE d.sk_operacao <> -1 GROUP BY d.id_cliente"""
+    )
+
+
 @query(
     "entity_check_matrix",
     """
@@ -88,7 +143,7 @@ def entity_check_matrix(t: Tables) -> DataFrame:
     """Unique and complete keys of a loaded dimension."""
     wh = load_entity_once(t, E.OPERATION, "source_operation_view")
     dimension = wh.dimension(E.OPERATION).read()
-    return run_checks(entity_checks(dimension, E.OPERATION, surrogate=True), E.OPERATION.name)
+    return entity_checks(dimension, E.OPERATION, True, E.OPERATION.name)
 
 
 @query(
@@ -130,15 +185,15 @@ def fact_star_keys(t: Tables) -> DataFrame:
 @query(
     "retention_many_tables",
     """
-WITH kinds AS (SELECT event_type, ts FROM events WHERE event_type IN ('click', 'view', 'purchase'))
 SELECT 'CLEANUP_DS_' || upper(event_type) AS step_name, 'SUCCESS' AS status,
-  count(*) FILTER (WHERE CAST(ts AS DATE) < DATE '2024-01-15') AS rows_processed FROM kinds GROUP BY event_type""",
+  count(*) FILTER (WHERE CAST(ts AS DATE) < DATE '2024-01-15') AS rows_processed FROM events GROUP BY event_type""",
 )
 def retention_many_tables(t: Tables) -> DataFrame:
-    """Three tables cut at the run's day; the audit log tells what each one lost."""
+    """A table for each event type cut at the run's day; the audit log tells what each lost."""
     wh = Warehouse(t.spark, work_folder(t.spark, "retention"))
     tables = {}
-    for kind in ("click", "view", "purchase"):
+    kinds = [r[0] for r in t.events.select("event_type").distinct().sort("event_type").collect()]
+    for kind in kinds:
         spec = EntitySpec(kind, ("event_id",), (E.Column("event_id", "bigint"),))
         rows = t.events.filter(F.col("event_type") == kind)
         tables[kind] = wh.current_state(spec)

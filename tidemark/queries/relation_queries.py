@@ -49,13 +49,11 @@ def union_shared_columns(t: Tables) -> DataFrame:
 @query(
     "union_by_pattern",
     """
-SELECT 'tide_events_click' AS source_relation, event_id, user_id FROM events WHERE event_type = 'click'
-UNION ALL SELECT 'tide_events_error', event_id, user_id FROM events WHERE event_type = 'error'
-UNION ALL SELECT 'tide_events_view', event_id, user_id FROM events WHERE event_type = 'view'""",
+SELECT 'tide_events_' || event_type AS source_relation, event_id, user_id FROM events WHERE event_type <> 'purchase'""",
 )
 def union_by_pattern(t: Tables) -> DataFrame:
     """Union of every view whose name fits a pattern, less an excluded one."""
-    for kind in ("click", "error", "view", "purchase"):
+    for kind in ("click", "error", "view", "purchase", "signup"):
         rows = t.events.filter(F.col("event_type") == kind).select("event_id", "user_id")
         rows.createOrReplaceTempView(f"tide_events_{kind}")
     result = union_matching(t.spark, "TIDE_EVENTS%", exclude="%purchase")

@@ -144,6 +144,29 @@ def stream_upsert_events(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "two_streams_one_table",
+    _LATEST_EVENTS
+    + """
+SELECT user_id, event_type, value, props, ts AS source_updated_at FROM last""",
+)
+def two_streams_one_table(t: Tables) -> DataFrame:
+    """Two landing folders, each with a stream and a checkpoint of its own, into one table."""
+    root = work_folder(t.spark, "streams")
+    landing = event_landing(t.events, RUN_1)
+    state = KeyedTable(t.spark, f"{root}/state", EVENT_STATE.key)
+    for part, rows in (
+        ("a", landing.filter(F.col(SOURCE_UPDATED_AT) < ntz(RUN_1))),
+        ("b", landing.filter(F.col(SOURCE_UPDATED_AT) >= ntz(RUN_1))),
+    ):
+        rows.write.parquet(f"{root}/landing-{part}")
+        stream = landing_stream(t.spark, f"{root}/landing-{part}", landing.schema)
+        stream_upsert(
+            EVENT_STATE, stream, state, f"{root}/checkpoint-{part}", RUN_2
+        ).awaitTermination()
+    return state.read().select("user_id", "event_type", "value", "props", "source_updated_at")
+
+
 SENTINEL_SPEC = EntitySpec(
     name="event_notes",
     key=("user_id", "event_type"),
@@ -545,7 +568,7 @@ def retention_drop_audit_days(t: Tables) -> DataFrame:
 )
 def retained_rows(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_orderdate")
-    return retained(rows, before_day("o_orderdate", date(1998, 1, 1)))
+    return retained(rows, "o_orderdate", date(1998, 1, 1))
 
 
 @query(
@@ -643,3 +666,64 @@ def extract_after_merge(t: Tables) -> DataFrame:
     early = extract(spec, source.filter(F.col(SOURCE_UPDATED_AT) < ntz(RUN_1)), state, RUN_1)
     merge_current_state(spec, early, state, RUN_1, "run-1")
     return extract(spec, source, state, RUN_2).drop(LANDING_EXTRACTED_AT)
+
+
+NAMED = EntitySpec(
+    name="named",
+    key=("name",),
+    columns=(Column("name", upper=True), Column("nation", "bigint"), Column("balance", "double")),
+    surrogate_key="sk_named",
+)
+
+
+@query(
+    "surrogate_key_upper_key",
+    """
+SELECT CAST(c_nationkey AS BIGINT) AS nation, count(*) AS kept, CAST(0 AS BIGINT) AS changed_keys FROM customer GROUP BY 1""",
+)
+def surrogate_key_upper_key(t: Tables) -> DataFrame:
+    """Lower-case source keys, upper-case dimension keys, and a lookup that never reads all."""
+    root = work_folder(t.spark, "named")
+    state = KeyedTable(t.spark, f"{root}/state", NAMED.key, 8)
+    dimension = KeyedTable(t.spark, f"{root}/dimension", NAMED.key, 8, small_bytes=0)
+    seen = []
+    for n, at in enumerate((RUN_1, RUN_2)):
+        landing = t.customer.select(
+            F.lower("c_name").alias("name"),
+            F.col("c_nationkey").cast("bigint").alias("nation"),
+            (F.col("c_acctbal") + n).alias("balance"),
+            ntz(at).alias(SOURCE_UPDATED_AT),
+            ntz(at).alias(LANDING_EXTRACTED_AT),
+        )
+        merge_current_state(NAMED, landing, state, at, f"run-{n}")
+        watermark = RUN_1 if n else None
+        load_dimension(NAMED, state.read(), dimension, watermark, at, f"run-{n}")
+        seen.append(dimension.read().filter("sk_named <> -1"))
+    first = seen[0].select("name", F.col("sk_named").alias("old_key"))
+    return seen[1].join(first, "name", "left").groupBy("nation").agg(
+        F.count("old_key").alias("kept"),
+        F.count_if(~F.col("old_key").eqNullSafe(F.col("sk_named"))).alias("changed_keys"),
+    )
+
+
+@query(
+    "dropped_client_key",
+    "SELECT c_custkey AS id_cliente, upper(c_name) AS nome_cliente FROM customer WHERE c_custkey <> 1",
+)
+def dropped_client_key(t: Tables) -> DataFrame:
+    """A client with the key of the unknown member never reaches the dimension."""
+    root = work_folder(t.spark, "dropped")
+    landing = t.customer.select(
+        F.when(F.col("c_custkey") == 1, -1).otherwise(F.col("c_custkey")).alias("id_cliente"),
+        F.col("c_name").alias("nome_cliente"),
+        F.col("c_mktsegment").alias("owner_cliente"),
+        F.lit("srv").alias("server_cliente"),
+        F.lit(True).alias("fg_ativo"),
+        ntz(RUN_1).alias(SOURCE_UPDATED_AT),
+        ntz(RUN_1).alias(LANDING_EXTRACTED_AT),
+    )
+    state = KeyedTable(t.spark, f"{root}/state", CLIENT.key)
+    dimension = KeyedTable(t.spark, f"{root}/dimension", CLIENT.key)
+    merge_current_state(CLIENT, landing, state, RUN_1, "run-1")
+    load_dimension(CLIENT, state.read(), dimension, None, RUN_1, "run-1")
+    return dimension.read().select(F.col("id_cliente").cast("bigint").alias("id_cliente"), "nome_cliente")

@@ -175,10 +175,16 @@ class KeyedTable(_StoredTable):
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, keys: Sequence[str], parts: int | None = None
+        self,
+        spark: SparkSession,
+        root: str,
+        keys: Sequence[str],
+        parts: int | None = None,
+        small_bytes: int | None = None,
     ):
         super().__init__(spark, root)
         self.keys = list(keys)
+        self._small_bytes = small_bytes
         self._wanted_parts = parts
 
     def _fix_parts(self, listing: Listing, df: DataFrame) -> bool:
@@ -202,11 +208,13 @@ class KeyedTable(_StoredTable):
     def matching(self, arriving: DataFrame) -> DataFrame:
         """Stored rows that can share a key with ``arriving``.
 
-        Parts without an arriving key are not read. If few keys arrive they are sent to
-        every task, so the stored rows are reduced before any shuffle.
+        ``arriving`` holds the keys as the table stores them. Parts without an arriving
+        key are not read. If few keys arrive they are sent to every task, so the stored
+        rows are reduced before any shuffle.
         """
         listing = self.listing()
-        if sum(listing.folders.values()) <= SMALL_TABLE_BYTES:
+        small = SMALL_TABLE_BYTES if self._small_bytes is None else self._small_bytes
+        if sum(listing.folders.values()) <= small:
             return self.read()
         part = self._part(listing).alias(PART)
         counts = {r[0]: r[1] for r in arriving.groupBy(part).count().collect()}
@@ -322,10 +330,16 @@ class AppendTable(_StoredTable):
         listing.schema = schema.json()
         self._publish(listing)
 
-    def append(self, df: DataFrame) -> int:
+    def append(self, df: DataFrame, writer: str | None = None, batch: str = "") -> int:
+        """Add rows; a batch that its writer has already added is skipped."""
+        if writer is not None and self.listing().applied.get(writer) == batch:
+            return 0
         day = F.col(self.day_column).cast("date").cast("string")
         fresh = self._write_split(df, day, self.DAY)
-        self._publish_more(self.listing(), fresh, df.schema)
+        listing = self.listing()
+        if writer is not None:
+            listing.applied[writer] = batch
+        self._publish_more(listing, fresh, df.schema)
         return self._read_folders(list(fresh), df.schema).count()
 
     def append_rows(

@@ -95,6 +95,9 @@ class EntitySpec:
     keep_first_created: bool = True
     # The source has no update time, so every extract reads all of it.
     full_extract: bool = False
+    # Rows whose key has a null part are stored like any other, as new ones every time;
+    # unless this is set they go to the quarantine.
+    keep_null_keys: bool = False
     # Keys that must not be in the dimension.
     dropped_keys: tuple[Any, ...] = ()
     # Hash parts of the stored tables; a merge rewrites only the parts it touches.
