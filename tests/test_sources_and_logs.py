@@ -193,3 +193,30 @@ def test_sync_payload_spellings(spark):
     assert rows["w"]["stream_stats_summary"] == "a=2, c=5"
     assert rows["w"]["rows_stream_stats_total"] == 14 and not rows["w"]["has_totals"]
     assert rows["e"]["stream_stats_summary"] is None and rows["e"]["rows_stream_stats_total"] is None
+
+
+def test_product_of_one_row_with_many_takes_several_tasks(spark):
+    left = spark.createDataFrame([(1, 7)], "g int, a int")
+    right = spark.range(5000).selectExpr("1 AS g", "id AS b")
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        spread = product_within(left, right, ["g"], ["a"], heavy=100)
+        assert spread.count() == 5000 and spread.distinct().count() == 5000
+        tasks = spread.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks > 1
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_both_sides_of_a_heavy_group_are_cut(spark):
+    left = spark.createDataFrame([(1, i) for i in range(3)] + [(2, 9)], "g int, a int")
+    right = spark.createDataFrame([(1, i) for i in range(400)] + [(2, 1)], "g int, b int")
+    spread = product_within(left, right, ["g"], ["a"], heavy=10)
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, left.join(right, "g").collect()))

@@ -311,8 +311,8 @@ def _large_and_small(
     df: DataFrame, group: Sequence[str], value: str, floor: int
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Rows of groups too large to sort in one task, and all other rows."""
-    hot = hot_groups(df, group, floor) if can_spread(df, value) else []
-    if not hot:
+    hot = hot_groups(df, group, floor) if can_spread(df, value) else None
+    if hot is None:
         return None, df
     return split_hot(df, group, hot) if group else (df, None)
 

@@ -6,14 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_source_row
-from tidemark.operators.skew import MOST_HOT_GROUPS
 from tidemark.spec import TIME_SENTINEL
 
-MOST_SPREADS = 10_000
-
 
 def enrich(
     base: DataFrame,
@@ -55,35 +51,31 @@ def product_within(
     """Every left row with every right row of the same group.
 
     The product is the wanted result, so its size is given. A group with more than
-    ``heavy`` pairs is spread over several tasks: its left rows by ``spread_by``, its
-    right rows repeated once per spread.
+    ``heavy`` pairs is cut into tiles of about that many: its left rows into bands by
+    ``spread_by``, and if single left rows already meet too many, its right rows too.
+    A row is repeated once per band of the other side.
     """
     keys = list(group)
     pairs = left.groupBy(*keys).agg(F.count("*").alias("__left")).join(
         right.groupBy(*keys).agg(F.count("*").alias("__right")), keys
     )
     # A product of counts may pass the range of a bigint.
-    size = F.col("__left").cast("double") * F.col("__right")
-    largest = pairs.withColumn("__pairs", size).filter(F.col("__pairs") > heavy)
-    hot = largest.orderBy(F.col("__pairs").desc()).limit(MOST_HOT_GROUPS).collect()
-    if not hot:
+    tiles = F.ceil(F.col("__left").cast("double") * F.col("__right") / heavy)
+    hot = pairs.withColumn("__tiles", tiles).filter("__tiles > 1")
+    bands = F.least(F.col("__tiles"), F.col("__left"))
+    across = F.least(F.ceil(F.col("__tiles") / bands), F.col("__right"))
+    hot = hot.select(*keys, bands.cast("int").alias("__bands"), across.cast("int").alias("__across"))
+    if hot.isEmpty():
         return left.join(right, keys)
-    schema = left.select(*keys).schema.add("__spreads", T.IntegerType())
-    rows = [
-        (*[r[k] for k in keys], int(min(r["__pairs"] // heavy + 1, r["__left"], MOST_SPREADS)))
-        for r in hot
-    ]
-    # The list of hot groups has a fixed upper length, so it is safe to broadcast.
-    counted = F.broadcast(left.sparkSession.createDataFrame(rows, schema))
-    spreads = F.coalesce(F.col("__spreads"), F.lit(1))
-    spread_left = left.join(counted, keys, "left").withColumn(
-        "__spread", F.pmod(F.xxhash64(*spread_by), spreads).cast("int")
-    )
-    spread_right = right.join(counted, keys, "left").withColumn(
-        "__spread", F.explode(F.sequence(F.lit(0), spreads - 1))
-    )
-    return (
-        spread_left.drop("__spreads")
-        .join(spread_right.drop("__spreads"), [*keys, "__spread"])
-        .drop("__spread")
-    )
+
+    def cut(side: DataFrame, by: Sequence[str], own: str, others: str) -> DataFrame:
+        """Each row with the number of its own band, once for each band of the other side."""
+        rows = side.join(hot, keys, "left")
+        own_bands, other_bands = (F.coalesce(F.col(f"__{n}"), F.lit(1)) for n in (own, others))
+        rows = rows.withColumn(f"__{own}_at", F.pmod(F.xxhash64(*by), own_bands).cast("int"))
+        rows = rows.withColumn(f"__{others}_at", F.explode(F.sequence(F.lit(0), other_bands - 1)))
+        return rows.drop("__bands", "__across")
+
+    bound = [*keys, "__bands_at", "__across_at"]
+    tiled = cut(left, spread_by, "bands", "across").join(cut(right, right.columns, "across", "bands"), bound)
+    return tiled.drop("__bands_at", "__across_at")

@@ -22,6 +22,8 @@ def _position(df: DataFrame, value: str, skip: int = 0) -> Column | None:
     c = F.col(value)
     if isinstance(kind, T.NumericType):
         return c.cast("double")
+    if isinstance(kind, T.BooleanType):
+        return c.cast("int").cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):

@@ -4,35 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_HOT_GROUPS = 1000
 HOT_ROWS = 10_000_000
 
 
-def hot_groups(
-    df: DataFrame, group: Sequence[str], floor: int = HOT_ROWS, most: int = MOST_HOT_GROUPS
-) -> list[Row]:
-    """The largest groups with at least ``floor`` rows, at most ``most`` of them.
+def hot_groups(df: DataFrame, group: Sequence[str], floor: int = HOT_ROWS) -> DataFrame | None:
+    """All groups with at least ``floor`` rows, or None if there is none.
 
-    Counting combines in each task before the shuffle. A group beyond the first
-    ``most`` holds less than that fraction of all rows, so leaving it out costs balance
-    in one small task and never rows.
+    A table with fewer rows has none, which a count without a shuffle tells. Counting by
+    group combines in each task before the shuffle, and the groups stay a table.
     """
-    counts = df.groupBy(*group).agg(F.count("*").alias("n_rows"))
-    return counts.filter(F.col("n_rows") >= floor).orderBy(F.col("n_rows").desc()).limit(most).collect()
+    if df.count() < floor:
+        return None
+    counts = df.groupBy(*group).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") >= floor)
+    return None if counts.isEmpty() else counts.select(*group)
 
 
-def split_hot(
-    df: DataFrame, group: Sequence[str], hot: Sequence[Row]
-) -> tuple[DataFrame, DataFrame]:
+def split_hot(df: DataFrame, group: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of the hot groups and all other rows; null counts as a value of the group."""
-    schema = df.select(*group).schema
-    # At most MOST_HOT_GROUPS rows, so broadcasting them is safe.
-    listed = F.broadcast(
-        df.sparkSession.createDataFrame([tuple(r[g] for g in group) for r in hot], schema)
-    ).alias("h")
-    rows = df.alias("l")
+    listed, rows = hot.alias("h"), df.alias("l")
     same = [F.col(f"l.{g}").eqNullSafe(F.col(f"h.{g}")) for g in group]
     return rows.join(listed, same, "left_semi"), rows.join(listed, same, "left_anti")

@@ -108,7 +108,10 @@ def load_dimension(
     run_ts: datetime,
     batch_id: str,
 ) -> int:
-    """Merge the rows past the watermark into the stored dimension; returns how many."""
+    """Merge the rows past the watermark into the stored dimension; returns how many.
+
+    The unknown member counts on the first load, as it is a row that the load has written.
+    """
     sk = spec.surrogate_key
     if table.exists():
         slice_ = staging_slice(spec, current_state, watermark)

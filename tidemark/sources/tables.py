@@ -145,13 +145,16 @@ class _StoredTable:
         # Adaptive rebalancing sizes the files and splits a value that holds many rows.
         split = df.withColumn(name, by).hint("rebalance", F.col(name))
         split.write.partitionBy(name).parquet(f"{self.root}/{run}")
+        # One listing for all parts, in place of a call for each of them.
         path, fs = self._hadoop_path(run)
-        found = [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
-        return {
-            f"{run}/{p.getName()}": fs.getContentSummary(p).getLength()
-            for p in found
-            if p.getName().startswith(f"{name}=")
-        }
+        sizes: dict[str, int] = {}
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            file = files.next()
+            part = file.getPath().getParent().getName()
+            if part.startswith(f"{name}="):
+                sizes[f"{run}/{part}"] = sizes.get(f"{run}/{part}", 0) + file.getLen()
+        return sizes
 
 
 # A part of a keyed table aims at this size; a table that outgrows its parts several
