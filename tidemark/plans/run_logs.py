@@ -285,15 +285,17 @@ def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
         return F.when(held, F.struct(*[level[m].alias(m) for m in STREAM_METRIC_ORDER]))
 
     def streams(level: Column) -> Column:
-        return F.coalesce(*[_streams(level[k]) for k in _STREAM_KEYS])
+        # Text that can hold a stream; it is taken apart once, when the first is known.
+        return F.coalesce(*[F.when(level[k].rlike(r"^\[.*\{|^\{.+:"), level[k]) for k in _STREAM_KEYS])
 
     rows = rows.withColumns(
         {
             "__sync": first(sync),
             "__totals": first(lambda v: F.coalesce(v["totalStats"], v["total_stats"])),
-            "__streams": first(streams),
+            "__stream_text": first(streams),
         }
     )
+    rows = rows.withColumn("__streams", _streams(F.col("__stream_text")))
 
     def total(own: Sequence[str], *more: str) -> Column:
         names = [F.col(f"__sync.{n}") for n in own] + [F.col(f"__totals.{n}") for n in (*own, *more)]
