@@ -114,6 +114,21 @@ def test_personal_data_by_kind(spark):
     assert got[0][1] == "[EMAIL]" and got[12][1] is None and got[13][1] == ""
 
 
+def test_account_numbers_before_upper_case_words(spark):
+    """The length by country ends an account number, whatever follows it."""
+    numbers = {
+        "ES91 2100 0418 4502 0005 1332": " EUR", "AT61 1904 3002 3457 3201": " A", "BE68539007547034": " BANK",
+        "BE68 5390 0754 7034": " KBC 12", "NO93 8601 1117 947": " NOK", "GB29 NWBK 6016 1331 9268 19": " X",
+        "LC14BOSL123456789012345678901234": "", "LU28 0019 4006 4475 0000": " DE89 3704 0044 0532 0130 00",
+    }
+    got = personal(spark, *[f"to {number}{rest}" for number, rest in numbers.items()], "ES91 2100 0418 4502 0005 1332X", "ES92 2100 0418 4502 0005 1332 EUR")
+    for (spans, red), (number, rest) in zip(got, numbers.items()):
+        assert spans.split(",")[0] == f"iban:3:{3 + len(number)}"
+        assert red == "to [IBAN]" + (" [IBAN]" if rest.startswith(" DE") else rest)
+    assert [spans for spans, _ in got[-2:]] == ["", ""]
+    assert sum(len(c.split()) for c in pii.IBAN_LENGTHS.values()) == len({c for cs in pii.IBAN_LENGTHS.values() for c in cs.split()})
+
+
 def test_personal_data_in_very_long_runs(spark):
     started = time.time()
     got = personal(spark, "1 2 " * 20_000, "a@" + "b." * 20_000 + "c", "9" * 60_000, "z" * 60_000 + " x@y.zz")

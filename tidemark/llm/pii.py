@@ -2,7 +2,7 @@
 
 Only built-in column functions. Email, address, card and phone spans follow the fixed rules of the
 base: a match that fails its check is dropped and not tried again from its middle. The method adds
-bank account numbers (IBAN, mod 97) and social security numbers, which count only from a score of
+bank account numbers (IBAN, length by country, mod 97) and social security numbers, which count only from a score of
 ``LEAST`` on. Every span has a score: that of its kind, and more if a context word stands near it.
 
 Groups repeat possessively, so a match of any length needs no stack.
@@ -24,7 +24,29 @@ EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+# Length of an account number by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Account numbers, by fours: of their country's length, or of any length where no country has the code."""
+    known = "(?:" + "|".join(" ".join(IBAN_LENGTHS.values()).split()) + ")"
+    kinds = []
+    for length, countries in IBAN_LENGTHS.items():
+        fours, rest = divmod(length - 4, 4)
+        last = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        kinds.append(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{fours}}}{last}")
+    four = rf"(?:\x20(?!{known}[0-9]{{2}})[A-Z0-9]{{4}}|[A-Z0-9]{{4}})"
+    kinds.append(rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}{four}{{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?")
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(kinds)})(?![A-Za-z0-9])"
+
+
+IBAN = _iban()
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "iban": IBAN, "ssn": SSN}
 BASE = ("email", "ip", "card", "phone")
