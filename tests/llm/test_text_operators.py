@@ -354,6 +354,42 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>t</title><body><p>seen</p>", "seen"),
+        ("<html><head><meta charset=utf-8><title>t</title><p>seen</p>", "seen"),
+        ("<head><title>t</title>bare text", "bare text"),
+        ("<head><title>t</title><b>seen</b> too", "seen too"),
+        ("<ul><li class=ad>x<li>y<li>z</ul>", "y z"),
+        ("<ul><li>a<ul><li class=ad>x</ul><li>b</ul>", "a b"),
+        ("<ul><li class=ad>x<ul><li>y</ul>z<li>b</ul>", "b"),
+        ("<div><p class=notice>x<p>y</div>", "y"),
+        ("<p class=notice>x<ul><li>y</ul>", "y"),
+        ("<div class=ad><p>x<p>y</div><p>z", "z"),
+        ("<dl><dt class=ad>x<dd>y<dt>z</dl>", "y z"),
+        ("<dl><dt>a<dd class=ad>x<dt>z</dl>", "a z"),
+        ("<datalist><option class=ad>x<option>y</datalist>", "y"),
+        ("<datalist><optgroup class=ad><option>x<optgroup><option>y</datalist>", "y"),
+        ("<table><tr class=ad><td>x<tr><td>y</table>", "y"),
+        ("<table><tr><td class=ad>x<td>y<tr><th class=ad>x<td>z</table>", "y z"),
+        ("<table><tr class=ad><td><table><tr><td>x</table>x<tr><td>y</table>", "y"),
+        ("<table><thead class=ad><tr><td>x<tbody><tr><td>y</table>", "y"),
+        ("<table><caption class=ad>x<tr><td>y</table>", "y"),
+        ("<ruby>a<rp class=ad>(<rt>b</ruby>", "a b"),
+    ],
+)
+def test_left_out_end_tags(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_unclosed_elements_in_great_number():
+    started = time.time()
+    assert html_text.main_text("<p><button>" + "<div>" * 60_000 + "</button>x") == "x"
+    assert html_text.main_text("<ul>" + "<li><i>a" * 60_000).count("a") == 60_000
+    assert time.time() - started < 30
+
+
 def test_page_table(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>", "x"), (None, None, None, "y"), (1, "u", "<p>a</p>", "x")], "page_id long, url string, html string, main_text string")
     rows = html_text.extract(pages).collect()

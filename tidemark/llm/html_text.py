@@ -8,14 +8,16 @@ their region: the article or main element that holds most content, or else the e
 content lines. All lines of a region belong to the text, so that headings and short paragraphs stay.
 
 Defined results: a null or empty page has an empty text; broken or cut-off markup is read as far as
-it goes, an end tag closes what stands open inside; white space is the ASCII kind; repeated rows get
-equal results.
+it goes; an end tag closes what stands open inside; left-out end tags are implied as HTML has them, so
+a start tag ends the head, an open paragraph, list item, term, option, row or cell; white space is the
+ASCII kind; repeated rows get equal results.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -37,6 +39,30 @@ BLOCK = frozenset(
 )
 HOLDER = frozenset("article main section div td body blockquote".split())
 ARTICLE = frozenset({"article", "main"})
+# End tags that may be left out. A start tag ends the open elements of its row, as far out as the scope.
+_SCOPE = frozenset("html body table template button object".split())
+_ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
+    "h4 h5 h6 header hgroup hr legend main menu nav ol p pre search section summary table ul".split()
+)
+_LISTS = _SCOPE | frozenset("ul ol dl menu section article main aside nav header footer form blockquote details fieldset td th".split())
+_PARTS = frozenset("caption colgroup tbody thead tfoot".split())
+_ROWS = frozenset("caption colgroup tbody thead tfoot".split())
+ENDED = {
+    "li": (frozenset({"li"}), _LISTS),
+    "dt": (frozenset({"dt", "dd"}), _LISTS),
+    "dd": (frozenset({"dt", "dd"}), _LISTS),
+    "option": (frozenset({"option"}), _SCOPE | {"select", "datalist", "optgroup"}),
+    "optgroup": (frozenset({"option", "optgroup"}), _SCOPE | {"select", "datalist"}),
+    "td": (frozenset({"td", "th"}), _SCOPE | {"tr"}),
+    "th": (frozenset({"td", "th"}), _SCOPE | {"tr"}),
+    "tr": (frozenset({"tr", "caption", "colgroup"}), _SCOPE | {"tbody", "thead", "tfoot"}),
+    **{tag: (_ROWS | {"tr"}, _SCOPE) for tag in _ROWS},
+    "rt": (frozenset({"rt", "rp"}), _SCOPE | {"ruby"}),
+    "rp": (frozenset({"rt", "rp"}), _SCOPE | {"ruby"}),
+    **{tag: (frozenset({"p"}), _SCOPE | {"td", "th", "caption"}) for tag in _ENDS_P},
+}
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
 NAMED = re.compile(
     r"^(?:ads?|advert.*|ad[-_].*|.*[-_]ads?|banner|sidebar|side[-_]bar|menu|nav|navbar|navigation|breadcrumbs?|"
     r"(?:site|page|global|main)?[-_]?(?:footer|header)|masthead|cookies?(?:[-_].*)?|consent.*|gdpr.*|notices?|alert|popup|modal|"
@@ -58,6 +84,7 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
         self.articles: set[int] = set()
         self.open: list[tuple[str, bool, int]] = []  # tag, hidden, number as a holder or 0
+        self.places: dict[str, list[int]] = {}  # of open elements in ``open``, by tag
         self.hidden = 0
         self.tags = 0
         self.parts: list[str] = []
@@ -70,9 +97,31 @@ class _Lines(HTMLParser):
             self.lines.append((text, max(self.tags, 1), tuple(h for _, _, h in self.open if h)))
             self.tags = 0
 
+    def _close(self, at: int) -> None:
+        """End the open element at a place and all within it."""
+        for tag, hidden, _ in self.open[at:]:
+            self.hidden -= hidden
+            self.places[tag].pop()
+        del self.open[at:]
+
+    def _end_implied(self, tag: str) -> None:
+        """End what the start of this element ends where end tags are left out."""
+        if self.open and self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self._close(len(self.open) - 1)
+        if tag not in ENDED:
+            return
+        ended, scope = ENDED[tag]
+        if not any(self.places.get(t) for t in ended):
+            return
+        bound = max((self.places[t][-1] for t in scope if self.places.get(t)), default=-1)
+        inside = [p[n] for p in (self.places.get(t, []) for t in ended) if (n := bisect_right(p, bound)) < len(p)]
+        if inside:
+            self._close(min(inside))
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK and not self.hidden:
             self._end_line()
+        self._end_implied(tag)
         self.tags += 1
         if tag in VOID:
             return
@@ -95,6 +144,7 @@ class _Lines(HTMLParser):
             if tag in ARTICLE:
                 self.articles.add(holder)
         self.hidden += hidden
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, hidden, holder))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -106,14 +156,12 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK and not self.hidden:
             self._end_line()
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                for _, hidden, _ in self.open[at:]:
-                    self.hidden -= hidden
-                del self.open[at:]
-                return
+        if self.places.get(tag):
+            self._close(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and _WHITE.sub("", data):
+            self._close(len(self.open) - 1)  # text cannot stand in the head
         if not self.hidden:
             self.parts.append(data)
 
