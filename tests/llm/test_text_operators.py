@@ -383,6 +383,40 @@ def test_left_out_end_tags(page, text):
     assert html_text.main_text(page) == text
 
 
+PART = "<p>" + "A sentence of the story that goes on for a while and says something. " * 3 + "</p>"
+LINKS = "<ul>" + "<li><a href=/x>Elsewhere</a>" * 8 + "</ul>"
+TOLD = re.sub("<.*?>", "", PART).strip()
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # articles in parts, a teaser, a comment
+        (f"<article>{PART}</article>{LINKS}<article>{PART}<p>End.</p></article>", f"{TOLD} {TOLD} End."),
+        (f"<article>{PART * 3}</article><article><h2><a href=/y>Other</a></h2><p>See it.</article>", f"{TOLD} {TOLD} {TOLD}"),
+        (f"<article>{PART}</article><article><p>Short part.</article><article>{PART}</article>", f"{TOLD} Short part. {TOLD}"),
+        (f"<article>{PART}</article><article class=comment>{PART}</article>", TOLD),
+        (f"<main><div>{PART * 2}</div>{LINKS}</main>", f"{TOLD} {TOLD} " + " ".join(["Elsewhere"] * 8)),
+        # the ratio chooses against the element
+        (f"<article><h2><a href=/y>Teaser</a></h2></article><div>{PART * 4}</div>", " ".join([TOLD] * 4)),
+        # pages without article: links go, low lines within the text stay
+        (f"<div>{LINKS}</div><div>{PART * 3}</div><div>{LINKS}</div>", f"{TOLD} {TOLD} {TOLD}"),
+        (f"{LINKS}<h1>Head</h1>{PART * 3}{LINKS}", f"Head {TOLD} {TOLD} {TOLD}"),
+        (
+            f"<div><div>{PART * 4}</div><div>" + "<p>One.<p>Two.<p>Three.<p>Four.<p>Five." + f"</div><div>{PART * 4}</div></div>{LINKS}",
+            " ".join([TOLD] * 4 + ["One. Two. Three. Four. Five."] + [TOLD] * 4),
+        ),
+        (
+            f"<div>{PART * 4}<ul><li>Salt<li>Eggs<li>Flour<li>Milk<li>Oil<li>Rice</ul></div>{LINKS}",
+            " ".join([TOLD] * 4 + ["Salt Eggs Flour Milk Oil Rice"]),
+        ),
+        ("<ul><li><a href=/a>only</a><li><a href=/b>links</a></ul>", "only links"),
+    ],
+)
+def test_clusters_choose_regions(page, text):
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == text
+
+
 def test_unclosed_elements_in_great_number():
     started = time.time()
     assert html_text.main_text("<p><button>" + "<div>" * 60_000 + "</button>x") == "x"

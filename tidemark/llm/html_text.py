@@ -1,11 +1,20 @@
 """Main text of web pages by text-to-tag ratio.
 
-The standard library's parser streams its events. Every block of a page is a line with its text and
-the number of tags spent on it. Elements that are never part of an article, by their tag or by what
-their class or id says, give no line. The ratio of text to tags is smoothed over neighbouring lines
-with a Gaussian; lines above a threshold, a share of the mean, are content. Content lines select
-their region: the article or main element that holds most content, or else the elements that hold
-content lines. All lines of a region belong to the text, so that headings and short paragraphs stay.
+The standard library's parser streams its events. Every block of a page is a line with its text, the
+characters of it outside of links, and the number of tags spent on it. Elements that are never part
+of an article, by their tag or by what their class or id says, give no line. The ratio of characters
+to tags is smoothed over neighbouring lines with a Gaussian; lines above a threshold, a share of the
+mean, are content. Within an article or main element the ratio counts ``PRIOR`` times; that is all
+the tag does to the choice of lines.
+
+The clusters choose regions. A region is the lines directly within one list, division, cell or the
+like, or all of an article or main element. It is content if content lines have at least ``HALF`` of
+its characters, and an article only if its own ratio isn't far below (a teaser beside an article is);
+an article that isn't is looked at by its inner regions. A region of low lines still
+belongs to the text if most of it is outside of links, it stands beside or within a chosen region,
+and it lies before the last chosen line and after the first, or has several lines and is no article. On a page with a
+chosen article such regions are looked for only in articles. All lines of a chosen region belong to
+the text, so that headings and short paragraphs stay.
 
 Defined results: a null or empty page has an empty text; broken or cut-off markup is read as far as
 it goes; an end tag closes what stands open inside; left-out end tags are implied as HTML has them, so
@@ -37,8 +46,9 @@ BLOCK = frozenset(
     "address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form h1 "
     "h2 h3 h4 h5 h6 header hr html legend li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-HOLDER = frozenset("article main section div td body blockquote".split())
+HOLDER = frozenset("article main section div td th body blockquote ul ol dl".split())
 ARTICLE = frozenset({"article", "main"})
+LINK = "a href"  # an a element that leads elsewhere
 # End tags that may be left out. A start tag ends the open elements of its row, as far out as the scope.
 _SCOPE = frozenset("html body table template button object".split())
 _ENDS_P = frozenset(
@@ -73,20 +83,24 @@ NAMED = re.compile(
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 SIGMA = 1.0
 SHARE = 0.5
+PRIOR = 3.0
+HALF = 0.5
 _WHITE = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, holders) for every block outside of what is never an article."""
+    """Collects (text, plain, tags, holders) for every block outside of what is never an article."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
         self.articles: set[int] = set()
         self.open: list[tuple[str, bool, int]] = []  # tag, hidden, number as a holder or 0
         self.places: dict[str, list[int]] = {}  # of open elements in ``open``, by tag
         self.hidden = 0
         self.tags = 0
+        self.links = 0
+        self.linked = 0
         self.parts: list[str] = []
         self.holders = 0
 
@@ -94,14 +108,17 @@ class _Lines(HTMLParser):
         text = _WHITE.sub(" ", "".join(self.parts)).strip(" ")
         self.parts.clear()
         if text:
-            self.lines.append((text, max(self.tags, 1), tuple(h for _, _, h in self.open if h)))
+            plain = max(len(text) - self.linked, 0)
+            self.lines.append((text, plain, max(self.tags, 1), tuple(h for _, _, h in self.open if h)))
             self.tags = 0
+        self.linked = 0
 
     def _close(self, at: int) -> None:
         """End the open element at a place and all within it."""
         for tag, hidden, _ in self.open[at:]:
             self.hidden -= hidden
             self.places[tag].pop()
+            self.links -= tag == LINK
         del self.open[at:]
 
     def _end_implied(self, tag: str) -> None:
@@ -122,11 +139,15 @@ class _Lines(HTMLParser):
         if tag in BLOCK and not self.hidden:
             self._end_line()
         self._end_implied(tag)
-        self.tags += 1
+        self.tags += not self.hidden
         if tag in VOID:
             return
+        if tag == "a" and any(k == "href" for k, _ in attrs):
+            tag = LINK
+            self.links += 1
         hidden = tag in NEVER
-        if not hidden and tag not in ("html", "body", "article", "main"):
+        # An article is judged by its class only after another, as comments and teasers come after.
+        if not hidden and tag not in ("html", "body", "main") and (tag != "article" or self.articles):
             named = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden")}
             words = f"{named.get('class', '')} {named.get('id', '')}".split()
             hidden = (
@@ -153,9 +174,11 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        self.tags += 1
+        self.tags += not self.hidden
         if tag in BLOCK and not self.hidden:
             self._end_line()
+        if tag == "a" and self.places.get(LINK):
+            tag = LINK
         if self.places.get(tag):
             self._close(self.places[tag][-1])
 
@@ -164,6 +187,8 @@ class _Lines(HTMLParser):
             self._close(len(self.open) - 1)  # text cannot stand in the head
         if not self.hidden:
             self.parts.append(data)
+            if self.links:
+                self.linked += len(_WHITE.sub(" ", data))
 
     def finish(self) -> None:
         self.close()
@@ -187,19 +212,48 @@ def main_text(html: str | None) -> str:
     lines = page.lines
     if not lines:
         return ""
-    ratios = _smooth(np.array([len(text) / tags for text, tags, _ in lines]))
-    content = ratios >= SHARE * ratios.mean()
-    mass: dict[int, int] = {}
-    for (text, _, holders), good in zip(lines, content):
-        if good:
-            outer = next((h for h in holders if h in page.articles), None)
-            if outer is not None:
-                mass[outer] = mass.get(outer, 0) + len(text)
-    if mass:
-        best = max(mass, key=lambda h: (mass[h], -h))
-        return " ".join(text for text, _, holders in lines if best in holders)
-    homes = {holders[-1] if holders else 0 for (_, _, holders), good in zip(lines, content) if good}
-    return " ".join(text for text, _, holders in lines if (holders[-1] if holders else 0) in homes)
+    if not any(plain for _, plain, _, _ in lines):  # a page of links alone
+        lines = [(text, len(text), tags, holders) for text, _, tags, holders in lines]
+    prior = [PRIOR if page.articles.intersection(holders) else 1.0 for *_, holders in lines]
+    ratios = _smooth(np.array([p * plain / tags for p, (_, plain, tags, _) in zip(prior, lines)]))
+    least = SHARE * ratios.mean()
+    content = ratios >= least
+
+    # Characters of each region: outside of links, of these in content lines, and all; tags.
+    sums: dict[int, list[int]] = {}
+    count: dict[int, int] = {}
+    above: dict[int, int] = {}
+    homes = []
+    for (text, plain, tags, holders), good in zip(lines, content):
+        home = holders[-1] if holders else 0
+        homes.append(home)
+        above[home] = holders[-2] if len(holders) > 1 else 0
+        count[home] = count.get(home, 0) + 1
+        for region in {home, *page.articles.intersection(holders)}:
+            one = sums.setdefault(region, [0, 0, 0, 0])
+            one[0] += plain
+            one[1] += plain if good else 0
+            one[2] += len(text)
+            one[3] += tags
+    chosen = {
+        r
+        for r, (plain, good, _, tags) in sums.items()
+        if good > 0 and good >= HALF * plain and (r not in page.articles or PRIOR * plain >= SHARE * least * tags)
+    }
+    articles = chosen & page.articles
+
+    kept = np.array([h in chosen or not articles.isdisjoint(holders) for h, (*_, holders) in zip(homes, lines)])
+    if kept.any():
+        first, last = np.flatnonzero(kept)[[0, -1]]
+        near = {above[h] for h in chosen if h in above} | chosen
+        for n, (home, (*_, holders)) in enumerate(zip(homes, lines)):
+            plain, _, size, _ = sums[home]
+            if kept[n] or 2 * plain <= size or above[home] not in near:
+                continue
+            if articles and page.articles.isdisjoint(holders):
+                continue
+            kept[n] = first < n < last or (count[home] > 1 and home not in page.articles)
+    return " ".join(line[0] for line, good in zip(lines, kept) if good)
 
 
 def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
