@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 import time
 
 import numpy as np
@@ -183,6 +184,25 @@ def test_license_forms(spark):
     assert got[22].license is None and got[2].digest is None
 
 
+def test_licenses_at_any_width(spark):
+    """A line of prose that begins with 'copyright' or '(c)' is no copyright statement."""
+    statements = ["", "Copyright (c) 2020 Some One", "(c) 2020 Some One", "© Some One", "COPYRIGHT 2019, 2020 SOME ONE", "Copyright by Some One",
+                  "Copyright [yyyy] [name of copyright owner]", "Copyright Some One, Inc. and others", "(C) Some One", " * Copyright: 2020 Some One"]
+    rows, expected = [], []
+    for number, (name, text) in enumerate(license_scan.KNOWN):
+        for width in (30, 45, 60, 68, 72, 76, 80, 100, 1000):
+            for head in statements if len(text) > 100 and width in (68, 72) else statements[:1]:
+                wrapped = "\n\n".join(textwrap.fill(part, width) for part in text.split("\n\n"))
+                rows.append((len(rows), f"{head}\nAll rights reserved.\n{wrapped}"))
+                expected.append(name)
+    isc = next(t for n, t in license_scan.KNOWN if n == "ISC" and len(t) > 100)
+    rows.append((len(rows), isc.replace("above copyright", "above\ncopyright").replace("OF THIS SOFTWARE", "OF\nTHIS SOFTWARE")))
+    rows.append((len(rows), next(t for n, t in license_scan.KNOWN if n == "MIT" and len(t) > 100).replace("AUTHORS OR COPYRIGHT", "AUTHORS OR\nCOPYRIGHT")))
+    found = license_scan.find_licenses(spark.createDataFrame(rows, "doc_id long, text string"), license_scan.known_texts(spark))
+    got = {r.id: r.license for r in found.collect()}
+    assert [got[n] for n in range(len(rows))] == expected + ["ISC", "MIT"]
+
+
 # -- SentencePiece ----------------------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """Known licences by a digest of their canonical text.
 
-Only built-in column functions. A text is brought to one form: A-Z lowered, copyright lines taken
-out, punctuation and white space as one space, equivalent spellings as one. Its SHA-256 is joined to
+Only built-in column functions. A text is brought to one form: A-Z lowered, copyright statements (not
+lines of prose that begin with the word) taken out, punctuation and white space as one space, equivalent spellings as one. Its SHA-256 is joined to
 those of known texts. The same is done for each line of a document, so a notice within a document is
 found as well. The known texts are a fixed list or a table of the caller's; a table is broadcast
 only by Spark's own size limit.
@@ -17,7 +17,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ascii_lower, text_key
 
-COPYRIGHT = r"^[\x20\x09\x0D*#/;-]*(?:copyright|\(c\)|©|all rights reserved)"
+_LEAD = r"^[\x20\x09\x0D*#/;-]*"
+_SIGN = r"(?:\(c\)|©|&copy;)"
+# What makes a line that begins with the word a statement: a sign, a year, 'by', a stand-in for the owner.
+_OWNED = rf"[\x20\x09]*(?:{_SIGN}|[:,]?[\x20\x09]*(?:[0-9]{{4}}|by[\x20\x09]|[<\[{{]|year|yyyy|name of|holder name))"
+COPYRIGHT = rf"{_LEAD}(?:copyright{_OWNED}|\(c\)[\x20\x09]*(?:copyright|[0-9]{{4}}|by[\x20\x09]|[<\[{{])|©|&copy;|all rights reserved)"
+# A name after the word, in its own case: prose has a small letter there, headings have capitals or a noun of law.
+NAMED = (
+    rf"{_LEAD}(?:Copyright|\(C\))[\x20\x09]+(?!(?:Notices?|Licen[cs]es?|Holders?|Owners?|Laws?|Acts?|Statements?|Rights?|Treat(?:y|ies)|Interests?|"
+    r"Protection|Infringement|Information|Permissions?|Status|Office|Conventions?|Grants?|Terms|And|Or|In|On|Of|To|Is)\b)[A-Z][^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[a-z]"
+)
 MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—•©]+"
 # Spellings that count as equal, after lower case and punctuation.
 EQUAL = [
@@ -89,8 +98,18 @@ def canonical_lines(text: Column) -> Column:
             form = F.replace(form, F.lit(other), F.lit(usual))
         return form
 
-    lines = F.split(ascii_lower(F.coalesce(text, F.lit(""))), "\n", -1)
-    return F.filter(F.transform(F.filter(lines, lambda x: ~x.rlike(COPYRIGHT)), one), lambda x: x != "")
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+    stated = lambda x: ascii_lower(x).rlike(COPYRIGHT) | x.rlike(NAMED)
+    return F.filter(F.transform(F.filter(lines, lambda x: ~stated(x)), lambda x: one(ascii_lower(x))), lambda x: x != "")
+
+
+def _joined(lines: Column) -> Column:
+    """Canonical lines as one text; spellings of two words may have stood on two lines."""
+    form = F.array_join(lines, " ")
+    for other, usual in EQUAL:
+        if " " in other:
+            form = F.replace(form, F.lit(other), F.lit(usual))
+    return form
 
 
 def _digest(form: Column) -> Column:
@@ -99,7 +118,7 @@ def _digest(form: Column) -> Column:
 
 def known_digests(texts: DataFrame) -> DataFrame:
     """(digest, license) of a table with columns ``license`` and ``text``."""
-    form = F.array_join(canonical_lines(F.col("text")), " ")
+    form = _joined(canonical_lines(F.col("text")))
     found = texts.select("license", form.alias("form")).filter("form <> ''")
     return found.groupBy(_digest(F.col("form")).alias("digest")).agg(F.min("license").alias("license"))
 
@@ -116,7 +135,7 @@ def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     """
     rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), canonical_lines(docs[text]).alias("lines"))
     digests = known_digests(known)
-    whole = F.array_join("lines", " ")
+    whole = _joined(F.col("lines"))
     rows = rows.withColumn("digest", F.when(whole != "", _digest(whole)))
     lines = rows.select("id", "key", F.posexplode_outer("lines").alias("at", "line"))
     lines = lines.filter("line is not null").select("id", "key", "at", _digest(F.col("line")).alias("digest"))
