@@ -1,5 +1,6 @@
 """Edge cases of the text operators on small fixtures."""
 
+import os
 import random
 import re
 import textwrap
@@ -203,6 +204,37 @@ def test_licenses_at_any_width(spark):
     assert [got[n] for n in range(len(rows))] == expected + ["ISC", "MIT"]
 
 
+APACHE = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ */
+int x;"""
+
+
+def test_full_license_texts_and_notices(spark):
+    folder = os.path.join(os.path.dirname(license_scan.__file__), "licenses")
+    rows, expected = [], []
+    for file in sorted(os.listdir(folder)):
+        text = open(os.path.join(folder, file), encoding="utf-8").read()
+        for form in (text, "Copyright 2024 Some One\n\n" + text.replace("\n", "\r\n"), text.upper()):
+            rows.append((len(rows), form))
+            expected.append(file.removesuffix(".txt").split("__")[0])
+    names = set(expected)
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0"} <= names
+    mit = next(t for n, t in license_scan.KNOWN if n == "MIT" and len(t) > 100)
+    inside = "Some words.\n\n" + "\n\n".join(textwrap.fill(p, 70) for p in mit.split("\n\n")) + "\n\nMore words."
+    rows += [(-1, APACHE), (-2, inside), (-3, mit.partition("\n\n")[2]), (-4, APACHE.replace("may not", "may"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r for r in license_scan.find_licenses(docs, license_scan.known_texts(spark)).collect()}
+    assert [got[n].license for n in range(len(expected))] == expected
+    assert got[-1].line_licenses == ["Apache-2.0"] and got[-1].n_lines == 3
+    assert got[-2].license is None and got[-2].line_licenses == ["MIT"] and got[-2].n_lines > 10
+    assert got[-3].license == "MIT" and got[-4].n_lines == 1
+
+
 # -- SentencePiece ----------------------------------------------------------------------------
 
 

@@ -2,9 +2,11 @@
 
 Only built-in column functions. A text is brought to one form: A-Z lowered, copyright statements (not
 lines of prose that begin with the word) taken out, punctuation and white space as one space, equivalent spellings as one. Its SHA-256 is joined to
-those of known texts. The same is done for each line of a document, so a notice within a document is
-found as well. The known texts are a fixed list or a table of the caller's; a table is broadcast
-only by Spark's own size limit.
+those of known texts. The same is done for each line of a document and each paragraph, its lines up
+to a blank one, so a notice within a document is found as well. A paragraph of a known text stands
+for it there if it has ``LEAST_WORDS`` words and no other licence has it. The known texts are those of
+``KNOWN`` and of the folder ``licenses`` (by SPDX name) with their usual variants, or a table of the
+caller's; a table is broadcast only by Spark's own size limit.
 
 Defined results: a null text is an empty one; an empty canonical text matches nothing; of known
 texts with one canonical form, the smallest name counts.
@@ -12,6 +14,9 @@ texts with one canonical form, the smallest name counts.
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +32,10 @@ NAMED = (
     rf"{_LEAD}(?:Copyright|\(C\))[\x20\x09]+(?!(?:Notices?|Licen[cs]es?|Holders?|Owners?|Laws?|Acts?|Statements?|Rights?|Treat(?:y|ies)|Interests?|"
     r"Protection|Infringement|Information|Permissions?|Status|Office|Conventions?|Grants?|Terms|And|Or|In|On|Of|To|Is)\b)[A-Z][^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[a-z]"
 )
+#: A paragraph of so many words that only one licence has stands for it.
+LEAST_WORDS = 25
+# Lines with nothing but comment signs are blank.
+BLANK = r"\n[\x20\x09\x0B-\x0D*#/;-]*(?=\n)"
 MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—•©]+"
 # Spellings that count as equal, after lower case and punctuation.
 EQUAL = [
@@ -116,6 +125,11 @@ def _digest(form: Column) -> Column:
     return F.sha2(form, 256)
 
 
+def _paragraphs(text: Column) -> Column:
+    """The canonical lines of each paragraph."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), BLANK, -1), canonical_lines)
+
+
 def known_digests(texts: DataFrame) -> DataFrame:
     """(digest, license) of a table with columns ``license`` and ``text``."""
     form = _joined(canonical_lines(F.col("text")))
@@ -123,24 +137,73 @@ def known_digests(texts: DataFrame) -> DataFrame:
     return found.groupBy(_digest(F.col("form")).alias("digest")).agg(F.min("license").alias("license"))
 
 
+def paragraph_digests(texts: DataFrame) -> DataFrame:
+    """(digest, license) of the paragraphs that tell one licence from all others."""
+    parts = texts.select("license", F.explode(_paragraphs(F.col("text"))).alias("lines"))
+    parts = parts.select("license", _joined(F.col("lines")).alias("form"))
+    parts = parts.filter(F.size(F.split("form", " ")) >= LEAST_WORDS)
+    found = parts.groupBy(_digest(F.col("form")).alias("digest"))
+    found = found.agg(F.min("license").alias("license"), F.max("license").alias("last"))
+    return found.filter("license = last").select("digest", "license")
+
+
+def _variants(text: str) -> set[str]:
+    """A full text, without what follows its terms, each without its title, each without list numbers."""
+    out = {text, re.split(r"END OF TERMS AND CONDITIONS", text)[0]}
+    out |= {re.split(r"(?<=END OF TERMS AND CONDITIONS)", t)[0] for t in out}
+    for t in list(out):
+        first, _, rest = t.lstrip().partition("\n\n")
+        if len(first.split()) < LEAST_WORDS:
+            out.add(rest)
+    short = {t for t in out if len(t) < 3000}
+    out |= {re.sub(r"(?m)^[\x20\x09]*\(?[0-9][.)][\x20\x09]+", "", t) for t in short}
+    return {t for t in out if len(t.split()) >= LEAST_WORDS}
+
+
 def known_texts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license string, text string")
+    rows = set(KNOWN)
+    for name, text in KNOWN:
+        rows |= {(name, t) for t in _variants(text)}
+    for file in sorted(resources.files(__package__).joinpath("licenses").iterdir(), key=lambda f: f.name):
+        if file.name.endswith(".txt"):
+            name = file.name.removesuffix(".txt").split("__")[0]
+            rows |= {(name, t) for t in _variants(file.read_text(encoding="utf-8"))}
+    return spark.createDataFrame(sorted(rows), "license string, text string")
 
 
 def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, digest, license, n_lines, line_licenses) for each row.
 
     ``digest`` and ``license`` are of the whole text, ``line_licenses`` the distinct licences of
-    its lines, sorted, and ``n_lines`` the number of lines that are one.
+    its lines and paragraphs, sorted, and ``n_lines`` the number of lines that are one or are part
+    of a paragraph that is one.
     """
-    rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), canonical_lines(docs[text]).alias("lines"))
+    rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), _paragraphs(docs[text]).alias("parts"))
+    rows = rows.withColumn("lines", F.flatten("parts"))
     digests = known_digests(known)
+    units = digests.union(paragraph_digests(known)).groupBy("digest").agg(F.min("license").alias("license"))
     whole = _joined(F.col("lines"))
     rows = rows.withColumn("digest", F.when(whole != "", _digest(whole)))
-    lines = rows.select("id", "key", F.posexplode_outer("lines").alias("at", "line"))
-    lines = lines.filter("line is not null").select("id", "key", "at", _digest(F.col("line")).alias("digest"))
+    # A line is (place, 1, digest); a paragraph of several lines is (place of the first, lines, digest).
+    lines = F.transform(
+        "lines", lambda x, at: F.struct(at.alias("at"), F.lit(1).alias("size"), _digest(x).alias("digest"))
+    )
+    parts = F.aggregate(
+        F.filter("parts", lambda p: F.size(p) > 0),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,size:int,digest:string>>").alias("all")),
+        lambda acc, p: F.struct(
+            (acc["at"] + F.size(p)).alias("at"),
+            F.when(
+                F.size(p) > 1,
+                F.concat(acc["all"], F.array(F.struct(acc["at"].alias("at"), F.size(p).alias("size"), _digest(_joined(p)).alias("digest")))),
+            ).otherwise(acc["all"]).alias("all"),
+        ),
+        lambda acc: acc["all"],
+    )
+    spots = rows.select("id", "key", F.explode(F.concat(lines, parts)).alias("spot")).select("id", "key", "spot.*")
     found = (
-        lines.join(digests, "digest")
+        spots.join(units, "digest")
+        .select("id", "key", "license", F.explode(F.expr("sequence(at, at + size - 1)")).alias("at"))
         .groupBy("id", "key")
         .agg(F.count_distinct("at").alias("n_lines"), F.array_sort(F.collect_set("license")).alias("line_licenses"))
         .withColumnsRenamed({"id": "__id", "key": "__key"})
