@@ -359,6 +359,33 @@ def test_substring_edges(spark):
     assert next(r for r in rows if r.id == 2).n_words == 0
 
 
+def test_null_and_repeated_ids_spread(spark, monkeypatch):
+    rng = random.Random(3)
+    passage = " ".join(f"s{n}" for n in range(12))
+    texts = [f"{passage} " + " ".join(f"w{rng.randrange(500)}" for _ in range(20)) for _ in range(90)]
+    rows = [(None if n % 3 == 0 else 7 if n % 3 == 1 else 100 + n, t) for n, t in enumerate(texts)] + [(7, texts[1])] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    seen = []
+    plain = substring_dedup.removed_ranges
+    monkeypatch.setattr(substring_dedup, "removed_ranges", lambda rows, dealt, *a: seen.append(dealt) or plain(rows, dealt, *a))
+    got = substring_dedup.dedup(docs, length=8, seed_words=3).collect()
+    assert sorted((r.id is None, r.id) for r in got if r.id is not None) == sorted((False, i) for i, _ in rows if i is not None)
+    assert len(got) == len(rows) and len({(r.n_words, r.n_removed, r.kept) for r in got}) == 90
+    assert len({r.kept for r in got if r.n_removed == 0}) == 1
+    # Equal rows come once, and rows of one id are dealt apart.
+    assert seen[0].count() == 90 and seen[0].select("row").distinct().count() == 90
+
+
+def test_labelled_samples_are_bounded_in_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"good words number {n} " * 30) for n in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality_rules, "learn_rules", lambda frame, *a: seen.append(len(frame)) or [])
+    quality_rules.decision_list(docs, labels, bound=40)
+    assert seen == [40]
+    assert toxicity.bounded(docs.select("doc_id"), 40).count() == 40
+
+
 # -- quality ----------------------------------------------------------------------------------
 
 

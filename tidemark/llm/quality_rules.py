@@ -209,11 +209,17 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str
     return docs.join(F.broadcast(picked), docs[id_col] == picked["__label_id"])
 
 
+def bounded(rows: DataFrame, bound: int) -> DataFrame:
+    """At most ``bound`` rows of numbers, drawn by a hash of all: an id may have any number of rows."""
+    return rows.orderBy(F.xxhash64(*rows.columns), *rows.columns).limit(bound)
+
+
 def decision_list(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text", bound: int = SAMPLE, label_id: str | None = None) -> list[list[Test]]:
     """Learn the rules from labelled documents."""
     rows = with_statistics(sample_labelled(docs, labels, label, id_col, bound, label_id), text, ["__label_id", "__label"])
     features = _features()
-    frame = rows.select("__label_id", "__label", *STATISTICS, *[c.alias(n) for n, c in features.items()]).toPandas()
+    rows = rows.select("__label_id", "__label", *STATISTICS, *[c.alias(n) for n, c in features.items()])
+    frame = bounded(rows, bound).toPandas()
     names = ["n_words", *features]
     # A fixed order that has nothing to do with the values.
     frame = frame.sort_values(["__label_id", *names]).reset_index(drop=True)

@@ -16,7 +16,9 @@ streamed to the shards that can match:
    on, the span goes. A stretch that repeats an earlier one as a whole goes without another look.
 3. Stretches of a seed with more than ``HOT`` occurrences are first grouped by content, combined in
    each task, so a passage that a third of all documents share reaches its shard once.
-4. Ranges go back to their documents. Texts are dealt by id once; both joins read that one deal.
+4. Ranges go back to their documents. Texts are dealt once, by a hash of id and text, so null and
+   repeated ids spread; both joins read that one deal. Equal rows are dealt once, combined in each
+   task; their number is counted apart and repeats the result.
 
 Defined results: a null text has no words; null ids come last in order; rows with equal id and text
 count as one document, so repeated rows get the same result; rows with equal id and different texts
@@ -152,19 +154,20 @@ def _seeds(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
         for frame in frames:
             none = np.zeros(0, dtype=np.int64)
             ids, seeds, times = [none], [none], [none]
-            for doc, text in zip(frame["doc"], frame["text"]):
+            frame = frame.drop_duplicates(["doc", "text"])
+            for row, text in zip(frame["row"], frame["text"]):
                 words = words_of(text)
                 hashes = shingle_hashes(words, seed_words)
                 picked = stretches(hashes, len(words) - length + 1, length - seed_words + 1)[0]
                 found, count = np.unique(hashes[np.isin(hashes, picked)], return_counts=True)
-                ids.append(np.full(len(found), doc, dtype=np.int64))
+                ids.append(np.full(len(found), row, dtype=np.int64))
                 seeds.append(found.view(np.int64))
                 times.append(count)
             yield pd.DataFrame(
-                {"doc": np.concatenate(ids), "seed": np.concatenate(seeds), "times": np.concatenate(times)}
+                {"row": np.concatenate(ids), "seed": np.concatenate(seeds), "times": np.concatenate(times)}
             )
 
-    return mapped(rows.select("doc", "text"), run, "doc long, seed long, times long")
+    return mapped(rows.select("row", "doc", "text"), run, "row long, seed long, times long")
 
 
 def _stretch_rows(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
@@ -173,7 +176,7 @@ def _stretch_rows(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for _, doc, key, text, picks in frame.itertuples(index=False, name=None):
+            for doc, key, text, picks in frame.itertuples(index=False, name=None):
                 words = words_of(text)
                 hashes = shingle_hashes(words, seed_words)
                 seed, first, windows = stretches(hashes, len(words) - length + 1, length - seed_words + 1)
@@ -185,7 +188,7 @@ def _stretch_rows(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
             yield pd.DataFrame(out, columns=["seed", "doc", "key", "start", "size", "part"])
 
     found = mapped(
-        rows.select("id", "doc", "key", "text", "picks"),
+        rows.select("doc", "key", "text", "picks"),
         run,
         "seed long, doc long, key long, start int, size int, part binary",
     )
@@ -232,20 +235,21 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
 def removed_ranges(rows: DataFrame, dealt: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS) -> DataFrame:
     """(doc, key, low, high): word ranges to remove, which may overlap.
 
-    ``rows`` has doc, key and text; ``dealt`` the same rows dealt by doc.
+    ``rows`` has row, doc, key and text; ``dealt`` the same rows dealt by row, a hash of doc and key.
+    Two documents with one hash only look at each other's seeds as well.
     """
     seeds = _seeds(rows, length, seed_words)
     counted = seeds.groupBy("seed").agg(F.sum("times").alias("total")).filter("total > 1")
     counted = counted.select("seed", (F.col("total") > HOT).alias("hot"))
-    by_doc = (
+    by_row = (
         seeds.join(counted, "seed")
-        .groupBy("doc")
+        .groupBy("row")
         .agg(
             F.collect_set(F.when(~F.col("hot"), F.col("seed"))).alias("cold"),
             F.collect_set(F.when(F.col("hot"), F.col("seed"))).alias("hot"),
         )
     )
-    joined = dealt.join(by_doc, "doc").filter(F.size("cold") + F.size("hot") > 0)
+    joined = dealt.join(by_row, "row").filter(F.size("cold") + F.size("hot") > 0)
     cold = _stretch_rows(joined.withColumn("picks", F.col("cold")).filter(F.size("picks") > 0), length, seed_words)
     cold = _shards(cold, length)
     cold = cold.select("doc", "key", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
@@ -279,16 +283,21 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: i
         text_key(docs[text]).alias("key"),
         docs[text].alias("text"),
     )
-    dealt = rows.repartition("doc")
-    ranges = removed_ranges(rows, dealt, length, seed_words)
-    by_doc = ranges.groupBy("doc").agg(F.collect_list(F.struct("key", "low", "high")).alias("ranges"))
-    joined = dealt.join(by_doc, "doc", "left").select(
-        "id",
+    rows = rows.withColumn("row", F.xxhash64("doc", "key"))
+    # By row alone, so that the deal serves the joins; two documents with one hash stay apart in the set.
+    dealt = rows.groupBy("row").agg(F.collect_set(F.struct("doc", "key", "text")).alias("all"))
+    dealt = dealt.select("row", F.explode("all").alias("one")).select("row", "one.*")
+    copies = rows.groupBy("row", "doc", "key", "id").agg(F.count("*").alias("copies"))
+    copies = copies.groupBy("row").agg(F.collect_list(F.struct("doc", "key", "id", "copies")).alias("ids"))
+    ranges = removed_ranges(rows, dealt, length, seed_words).withColumn("row", F.xxhash64("doc", "key"))
+    by_row = ranges.groupBy("row").agg(F.collect_set(F.struct("doc", "key", "low", "high")).alias("ranges"))
+    own = lambda r: (r["doc"] == F.col("doc")) & (r["key"] == F.col("key"))
+    joined = dealt.join(by_row, "row", "left").join(copies, "row").select(
+        F.explode(F.filter("ids", own)).alias("one"),
         "text",
-        F.transform(
-            F.filter("ranges", lambda r: r["key"] == F.col("key")), lambda r: F.array(r["low"], r["high"])
-        ).alias("ranges"),
+        F.transform(F.filter("ranges", own), lambda r: F.array(r["low"], r["high"])).alias("ranges"),
     )
+    joined = joined.select("one.id", "text", "one.copies", "ranges")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -303,7 +312,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: i
                 gone.append(len(words) - len(left))
                 joined = b" ".join(left)
                 kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "surrogatepass"))
-            yield pd.DataFrame({"id": frame["id"], "n_words": total, "n_removed": gone, "kept": kept})
+            yield pd.DataFrame({"id": frame["id"], "n_words": total, "n_removed": gone, "kept": kept, "copies": frame["copies"]})
 
     kind = joined.schema["id"].dataType.simpleString()
-    return mapped(joined, run, f"id {kind}, n_words long, n_removed long, kept string")
+    found = mapped(joined, run, f"id {kind}, n_words long, n_removed long, kept string, copies long")
+    return found.select("id", "n_words", "n_removed", "kept", F.explode(F.expr("sequence(1L, copies)"))).drop("col")

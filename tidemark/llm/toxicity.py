@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mapped
-from tidemark.llm.quality_rules import sample_labelled
+from tidemark.llm.quality_rules import bounded, sample_labelled
 
 SAMPLE = 20_000
 LEAST_DOCS = 6
@@ -280,7 +280,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     lexicon = _lexicon(rows.filter(part < 2))
     if not lexicon:
         return Model({}, (), (), ())
-    rest = with_features(rows.filter(part == 2), lexicon, ["id", "label"], "text").toPandas()
+    rest = bounded(with_features(rows.filter(part == 2), lexicon, ["id", "label"], "text"), bound).toPandas()
     rest = rest.sort_values(["id", "label", *[f"f{n}" for n in range(FEATURES)]])
     found = rest["label"].to_numpy(dtype=float)
     if not (0 < found.sum() < len(found)):
