@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
+    filter_audit,
     html_text,
+    language_id,
     license_scan,
     pii,
     piece_codec,
@@ -19,6 +21,7 @@ from tidemark.llm import (
     simhash,
     substring_dedup,
     toxicity,
+    vector_codes,
 )
 from tidemark.llm.common import read
 from tidemark.llm.spans import listed
@@ -120,6 +123,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rows = language_id.identify(docs, language_id.train(docs), keep=["doc_id"])
+    return rows.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, coder = vector_codes.code_vectors(read(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_error(rows)
+    books = F.lit(coder.digest() if coder else None).cast("string")
+    return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", books.alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -133,6 +153,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_html_extraction,
         op10_toxicity,
+        op11_filter_audit,
+        op12_language_id,
+        op13_vector_codes,
     )
 }
 
@@ -142,4 +165,5 @@ SQL: dict[str, str] = {
     "op4_license_scan": sql.LICENSES,
     "op5_pii": sql.PII,
     "op8_substring_dedup": sql.SUBSTRINGS,
+    "op11_filter_audit": sql.AUDIT,
 }

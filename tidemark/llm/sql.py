@@ -152,3 +152,30 @@ lost AS (SELECT doc, count(*) AS n, list(w) AS at FROM gone GROUP BY doc),
 kept AS (SELECT doc, string_agg(ws[w + 1], ' ' ORDER BY w) AS text FROM (SELECT doc, ws, unnest(range(0, len(ws))) AS w FROM d) WHERE (doc, w) NOT IN (SELECT (doc, w) FROM gone) GROUP BY doc)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN lost USING (doc) LEFT JOIN kept USING (doc)"""
+
+AUDIT = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+    CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN l USING (doc_id)),
+cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM f GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step::INTEGER AS step, filter_order[step] AS letter, '[' || filter_order[1:step] || ']' AS so_far,
+    '[' || filter_order[1:step - 1] || '-]' AS earlier FROM orders, unnest(range(1, 6)) AS t(step)),
+met AS (SELECT s.*, c.*, regexp_matches(fails, so_far) AS gone, contains(fails, letter) AS own, regexp_matches(fails, earlier) AS before FROM steps s, cells c),
+counted AS (
+  SELECT part, filter_order, step, letter, coalesce(sum(n) FILTER (NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (own AND NOT before), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (own AND before), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = letter), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (own AND NOT before), 0)::BIGINT AS good_lost, coalesce(sum(bad) FILTER (own AND NOT before), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted"""
