@@ -303,7 +303,8 @@ def code_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embe
         return spark.createDataFrame([], final), None
     width = smallest[0]["width"]
     rows = rows.filter(F.size("vector") == width)
-    begun = whole(np.array(_first(rows, entries), dtype=np.float64).reshape(-1, width))
+    begun = _first(rows, entries)
+    begun = whole(np.array(begun, dtype=np.float64).reshape(len(begun), width))
     coder = Coder([begun[:, a:b] for a, b in cuts(width, parts)])
     numbers = T.ArrayType(T.IntegerType())
     shorts = T.ArrayType(T.ShortType())
