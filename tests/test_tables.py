@@ -31,15 +31,80 @@ def test_merge_replaces_and_adds(spark, table):
     assert table.rows() == 110
 
 
-def test_merge_leaves_untouched_parts_alone(spark, table):
+def test_merge_leaves_untouched_files_alone(spark, table):
     table.merge(numbers(spark, 0, 100, v="a"))
     before = set(table.listing().folders)
     table.merge(numbers(spark, 7, 8, v="b"))
     after = set(table.listing().folders)
-    assert len(before & after) == 3 and len(after) == 4
+    assert len(before) == 4 and len(before & after) == 3 and len(after) == 5
     assert table.rows() == 100
 
 
+def test_clustered_keys_leave_most_files_in_place(spark):
+    table = KeyedTable(spark, work_folder(spark, "clustered"), ["a", "k"], 100)
+    rows = numbers(spark, 0, 10_000, v="a").withColumn("a", F.format_string("g%05d", F.floor(F.col("k") / 7)))
+    table.merge(rows)
+    before = set(table.listing().folders)
+    assert len(before) == 100
+    changed = rows.filter("k BETWEEN 5000 AND 5099").withColumn("v", F.lit("b"))
+    assert table.merge(changed) == 100
+    kept = before & set(table.listing().folders)
+    assert len(kept) >= 97
+    assert rows_of(table) == [("a", 9900), ("b", 100)]
+    # New keys touch no file at all.
+    before = set(table.listing().folders)
+    table.merge(changed.withColumn("k", F.col("k") + 20_000))
+    assert before < set(table.listing().folders) and table.rows() == 10_100
+
+
+def rows_of(table):
+    return rows(table.read().groupBy("v").count())
+
+
+@pytest.mark.parametrize("key_bytes", [0, 1 << 20])
+@pytest.mark.parametrize("kind", ["bigint", "string", "decimal(38,0)", "double", "binary", "date"])
+def test_files_are_found_for_keys_of_any_type(spark, kind, key_bytes, monkeypatch):
+    monkeypatch.setattr(tables, "KEY_BYTES", key_bytes)
+    table = KeyedTable(spark, work_folder(spark, "typed"), ["k"], 5)
+
+    def typed(start, end, v):
+        ids = spark.range(start, end)
+        key = {"binary": F.col("id").cast("string").cast("binary"), "date": F.date_add(F.lit(date(2024, 1, 1)), F.col("id").cast("int"))}
+        return ids.select(key.get(kind, F.col("id").cast(kind)).alias("k"), F.lit(v).alias("v"))
+
+    table.merge(typed(0, 60, "a"))
+    assert len(table.listing().folders) == 5
+    table.merge(typed(58, 63, "b").union(typed(1, 2, "b")))
+    assert rows_of(table) == [("a", 57), ("b", 6)]
+    wanted = typed(3, 5, "c")
+    assert table.matching(wanted.select("k")).join(wanted, "k").count() == 2
+
+
+def test_small_files_are_put_together(spark, monkeypatch):
+    monkeypatch.setattr(tables, "MANY_SMALL", 4)
+    table = KeyedTable(spark, work_folder(spark, "small"), ["k"])
+    for n in range(12):
+        table.merge(numbers(spark, 10 * n, 10 * n + 11, v=str(n)))
+        assert len(table.listing().folders) <= 6
+    assert table.rows() == 121 and len(rows_of(table)) == 12
+
+
+def test_days_drop_without_a_rewrite(spark):
+    table = KeyedTable(spark, work_folder(spark, "days"), ["k"], day_column="t")
+    day = F.when(F.col("k") < 90, F.expr("timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, k % 3)"))
+    table.merge(numbers(spark, 0, 100, v="a").withColumn("t", day))
+    # A changed row moves to the file of its new day.
+    table.merge(numbers(spark, 0, 10, v="b").withColumn("t", F.lit(datetime(2024, 1, 9)).cast("timestamp_ntz")))
+    by_day = {f.split("_day=")[1].split("/")[0] for f in table.listing().folders}
+    assert by_day == {"2024-01-01", "2024-01-02", "2024-01-03", "2024-01-09", "__HIVE_DEFAULT_PARTITION__"}
+    before = set(table.listing().folders)
+    assert table.drop_days_before(date(2024, 1, 3)) == 53
+    left = set(table.listing().folders)
+    assert left == {f for f in before if "=2024-01-01" not in f and "=2024-01-02" not in f}
+    assert rows_of(table) == [("a", 37), ("b", 10)] and table.drop_days_before(date(2024, 1, 3)) == 0
+    assert table.read().columns == ["k", "v", "t"]
+
+
 def test_a_reader_keeps_its_version(spark, table):
     table.merge(numbers(spark, 0, 10, v="a"))
     old = table.read()
@@ -54,7 +119,7 @@ def test_schema_follows_the_changes(spark, table):
     assert rows(table.read().groupBy("v", "extra").count()) == [("a", None, 19), ("b", 5, 2)]
 
 
-def test_a_changed_type_rewrites_all_parts(spark, table):
+def test_a_changed_type_rewrites_all_files(spark, table):
     table.merge(numbers(spark, 0, 20, v=1))
     table.merge(numbers(spark, 0, 1, v="x"))
     assert rows(table.read().groupBy("v").count()) == [("1", 19), ("x", 1)]
@@ -100,7 +165,7 @@ def test_a_second_writer_is_refused(spark, table):
 
 @pytest.mark.parametrize("few", [0, 1000])
 def test_matching_holds_all_rows_with_arriving_keys(spark, table, few, monkeypatch):
-    monkeypatch.setattr(tables, "FEW_KEYS", few)
+    monkeypatch.setattr(tables, "KEY_BYTES", few)
     monkeypatch.setattr(tables, "SMALL_TABLE_BYTES", 0)
     table.merge(numbers(spark, 0, 100, v="a"))
     wanted = numbers(spark, 40, 42)
@@ -118,10 +183,10 @@ def test_highest_values_are_kept_with_the_table(spark, table):
     assert table.highest("k") == 9 and table.highest("t") == datetime(2024, 1, 7)
 
 
-def test_the_number_of_parts_is_fixed_by_the_first_write(spark, table):
+def test_the_least_number_of_files_is_fixed_by_the_first_write(spark, table):
     table.merge(numbers(spark, 0, 50, v="a"))
     other = KeyedTable(spark, table.root, ["k"], 16)
-    other.merge(numbers(spark, 0, 50, v="b"))
+    other.overwrite(numbers(spark, 0, 50, v="b"))
     assert other.rows() == 50 and len(other.listing().folders) == 4
 
 
@@ -176,27 +241,17 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         session.shared_folder(Fake())
 
 
-def test_parts_follow_the_size_of_the_input(spark, folder, monkeypatch):
+def test_files_follow_the_size_of_the_rows(spark, folder, monkeypatch):
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     assert tables.input_bytes(lines) > 0
     assert tables.input_bytes(spark.createDataFrame([(1,)], "k int").repartition(2)) < 1 << 60
-    monkeypatch.setattr(tables, "PART_BYTES", tables.input_bytes(lines) // 20)
+    monkeypatch.setattr(tables, "FILE_BYTES", tables.input_bytes(lines) // 20)
     sized = KeyedTable(spark, work_folder(spark, "sized"), ["l_orderkey", "l_linenumber"])
     sized.merge(lines.dropDuplicates(["l_orderkey", "l_linenumber"]))
-    assert sized.listing().parts == 21
-
-
-def test_an_outgrown_table_is_split_again(spark, monkeypatch):
-    grown = KeyedTable(spark, work_folder(spark, "grown"), ["k"])
-    grown.merge(numbers(spark, 0, 1000, v="a"))
-    assert grown.listing().parts == 1
-    size = sum(grown.listing().folders.values())
-    monkeypatch.setattr(tables, "PART_BYTES", size // 10)
-    grown.merge(numbers(spark, 990, 1010, v="b"))
-    assert grown.listing().parts == 11 and len(grown.listing().folders) == 11
-    assert rows(grown.read().groupBy("v").count()) == [("a", 990), ("b", 20)]
-    grown.merge(numbers(spark, 5, 6, v="c"))
-    assert grown.listing().parts == 11 and grown.rows() == 1010
+    assert 15 <= len(sized.listing().folders) <= 40
+    bounds = sized.read().groupBy(F.col("_metadata.file_name")).agg(F.min("l_orderkey"), F.max("l_orderkey"))
+    spans = sorted((r[1], r[2]) for r in bounds.collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
 def test_a_local_session_without_the_setting_gets_a_folder(spark):

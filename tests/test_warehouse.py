@@ -26,6 +26,7 @@ from tidemark.plans.monitor import (
 )
 from tidemark.plans.retention import purge_control, purge_current_state
 from tidemark.session import work_folder
+from tidemark.sources.quarantine import Quarantine
 from tidemark.sources.tables import AppendTable, KeyedTable
 from tidemark.spec import EXTRACTED_AT, TIME_SENTINEL, EntitySpec, struct_type
 from tidemark.streaming.upsert import landing_stream, stream_id, stream_upsert
@@ -353,7 +354,7 @@ def test_stream_merges_each_file_and_skips_replays(spark):
 def test_stream_keeps_rows_without_a_key(spark):
     root = work_folder(spark, "stream")
     table = KeyedTable(spark, f"{root}/state", E.STATE.key, 4)
-    quarantine = AppendTable(spark, f"{root}/quarantine", EXTRACTED_AT)
+    quarantine = Quarantine(spark, f"{root}/quarantine")
     states(spark, (None, "lost", T0), ("A", "kept", T0)).write.parquet(f"{root}/landing")
     stream = landing_stream(spark, f"{root}/landing", STATE_LANDING)
     stream_upsert(E.STATE, stream, table, f"{root}/checkpoint", T0, quarantine).awaitTermination()
@@ -363,7 +364,7 @@ def test_stream_keeps_rows_without_a_key(spark):
 
 def test_quarantine_takes_a_batch_once_and_null_keys_can_be_kept(spark):
     root = work_folder(spark, "quarantine")
-    quarantine = AppendTable(spark, f"{root}/quarantine", EXTRACTED_AT)
+    quarantine = Quarantine(spark, f"{root}/quarantine")
     landing = states(spark, (None, "x", T0), (None, "y", T0 + timedelta(hours=1)), ("A", "z", T0))
     table = state_table(spark)
     for _ in range(2):
@@ -391,6 +392,53 @@ def test_domain_keeps_and_counts_rejected_rows(spark):
     assert found["entities"][E.STATE.name]["rejected"].count() == 1
 
 
+@pytest.mark.parametrize("second", ["b1", "b2"])
+def test_a_repeated_run_leaves_each_rejected_row_once(spark, monkeypatch, second):
+    wh = Warehouse(spark, work_folder(spark, "wh"))
+    arrivals = {E.STATE.name: states(spark, (None, "x", T0), (None, "x", T0), (None, "y", T0), ("A", "z", T0))}
+
+    def broken(*_):
+        raise RuntimeError("behind the quarantine")
+
+    with monkeypatch.context() as m:
+        m.setattr("tidemark.plans.domain.load_dimension", broken)
+        assert run_domain(wh, [E.STATE], arrivals, T0, "b1")["status"] == "FAILED"
+    assert wh.quarantine(E.STATE).rows() == 3
+    # More rows land before the next run, which meets those that wait and the new ones.
+    later = T0 + timedelta(hours=1)
+    more = {E.STATE.name: states(spark, (None, "w", later), ("B", "b", later))}
+    assert run_domain(wh, [E.STATE], more, later, second)["status"] == "SUCCESS"
+    stored = wh.quarantine(E.STATE).read()
+    assert sorted(r["desc_estado"] for r in stored.collect()) == ["w", "x", "x", "y"]
+    assert {r["etl_batch_id"] for r in stored.collect()} == {second}
+    events = wh.control.audit().filter("step_name LIKE 'QUARANTINE%'").collect()
+    assert [(e["batch_id"], e["rows_processed"]) for e in events] == [(second, 4)]
+    # Nothing waits any more: a further run changes nothing.
+    assert run_domain(wh, [E.STATE], {}, later, "b3")["status"] == "SUCCESS"
+    assert wh.quarantine(E.STATE).rows() == 4
+
+
+def test_nothing_is_written_when_nothing_is_rejected(spark):
+    wh = Warehouse(spark, work_folder(spark, "wh"))
+    run_domain(wh, [E.STATE], {E.STATE.name: states(spark, ("A", "y", T0))}, T0, "b1")
+    assert not wh.quarantine(E.STATE).exists() and wh.quarantine(E.STATE).rows() == 0
+    with pytest.raises(FileNotFoundError):
+        wh.quarantine(E.STATE).read()
+    assert wh.quarantine(E.STATE).read(wh.current_state(E.STATE).schema()).count() == 0
+
+
+def test_retention_drops_days_of_the_current_state(spark):
+    wh = Warehouse(spark, work_folder(spark, "wh"))
+    state = wh.current_state(E.STATE)
+    for n, key in enumerate("ABC"):
+        at = T0 + timedelta(days=n)
+        merge_current_state(E.STATE, states(spark, (key, "x", at), ("Z", key, at)), state, at, f"b{n}")
+    kept = {f for f in state.listing().folders if f"_day={(T0 + timedelta(days=2)).date()}" in f}
+    assert purge_current_state({"s": state}, T0 + timedelta(days=2), "c", wh.control) == {"s": 2}
+    assert set(state.listing().folders) == kept and len(kept) == 1
+    assert as_map(state.read(), "cd_estado", "desc_estado") == {"C": ("x",), "Z": ("C",)}
+
+
 @pytest.mark.parametrize("small_bytes", [0, None])
 @pytest.mark.parametrize("column", [{"upper": True}, {"length": 3}, {"upper": True, "length": 3}])
 def test_surrogate_keys_stay_on_both_sides_of_the_size_switch(spark, small_bytes, column):

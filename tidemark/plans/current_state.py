@@ -12,7 +12,8 @@ from tidemark.operators.changes import changed_or_new, split_null_keys
 from tidemark.operators.latest import latest_in_landing, latest_in_staging
 from tidemark.operators.merge import upsert
 from tidemark.sources.readers import changed_since
-from tidemark.sources.tables import AppendTable, KeyedTable
+from tidemark.sources.quarantine import DELIVERY, Quarantine
+from tidemark.sources.tables import KeyedTable
 from tidemark.spec import (
     BATCH_ID,
     LANDING_EXTRACTED_AT,
@@ -75,19 +76,23 @@ def merge_current_state(
     run_ts: datetime,
     batch_id: str,
     writer: str | None = None,
-    quarantine: AppendTable | None = None,
+    quarantine: Quarantine | None = None,
 ) -> MergeOutcome:
     """Merge a landing slice into the stored current state.
 
-    Rows with an incomplete key are stored in the quarantine, with the batch that met
-    them, before the merge is published; a replayed batch adds them once.
+    Rows with an incomplete key are stored in the quarantine before the merge is published,
+    under the delivery that landed them (a column of that name) or else under the batch. A
+    run that repeats them replaces them.
     """
     complete, rejected = _usable(spec, landing)
     quarantined = None
     if quarantine is not None and not spec.keep_null_keys:
-        stamped = rejected.withColumn(BATCH_ID, F.lit(batch_id))
-        quarantined = quarantine.append(stamped, writer, batch_id)
-        rejected = quarantine.read().filter(F.col(BATCH_ID) == batch_id)
+        aside, own = rejected, F.lit(batch_id)
+        if DELIVERY in landing.columns:
+            aside, own = split_null_keys(conform_landing(landing, spec, (DELIVERY,)), spec.key)[1], None
+        quarantined = quarantine.put(aside, batch_id, own)
+        if quarantined:
+            rejected = quarantine.of_batch(batch_id)
     target = table.matching(complete) if table.exists() else None
     latest = latest_in_landing(complete, spec.key)
     changes = changed_or_new(latest, target, spec, run_ts, batch_id)

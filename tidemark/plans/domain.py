@@ -23,8 +23,9 @@ from tidemark.plans.control import (
 )
 from tidemark.plans.current_state import merge_current_state, staging_view
 from tidemark.plans.dimension import dimension_watermark, load_dimension
+from tidemark.sources.quarantine import Quarantine, with_delivery
 from tidemark.sources.tables import AppendTable, KeyedTable
-from tidemark.spec import EXTRACTED_AT, LANDING_EXTRACTED_AT, EntitySpec
+from tidemark.spec import LANDING_EXTRACTED_AT, UPDATED_AT, EntitySpec
 
 QUARANTINE_STEP = "QUARANTINE_"
 
@@ -44,11 +45,13 @@ class Warehouse:
         return AppendTable(self.spark, self.path("raw", spec.name), LANDING_EXTRACTED_AT)
 
     def current_state(self, spec: EntitySpec) -> KeyedTable:
-        return KeyedTable(self.spark, self.path("ds", spec.name), spec.key, spec.parts)
+        """One row per key, by the day it was last updated, as retention drops whole days."""
+        root = self.path("ds", spec.name)
+        return KeyedTable(self.spark, root, spec.key, spec.parts, day_column=UPDATED_AT)
 
-    def quarantine(self, spec: EntitySpec) -> AppendTable:
-        """Rows whose key is incomplete, by the day they were extracted."""
-        return AppendTable(self.spark, self.path("quarantine", spec.name), EXTRACTED_AT)
+    def quarantine(self, spec: EntitySpec) -> Quarantine:
+        """Rows whose key is incomplete, by the delivery that brought them."""
+        return Quarantine(self.spark, self.path("quarantine", spec.name))
 
     def dimension(self, spec: EntitySpec) -> KeyedTable:
         return KeyedTable(self.spark, self.path("dw", spec.name), spec.key, spec.parts)
@@ -71,9 +74,8 @@ class Warehouse:
 def load_entity(wh: Warehouse, spec: EntitySpec, run_ts: datetime, batch_id: str) -> dict[str, Any]:
     """Landing to current state to dimension for one entity."""
     state, dimension = wh.current_state(spec), wh.dimension(spec)
-    merged = merge_current_state(
-        spec, wh.landing(spec).read(), state, run_ts, batch_id, quarantine=wh.quarantine(spec)
-    )
+    landing, quarantine = with_delivery(wh.landing(spec)), wh.quarantine(spec)
+    merged = merge_current_state(spec, landing, state, run_ts, batch_id, quarantine=quarantine)
     watermark = wh.control.watermark(spec.pipeline_name)
     loaded = load_dimension(spec, state.read(), dimension, watermark, run_ts, batch_id)
     # Data first, watermark second: a stop in between repeats rows, which changes nothing.

@@ -53,7 +53,10 @@ def purge_current_state(
         }
         events.append({**step, "status": STARTED})
         try:
-            deleted[name] = table.delete(before_day(UPDATED_AT, run_ts.date()))
+            if table.day_column == UPDATED_AT:
+                deleted[name] = table.drop_days_before(run_ts.date())
+            else:
+                deleted[name] = table.delete(before_day(UPDATED_AT, run_ts.date()))
             events.append({**step, "status": SUCCESS, "rows_processed": deleted[name]})
         except Exception as exc:
             failures.append(name)

@@ -5,7 +5,7 @@ Business columns are compared with SQL; surrogate keys are compared as propertie
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import entities as E
@@ -16,8 +16,9 @@ from tidemark.plans.facts import resolve_star
 from tidemark.plans.retention import purge_current_state
 from tidemark.plans.domain import Warehouse, run_domain
 from tidemark.queries import source_queries as Q
-from tidemark.queries.registry import REGISTRY, RUN_1, Tables, query
+from tidemark.queries.registry import REGISTRY, RUN_1, RUN_2, Tables, query
 from tidemark.session import work_folder
+from tidemark.sources.quarantine import with_delivery
 from tidemark.spec import LANDING_EXTRACTED_AT, EntitySpec
 
 
@@ -83,6 +84,14 @@ def _front_sql() -> str:
     return f"SELECT {shown}, NOT ({keys}) AS quarantined FROM ({Q.FRONT_VIEW_SQL})"
 
 
+def _front_columns() -> list[Column]:
+    columns = []
+    for c in E.FRONT.columns:
+        value = F.upper(c.name) if c.upper else F.col(c.name)
+        columns.append((value.cast("bigint") if c.type.startswith("decimal") else value).alias(c.name))
+    return columns
+
+
 @query("quarantine_front", _front_sql())
 def quarantine_front(t: Tables) -> DataFrame:
     """Every row of the view is in the dimension or, for want of a key part, in quarantine."""
@@ -90,11 +99,7 @@ def quarantine_front(t: Tables) -> DataFrame:
     stored = wh.dimension(E.FRONT).read().filter(F.col(E.FRONT.surrogate_key) != -1)
 
     def shown(df: DataFrame, quarantined: bool) -> DataFrame:
-        columns = []
-        for c in E.FRONT.columns:
-            value = F.upper(c.name) if c.upper else F.col(c.name)
-            columns.append((value.cast("bigint") if c.type.startswith("decimal") else value).alias(c.name))
-        return df.select(*columns, F.lit(quarantined).alias("quarantined"))
+        return df.select(*_front_columns(), F.lit(quarantined).alias("quarantined"))
 
     return shown(stored, False).unionByName(shown(wh.quarantine(E.FRONT).read(), True))
 
@@ -115,6 +120,27 @@ def domain_rejects_audited(t: Tables) -> DataFrame:
     return events.select("step_name", "status", "rows_processed")
 
 
+@query(
+    "quarantine_repeated_run",
+    f"""
+SELECT {", ".join(c.name for c in E.FRONT.columns)}, 'run-2' AS etl_batch_id, count(*) OVER () AS audited
+FROM ({_front_sql()}) WHERE quarantined""",
+)
+def quarantine_repeated_run(t: Tables) -> DataFrame:
+    """A run that ended behind the quarantine, then one that meets the same landing: each rejected row once."""
+    spec = E.FRONT
+    wh = Warehouse(t.spark, work_folder(t.spark, "repeated"))
+    at = F.lit(RUN_1).cast("timestamp_ntz").alias(LANDING_EXTRACTED_AT)
+    wh.landing(spec).append(REGISTRY["source_front_view"].run(t.spark, t.folder).select("*", at))
+    waiting, quarantine = with_delivery(wh.landing(spec)), wh.quarantine(spec)
+    merge_current_state(spec, waiting, wh.current_state(spec), RUN_1, "run-1", quarantine=quarantine)
+    run_domain(wh, [spec], {}, RUN_2, "run-2")
+    audit = wh.control.audit().filter(F.col("step_name").startswith("QUARANTINE"))
+    audited = audit.agg(F.sum("rows_processed")).first()[0]
+    rows = quarantine.read().select(*_front_columns(), "etl_batch_id")
+    return rows.withColumn("audited", F.lit(audited).cast("bigint"))
+
+
 @query(
     "views_for_sql",
     """

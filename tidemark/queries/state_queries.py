@@ -538,13 +538,14 @@ SELECT event_id, user_id, bi_updated_at FROM (
 WHERE NOT (bi_updated_at IS NOT NULL AND CAST(bi_updated_at AS DATE) < DATE '2024-01-15')""",
 )
 def retention_delete_current_state(t: Tables) -> DataFrame:
-    """Delete from a stored table; rows without a time stay."""
-    stored = KeyedTable(t.spark, work_folder(t.spark, "retention"), ["event_id"])
+    """Drop the old days of a stored table; rows without a time stay."""
+    root = work_folder(t.spark, "retention")
+    stored = KeyedTable(t.spark, root, ["event_id"], day_column="bi_updated_at")
     rows = t.events.select(
         "event_id", "user_id", F.when(F.col("value") >= 5, F.col("ts")).alias("bi_updated_at")
     )
     stored.merge(rows)
-    stored.delete(before_day("bi_updated_at", RUN_1.date()))
+    stored.drop_days_before(RUN_1.date())
     return stored.read()
 
 

@@ -1,4 +1,4 @@
-"""Stored tables: parquet folders plus a small list of the folders in force.
+"""Stored tables: parquet files plus a small list of the files or folders in force.
 
 A writer puts new files in a folder of its own and then publishes a list that names
 it. Readers take the newest list once, so they never see half a write, and a lost
@@ -13,17 +13,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from typing import Any
+from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.merge import align
 
-PART = "_part"
-
 # Lists of earlier versions that stay readable on disk.
 KEPT_LISTINGS = 100
 
@@ -32,13 +31,13 @@ KEPT_LISTINGS = 100
 class Listing:
     version: int = 0
     schema: str | None = None
-    # Folders in force, below the table root, with their size in bytes.
+    # Files or folders in force, below the table root, with their size in bytes.
     folders: dict[str, int] = field(default_factory=dict)
     # Writer name -> last batch it has published.
     applied: dict[str, str] = field(default_factory=dict)
     # Last id handed out to appended rows.
     serial: int = 0
-    # Number of hash parts of a keyed table.
+    # Least number of files of a full write of a keyed table.
     parts: int = 0
     # Largest values seen by the writers, under the names they chose.
     highest: dict[str, Any] = field(default_factory=dict)
@@ -110,23 +109,25 @@ class _StoredTable:
         return self.read().count()
 
     def vacuum(self, before: datetime) -> int:
-        """Delete data folders that are out of force and were written before a time.
+        """Delete data files that are out of force and were written before a time.
 
         The time has to lie before the start of every reader and writer still at work.
         """
-        listing = self.listing()
-        used = {"/".join(f.split("/")[:2]) for f in listing.folders}
+        used = self.listing().folders
         path, fs = self._hadoop_path("data")
         if not fs.exists(path):
             return 0
-        gone = [
-            s.getPath()
-            for s in fs.listStatus(path)
-            if f"data/{s.getPath().getName()}" not in used
-            and s.getModificationTime() < before.timestamp() * 1000
-        ]
-        for folder in gone:
-            fs.delete(folder, True)
+        gone = []
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            file = files.next()
+            name = file.getPath().toString()
+            name = name[name.rindex("/data/") + 1 :]
+            in_force = name in used or name.rsplit("/", 1)[0] in used
+            if not in_force and file.getModificationTime() < before.timestamp() * 1000:
+                gone.append(file.getPath())
+        for file in gone:
+            fs.delete(file, False)
         return len(gone)
 
     def clear(self) -> int:
@@ -157,26 +158,35 @@ class _StoredTable:
         return sizes
 
 
-# A part of a keyed table aims at this size; a table that outgrows its parts several
-# times over is split again.
-PART_BYTES = 256 * 1024 * 1024
-MOST_PARTS = 8192
-OUTGROWN = 4
+# A file of a keyed table aims at this size.
+FILE_BYTES = 256 * 1024 * 1024
+
+# Files below a quarter of that are put together once a day or table has more of them.
+MANY_SMALL = 16
 
 # A table up to this size is read whole.
 SMALL_TABLE_BYTES = 64 * 1024 * 1024
 
-# Up to this many keys are sent to every task, which is some ten megabytes.
-FEW_KEYS = 200_000
+# Keys up to this size in memory are sent to every task.
+KEY_BYTES = 16 * 1024 * 1024
+
+_FILE = "__file"
+# Types whose bounds Parquet keeps in an order that Spark shares.
+_RANGED = (T.IntegralType, T.DecimalType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 class KeyedTable(_StoredTable):
-    """One row per key, spread over hash parts so that a merge rewrites few of them.
+    """One row per key, in files that each hold a range of keys.
 
-    The number of parts follows the size of the table, unless ``parts`` sets it before
-    the first write.
+    A merge adds its rows in files of their own and writes again only the files that hold a
+    key it replaces, without that key. These are found by reading the keys alone, and of
+    those only the row groups whose bounds meet the arriving keys. With a ``day_column``
+    every file holds one day, so days can be dropped whole. ``parts`` is the least number
+    of files that a full write makes.
     """
 
+    DAY = "_day"
+
     def __init__(
         self,
         spark: SparkSession,
@@ -184,49 +194,105 @@ class KeyedTable(_StoredTable):
         keys: Sequence[str],
         parts: int | None = None,
         small_bytes: int | None = None,
+        day_column: str | None = None,
     ):
         super().__init__(spark, root)
         self.keys = list(keys)
+        self.day_column = day_column
         self._small_bytes = small_bytes
         self._wanted_parts = parts
 
-    def _fix_parts(self, listing: Listing, df: DataFrame) -> bool:
-        """Settle the number of parts; true if the stored rows have to move to new ones."""
-        size = sum(listing.folders.values())
-        if not listing.parts:
-            by_size = min(input_bytes(df) // PART_BYTES + 1, MOST_PARTS)
-            listing.parts = self._wanted_parts or by_size
-        elif size > OUTGROWN * PART_BYTES * listing.parts and listing.parts < MOST_PARTS:
-            listing.parts = min(size // PART_BYTES + 1, MOST_PARTS)
-            return True
-        return False
-
-    def _part(self, listing: Listing) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(listing.parts)).cast("string")
+    def _write_files(self, df: DataFrame, least: int = 1) -> dict[str, int]:
+        """Write ``df`` in files of sorted key ranges; returns the files and sizes."""
+        day = [F.col(self.day_column).cast("date").cast("string").alias(self.DAY)] if self.day_column else []
+        by = [*([self.DAY] if day else []), *self.keys]
+
+        def write(rows: DataFrame) -> dict[str, int]:
+            run = f"data/{uuid.uuid4().hex[:16]}"
+            writer = rows.sortWithinPartitions(*by).write
+            (writer.partitionBy(self.DAY) if day else writer).parquet(f"{self.root}/{run}")
+            return self._files(run)
+
+        if least <= 1 and input_bytes(df) <= FILE_BYTES:
+            return write(df.select("*", *day).hint("rebalance"))
+        # Ranges need a first look at the keys; they are taken from a copy, so that what is
+        # behind the rows runs once.
+        copy = f"data/{uuid.uuid4().hex[:16]}"
+        df.write.parquet(f"{self.root}/{copy}")
+        size = sum(self._files(copy).values())
+        rows = self._read_folders([copy], df.schema).select("*", *day)
+        written = write(rows.repartitionByRange(max(size // FILE_BYTES + 1, least), *by))
+        path, fs = self._hadoop_path(copy)
+        fs.delete(path, True)
+        return written
+
+    def _files(self, run: str) -> dict[str, int]:
+        """Data files below a folder, with their sizes."""
+        path, fs = self._hadoop_path(run)
+        found: dict[str, int] = {}
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            file = files.next()
+            if file.getPath().getName().endswith(".parquet"):
+                name = file.getPath().toString()
+                found[name[name.rindex(f"/{run}/") + 1 :]] = file.getLen()
+        return found
+
+    def _key_facts(self, rows: DataFrame, more: Sequence[Column] = ()) -> Row:
+        """Count, size and range of the keys, in one pass."""
+        size = sum(
+            (F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + 16 for k in self.keys), F.lit(0)
+        )
+        first = F.col(self.keys[0])
+        return rows.agg(
+            F.count("*").alias("__rows"),
+            F.coalesce(F.sum(size), F.lit(0)).alias("__bytes"),
+            F.min(first).alias("__low"),
+            F.max(first).alias("__high"),
+            *more,
+        ).first()
+
+    def _in_range(self, rows: DataFrame, facts: Row) -> DataFrame:
+        """Rows whose first key part lies between the arriving ones; the scan uses the bounds."""
+        kind = rows.schema[self.keys[0]].dataType
+        if facts["__low"] is None or not isinstance(kind, _RANGED):
+            return rows
+        low, high = (F.lit(facts[n]).cast(kind) for n in ("__low", "__high"))
+        return rows.filter(F.col(self.keys[0]).between(low, high))
 
-    @staticmethod
-    def _part_of(folder: str) -> str:
-        return folder.rsplit("=", 1)[1]
+    def _sent(self, keys: DataFrame, facts: Row) -> DataFrame:
+        return F.broadcast(keys) if facts["__bytes"] <= KEY_BYTES else keys
 
     def matching(self, arriving: DataFrame) -> DataFrame:
         """Stored rows that can share a key with ``arriving``.
 
-        ``arriving`` holds the keys as the table stores them. Parts without an arriving
-        key are not read. If few keys arrive they are sent to every task, so the stored
+        ``arriving`` holds the keys as the table stores them. Row groups out of their range
+        are not read. If they are small enough they are sent to every task, so the stored
         rows are reduced before any shuffle.
         """
-        listing = self.listing()
         small = SMALL_TABLE_BYTES if self._small_bytes is None else self._small_bytes
-        if sum(listing.folders.values()) <= small:
+        if sum(self.listing().folders.values()) <= small:
             return self.read()
-        part = self._part(listing).alias(PART)
-        counts = {r[0]: r[1] for r in arriving.groupBy(part).count().collect()}
-        folders = [f for f in listing.folders if self._part_of(f) in counts]
-        rows = self._read_folders(sorted(folders), self.schema())
-        if sum(counts.values()) > FEW_KEYS:
+        facts = self._key_facts(arriving)
+        if not facts["__rows"]:
+            return self.spark.createDataFrame([], self.schema())
+        rows = self._in_range(self.read(), facts)
+        if facts["__bytes"] > KEY_BYTES:
             return rows
         return rows.join(F.broadcast(arriving.select(*self.keys)), self.keys, "left_semi")
 
+    def _holding(self, files: Sequence[str], schema: T.StructType, keys: DataFrame, facts: Row) -> list[str]:
+        """The files that hold any of the keys."""
+        if len(files) < 2 or not facts["__rows"]:
+            return list(files) if facts["__rows"] else []
+        rows = self._read_folders(files, T.StructType([schema[k] for k in self.keys]))
+        # The name of a file stands behind the root in every file system.
+        name = F.regexp_extract("_metadata.file_path", r"/(data/.*)$", 1)
+        rows = self._in_range(rows.select(*self.keys, name.alias(_FILE)), facts)
+        met = rows.join(self._sent(keys, facts), self.keys, "left_semi").select(_FILE).distinct()
+        plain = {unquote(f): f for f in files}
+        return sorted(plain[unquote(r[0])] for r in met.collect())
+
     def highest(self, name: str) -> Any:
         """The largest value a writer has recorded under this name, or None."""
         value = self.listing().highest.get(name)
@@ -249,73 +315,94 @@ class KeyedTable(_StoredTable):
         listing = self.listing()
         if writer is not None and listing.applied.get(writer) == batch:
             return 0
-        resplit = self._fix_parts(listing, changes)
         schema = changes.schema
-        part = self._part(listing)
-        # Written once, so that the parts they touch are known before any is rewritten
-        # and a lost executor does not repeat the work behind them.
-        if listing.folders:
-            staged = f"data/{uuid.uuid4().hex[:16]}"
-            changes.write.parquet(f"{self.root}/{staged}")
-            written = {staged: 0}
-        else:
-            written = self._write_split(changes, part, PART)
+        first = not listing.folders
+        listing.parts = listing.parts or self._wanted_parts or 1
+        # Written once, so that the files they touch are known before any is rewritten and a
+        # lost executor does not repeat the work behind them.
+        written = self._write_files(changes, listing.parts if first else 1)
         fresh = self._read_folders(list(written), schema)
-        aggregates = [c.alias(n) for n, c in (highest or {}).items()]
-        touched = fresh.groupBy(part.alias(PART)).agg(F.count("*").alias("__rows"), *aggregates)
-        arrived = {r[PART]: r.asDict() for r in touched.collect()}
+        facts = self._key_facts(fresh, [c.alias(n) for n, c in (highest or {}).items()])
         for name in highest or {}:
-            values = [_storable(r[name]) for r in arrived.values()] + [listing.highest.get(name)]
-            known = [v for v in values if v is not None]
+            known = [v for v in (_storable(facts[name]), listing.highest.get(name)) if v is not None]
             if known:
                 listing.highest[name] = max(known)
-        if listing.folders:
-            previous = T.StructType.fromJson(json.loads(listing.schema))
-            # A column that changed its type forces all parts to be written again.
-            retyped = any(_types(schema).get(n, t) != t for n, t in _types(previous).items())
-            everything = retyped or resplit
-            stale = [f for f in listing.folders if everything or self._part_of(f) in arrived]
-            old = align(self._read_folders(sorted(stale), previous), schema)
-            replaced = fresh.select(*self.keys)
-            if sum(r["__rows"] for r in arrived.values()) <= FEW_KEYS:
-                replaced = F.broadcast(replaced)
-            kept = old.join(replaced, self.keys, "left_anti")
-            merged = kept.unionByName(fresh)
-            rewritten = self._write_split(merged, part, PART) if arrived or stale else {}
-            listing.folders = _without(listing.folders, stale) | rewritten
-        else:
+        if first:
             listing.folders = written
+        else:
+            previous = T.StructType.fromJson(json.loads(listing.schema))
+            keys = fresh.select(*self.keys)
+            # A column that changed its type forces all files to be written again.
+            if any(_types(schema).get(n, t) != t for n, t in _types(previous).items()):
+                stale = sorted(listing.folders)
+            else:
+                stale = self._holding(sorted(listing.folders), previous, keys, facts)
+            rewritten: dict[str, int] = {}
+            if stale:
+                old = align(self._read_folders(stale, previous), schema)
+                rewritten = self._write_files(old.join(self._sent(keys, facts), self.keys, "left_anti"))
+            listing.folders = _without(listing.folders, stale) | rewritten | written
+            self._gather_small(listing, schema)
         listing.schema = schema.json()
         if writer is not None:
             listing.applied[writer] = batch
         self._publish(listing)
-        return sum(r["__rows"] for r in arrived.values())
+        return facts["__rows"]
+
+    def _gather_small(self, listing: Listing, schema: T.StructType) -> None:
+        """Put the small files of a day, or of a table without days, together when they are many."""
+        small: dict[str, list[str]] = {}
+        for file, size in listing.folders.items():
+            if size < FILE_BYTES // 4:
+                small.setdefault(self._day_of(file), []).append(file)
+        many = [f for files in small.values() if len(files) > MANY_SMALL + listing.parts for f in files]
+        if many:
+            least = 1 if self.day_column else listing.parts
+            gathered = self._write_files(self._read_folders(sorted(many), schema), least)
+            listing.folders = _without(listing.folders, many) | gathered
 
     def overwrite(self, df: DataFrame) -> None:
         """Publish exactly these rows."""
         listing = self.listing()
-        self._fix_parts(listing, df)
-        listing.folders = self._write_split(df, self._part(listing), PART)
+        listing.parts = listing.parts or self._wanted_parts or 1
+        listing.folders = self._write_files(df, listing.parts)
         listing.schema = df.schema.json()
         self._publish(listing)
 
     def delete(self, condition: Column) -> int:
-        """Remove the rows where ``condition`` is true; returns how many went."""
+        """Remove the rows where ``condition`` is true; returns how many went.
+
+        Only files with such rows are written again.
+        """
         listing = self.listing()
-        if listing.schema is None:
+        if not listing.folders:
             return 0
-        counts = self.read().filter(condition).groupBy(self._part(listing).alias(PART)).count()
-        removed = {r[0]: r[1] for r in counts.collect()}
+        plain = {unquote(f): f for f in listing.folders}
+        name = F.regexp_extract("_metadata.file_path", r"/(data/.*)$", 1)
+        counts = self.read().filter(condition).groupBy(name.alias(_FILE)).count()
+        removed = {plain[unquote(r[0])]: r[1] for r in counts.collect()}
         if not removed:
             return 0
-        stale = [f for f in listing.folders if self._part_of(f) in removed]
-        rows = self._read_folders(sorted(stale), self.schema())
-        kept = rows.filter(~condition | condition.isNull())
-        rewritten = self._write_split(kept, self._part(listing), PART)
-        listing.folders = _without(listing.folders, stale) | rewritten
+        rows = self._read_folders(sorted(removed), self.schema())
+        rewritten = self._write_files(rows.filter(~condition | condition.isNull()))
+        listing.folders = _without(listing.folders, list(removed)) | rewritten
         self._publish(listing)
         return sum(removed.values())
 
+    def _day_of(self, file: str) -> str:
+        return _day_of(file.rsplit("/", 1)[0]) if self.day_column else ""
+
+    def drop_days_before(self, first_kept: date) -> int:
+        """Remove whole days; rows without a day stay. No file is rewritten, and none of a kept day is read."""
+        listing = self.listing()
+        old = [f for f in listing.folders if self._day_of(f) < first_kept.isoformat()]
+        if not old or not self.day_column:
+            return 0
+        removed = self._read_folders(sorted(old), self.schema()).count()
+        listing.folders = _without(listing.folders, old)
+        self._publish(listing)
+        return removed
+
 
 class AppendTable(_StoredTable):
     """Append-only rows in one folder per day of ``day_column``, so days drop whole."""
@@ -378,7 +465,7 @@ class AppendTable(_StoredTable):
     def drop_days_before(self, first_kept: date) -> int:
         """Remove whole days; rows without a day stay. No file is rewritten."""
         listing = self.listing()
-        old = [f for f in listing.folders if self._day_of(f) < first_kept.isoformat()]
+        old = [f for f in listing.folders if _day_of(f) < first_kept.isoformat()]
         if not old:
             return 0
         removed = self._read_folders(sorted(old), self.schema()).count()
@@ -386,11 +473,11 @@ class AppendTable(_StoredTable):
         self._publish(listing)
         return removed
 
-    @staticmethod
-    def _day_of(folder: str) -> str:
-        day = folder.rsplit("=", 1)[1]
-        # The folder of rows without a day sorts after every date.
-        return "~" if day.startswith("__") else day
+
+def _day_of(folder: str) -> str:
+    day = folder.rsplit("=", 1)[1]
+    # The folder of rows without a day sorts after every date.
+    return "~" if day.startswith("__") else day
 
 
 def _without(folders: dict[str, int], gone: Sequence[str]) -> dict[str, int]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from typing import Any
@@ -100,7 +101,7 @@ class EntitySpec:
     keep_null_keys: bool = False
     # Keys that must not be in the dimension.
     dropped_keys: tuple[Any, ...] = ()
-    # Hash parts of the stored tables; a merge rewrites only the parts it touches.
+    # Least number of files of a full write of the stored tables.
     parts: int | None = None
 
     def __post_init__(self) -> None:
@@ -155,12 +156,13 @@ def typed(column: Column, source: SparkColumn) -> SparkColumn:
     return F.substring(value, 1, column.length) if column.length else value
 
 
-def conform_landing(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """Select, rename and strictly cast landing data to the entity's contract."""
+def conform_landing(df: DataFrame, spec: EntitySpec, more: Sequence[str] = ()) -> DataFrame:
+    """Select, rename and strictly cast landing data to the entity's contract, and ``more`` as it is."""
     return df.select(
         *[typed(c, F.col(c.source or c.name)).alias(c.name) for c in spec.columns],
         F.col(SOURCE_UPDATED_AT).cast("timestamp_ntz").alias(SOURCE_UPDATED_AT),
         F.col(LANDING_EXTRACTED_AT).cast("timestamp_ntz").alias(EXTRACTED_AT),
+        *more,
     )
 
 

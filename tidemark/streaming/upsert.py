@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.current_state import merge_current_state
-from tidemark.sources.tables import AppendTable, KeyedTable
+from tidemark.sources.quarantine import Quarantine
+from tidemark.sources.tables import KeyedTable
 from tidemark.spec import EntitySpec
 
 
@@ -35,7 +36,7 @@ def stream_upsert(
     table: KeyedTable,
     checkpoint: str,
     run_ts: datetime,
-    quarantine: AppendTable | None = None,
+    quarantine: Quarantine | None = None,
 ) -> StreamingQuery:
     """Merge each micro-batch into the current state until the landing is drained.
 
