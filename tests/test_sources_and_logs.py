@@ -1,4 +1,6 @@
 import json
+import random
+import re
 from datetime import datetime
 
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.lookups import product_within
 from tidemark.plans import run_logs as L
+from tidemark.session import work_folder
 from tidemark.sources import views
 
 T0 = datetime(2024, 1, 1)
@@ -195,6 +198,74 @@ def test_sync_payload_spellings(spark):
     assert rows["e"]["stream_stats_summary"] is None and rows["e"]["rows_stream_stats_total"] is None
 
 
+def plain_objects(text):
+    """Objects that a JSON decoder finds when it is tried at each brace, and all within them, outside in."""
+    found, at = [], 0
+    while (at := text.find("{", at)) >= 0:
+        try:
+            found.append(json.JSONDecoder().raw_decode(text, at)[0])
+        except ValueError:
+            pass
+        at += 1
+    return found
+
+
+LOG_PIECES = [
+    '{"streamStats":[{"name":"a","recordsSynced":1}]}', '{"x":{"stream_stats":{"b":{"records_emitted":2}}}}', '{"streamStatus":{}}',
+    '{"k":"}{"}', '{"k":"\\\\"}', "{", "}", '"', "it's", " ", "\n", '{"l":[{"stream_statuses":[{"stream_name":"c"}]}]}', "\\", '\\"', "é🙂",
+]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_objects_within_text_are_those_that_a_decoder_finds(spark, seed):
+    rng = random.Random(seed)
+    texts = ["".join(rng.choices(LOG_PIECES, k=rng.randrange(12))) for _ in range(300)]
+    df = frame(spark, "text string", *[(t,) for t in texts])
+    rows = df.select("text", L.json_spans(F.col("text")).alias("spans"), L.text_streams(F.col("text")).alias("streams")).collect()
+    keys = ("streamStats", "stream_stats", "streamStatuses", "stream_statuses", "streamStatus", "stream_status")
+    hits = 0
+    for row in rows:
+        spans = [row.text[s.start : s.end] for s in row.spans]
+        for start in (m.start() for m in re.finditer("{", row.text)):
+            try:
+                end = json.JSONDecoder().raw_decode(row.text, start)[1]
+            except ValueError:
+                continue
+            assert (start, end) in {(s.start, s.end) for s in row.spans}, (row.text, spans)
+        first = next((o[k] for o in plain_objects(row.text) for k in keys if o.get(k)), None)
+        assert (json.loads(row.streams) if row.streams else None) == first, row.text
+        hits += first is not None
+    assert hits > 30
+
+
+def test_log_facts_of_odd_texts(spark):
+    stats = '{"streamStats":[{"name":"%s","stats":{"recordsLoaded":"%d"}}]}'
+    logs = frame(
+        spark, "batch string, n int, text string, kind string, name string",
+        ("null", 1, None, "k", "x"), ("empty", 1, "", "k", "x"), ("order", 2, stats % ("late", 5), "k", "x"),
+        ("order", 1, "x" + stats % ("early", 7) + "y", "k", "x"), ("order", 1, "x" + stats % ("early", 7) + "y", "k", "x"),
+        ("words", 1, "Read 5 records from s stream", "k", "x"), ("both", 1, "Read 5 records from s stream", "k", "x"),
+        ("both", None, stats % ("o", 1), "k", "x"), ("long", 1, "{ " * 500 + stats % ("deep", 3) + " }" * 400, "k", "x"),
+        (None, 1, stats % ("z", 4), "k", "x"),
+    )
+    found = {r["batch"]: (r["rows_text_streams"], r["text_stream_summary"]) for r in L.log_facts(logs, "batch", "text", ["n"]).collect()}
+    assert found == {
+        "null": (None, None), "empty": (None, None), "order": (7, "early=7"), "words": (5, None), "both": (1, "o=1"),
+        "long": (3, "deep=3"), None: (4, "z=4"),
+    }
+    assert L.log_facts(logs.limit(0), "batch", "text").count() == 0
+
+
+def test_sync_logs_are_read_once(spark):
+    root = work_folder(spark, "logs")
+    frame(spark, "batch string, text string", ("a", "Finished insert of 3 row(s)")).write.parquet(root)
+    payloads = frame(spark, "batch string, payload string", ("a", "{}"))
+    plan = L.sync_log_stats(payloads, spark.read.parquet(root), "batch", "payload", "text")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan parquet") == 1
+    assert [(r["rows_processed"], r["rows_metric_source"]) for r in plan.collect()] == [(3, "rows_inserted")]
+
+
 def test_product_of_one_row_with_many_takes_several_tasks(spark):
     left = spark.createDataFrame([(1, 7)], "g int, a int")
     right = spark.range(5000).selectExpr("1 AS g", "id AS b")

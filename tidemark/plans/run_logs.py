@@ -132,7 +132,7 @@ TEXT_METRICS = {
 }
 
 
-def _hits(text: str, pattern: str, stream: int, count: int) -> Column:
+def _hits(text: Column, pattern: str, stream: int, count: int) -> Column:
     """(stream_name, row_count) of all matches; the text is searched once."""
     return F.transform(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
@@ -143,12 +143,14 @@ def _hits(text: str, pattern: str, stream: int, count: int) -> Column:
     )
 
 
+def _reported(text: Column) -> Column:
+    """(stream_name, row_count) of every report in a text."""
+    return F.concat(*[_hits(text, pattern, stream, count) for pattern, stream, count in STREAM_TEXTS])
+
+
 def stream_counts(logs: DataFrame, batch: str, text: str) -> DataFrame:
     """Largest row count each stream reports in the log texts of a batch."""
-    found: list[Column] = []
-    for pattern, stream, count in STREAM_TEXTS:
-        found.append(_hits(text, pattern, stream, count))
-    hits = logs.select(batch, F.explode(F.concat(*found)).alias("hit"))
+    hits = logs.select(batch, F.explode(_reported(F.col(text))).alias("hit"))
     return (
         hits.select(batch, "hit.stream_name", F.col("hit.row_count").cast("bigint").alias("n"))
         .groupBy(batch, "stream_name")
@@ -161,14 +163,11 @@ def _largest(text: Column, pattern: str) -> Column:
     return F.array_max(F.transform(hits, lambda h: h.cast("bigint")))
 
 
-def text_metrics(logs: DataFrame, batch: str, text: str) -> DataFrame:
-    """Largest value of each text metric per batch, and the metric that counts.
+def _chosen_text_metric(found: DataFrame) -> DataFrame:
+    """Add text_metric and rows_from_text.
 
     The first metric above zero in order of priority counts, else the first present.
     """
-    found = logs.groupBy(batch).agg(
-        *[F.max(_largest(F.col(text), p)).alias(name) for name, p in TEXT_METRICS.items()]
-    )
     names = list(TEXT_METRICS)
 
     def first_where(test) -> Column:
@@ -179,8 +178,116 @@ def text_metrics(logs: DataFrame, batch: str, text: str) -> DataFrame:
     return found.withColumn("text_metric", metric).withColumn("rows_from_text", value)
 
 
+def text_metrics(logs: DataFrame, batch: str, text: str) -> DataFrame:
+    """Largest value of each text metric per batch, and the metric that counts."""
+    found = logs.groupBy(batch).agg(
+        *[F.max(_largest(F.col(text), p)).alias(name) for name, p in TEXT_METRICS.items()]
+    )
+    return _chosen_text_metric(found)
+
+
+# An escaped quote or backslash, or what opens or closes a string or an object.
+_TOKEN = r'\\[\\"]|["{}]'
+_SPANS = "array<struct<start:int,end:int>>"
+
+
+def json_spans(text: Column) -> Column:
+    """(start, end) of every pair of braces that can be a JSON object, by their start.
+
+    Where a text may hold anything around its objects, a quote tells nothing by itself: seen
+    from a brace, a later one is within a string if the number of quotes between both is odd.
+    So braces fall into two kinds, behind an even and behind an odd number of quotes, and
+    pairs are braces of one kind. One pass over the tokens keeps the open braces of both.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    gaps = F.split(text, _TOKEN, -1)
+    seen = F.arrays_zip(tokens.alias("token"), F.transform(gaps, F.char_length).alias("gap"))
+    # There is one gap more than tokens; it stands behind the last.
+    seen = F.slice(seen, 1, F.size(tokens))
+    none = F.array().cast("array<int>")
+    begin = F.struct(
+        F.lit(0).alias("at"), F.lit(False).alias("odd"), none.alias("even_open"), none.alias("odd_open"),
+        F.array().cast(_SPANS).alias("spans"),
+    )
+
+    def step(state: Column, t: Column) -> Column:
+        here, odd = state["at"] + t["gap"], state["odd"]
+        token, own = t["token"], F.when(odd, state["odd_open"]).otherwise(state["even_open"])
+        pushed = F.when(token == "{", F.concat(F.array(here), own))
+        popped = F.when((token == "}") & (F.size(own) > 0), F.slice(own, 2, F.size(own)))
+        after = F.coalesce(pushed, popped, own)
+        span = F.struct(F.get(own, F.lit(0)).alias("start"), (here + 1).alias("end"))
+        return F.struct(
+            (here + F.char_length(token)).alias("at"),
+            (odd != (token == F.lit('"'))).alias("odd"),
+            F.when(odd, state["even_open"]).otherwise(after).alias("even_open"),
+            F.when(odd, after).otherwise(state["odd_open"]).alias("odd_open"),
+            F.when(popped.isNotNull(), F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
+        )
+
+    return F.array_sort(F.aggregate(seen, begin, step, lambda s: s["spans"]))
+
+
+def text_streams(text: Column) -> Column:
+    """The first non-empty stream statistics, as JSON, among the objects within a text, or null.
+
+    An object that encloses another begins before it, so the order of the starts is that of
+    a search from the outside in. Texts that don't name such statistics are not taken apart.
+    """
+    named = "|".join(_STREAM_KEYS)
+    objects = F.transform(json_spans(text), lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"]))
+    objects = F.filter(objects, lambda o: o.rlike(f'"(?:{named})"'))
+    strict = {"allowSingleQuotes": "false"}
+    parsed = F.transform(objects, lambda o: F.from_json(o, _struct(", ".join(f"{k}:string" for k in _STREAM_KEYS)), strict))
+    found = F.filter(F.transform(parsed, _stream_text), lambda t: _streams(t).isNotNull())
+    return F.when(text.rlike(named), F.get(found, F.lit(0)))
+
+
+def log_facts(logs: DataFrame, batch: str, text: str, order: Sequence[str] = ()) -> DataFrame:
+    """Per batch: each text metric, the one that counts, rows and summary of the streams.
+
+    One scan: every text yields its metrics, reported streams and JSON statistics as rows that are
+    combined before the shuffle. Statistics in JSON come before reports in words; of several
+    texts the first by ``order``, then by content, has the say. An object that is spread over
+    several rows of the logs is not put together.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    none = F.lit(None).cast("bigint")
+
+    def fact(kind: str, name: Column, n: Column = none) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"), n.cast("bigint").alias("n"))
+
+    metrics = [fact("metric", F.lit(name), _largest(body, p)) for name, p in TEXT_METRICS.items()]
+    place = [F.coalesce(F.lpad(F.col(c).cast("string"), 40, " "), F.lit("~")) for c in order]
+    streams = text_streams(body)
+    held = F.when(streams.isNotNull(), F.concat(*place, F.lit("\n"), streams))
+    facts = F.concat(
+        F.filter(F.array(*metrics), lambda f: f["n"].isNotNull()),
+        F.transform(_reported(body), lambda h: fact("stream", h["stream_name"], h["row_count"])),
+        F.array(fact("object", held)),
+    )
+    rows = logs.select(batch, F.explode(facts).alias("fact")).select(batch, "fact.*")
+    # Few rows are left for each batch: a metric or stream each, and texts with an object.
+    rows = rows.groupBy(batch, "kind", "name").agg(F.max("n").alias("n"))
+
+    def metric(name: str) -> Column:
+        return F.max(F.when((F.col("kind") == "metric") & (F.col("name") == name), F.col("n"))).alias(name)
+
+    found = rows.groupBy(batch).agg(
+        *[metric(name) for name in TEXT_METRICS],
+        F.sum(F.when(F.col("kind") == "stream", F.col("n"))).alias("__reported"),
+        F.min(F.when(F.col("kind") == "object", F.col("name"))).alias("__object"),
+    )
+    streams = _streams(F.expr("substring(__object, instr(__object, '\\n') + 1)"))
+    found = _chosen_text_metric(found.withColumn("__streams", streams))
+    total = F.when(F.col("__object").isNull(), F.col("__reported")).otherwise(_stream_total(F.col("__streams")))
+    columns = [batch, *TEXT_METRICS, "text_metric", "rows_from_text"]
+    return found.select(*columns, total.alias("rows_text_streams"), _stream_summary(F.col("__streams")).alias("text_stream_summary"))
+
+
 def _stats(*names: str) -> str:
-    return ", ".join(f"{n}:bigint" for n in names)
+    # As text: a count may be quoted.
+    return ", ".join(f"{n}:string" for n in names)
 
 
 _ALL_METRICS = f"struct<{_stats(*STREAM_METRIC_ORDER)}>"
@@ -193,7 +300,7 @@ _STREAM_KEYS = (
 # An object of a payload; nested text stays JSON until its shape is known.
 _LEVEL = (
     f"{_stats(*STREAM_METRIC_ORDER)}, totalStats:{_ALL_METRICS}, total_stats:{_ALL_METRICS}, "
-    + ", ".join(f"{k}:string" for k in _STREAM_KEYS)
+    + ", ".join(f"{k}:string" for k in (*_STREAM_KEYS, "status", "job", "attempts", "attempt"))
 )
 _DESCRIPTOR = "struct<name:string, streamName:string, stream_name:string>"
 _STREAM = (
@@ -210,12 +317,6 @@ def _is_object(json: Column) -> Column:
     return F.coalesce(json.startswith("{"), F.lit(False))
 
 
-def _child(json: Column, name: str) -> Column:
-    """The JSON object below a key, or null."""
-    value = F.get_json_object(json, f"$.{name}")
-    return F.when(_is_object(value), value)
-
-
 def _objects(json: Column) -> Column:
     """The objects of a JSON list, or the one object in place of a list."""
     none = F.array().cast("array<string>")
@@ -223,18 +324,19 @@ def _objects(json: Column) -> Column:
     return F.when(json.startswith("["), listed).when(_is_object(json), F.array(json)).otherwise(none)
 
 
-def _terminal_attempt(job: Column) -> Column:
-    """The last finished attempt of a job, else its last or its only one."""
+def _parsed(json: Column) -> Column:
+    """An object of a payload, or null."""
+    return F.when(_is_object(json), F.from_json(json, _struct(_LEVEL)))
 
-    def ended(a: Column) -> Column:
-        status = F.coalesce(F.get_json_object(a, "$.status"), F.get_json_object(a, "$.attempt.status"))
-        return F.coalesce(F.lower(F.trim(status)).isin(TERMINAL_STATES), F.lit(False))
 
-    attempts = _objects(F.get_json_object(job, "$.attempts"))
-    finished = F.filter(attempts, ended)
-    return F.coalesce(
-        F.try_element_at(finished, F.lit(-1)), F.try_element_at(attempts, F.lit(-1)), _child(job, "attempt")
-    )
+def _ended(attempt: Column) -> Column:
+    status = F.coalesce(attempt["status"], F.get_json_object(attempt["attempt"], "$.status"))
+    return F.coalesce(F.lower(F.trim(status)).isin(TERMINAL_STATES), F.lit(False))
+
+
+def _stream_text(level: Column) -> Column:
+    """Text that can hold a stream; it is taken apart once, when the first is known."""
+    return F.coalesce(*[F.when(level[k].rlike(r"^\[.*\{|^\{.+:"), level[k]) for k in _STREAM_KEYS])
 
 
 def _streams(json: Column) -> Column:
@@ -259,6 +361,28 @@ def _streams(json: Column) -> Column:
     return F.when(F.size(found) > 0, found).otherwise(nothing)
 
 
+def _metric(item: Column, names: Sequence[str]) -> Column:
+    stream = item["stream"]
+    return F.coalesce(*[F.coalesce(stream["stats"][n], stream[n]).try_cast("bigint") for n in names])
+
+
+def _stream_total(streams: Column) -> Column:
+    known = F.filter(F.transform(streams, lambda s: _metric(s, STREAM_METRIC_ORDER)), lambda v: v.isNotNull())
+    return F.when(F.size(known) > 0, F.aggregate(known, F.lit(0).cast("bigint"), lambda a, b: a + b))
+
+
+def _stream_summary(streams: Column) -> Column:
+    def described(item: Column) -> Column:
+        stream = item["stream"]
+        label = F.coalesce(stream["streamDescriptor"], stream["stream_descriptor"])
+        name = F.when(
+            label.isNotNull(), F.coalesce(label["name"], label["streamName"], label["stream_name"])
+        ).otherwise(F.coalesce(stream["streamName"], stream["stream_name"], stream["name"], item["name"]))
+        return F.concat(name, F.lit("="), _metric(item, STREAM_SUMMARY_ORDER).cast("string"))
+
+    return F.nullif(F.array_join(F.transform(streams, described), ", "), F.lit(""))
+
+
 def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
     """Metrics, totals and stream sums of the last finished attempt in each sync payload.
 
@@ -267,61 +391,40 @@ def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
     object itself or in its totals; streams may be a list, one stream or a map by name, with
     the metrics in their stats or beside them; names come in two spellings.
     """
-    rows = payloads.withColumn("__job", F.coalesce(_child(F.col(payload), "job"), F.col(payload)))
-    rows = rows.withColumn("__last", _terminal_attempt(F.col("__job")))
-    levels = {
-        "__l0": F.col("__last"),
-        "__l1": _child(F.col("__last"), "attempt"),
-        "__l2": F.col("__job"),
-        "__l3": _child(F.col("__job"), "attempt"),
-    }
-    rows = rows.withColumns({n: F.from_json(text, _struct(_LEVEL)) for n, text in levels.items()})
+    rows = payloads.select(F.col(batch), _parsed(F.col(payload)).alias("__top"))
+    rows = rows.withColumn("__job", F.coalesce(_parsed(F.col("__top.job")), F.col("__top")))
+    rows = rows.withColumn("__attempts", F.transform(_objects(F.col("__job.attempts")), _parsed))
+    attempts = F.col("__attempts")
+    last = F.coalesce(
+        F.try_element_at(F.filter(attempts, _ended), F.lit(-1)),
+        F.try_element_at(attempts, F.lit(-1)),
+        _parsed(F.col("__job.attempt")),
+    )
+    rows = rows.withColumn("__last", last)
+    levels = F.array(F.col("__last"), _parsed(F.col("__last.attempt")), F.col("__job"), _parsed(F.col("__job.attempt")))
+    rows = rows.withColumn("__levels", F.filter(levels, lambda v: v.isNotNull()))
 
     def first(make) -> Column:
-        return F.coalesce(*[make(F.col(n)) for n in levels])
+        found = F.transform("__levels", make)
+        return F.get(F.filter(found, lambda v: v.isNotNull()), F.lit(0))
 
     def sync(level: Column) -> Column:
         held = F.coalesce(*[level[m] for m in _SYNC_METRICS]).isNotNull()
         return F.when(held, F.struct(*[level[m].alias(m) for m in STREAM_METRIC_ORDER]))
 
-    def streams(level: Column) -> Column:
-        # Text that can hold a stream; it is taken apart once, when the first is known.
-        return F.coalesce(*[F.when(level[k].rlike(r"^\[.*\{|^\{.+:"), level[k]) for k in _STREAM_KEYS])
-
     rows = rows.withColumns(
         {
             "__sync": first(sync),
             "__totals": first(lambda v: F.coalesce(v["totalStats"], v["total_stats"])),
-            "__stream_text": first(streams),
+            "__stream_text": first(_stream_text),
         }
     )
     rows = rows.withColumn("__streams", _streams(F.col("__stream_text")))
 
     def total(own: Sequence[str], *more: str) -> Column:
         names = [F.col(f"__sync.{n}") for n in own] + [F.col(f"__totals.{n}") for n in (*own, *more)]
-        return F.coalesce(*names)
-
-    def metric(item: Column, names: Sequence[str]) -> Column:
-        stream = item["stream"]
-        return F.coalesce(*[F.coalesce(stream["stats"][n], stream[n]) for n in names])
-
-    known = F.filter(
-        F.transform("__streams", lambda s: metric(s, STREAM_METRIC_ORDER)),
-        lambda v: v.isNotNull(),
-    )
-    summed = F.when(
-        F.size(known) > 0, F.aggregate(known, F.lit(0).cast("bigint"), lambda a, b: a + b)
-    )
-
-    def described(item: Column) -> Column:
-        stream = item["stream"]
-        label = F.coalesce(stream["streamDescriptor"], stream["stream_descriptor"])
-        name = F.when(
-            label.isNotNull(), F.coalesce(label["name"], label["streamName"], label["stream_name"])
-        ).otherwise(F.coalesce(stream["streamName"], stream["stream_name"], stream["name"], item["name"]))
-        return F.concat(name, F.lit("="), metric(item, STREAM_SUMMARY_ORDER).cast("string"))
+        return F.coalesce(*names).try_cast("bigint")
 
-    summary = F.nullif(F.array_join(F.transform("__streams", described), ", "), F.lit(""))
     return rows.select(
         batch,
         F.col("__totals").isNotNull().alias("has_totals"),
@@ -329,8 +432,8 @@ def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
         total(_COMMITTED).alias("rows_committed"),
         total(_EMITTED).alias("rows_emitted"),
         total(_EXTRACTED).alias("rows_extracted"),
-        summed.alias("rows_stream_stats_total"),
-        summary.alias("stream_stats_summary"),
+        _stream_total(F.col("__streams")).alias("rows_stream_stats_total"),
+        _stream_summary(F.col("__streams")).alias("stream_stats_summary"),
     )
 
 
@@ -369,15 +472,13 @@ def chosen_metric(stats: DataFrame) -> DataFrame:
     )
 
 
-def sync_log_stats(payloads: DataFrame, logs: DataFrame, batch: str, payload: str, text: str):
+def sync_log_stats(payloads: DataFrame, logs: DataFrame, batch: str, payload: str, text: str, order: Sequence[str] = ()) -> DataFrame:
     """Row counts per sync batch from its payload, its log texts, or both."""
-    streams = stream_counts(logs, batch, text).groupBy(batch).agg(
-        F.sum("row_count").alias("__text_streams")
-    )
-    joined = (
-        payload_stats(payloads, batch, payload)
-        .join(streams, batch, "full_outer")
-        .join(text_metrics(logs, batch, text), batch, "full_outer")
-    )
-    total = F.coalesce("rows_stream_stats_total", "__text_streams")
-    return chosen_metric(joined.withColumn("rows_stream_stats_total", total)).drop("__text_streams")
+    joined = payload_stats(payloads, batch, payload).join(log_facts(logs, batch, text, order), batch, "full_outer")
+    own = F.col("rows_stream_stats_total")
+    # The texts are asked where the payload holds no streams at all.
+    silent = own.isNull() & F.col("stream_stats_summary").isNull()
+    total = F.when(silent, F.col("rows_text_streams")).otherwise(own)
+    summary = F.when(silent, F.col("text_stream_summary")).otherwise(F.col("stream_stats_summary"))
+    joined = joined.withColumns({"rows_stream_stats_total": total, "stream_stats_summary": summary})
+    return chosen_metric(joined).drop("rows_text_streams", "text_stream_summary")

@@ -453,3 +453,28 @@ def sync_payload_shapes(t: Tables) -> DataFrame:
     stats = L.payload_stats(payloads, "batch", "payload")
     texts = {"text_metric": F.lit(None).cast("string"), "rows_from_text": F.lit(None).cast("bigint")}
     return L.chosen_metric(stats.withColumns(texts)).select("batch", "rows_processed", "rows_metric_source")
+
+
+@query(
+    "sync_text_objects",
+    """
+WITH x AS (SELECT user_id AS batch, event_id, event_type AS k, CAST(floor(value) AS BIGINT) AS n, CAST(day(ts) AS BIGINT) AS d FROM events),
+objects AS (SELECT batch, k, n, d FROM x WHERE k IN ('purchase', 'view') QUALIFY row_number() OVER (PARTITION BY batch ORDER BY event_id) = 1),
+words AS (SELECT batch, CAST(sum(m) AS BIGINT) AS total FROM (SELECT batch, d, max(n) AS m FROM x WHERE k = 'click' GROUP BY 1, 2) GROUP BY 1)
+SELECT b.batch, CASE WHEN o.k = 'purchase' THEN o.n + o.d WHEN o.k = 'view' THEN o.n ELSE w.total END AS rows_text_streams,
+  CASE WHEN o.k = 'purchase' THEN 'a=' || o.n || ', b=' || o.d WHEN o.k = 'view' THEN 'x=' || o.n END AS text_stream_summary
+FROM (SELECT DISTINCT batch FROM x) b LEFT JOIN objects o USING (batch) LEFT JOIN words w USING (batch)""",
+)
+def sync_text_objects(t: Tables) -> DataFrame:
+    """Statistics in JSON objects within log texts, whatever stands around them, before reports in words."""
+    n, day = F.floor("value").cast("string"), F.day("ts").cast("string")
+    purchase = F.concat(
+        F.lit('10:02 "state {"ok": true, "s": "}{"} then {"job": {"stream_stats": [{"stream_name": "a", "records_emitted": '),
+        n, F.lit('}, {"name": "b", "stats": {"recordsSynced": "'), day, F.lit('"}}]}} and {open'),
+    )
+    view = F.concat(F.lit('it"s {broken {"streamStats": {}, "y": [{"streamStatus": {"x": {"recordsCommitted": '), n, F.lit("}}}]}"))
+    click = F.concat(F.lit("Read "), n, F.lit(" records from s-"), day, F.lit(' stream {"streamStats": []}'))
+    kind = F.col("event_type")
+    text = F.when(kind == "purchase", purchase).when(kind == "view", view).when(kind == "click", click).otherwise("{}")
+    logs = t.events.select(F.col("user_id").alias("batch"), "event_id", text.alias("text"))
+    return L.log_facts(logs, "batch", "text", ["event_id"]).select("batch", "rows_text_streams", "text_stream_summary")
