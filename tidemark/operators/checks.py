@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import rounded
-from tidemark.operators.neighbours import can_spread, repeat_rows, with_neighbours
+from tidemark.operators.neighbours import beside, repeat_rows
 from tidemark.operators.relations import slug
-from tidemark.operators.skew import HOT_ROWS, hot_groups, split_hot
 
 # Conditions on a single row ---------------------------------------------------------
 
@@ -307,32 +306,17 @@ def columns_differ(df: DataFrame, expected: Sequence[str]) -> tuple[set[str], se
 # Order within a group ---------------------------------------------------------------
 
 
-def _large_and_small(
-    df: DataFrame, group: Sequence[str], value: str, floor: int
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """Rows of groups too large to sort in one task, and all other rows."""
-    hot = hot_groups(df, group, floor) if can_spread(df, value) else None
-    if hot is None:
-        return None, df
-    return split_hot(df, group, hot) if group else (df, None)
-
-
-def _stacked(parts: Sequence[DataFrame | None]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [p for p in parts if p is not None])
-
-
 def sequential_values(
     df: DataFrame,
     column: str,
     interval: int = 1,
     part: str | None = None,
     group: Sequence[str] = (),
-    floor: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows that do not follow the previous value by exactly ``interval``.
 
-    In a group of ``floor`` rows or more equal values are counted first, and the
-    distinct values are put in order by many tasks.
+    Equal values are counted first, so their copies are never sorted, and the distinct
+    values are put in order by many tasks.
     """
     previous = f"previous_{slug(column)}"
     if part:
@@ -341,30 +325,17 @@ def sequential_values(
         follows = F.col(column).cast("timestamp_ntz") == expected
     else:
         follows = F.col(column) == F.col(previous) + interval
-
-    def sorted_in_one_task(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(F.col(column).asc_nulls_last())
-        return rows.withColumn(previous, F.lag(column).over(window)).filter(~follows)
-
-    def sorted_by_many(rows: DataFrame) -> DataFrame:
-        counted = rows.groupBy(*group, column).agg(F.count("*").alias("__n"))
-        ordered = with_neighbours(counted, group, column)
-        copies = F.array(
-            F.struct(F.col("previous_value").alias("p"), F.lit(1).cast("bigint").alias("n")),
-            F.struct(F.col(column).alias("p"), (F.col("__n") - 1).alias("n")),
-        )
-        found = ordered.withColumn("__c", F.explode(copies)).select(
-            *group, column, F.col("__c.p").alias(previous), F.col("__c.n").alias("__n")
-        )
-        return repeat_rows(found.filter(~follows), "__n")
-
-    large, small = _large_and_small(df.select(*group, column), group, column, floor)
-    return _stacked(
-        [
-            None if large is None else sorted_by_many(large),
-            None if small is None else sorted_in_one_task(small),
-        ]
+    counted = df.groupBy(*group, column).agg(F.count("*").alias("__n"))
+    ordered = beside(counted, group, [column])
+    # The first copy follows the value before, the others one another.
+    copies = F.array(
+        F.struct(F.col("before")[column].alias("p"), F.lit(1).cast("bigint").alias("n")),
+        F.struct(F.col(column).alias("p"), (F.col("__n") - 1).alias("n")),
+    )
+    found = ordered.withColumn("__c", F.explode(copies)).select(
+        *group, column, F.col("__c.p").alias(previous), F.col("__c.n").alias("__n")
     )
+    return repeat_rows(found.filter(~follows), "__n")
 
 
 GAPS = ("not_allowed", "allowed", "required")
@@ -377,13 +348,11 @@ def mutually_exclusive_ranges(
     partition_by: str | Column | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    floor: int = HOT_ROWS,
 ) -> DataFrame:
     """Ranges that are inverted, overlap the next one, or break the gap rule.
 
-    Ranges with the same lower bound follow each other directly, so only the longest of
-    them has to look for the next lower bound. Lower bounds are made distinct before
-    they are put in order.
+    Equal ranges are counted first and follow one another; the last copy meets the range
+    that comes next. So distinct ranges alone are put in order, by many tasks.
     """
     if gaps not in GAPS:
         raise ValueError(f"gaps must be one of {GAPS}")
@@ -406,58 +375,25 @@ def mutually_exclusive_ranges(
 
     columns = [*group, "lower_bound", "upper_bound", "next_lower_bound", "is_last_record"]
 
-    def sorted_in_one_task(found: DataFrame) -> DataFrame:
-        rising = Window.partitionBy(*(group or [F.lit(0)])).orderBy(
-            lo.asc_nulls_last(), up.asc_nulls_last()
-        )
-        return (
-            found.withColumn("next_lower_bound", F.lead("lower_bound").over(rising))
-            .withColumn("is_last_record", F.lead(F.lit(1)).over(rising).isNull())
-            .filter(fails(F.col("is_last_record")))
-            .select(*columns)
-        )
-
-    def inner(found: DataFrame, copies: Column) -> DataFrame:
-        """Failing ranges among those that another one with the same lower bound follows."""
-        return (
-            found.withColumn("next_lower_bound", lo)
-            .withColumn("is_last_record", F.lit(False))
-            .withColumn("__n", copies.cast("bigint"))
-            .filter(fails(F.lit(False)))
-            .select(*columns, "__n")
-        )
-
-    def sorted_by_many(found: DataFrame) -> DataFrame:
-        counted = found.groupBy(*group, "lower_bound", "upper_bound").agg(F.count("*").alias("__n"))
-        # An open upper bound counts as the longest.
-        longest = F.when(F.count("*") == F.count("upper_bound"), F.max("upper_bound"))
-        tops = found.groupBy(*group, "lower_bound").agg(longest.alias("upper_bound"))
-        ends = (
-            with_neighbours(tops, group, "lower_bound")
-            .withColumn("next_lower_bound", F.col("next_value"))
-            .withColumn("is_last_record", ~F.col("has_next"))
-            .filter(fails(F.col("is_last_record")))
-            .withColumn("__n", F.lit(1).cast("bigint"))
-            .select(*columns, "__n")
-        )
-        # Every copy counts as followed by its like, less one copy of the longest range
-        # per lower bound, which meets the next bound instead.
-        failing = (
-            inner(counted, F.col("__n"))
-            .unionByName(inner(tops, F.lit(-1)))
-            .unionByName(ends)
-            .groupBy(*columns)
-            .agg(F.sum("__n").alias("__n"))
-        )
-        return repeat_rows(failing.filter("__n > 0"), "__n")
-
-    large, small = _large_and_small(rows, group, "lower_bound", floor)
-    return _stacked(
-        [
-            None if large is None else sorted_by_many(large),
-            None if small is None else sorted_in_one_task(small),
-        ]
+    counted = rows.groupBy(*group, "lower_bound", "upper_bound").agg(F.count("*").alias("__n"))
+    placed = beside(counted, group, ["lower_bound", "upper_bound"])
+    copies = F.array(
+        F.struct(
+            F.col("after")["lower_bound"].alias("lo"),
+            F.col("after").isNull().alias("last"),
+            F.lit(1).cast("bigint").alias("n"),
+        ),
+        F.struct(lo.alias("lo"), F.lit(False).alias("last"), (F.col("__n") - 1).alias("n")),
+    )
+    found = placed.withColumn("__c", F.explode(copies)).select(
+        *group,
+        "lower_bound",
+        "upper_bound",
+        F.col("__c.lo").alias("next_lower_bound"),
+        F.col("__c.last").alias("is_last_record"),
+        F.col("__c.n").alias("__n"),
     )
+    return repeat_rows(found.filter(fails(F.col("is_last_record"))).select(*columns, "__n"), "__n")
 
 
 # Running checks ---------------------------------------------------------------------

@@ -1,110 +1,99 @@
-"""Previous and next distinct value of a group, without one task per group."""
+"""Previous and next row in an order, by many tasks whatever the groups."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
+from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COARSE = 64
-FINE = 64
+#: Rows drawn for each stretch to tell where it begins.
+DRAWN = 20
 
 
-def _position(df: DataFrame, value: str, skip: int = 0) -> Column | None:
-    """A number that never falls as the value rises, or None for other types.
+def _literal(value: Any, kind: T.DataType) -> Column:
+    """A value that was collected, as a column of its type."""
+    if value is None:
+        return F.lit(None).cast(kind)
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return F.array(*[_literal(v, kind.elementType) for v in value]).cast(kind)
+    if isinstance(value, datetime) and isinstance(kind, T.TimestampNTZType):
+        return F.lit(value.isoformat(" ")).cast(kind)
+    return F.lit(bytes(value) if isinstance(value, bytearray) else value).cast(kind)
 
-    ``skip`` leading bytes of a text are the same everywhere and are left out.
-    """
-    kind = df.schema[value].dataType
-    c = F.col(value)
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, T.BooleanType):
-        return c.cast("int").cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        seconds = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-        return F.unix_date(c.cast("date")).cast("double") * 86400 + seconds
-    if isinstance(kind, T.StringType):
-        lead = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), skip + 1, 6)), 12, "0")
-        return F.conv(lead, 16, 10).cast("double")
-    return None
-
-
-def _shared_bytes(df: DataFrame, value: str) -> int:
-    """How many leading bytes all texts share: those of the smallest and largest one."""
-    if not isinstance(df.schema[value].dataType, T.StringType):
-        return 0
-    low, high = df.agg(F.min(value), F.max(value)).first()
-    return len(os.path.commonprefix([(low or "").encode(), (high or "").encode()]))
-
-
-def _block(position: Column, cuts: list[float]) -> Column:
-    """Stretch number of a position: equal-row cuts, each split into equal-width pieces."""
-    stretch = F.when(position.isNull(), F.lit(len(cuts) * (FINE + 2)))
-    for i in range(len(cuts) - 2, -1, -1):
-        low, high = cuts[i], cuts[i + 1]
-        piece = (
-            F.width_bucket(position, F.lit(low), F.lit(high), F.lit(FINE))
-            if high > low
-            else F.lit(1)
-        )
-        stretch = stretch.when(position >= low, piece + F.lit(i * (FINE + 2)))
-    return stretch.otherwise(F.lit(-1)).cast("int")
-
-
-def can_spread(df: DataFrame, value: str) -> bool:
-    """Whether values of this type can be cut into stretches."""
-    return _position(df, value) is not None
 
+def _place(columns: Sequence[str], group: Sequence[str]) -> Column:
+    """The place of a row in the order of all: groups first, then values with null last."""
+    parts = [F.col(g).alias(f"g{n}") for n, g in enumerate(group)]
+    for n, c in enumerate(columns):
+        parts += [F.col(c).isNull().alias(f"n{n}"), F.col(c).alias(f"v{n}")]
+    return F.struct(*parts)
+
+
+def _stretch(place: Column, bounds: list[Column]) -> Column:
+    """How many of the rising bounds a place has reached, by halving."""
+
+    def within(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(place >= bounds[middle], within(middle + 1, high)).otherwise(within(low, middle))
+
+    return within(0, len(bounds))
 
-def with_neighbours(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Add ``previous_value``, ``next_value`` and ``has_next`` in large groups.
 
-    ``df`` holds each value once per group; nulls sort last. The value range is cut into
-    stretches that are sorted apart, and only the first and last row of each stretch
-    meet again to connect them, so no task sees a whole group.
+def beside(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``before`` and ``after``: the order columns of the rows next to each within its group.
+
+    ``df`` holds each (group, order) once; nulls come last. Rows are dealt to stretches of one
+    order over all groups, whose bounds come from a sample of the places themselves, so neither the
+    type nor the spread of the values nor the size of a group matters. A stretch is sorted by one
+    task and gets one row from each of its neighbours, the last and the first of theirs. Bounds are
+    fixed before the rows are dealt, so a task that runs again finds the same stretches.
     """
-    grouping = list(group)
-    if not grouping:
-        df = df.withColumn("__all", F.lit(0))
-        grouping = ["__all"]
-    position = _position(df, value, _shared_bytes(df, value))
-    shares = [i / COARSE for i in range(COARSE + 1)]
-    cuts = df.select(F.percentile_approx(position, shares, 10_000)).first()[0] or [0.0, 0.0]
-    rising = F.col(value).asc_nulls_last()
-    stretch = Window.partitionBy(*grouping, "__block").orderBy(rising)
-    marked = df.withColumn("__block", _block(position, [float(c) for c in cuts])).withColumns(
-        {
-            "previous_value": F.lag(value).over(stretch),
-            "next_value": F.lead(value).over(stretch),
-            "has_next": F.lead(F.lit(1)).over(stretch).isNotNull(),
-            "__first": F.row_number().over(stretch) == 1,
-        }
-    )
-    edge = F.col("__first") | ~F.col("has_next")
-    # Two rows per stretch, and a group has a fixed number of stretches.
-    across = Window.partitionBy(*grouping).orderBy("__block", rising)
-    ends = marked.filter(edge).withColumns(
-        {
-            "__before": F.lag(value).over(across),
-            "__after": F.lead(value).over(across),
-            "__more": F.lead(F.lit(1)).over(across).isNotNull(),
-        }
-    )
-    before = F.when(F.col("__first"), F.col("__before")).otherwise(F.col("previous_value"))
-    after = F.when(F.col("has_next"), F.col("next_value")).otherwise(F.col("__after"))
-    joined = ends.select(
+    stretches = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = _place(order, group)
+    sample = df.select(place.alias("p")).orderBy(F.rand(7)).limit(DRAWN * stretches)
+    drawn = sample.groupBy("p").count().orderBy("p").collect()
+    kind = sample.schema["p"].dataType
+    step = max(len(drawn) // stretches, 1)
+    bounds = [_literal(r["p"], kind) for r in drawn[step::step]]
+    rows = df.withColumns({"__place": place, "__stretch": _stretch(place, bounds)})
+    edges = rows.groupBy("__stretch").agg(F.min("__place").alias("low"), F.max("__place").alias("high"))
+    # One row for each stretch.
+    along = Window.orderBy("__stretch")
+    edges = edges.select("__stretch", F.lag("high").over(along).alias("__before"), F.lead("low").over(along).alias("__after"))
+    within = Window.partitionBy("__stretch").orderBy("__place")
+    rows = rows.join(F.broadcast(edges), "__stretch")
+    near = {
+        "__before": F.coalesce(F.lag("__place").over(within), F.col("__before")),
+        "__after": F.coalesce(F.lead("__place").over(within), F.col("__after")),
+    }
+    rows = rows.withColumns(near)
+
+    def in_group(side: str) -> Column:
+        same = F.lit(True)
+        for n, g in enumerate(group):
+            same = same & F.col(f"{side}.g{n}").eqNullSafe(F.col(g))
+        values = F.struct(*[F.col(f"{side}.v{n}").alias(c) for n, c in enumerate(order)])
+        return F.when(F.col(side).isNotNull() & same, values)
+
+    return rows.select(*df.columns, in_group("__before").alias("before"), in_group("__after").alias("after"))
+
+
+def with_neighbours(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Add ``previous_value``, ``next_value`` and ``has_next``; ``df`` holds each value once per group."""
+    return beside(df, group, [value]).select(
         *df.columns,
-        before.alias("previous_value"),
-        after.alias("next_value"),
-        (F.col("has_next") | F.col("__more")).alias("has_next"),
+        F.col("before")[value].alias("previous_value"),
+        F.col("after")[value].alias("next_value"),
+        F.col("after").isNotNull().alias("has_next"),
     )
-    return joined.unionByName(marked.filter(~edge).select(*joined.columns)).drop("__all")
 
 
 def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:

@@ -198,7 +198,7 @@ def q_exclusive_ranges_gaps_required(t: Tables) -> DataFrame:
 def q_exclusive_ranges_whole_table(t: Tables) -> DataFrame:
     """Without a partition the whole table is one group, cut into stretches."""
     return C.mutually_exclusive_ranges(
-        _ranges(t), "valid_from", "valid_to", None, "not_allowed", True, floor=1000
+        _ranges(t), "valid_from", "valid_to", None, "not_allowed", True
     )
 
 
@@ -290,7 +290,7 @@ WHERE NOT (d = previous_d + INTERVAL 1 DAY)""",
 def q_sequential_days(t: Tables) -> DataFrame:
     """Without a group the whole table is ordered; days repeat, so most rows fail."""
     days = t.orders.select(F.col("o_orderdate").cast("date").alias("d"))
-    return C.sequential_values(days, "d", 1, "day", floor=500)
+    return C.sequential_values(days, "d", 1, "day")
 
 
 @query(
