@@ -214,7 +214,8 @@ class KeyedTable(_StoredTable):
             return self._files(run)
 
         if least <= 1 and input_bytes(df) <= FILE_BYTES:
-            return write(df.select("*", *day).hint("rebalance"))
+            # By the day, or every task would write a file for each.
+            return write(df.select("*", *day).hint("rebalance", *by[: len(day)]))
         # Ranges need a first look at the keys; they are taken from a copy, so that what is
         # behind the rows runs once.
         copy = f"data/{uuid.uuid4().hex[:16]}"
