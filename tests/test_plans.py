@@ -2,7 +2,9 @@
 
 import pytest
 
+from tidemark.operators.keys import allocate_missing_keys
 from tidemark.queries import REGISTRY
+from tidemark.session import work_folder
 
 STORED = {
     # These write tables while they are built; their plan is only the final read.
@@ -11,7 +13,7 @@ STORED = {
     "retention_many_tables", "domain_control_state", "extract_after_merge", "entity_check_matrix", "fact_star_keys", "dimension_state",
     "dimension_equipment", "dimension_operation", "dimension_farm", "dimension_front",
     "two_streams_one_table", "surrogate_key_upper_key", "dropped_client_key", "quarantine_front",
-    "domain_rejects_audited", "views_for_sql",
+    "domain_rejects_audited", "views_for_sql", "quarantine_repeated_run",
 }
 
 
@@ -62,3 +64,18 @@ def test_check_matrix_scans_once_for_nulls_and_once_for_each_key(spark, folder):
 def test_row_checks_share_one_scan(spark, folder):
     text = plan(REGISTRY["row_checks_one_scan"].run(spark, folder))
     assert text.count("FileScan parquet") == 1
+
+
+def test_known_rows_stay_out_of_the_window_for_new_keys(spark):
+    root = work_folder(spark, "keys")
+    rows = spark.range(100).selectExpr("id AS k", "if(id < 90, id, null) AS sk")
+    rows.write.parquet(root)
+    keyed = allocate_missing_keys(spark.read.parquet(root), "sk", ["k"], 1000)
+    text = plan(keyed)
+    scans = [x for x in text.split("\n") if "FileScan parquet" in x]
+    assert len(scans) == 3 and sum("PushedFilters: [IsNull(sk)]" in x for x in scans) == 2
+    # The branch of the known rows has no exchange: it stands first in the union.
+    known = text.split("Union")[1].split("Window")[0].split("Exchange")[0]
+    assert "IsNotNull(sk)" in known
+    assert {r["sk"] for r in keyed.collect()} == {*range(90), *range(1001, 1011)}
+

@@ -208,6 +208,8 @@ def test_allocated_keys_are_unique_and_stable(spark, batches, lanes):
         got = {r["k"]: r["sk"] for r in out.collect()}
         assert got == {r["k"]: r["sk"] for r in shuffled.collect()}
         assert all(got[k] == sk for k, sk in known.items() if k in got)
+        fresh = sorted(sk for k, sk in got.items() if k not in known)
+        assert fresh == list(range(highest + 1, highest + 1 + len(fresh)))
         known.update(got)
         assert len(set(known.values())) == len(known) and min(known.values(), default=1) > 0
 

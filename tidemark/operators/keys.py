@@ -21,20 +21,28 @@ def allocate_missing_keys(
     highest: int,
     lanes: int = KEY_LANES,
 ) -> DataFrame:
-    """Fill null surrogate keys with unused values above ``highest``.
+    """Fill null surrogate keys with the values that follow ``highest``, without gaps.
 
-    Natural keys are hashed over a fixed number of lanes and each lane hands out every
-    ``lanes``-th number in natural-key order. No task sees more than its lanes, no count
-    has to be taken first, and the values depend on the natural keys alone, so a task
-    that is run again hands out the same ones. Keys are unique; gaps are normal.
+    Rows that have a key pass untouched. New ones are dealt to a fixed number of lanes by a hash
+    of their natural key; the rows of each lane are counted, and the running sum of the counts is
+    where a lane begins, so each lane numbers its own rows in natural-key order. No task sees
+    more than its lanes. The values depend on the new natural keys alone, so a task that is run
+    again hands out the same ones.
     """
     is_new = F.col(key_column).isNull()
-    position = F.row_number().over(
-        Window.partitionBy(lane(natural_key, lanes), is_new).orderBy(*natural_key)
-    )
-    fresh = F.lit(highest + 1) + lane(natural_key, lanes) + F.lit(lanes) * (position - 1)
-    return df.withColumn(
-        key_column, F.when(is_new, fresh).otherwise(F.col(key_column)).cast("bigint")
+    new = df.filter(is_new).withColumn("__lane", lane(natural_key, lanes))
+    # One row for each lane.
+    before = Window.orderBy("__lane").rowsBetween(Window.unboundedPreceding, -1)
+    counts = new.groupBy("__lane").agg(F.count("*").alias("__n"))
+    starts = counts.select("__lane", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    position = F.row_number().over(Window.partitionBy("__lane").orderBy(*natural_key))
+    numbered = new.withColumn("__position", position).join(F.broadcast(starts), "__lane")
+    fresh = (F.lit(highest) + F.col("__start") + F.col("__position")).cast("bigint")
+    key = F.col(key_column).cast("bigint").alias(key_column)
+    return (
+        df.filter(~is_new)
+        .withColumn(key_column, key)
+        .unionByName(numbered.withColumn(key_column, fresh).select(*df.columns))
     )
 
 
