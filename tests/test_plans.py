@@ -13,7 +13,7 @@ STORED = {
     "retention_many_tables", "domain_control_state", "extract_after_merge", "entity_check_matrix", "fact_star_keys", "dimension_state",
     "dimension_equipment", "dimension_operation", "dimension_farm", "dimension_front",
     "two_streams_one_table", "surrogate_key_upper_key", "dropped_client_key", "quarantine_front",
-    "domain_rejects_audited", "views_for_sql", "quarantine_repeated_run",
+    "domain_rejects_audited", "views_for_sql", "quarantine_repeated_run", "stream_late_rows",
 }
 
 

@@ -353,6 +353,30 @@ def test_stream_merges_each_file_and_skips_replays(spark):
     assert as_map(table.read(), "cd_estado", "desc_estado")["N"] == ("new",)
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (2, 0, 3, 1), (1, 3, 0, 2)])
+def test_late_rows_change_nothing_in_any_order_of_arrival(spark, order):
+    day = [T0 + timedelta(days=n) for n in range(4)]
+    batches = [
+        states(spark, ("A", "jan 5", day[0]), ("B", "none", None)),
+        states(spark, ("A", "jan 10", day[2]), ("B", "b", day[1])),
+        # Equal times: the larger content stays, whichever comes first.
+        states(spark, ("A", "jan 10 again", day[2]), ("B", "a", day[1])),
+        states(spark, ("A", "jan 7", day[1])),
+    ]
+    spec = replace(E.STATE, keep_newest=True)
+    table = state_table(spark, spec)
+    for n in order:
+        merge_current_state(spec, batches[n], table, T0, f"b{n}")
+    assert as_map(table.read(), "cd_estado", "desc_estado") == {"A": ("jan 10 again",), "B": ("b",)}
+
+
+def test_without_the_switch_the_last_arrival_stays(spark):
+    table = state_table(spark)
+    for text, at in (("new", T0 + timedelta(days=5)), ("old", T0)):
+        merge_current_state(E.STATE, states(spark, ("A", text, at)), table, T0, text)
+    assert as_map(table.read(), "cd_estado", "desc_estado") == {"A": ("old",)}
+
+
 def test_stream_keeps_rows_without_a_key(spark):
     root = work_folder(spark, "stream")
     table = KeyedTable(spark, f"{root}/state", E.STATE.key, 4)

@@ -65,6 +65,10 @@ def changed_or_new(
     if spec.compare_technical:
         compared += [(n, TECHNICAL_TYPES[n], False) for n in (SOURCE_UPDATED_AT, EXTRACTED_AT)]
     kept = [n for n, _, _ in compared] + [CREATED_AT, UPDATED_AT]
+    # As the latest landing row is chosen: times first, then the other columns.
+    newest = [SOURCE_UPDATED_AT, EXTRACTED_AT, *[c.name for c in spec.attributes]]
+    if spec.keep_newest:
+        kept += [n for n in newest if n not in kept]
     old = target.select(
         *spec.key, *[F.col(n).alias(_OLD + n) for n in kept], F.lit(True).alias(_OLD)
     )
@@ -73,6 +77,9 @@ def changed_or_new(
     tests = [(differs(n, t, spec.null_safe), silent) for n, t, silent in compared]
     moved = reduce(or_, [test for test, silent in tests if not silent], is_new)
     selected = reduce(or_, [test for test, _ in tests], is_new)
+    if spec.keep_newest:
+        new_row, old_row = F.struct(*newest), F.struct(*[F.col(_OLD + n).alias(n) for n in newest])
+        selected = selected & (is_new | (new_row > old_row))
 
     return (
         latest.join(old, list(spec.key), "left")

@@ -144,6 +144,26 @@ def stream_upsert_events(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "stream_late_rows",
+    _LATEST_EVENTS
+    + """
+SELECT user_id, event_type, value, props, ts AS source_updated_at FROM last""",
+)
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Files come in no order of time; a late row does not replace a newer one."""
+    spec = replace(EVENT_STATE, keep_newest=True)
+    root = work_folder(t.spark, "late")
+    landing = event_landing(t.events, RUN_1)
+    state = KeyedTable(t.spark, f"{root}/state", spec.key)
+    for part in range(3):
+        rows = landing.filter(F.pmod(F.xxhash64(*landing.columns), F.lit(3)) == part)
+        rows.write.mode("append").parquet(f"{root}/landing")
+        stream = landing_stream(t.spark, f"{root}/landing", landing.schema)
+        stream_upsert(spec, stream, state, f"{root}/checkpoint", RUN_2).awaitTermination()
+    return state.read().select("user_id", "event_type", "value", "props", "source_updated_at")
+
+
 @query(
     "two_streams_one_table",
     _LATEST_EVENTS

@@ -99,6 +99,10 @@ class EntitySpec:
     # Rows whose key has a null part are stored like any other, as new ones every time;
     # unless this is set they go to the quarantine.
     keep_null_keys: bool = False
+    # A row that is older than the stored one of its key, by source and extract time, is late and
+    # changes nothing, so the order in which batches arrive does not matter. Unless this is set
+    # the row that arrives last stays, as in the source system.
+    keep_newest: bool = False
     # Keys that must not be in the dimension.
     dropped_keys: tuple[Any, ...] = ()
     # Least number of files of a full write of the stored tables.
