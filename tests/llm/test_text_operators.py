@@ -157,11 +157,29 @@ def test_decontamination_edges(spark):
     assert cleaned[11] == "the -" and cleaned[12] == "alpha beta gamma delta" and cleaned[2] is None
 
 
-def test_decontamination_beyond_the_bounds_is_the_same(spark, folder, monkeypatch):
+@pytest.mark.parametrize("bounds", [{"BROADCAST_BYTES": 0}, {"PROBED": 0}, {"BROADCAST_BYTES": 0, "PROBED": 0}])
+def test_decontamination_beyond_the_bounds_is_the_same(spark, folder, monkeypatch, bounds):
     docs, bench = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
-    usual = sorted(map(tuple, decontaminate.contamination(docs, bench).select("id", "n_hit").collect()))
-    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
-    assert usual == sorted(map(tuple, decontaminate.contamination(docs, bench).select("id", "n_hit").collect()))
+    docs, bench = docs.union(docs.limit(30)), bench.union(spark.createDataFrame([(None, "the of"), (900, "the")], bench.schema))
+
+    def found():
+        rows = decontaminate.contamination(docs, bench).select("id", "key", "n_words", "n_hit", F.array_join("items", ",").alias("items"))
+        return sorted(map(tuple, rows.collect()))
+
+    usual = found()
+    assert sum(r[3] > 0 for r in usual) > 20
+    for name, bound in bounds.items():
+        monkeypatch.setattr(decontaminate, name, bound)
+    assert usual == found()
+
+
+def test_only_windows_in_the_set_are_spelt(spark):
+    """A window whose ends are known but whose middle is not never becomes text."""
+    bench = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    near = PASSAGE.replace("gamma", "other")
+    docs = table(spark, (1, f"{PASSAGE} {near} {PASSAGE}"), (2, near), (3, "kappa " * 3000 + "alpha " * 3000))
+    rows = decontaminate.GramSet(bench, "item_id", "text", 10).spelt(docs, "doc_id", "text").collect()
+    assert {r.id: len(r.spelt) for r in rows} == {1: 4, 2: 0, 3: 0}
 
 
 def test_empty_benchmark_hits_nothing(spark):

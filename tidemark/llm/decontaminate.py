@@ -1,16 +1,17 @@
 """Benchmark passages in training documents, by a broadcast hash set of test n-grams.
 
 Only built-in column functions. Items and documents are cut into normalised words. Every window of
-an item goes into the set; an item shorter than a window is one window as a whole. Windows of
-documents are looked up in the set, joined on the words themselves, so a hit of the hash table is
-verified word by word. Items are looked up for windows that hit.
+an item goes into the set; an item shorter than a window is one window as a whole.
 
-Each window of the set has an anchor, its longest word. A document window can only hit around a word
-that is some anchor, so only those windows are spelt out; no hit is lost. Documents are scanned once.
+A document's words become 64-bit hashes, and a window the hash of its words' hashes. A place is a
+candidate if its first and last word stand together at the ends of a window of the set, and then
+the hash of the whole window is in the set. Only candidates are spelt out as words, and joined to the set on the
+words themselves, so a hit is verified word by word. So a document never holds its windows as text.
 
-The set is broadcast while it has ``BROADCAST_BYTES`` at most, as counted before the scan. A larger
-one is joined by shuffle, and beyond ``ANCHORS`` anchors all windows are spelt out. A passage that
-very many documents share meets one row of the set.
+A set of ``PROBED`` windows at most goes into the plan, where each row asks it without a join;
+rows without a candidate are then decided at once. Of a larger set the hashes are joined to those
+of all windows, and only documents with a candidate are read again. Up to ``BROADCAST_BYTES`` the set
+is broadcast, beyond that it is joined by shuffle. The result is the same in all cases.
 
 Defined results: a null text has no words; a null item id counts as an empty one; rows with equal
 id and text get equal results, rows with equal id and different texts their own; an empty benchmark
@@ -30,8 +31,8 @@ APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[0-9A-Za-z\u0080-\x{10FFFF}]+"
 #: The most a set may take, in bytes of its windows, to be sent to all executors.
 BROADCAST_BYTES = 32 << 20
-#: The most anchors that go into the plan.
-ANCHORS = 20_000
+#: The most windows whose hashes go into the plan.
+PROBED = 50_000
 SPELT = "array<struct<start:int,size:int,gram:string>>"
 
 
@@ -40,6 +41,10 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), APART, -1), "")
 
 
+def _word_hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda w: F.xxhash64(ascii_lower(w)))
+
+
 def _windows(tokens: Column, starts: Column, size: int) -> Column:
     """(start, size, gram) of the windows of the given size at the given starts."""
     return F.transform(
@@ -52,16 +57,14 @@ def _windows(tokens: Column, starts: Column, size: int) -> Column:
     ).cast(SPELT)
 
 
-def _starts(tokens: Column, size: int, anchors: Column | None) -> Column:
-    """Starts of all windows of a size, or of those around the anchors."""
-    none = F.array().cast("array<int>")
-    last = F.size(tokens) - size
-    if anchors is None:
-        found = F.sequence(F.lit(0), last)
-    else:
-        around = lambda p: F.sequence(F.greatest(p - size + 1, F.lit(0)), F.least(p, last))
-        found = F.array_distinct(F.flatten(F.transform(anchors, around)))
-    return F.when(last >= 0, found).otherwise(none)
+def _starts(length: Column, size: int) -> Column:
+    """Starts of all windows of a size."""
+    last = length - size
+    return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+
+def _listed(values) -> str:
+    return ", ".join(f"{v}L" for v in sorted(set(values)))
 
 
 def benchmark_grams(benchmark: DataFrame, id_col: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -74,7 +77,7 @@ def benchmark_grams(benchmark: DataFrame, id_col: str = "item_id", text: str = "
     short = F.array(
         F.struct(F.lit(0).alias("start"), F.size(tokens).alias("size"), F.array_join(tokens, " ").alias("gram"))
     ).cast(SPELT)
-    grams = F.when(F.size(tokens) < window, short).otherwise(_windows(tokens, _starts(tokens, window, None), window))
+    grams = F.when(F.size(tokens) < window, short).otherwise(_windows(tokens, _starts(F.size(tokens), window), window))
     items = items.filter(F.size(tokens) > 0).select("item", F.explode(grams).alias("w"))
     return items.select("item", "w.size", "w.gram").distinct()
 
@@ -84,31 +87,73 @@ class GramSet:
 
     def __init__(self, benchmark: DataFrame, id_col: str, text: str, window: int):
         grams = benchmark_grams(benchmark, id_col, text, window)
-        self.grams = cut(grams.groupBy("size", "gram").agg(F.sort_array(F.collect_set("item")).alias("items")))
-        longest = F.array_max(
-            F.transform(F.split("gram", " "), lambda w: F.struct(F.char_length(w).alias("n"), w.alias("word")))
+        hashes = _word_hashes(F.split("gram", " "))
+        self.grams = cut(
+            grams.groupBy("size", "gram")
+            .agg(F.sort_array(F.collect_set("item")).alias("items"))
+            .withColumn("hashes", hashes)
+            .select(
+                "size", "gram", "items",
+                F.xxhash64("hashes").alias("hash"),
+                F.element_at("hashes", 1).bitwiseXOR(F.shiftleft(F.element_at("hashes", -1), 1)).alias("ends"),
+            )
         )
-        anchors = self.grams.select(F.lower(longest["word"]).alias("anchor")).distinct()
-        size = F.octet_length("gram") + F.octet_length(F.array_join("items", "")) + 16 * F.size("items") + 40
-        sums = self.grams.groupBy("size").agg(F.sum(size).alias("bytes")).collect()
+        size = F.octet_length("gram") + F.octet_length(F.array_join("items", "")) + 16 * F.size("items") + 64
+        sums = self.grams.groupBy("size").agg(F.sum(size).alias("bytes"), F.count("*").alias("n")).collect()
         self.sizes = sorted(r["size"] for r in sums)
         self.small = sum(r["bytes"] for r in sums) <= BROADCAST_BYTES
-        few = self.small and anchors.count() <= ANCHORS
-        self.anchors = [r["anchor"] for r in anchors.sort("anchor").collect()] if few else None
+        self.probed = None
+        if self.small and sum(r["n"] for r in sums) <= PROBED:
+            self.probed = self.grams.select("size", "hash", "ends").collect()
+
+    def _candidates(self, size: int) -> Column:
+        """Starts of windows whose hash is in the set, from the column ``hashes``."""
+        of_size = [r for r in self.probed if r["size"] == size]
+        ends, whole = (_listed(r[c] for r in of_size) for c in ("ends", "hash"))
+        # What the window ends with, beside what it begins with; null behind the last window.
+        ahead = f"slice(hashes, {size}, size(hashes))"
+        pairs = f"zip_with(hashes, {ahead}, (a, b) -> a ^ shiftleft(b, 1))"
+        begun = f"filter(transform({pairs}, (p, i) -> if(p IN ({ends}), i, null)), i -> i IS NOT NULL)"
+        return F.expr(f"filter({begun}, i -> xxhash64(slice(hashes, i + 1, {size})) IN ({whole}))")
 
     def spelt(self, docs: DataFrame, id_col: str, text: str) -> DataFrame:
-        """(id, key, n_words, spelt): the windows of each document that may be in the set."""
-        rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), words(docs[text]).alias("tokens"))
-        tokens, at = F.col("tokens"), None
-        if self.anchors:
-            # Words hold letters, digits and signs beyond ASCII alone, so they need no escape.
-            known = ", ".join(f"'{a}'" for a in self.anchors)
-            found = F.expr(f"transform(tokens, (w, i) -> if(lower(w) in ({known}), i, null))")
-            rows = rows.withColumn("at", F.filter(found, lambda i: i.isNotNull()))
-            at = F.col("at")
-        parts = [_windows(tokens, _starts(tokens, size, at), size) for size in self.sizes]
-        every = F.concat(*parts) if parts else F.array().cast(SPELT)
-        return rows.select("id", "key", F.size(tokens).cast("long").alias("n_words"), every.alias("spelt"))
+        """(id, key, n_words, spelt): the windows of each document whose hash is in the set."""
+        source = F.coalesce(docs[text], F.lit(""))
+        plain = F.octet_length(source) == F.char_length(source)
+        # Text in ASCII is lowered at once, other text word by word.
+        rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), plain.alias("plain"), words(F.when(plain, F.lower(source)).otherwise(source)).alias("tokens"))
+        rows = rows.withColumn("n_words", F.size("tokens").cast("long"))
+        tokens, none = F.col("tokens"), F.array().cast(SPELT)
+        if not self.sizes:
+            return rows.select("id", "key", "n_words", none.alias("spelt"))
+        if self.probed is not None:
+            hashes = F.when(F.col("plain"), F.transform(tokens, lambda w: F.xxhash64(w))).otherwise(_word_hashes(tokens))
+            rows = rows.withColumn("hashes", hashes)
+            rows = rows.withColumns({f"at_{n}": self._candidates(n) for n in self.sizes})
+            every = F.concat(*[_windows(tokens, F.col(f"at_{n}"), n) for n in self.sizes])
+            return rows.select("id", "key", "n_words", every.alias("spelt"))
+        hashes = rows.select("id", "key", _word_hashes(tokens).alias("hashes"))
+
+        def hashed(n: int) -> Column:
+            found = lambda i: F.xxhash64(F.slice("hashes", i + 1, F.lit(n))).alias("hash")
+            one = lambda i: F.struct(i.alias("start"), F.lit(n).alias("size"), found(i))
+            return F.transform(_starts(F.size("hashes"), n), one)
+
+        every = F.concat(*[hashed(n) for n in self.sizes])
+        seen = hashes.select("id", "key", F.explode(every).alias("w")).select("id", "key", "w.*")
+        known = self.grams.select("size", "hash").distinct()
+        met = seen.join(F.broadcast(known) if self.small else known, ["size", "hash"], "left_semi")
+        # Rows of equal id and text agree, so places are told apart once.
+        met = met.groupBy("id", "key").agg(F.collect_set(F.struct("start", "size")).alias("places"))
+        met = met.select(F.col("id").alias("its_id"), F.col("key").alias("its_key"), "places")
+        rows = rows.join(met, rows["id"].eqNullSafe(met["its_id"]) & (rows["key"] == met["its_key"]), "left")
+
+        def window(p: Column) -> Column:
+            gram = ascii_lower(F.array_join(F.slice(tokens, p["start"] + 1, p["size"]), " "))
+            return F.struct(p["start"].alias("start"), p["size"].alias("size"), gram.alias("gram"))
+
+        spelt = F.coalesce(F.transform("places", window).cast(SPELT), none)
+        return rows.select("id", "key", "n_words", spelt.alias("spelt"))
 
     def join(self, rows: DataFrame, how: str) -> DataFrame:
         """Rows with a gram, and the items that hold it."""
