@@ -514,6 +514,37 @@ def test_clusters_choose_regions(page, text):
     assert html_text.main_text(f"<html><body>{page}</body></html>") == text
 
 
+WRAPPERS = [
+    '<div class="content no-ads">{}</div>', '<div class="post no-comments">{}</div>', '<div class="entry comments-open">{}</div>',
+    '<div class="shared-layout">{}</div>', '<div class="related-work">{}</div>', '<div class="promotions-law">{}</div>',
+    '<div id="social-studies">{}</div>', '<main><div class="recommendations">{}</div></main>', "<form action=/page>{}</form>",
+]
+AROUND = [
+    "{}", "<header>Site</header><nav><a href=/>Home</a></nav>{}<footer>Imprint</footer>",
+    "<h1>Site</h1>{}<div class=comments>" + PART * 2 + "</div><div class=ad>Buy</div>",
+    "{}<form><p>Search</p><input></form><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul>",
+]
+
+
+@pytest.mark.parametrize("around", AROUND)
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_a_name_alone_takes_out_no_article(wrapper, around):
+    body = wrapper.format(PART * 2 + "<div class=ad>Buy this now</div>")
+    got = html_text.main_text(f"<html><body>{around.format(body)}</body></html>").removeprefix("Site ")
+    if "comments>" not in around or any(w in wrapper for w in ("no-ads", "no-comments", "comments-open")):
+        assert got == f"{TOLD} {TOLD}"
+    else:
+        # Two elements of such names and nothing beside them: both are taken for the text.
+        assert got.startswith(f"{TOLD} {TOLD}")
+
+
+@pytest.mark.parametrize("name", ["comments", "ad", "related", "share-bar", "newsletter", "cookie-notice"])
+def test_doubtful_elements_go_where_text_is_left(name):
+    assert html_text.main_text(f"<article>{PART}</article><div class={name}>{PART * 9}</div>") == TOLD
+    assert html_text.main_text(f"<article><p>Short.</p><div id={name}>Or</div></article><div class={name}>{PART * 9}</div>") == "Short."
+    assert html_text.main_text(f"<div>{PART}</div><div class={name}><form>{PART}</form>{PART}</div>") == TOLD
+
+
 def test_unclosed_elements_in_great_number():
     started = time.time()
     assert html_text.main_text("<p><button>" + "<div>" * 60_000 + "</button>x") == "x"

@@ -1,12 +1,19 @@
 """Main text of web pages by text-to-tag ratio.
 
 The standard library's parser streams its events. Every block of a page is a line with its text, the
-characters of it outside of links, and the number of tags spent on it. Elements that are never part
-of an article, by their tag or by what their class or id says, give no line. The ratio of characters
+characters of it outside of links, and the number of tags spent on it. Elements that by their tag are
+no part of an article give no line (a heading within a header goes with it). The ratio of characters
 to tags is smoothed over neighbouring lines with a Gaussian; lines above a threshold, a share of the
 mean, are content. Within an article or main element the ratio counts ``PRIOR`` times; that is all
 the tag does to the choice of lines.
 
+Forms, and elements whose class, id or role sounds like a menu, an advert or comments, are doubtful, and
+their lines more so for each such element around them. The clusters are first made of the lines without
+doubt. They stand if they hold a line of some length, or a fair part of the text against the doubtful
+lines of the same article (of the page, if none is in one); else the next doubtful lines come in, from
+elements that hold at least half as much as the largest one. So a name alone takes out nothing that is
+all a page has, whatever it sounds like.
+
 The clusters choose regions. A region is the lines directly within one list, division, cell or the
 like, or all of an article or main element. It is content if content lines have at least ``HALF`` of
 its characters, and an article only if its own ratio isn't far below (a teaser beside an article is);
@@ -38,7 +45,7 @@ from tidemark.llm.common import mapped
 
 # Elements without article text, elements without end tag, elements that end a line.
 NEVER = frozenset(
-    "script style head title nav footer header aside form noscript template iframe svg button select textarea "
+    "script style head title nav footer header aside noscript template iframe svg button select textarea "
     "input menu dialog object audio video canvas".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,6 +80,7 @@ ENDED = {
     **{tag: (frozenset({"p"}), _SCOPE | {"td", "th", "caption"}) for tag in _ENDS_P},
 }
 IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
+# Names that sound like no part of an article, and names of a state ("no-ads", "comments-open").
 NAMED = re.compile(
     r"^(?:ads?|advert.*|ad[-_].*|.*[-_]ads?|banner|sidebar|side[-_]bar|menu|nav|navbar|navigation|breadcrumbs?|"
     r"(?:site|page|global|main)?[-_]?(?:footer|header)|masthead|cookies?(?:[-_].*)?|consent.*|gdpr.*|notices?|alert|popup|modal|"
@@ -80,24 +88,34 @@ NAMED = re.compile(
     r"subscribe|newsletter|signup|login|paginat.*|pager|widgets?|toolbar|disclaimer|outbrain|taboola)$",
     re.IGNORECASE,
 )
+STATE = re.compile(r"^(?:no|not|has|with|without|is|hide)[-_]|[-_](?:open|closed|on|off|enabled|disabled|hidden)$", re.IGNORECASE)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 SIGMA = 1.0
 SHARE = 0.5
 PRIOR = 3.0
 HALF = 0.5
+#: A line of so many characters is text by itself, as is a part of the doubtful text so large.
+LONG = 80
+PART = 0.1
 _WHITE = re.compile(r"[\x20\x09-\x0D]+")
 
+#: Text, characters outside of links, tags, holders around it, doubtful elements around it.
+Line = tuple[str, int, int, tuple[int, ...], tuple[int, ...]]
+
 
 class _Lines(HTMLParser):
-    """Collects (text, plain, tags, holders) for every block outside of what is never an article."""
+    """Collects (text, plain, tags, holders, doubts) for every block outside of what is never an article."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.lines: list[Line] = []
         self.articles: set[int] = set()
-        self.open: list[tuple[str, bool, int]] = []  # tag, hidden, number as a holder or 0
+        # tag, hidden, number as a holder or 0, tags counted before a doubtful element or -1
+        self.open: list[tuple[str, bool, int, int]] = []
         self.places: dict[str, list[int]] = {}  # of open elements in ``open``, by tag
         self.hidden = 0
+        self.doubts: list[int] = []  # numbers of the open doubtful elements
+        self.doubtful = 0
         self.tags = 0
         self.links = 0
         self.linked = 0
@@ -109,17 +127,25 @@ class _Lines(HTMLParser):
         self.parts.clear()
         if text:
             plain = max(len(text) - self.linked, 0)
-            self.lines.append((text, plain, max(self.tags, 1), tuple(h for _, _, h in self.open if h)))
+            holders = tuple(h for _, _, h, _ in self.open if h)
+            self.lines.append((text, plain, max(self.tags, 1), holders, tuple(self.doubts)))
             self.tags = 0
         self.linked = 0
 
     def _close(self, at: int) -> None:
         """End the open element at a place and all within it."""
-        for tag, hidden, _ in self.open[at:]:
+        while len(self.open) > at:
+            tag, hidden, _, before = self.open[-1]
+            if before >= 0:
+                # The lines around a doubtful element count their own tags alone.
+                if not self.hidden:
+                    self._end_line()
+                self.tags = before
+                self.doubts.pop()
+            self.open.pop()
             self.hidden -= hidden
             self.places[tag].pop()
             self.links -= tag == LINK
-        del self.open[at:]
 
     def _end_implied(self, tag: str) -> None:
         """End what the start of this element ends where end tags are left out."""
@@ -146,18 +172,23 @@ class _Lines(HTMLParser):
             tag = LINK
             self.links += 1
         hidden = tag in NEVER
-        # An article is judged by its class only after another, as comments and teasers come after.
-        if not hidden and tag not in ("html", "body", "main") and (tag != "article" or self.articles):
+        doubtful = tag == "form"
+        if not hidden:
             named = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden")}
-            words = f"{named.get('class', '')} {named.get('id', '')}".split()
-            hidden = (
-                any(NAMED.match(w) for w in words)
-                or named.get("role", "").lower() in ROLES
-                or "hidden" in named
-                or named.get("aria-hidden") == "true"
-            )
-        if hidden and not self.hidden:
+            hidden = "hidden" in named or named.get("aria-hidden") == "true"
+            # An article is judged by its class only after another, as comments and teasers come after.
+            if named and tag not in ("html", "body", "main") and (tag != "article" or self.articles):
+                words = f"{named.get('class', '')} {named.get('id', '')}".split()
+                doubtful |= any(NAMED.match(w) and not STATE.search(w) for w in words)
+                doubtful |= named.get("role", "").lower() in ROLES
+        doubtful = doubtful and not hidden and not self.hidden
+        if (hidden or doubtful) and not self.hidden:
             self._end_line()
+        before = -1
+        if doubtful:
+            before, self.tags = self.tags, 0
+            self.doubtful += 1
+            self.doubts.append(self.doubtful)
         holder = 0
         if tag in HOLDER:
             self.holders += 1
@@ -166,7 +197,7 @@ class _Lines(HTMLParser):
                 self.articles.add(holder)
         self.hidden += hidden
         self.places.setdefault(tag, []).append(len(self.open))
-        self.open.append((tag, hidden, holder))
+        self.open.append((tag, hidden, holder, before))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -209,13 +240,35 @@ def main_text(html: str | None) -> str:
     page = _Lines()
     page.feed(html)
     page.finish()
-    lines = page.lines
-    if not lines:
-        return ""
-    if not any(plain for _, plain, _, _ in lines):  # a page of links alone
-        lines = [(text, len(text), tags, holders) for text, _, tags, holders in lines]
-    prior = [PRIOR if page.articles.intersection(holders) else 1.0 for *_, holders in lines]
-    ratios = _smooth(np.array([p * plain / tags for p, (_, plain, tags, _) in zip(prior, lines)]))
+    # Characters within each doubtful element, and the largest sum at each depth.
+    held: dict[int, int] = {}
+    largest: dict[int, int] = {}
+    for line in page.lines:
+        for element in line[4]:
+            held[element] = held.get(element, 0) + line[1]
+    for line in page.lines:
+        for depth, element in enumerate(line[4]):
+            largest[depth] = max(largest.get(depth, 0), held[element])
+    for doubts in range(len(largest) + 1):
+        sure = [
+            line
+            for line in page.lines
+            if len(line[4]) <= doubts and all(held[e] >= HALF * largest[d] for d, e in enumerate(line[4]))
+        ]
+        kept = [line for line, good in zip(sure, _clusters(sure, page.articles)) if good] if sure else []
+        inside = page.articles.intersection(h for line in kept for h in line[3])
+        more = sum(line[1] for line in page.lines if len(line[4]) > doubts and not (inside and inside.isdisjoint(line[3])))
+        if more == 0 or any(line[1] >= LONG for line in kept) or sum(line[1] for line in kept) >= max(PART * more, 1):
+            return " ".join(line[0] for line in kept)
+    return ""
+
+
+def _clusters(lines: list[Line], page_articles: set[int]) -> np.ndarray:
+    """Which lines the clusters of smoothed ratios choose."""
+    if not any(line[1] for line in lines):  # a page of links alone
+        lines = [(text, len(text), tags, holders, doubts) for text, _, tags, holders, doubts in lines]
+    prior = [PRIOR if page_articles.intersection(line[3]) else 1.0 for line in lines]
+    ratios = _smooth(np.array([p * line[1] / line[2] for p, line in zip(prior, lines)]))
     least = SHARE * ratios.mean()
     content = ratios >= least
 
@@ -224,12 +277,12 @@ def main_text(html: str | None) -> str:
     count: dict[int, int] = {}
     above: dict[int, int] = {}
     homes = []
-    for (text, plain, tags, holders), good in zip(lines, content):
+    for (text, plain, tags, holders, _), good in zip(lines, content):
         home = holders[-1] if holders else 0
         homes.append(home)
         above[home] = holders[-2] if len(holders) > 1 else 0
         count[home] = count.get(home, 0) + 1
-        for region in {home, *page.articles.intersection(holders)}:
+        for region in {home, *page_articles.intersection(holders)}:
             one = sums.setdefault(region, [0, 0, 0, 0])
             one[0] += plain
             one[1] += plain if good else 0
@@ -238,22 +291,23 @@ def main_text(html: str | None) -> str:
     chosen = {
         r
         for r, (plain, good, _, tags) in sums.items()
-        if good > 0 and good >= HALF * plain and (r not in page.articles or PRIOR * plain >= SHARE * least * tags)
+        if good > 0 and good >= HALF * plain and (r not in page_articles or PRIOR * plain >= SHARE * least * tags)
     }
-    articles = chosen & page.articles
+    articles = chosen & page_articles
 
-    kept = np.array([h in chosen or not articles.isdisjoint(holders) for h, (*_, holders) in zip(homes, lines)])
+    kept = np.array([h in chosen or not articles.isdisjoint(line[3]) for h, line in zip(homes, lines)])
     if kept.any():
         first, last = np.flatnonzero(kept)[[0, -1]]
         near = {above[h] for h in chosen if h in above} | chosen
-        for n, (home, (*_, holders)) in enumerate(zip(homes, lines)):
+        for n, (home, line) in enumerate(zip(homes, lines)):
             plain, _, size, _ = sums[home]
+            holders = line[3]
             if kept[n] or 2 * plain <= size or above[home] not in near:
                 continue
-            if articles and page.articles.isdisjoint(holders):
+            if articles and page_articles.isdisjoint(holders):
                 continue
-            kept[n] = first < n < last or (count[home] > 1 and home not in page.articles)
-    return " ".join(line[0] for line, good in zip(lines, kept) if good)
+            kept[n] = first < n < last or (count[home] > 1 and home not in page_articles)
+    return kept
 
 
 def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
