@@ -73,20 +73,29 @@ def test_entropy_windows_are_those_of_a_full_count(spark):
     rng = random.Random(3)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
     runs = ["".join(rng.choice(letters[: rng.choice((4, 16, 64))]) for _ in range(rng.randrange(20, 70))) + "a1" for _ in range(80)]
+    runs += [runs[n] + rng.choice(["Example", "0123456789", "your_", "xxxxxxx"]) + runs[n + 1] for n in range(40)]
+    runs += ["sample-app/" + runs[3], "your_key=" + runs[4], "dummy" + runs[5] + "dummy" + runs[6] + "dummy"]
     for run, (_, spans) in zip(runs, secrets(spark, *runs)):
         limit = next(t for _, p, t in secret_scan.CLASSES if re.search(p, run))
-        allowed = any(re.search(a, run) for a in secret_scan.ALLOWED)
+        allowed = [m.span() for m in re.finditer("|".join(f"(?:{a.removeprefix('(?i)')})" for a in secret_scan.ALLOWED), run, re.I)]
         above = []
         for at in range(len(run) - 19):
+            if any(a < at + 20 and at < b for a, b in allowed):
+                continue
             counts = np.array([run[at : at + 20].count(c) for c in set(run[at : at + 20])]) / 20
             if round(float(-(counts * np.log2(counts)).sum()), 9) >= limit:
                 above.append(at)
-        expected = [f"entropy:{above[0]}:{above[-1] + 20}"] if above and not allowed else []
+        # One span for each part between allowed pieces.
+        cuts = [b for _, b in allowed]
+        groups = {}
+        for at in above:
+            groups.setdefault(sum(at >= c for c in cuts), []).append(at)
+        expected = [f"entropy:{g[0]}:{g[-1] + 20}" for g in groups.values()]
         assert [s for s in spans.split(",") if s.startswith("entropy")] == expected, run
 
 
 def test_allow_list_spares_method_spans_only(spark):
-    name = "exampleA1b2C3d4E5f6G7h8I9"
+    name = "A1b2C3d4exampleE5f6G7h8I9"
     (base, spans), = secrets(spark, f"token={name}")
     assert base == spans and base.startswith("assign")
 
@@ -552,6 +561,44 @@ def test_unclosed_elements_in_great_number():
     assert time.time() - started < 30
 
 
+CLASHES = ["__scan", "__email", "__TEXT", "N_Words", "__own", "Base_Spans", "__found", "__assign", "SCORE", "own_0_", "Kept"]
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    """Columns called like working columns, in any case, come through unchanged; those of a result's name give way."""
+    values = [f"v{n}" for n in range(len(CLASHES))]
+    rows = [(i, t, *values) for i, t in [(1, "mail a.b@c.de token=abcdefgh now"), (2, None)]]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"`{c}` string" for c in CLASHES]]))
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "none of these")], "item_id long, text string")
+    pages = docs.withColumnRenamed("text", "html")
+    for made, own in (
+        (pii.find_personal(docs), {"base_spans", "spans", "spans_scores"}),
+        (secret_scan.find_secrets(docs), {"base_spans", "spans"}),
+        (quality_rules.judge(docs, labels), {*quality_rules.STATISTICS, "base_failed", "kept"}),
+        (simhash.keep_one(docs), set()),
+        (decontaminate.drop_contaminated(docs, bench), set()),
+        (decontaminate.remove_spans(docs, bench), set()),
+        (html_text.extract(pages), {"main_text"}),
+        (toxicity.score(docs, toxicity.train(docs, labels)), {"score"}),
+    ):
+        found = made.collect()
+        assert len(found) == 2
+        for row in found:
+            for name, value in zip(CLASHES, values):
+                if name.lower() not in own:
+                    assert row[name] == value, name
+
+
+def test_the_least_of_equal_rows_stays(spark):
+    rows = [(1, "a b c d", n, "s") for n in (5, 2, 9)] + [(2, "a b c d", 0, "s")]
+    for some in (rows, rows[::-1]):
+        docs = spark.createDataFrame(some, "doc_id long, text string, n int, source string").repartition(3, "n")
+        assert [tuple(r) for r in simhash.keep_one(docs).collect()] == [(1, "a b c d", 2, "s")]
+        mapped = docs.withColumn("m", F.create_map("source", "n"))
+        assert simhash.keep_one(mapped).first().n == 2
+
+
 def test_page_table(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>", "x"), (None, None, None, "y"), (1, "u", "<p>a</p>", "x")], "page_id long, url string, html string, main_text string")
     rows = html_text.extract(pages).collect()

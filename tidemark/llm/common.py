@@ -63,3 +63,17 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with their columns under names of no meaning, and these names by the columns' own.
+
+    So no column of a table meets a working column, however it is called.
+    """
+    names = {c: f"own_{n}_" for n, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def own_name(names: dict[str, str], column: str) -> str:
+    """The inner name of a column, known as Spark knows it: in any case."""
+    return names.get(column) or {c.lower(): n for c, n in names.items()}[column.lower()]

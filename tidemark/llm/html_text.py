@@ -41,7 +41,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import mapped
+from tidemark.llm.common import mapped, unused
 
 # Elements without article text, elements without end tag, elements that end a line.
 NEVER = frozenset(
@@ -313,13 +313,14 @@ def _clusters(lines: list[Line], page_articles: set[int]) -> np.ndarray:
 def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` of each page, by default all but the markup, and ``main_text``."""
     keep = [c for c in pages.columns if c != html] if keep is None else keep
-    keep = [c for c in keep if c != "main_text"]
-    rows = pages.select(*[pages[c] for c in keep], pages[html].alias("__html"))
+    keep = [c for c in keep if c.lower() != "main_text"]
+    inner = unused(pages, "__html")
+    rows = pages.select(*[pages[c] for c in keep], pages[html].alias(inner))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            frame["main_text"] = [main_text(h) for h in frame.pop("__html")]
+            frame["main_text"] = [main_text(h) for h in frame.pop(inner)]
             yield frame
 
     return mapped(rows, run, ", ".join([*kinds, "main_text string"]))

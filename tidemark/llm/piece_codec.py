@@ -26,7 +26,7 @@ import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import mapped
+from tidemark.llm.common import mapped, unused
 
 SPACE = "▁"
 #: Stretches whose ids a task keeps; beyond it the table starts anew, results stay the same.
@@ -281,8 +281,8 @@ def _digests(coder: PieceCodec, text: str | None) -> tuple:
 
 def _map_texts(docs: DataFrame, model_path: str, text: str, keep: list[str], added: str, work) -> DataFrame:
     added_names = [part.split(" ")[0] for part in added.split(", ")]
-    keep = [c for c in keep if c not in added_names]
-    inner = "__text"
+    keep = [c for c in keep if c.lower() not in added_names]
+    inner = unused(docs, "__text")
     rows = docs.select(*[docs[c] for c in keep], docs[text].alias(inner))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != inner)
 

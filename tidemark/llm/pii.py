@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import apart, own_name
 from tidemark.llm.spans import by_kind, with_places
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -143,8 +144,10 @@ def find_personal(docs: DataFrame, text: str = "text", base: str = "base_spans",
     A third array ``<spans>_scores`` has the score of each of all spans.
     """
     scores = f"{spans}_scores"
-    kept = [c for c in docs.columns if c not in (base, spans, scores)]
-    df = docs.withColumn("__scan", docs[text])
+    rows, names = apart(docs)
+    given = {base.lower(), spans.lower(), scores.lower()}
+    kept = [F.col(inner).alias(c) for c, inner in names.items() if c.lower() not in given]
+    df = rows.withColumn("__scan", F.col(own_name(names, text)))
     for kind, pattern in PATTERNS.items():
         df = with_places(df, "__scan", f"__{kind}", pattern)
     found = [_scored(number, kind) for number, kind in enumerate(PATTERNS)]
@@ -154,7 +157,7 @@ def find_personal(docs: DataFrame, text: str = "text", base: str = "base_spans",
         F.transform("__found", lambda s: F.struct(s["number"].alias("number"), s["start"].alias("start"), s["score"].alias("score")))
     )
     return df.select(
-        *[F.col(c) for c in kept],
+        *kept,
         by_kind(plain).alias(base),
         by_kind(F.col("__found")).alias(spans),
         F.transform(ranked, lambda s: s["score"]).alias(scores),

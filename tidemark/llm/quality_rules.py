@@ -77,7 +77,7 @@ def text_statistics(text: str | None) -> tuple[int, int, int, int, int, int]:
 def with_statistics(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` of each row, all by default, and the statistics of its text."""
     keep = docs.columns if keep is None else keep
-    keep = [c for c in keep if c not in STATISTICS]
+    keep = [c for c in keep if c.lower() not in STATISTICS]
     inner = unused(docs, "__text")
     rows = docs.select(*[docs[c] for c in keep], docs[text].alias(inner))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]

@@ -3,8 +3,8 @@
 Only built-in column functions. The first three kinds are patterns. The fourth slides a window over
 each candidate run: the counts of its characters change by one in and one out at a step, and with
 them the sum of c * log2(c), so entropy = log2(w) - sum / w needs no second look at the window. A
-candidate belongs to a character class with a threshold of its own. Candidates on the allow-list
-are let off; it never touches the first three kinds.
+candidate belongs to a character class with a threshold of its own. Windows that overlap a piece on the
+allow-list are let off, and so is a run that is one identifier; the first three kinds are never touched.
 
 Defined results: a null text is an empty one and has no secret; a run of letters or of digits alone
 is no candidate; spans of different kinds may overlap.
@@ -17,6 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import apart, own_name
 from tidemark.llm.spans import by_start, kinds, with_places
 
 _ASSIGN_NAME = "[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]"
@@ -35,8 +36,8 @@ CLASSES = [
     ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.8),
 ]
 #: Runs that look random and are not secret (fixed values).
+ALLOWED_RUN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 ALLOWED = [
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)example|sample|dummy|placeholder|changeme|your[_-]",
     r"(?i)0123456789|abcdefghij|1234567890",
     r"(?i)x{6,}|0{8,}|[*]{3,}",
@@ -93,10 +94,31 @@ def _entropies(run: Column) -> Column:
     )
 
 
+def _parts(run: Column) -> Column:
+    """(start, run) of the parts of a cut run that are long enough for a window."""
+    lengths = F.zip_with(run["pieces"], run["parts"], lambda p, q: F.struct(F.char_length(p).alias("before"), q.alias("part")))
+    placed = F.aggregate(
+        lengths,
+        F.struct(run["start"].alias("at"), F.array().cast("array<struct<start:bigint,part:string>>").alias("all")),
+        lambda acc, z: F.struct(
+            (acc["at"] + z["before"] + F.char_length(z["part"])).alias("at"),
+            F.concat(acc["all"], F.array(F.struct((acc["at"] + z["before"]).alias("start"), z["part"].alias("part")))).alias("all"),
+        ),
+        lambda acc: acc["all"],
+    )
+    return F.transform(
+        F.filter(placed, lambda z: F.char_length(z["part"]) >= WINDOW),
+        lambda z: F.struct(
+            z["start"].alias("start"),
+            F.struct(F.transform(F.split(z["part"], ""), lambda c: F.ascii(c)).alias("codes"), run["limit"].alias("limit")).alias("run"),
+        ),
+    )
+
+
 def find_secrets(docs: DataFrame, text: str = "text", base: str = "base_spans", spans: str = "spans") -> DataFrame:
     """Add two arrays of (kind, start, end): those of the patterns, and all; by start, then kind."""
-    taken = docs.columns
-    df = docs.withColumn("__scan", docs[text])
+    rows, names = apart(docs)
+    df = rows.withColumn("__scan", F.col(own_name(names, text)))
     for name, pattern in (("__assign", ASSIGN), ("__access", ACCESS), ("__hex", HEX), ("__run", CANDIDATE)):
         df = with_places(df, "__scan", name, pattern)
     value = lambda m: F.regexp_replace(m["match"], f"^{ASSIGN_HEAD}", "")
@@ -109,19 +131,22 @@ def find_secrets(docs: DataFrame, text: str = "text", base: str = "base_spans",
         "__run",
         lambda m: m["match"].rlike("[0-9]")
         & m["match"].rlike("[A-Za-z]")
-        & ~m["match"].rlike("|".join(f"(?:{a})" for a in ALLOWED)),
+        & ~m["match"].rlike(ALLOWED_RUN),
     )
     limit = lambda m: F.coalesce(*[F.when(m["match"].rlike(p), F.lit(t)) for _, p, t in CLASSES])
-    coded = F.transform(
+    # A run is cut at its allowed pieces; windows that overlap none are those of the parts between.
+    pieces = "|".join(f"(?:{a})" for a in ALLOWED)
+    cut_up = F.transform(
         mixed,
         lambda m: F.struct(
             m["start"].alias("start"),
-            F.struct(
-                F.transform(F.split(m["match"], ""), lambda c: F.ascii(c)).alias("codes"), limit(m).alias("limit")
-            ).alias("run"),
+            limit(m).alias("limit"),
+            F.split(m["match"], pieces, -1).alias("parts"),
+            F.concat(F.array(F.lit("")), F.regexp_extract_all(m["match"], F.lit(pieces), F.lit(0))).alias("pieces"),
         ),
     )
-    df = df.withColumn("__patterns", patterns).withColumn("__coded", coded)
+    coded = F.flatten(F.transform("__cut", _parts))
+    df = df.withColumn("__patterns", patterns).withColumn("__cut", cut_up).withColumn("__coded", coded)
     judged = F.transform(
         "__coded", lambda r: F.struct(r["start"].alias("start"), _entropies(r["run"]).alias("found"))
     )
@@ -135,7 +160,8 @@ def find_secrets(docs: DataFrame, text: str = "text", base: str = "base_spans",
             (r["start"] + r["found"]["high"]).alias("end"),
         ),
     )
-    kept = [F.col(c) for c in taken if c not in (base, spans)]
+    given = {base.lower(), spans.lower()}
+    kept = [F.col(inner).alias(c) for c, inner in names.items() if c.lower() not in given]
     return df.select(*kept, by_start(F.col("__patterns")).alias(base), by_start(F.concat("__patterns", random)).alias(spans))
 
 

@@ -12,7 +12,8 @@ distinct fingerprints; each step is written to the checkpoint folder.
 
 Defined results: a text without words, or null, has fingerprint zero and is linked like any other;
 rows that share a fingerprint are linked; a null id is never the smallest unless it is alone, then
-the component id is null; repeated rows each get their component.
+the component id is null; repeated rows each get their component. Of rows that share id and text with
+the keeper the least by all other columns stays (columns that hold maps can't be ordered and don't count).
 """
 
 from __future__ import annotations
@@ -60,12 +61,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def with_fingerprint(docs: DataFrame, ids: list[str], text: str, name: str, shingle: int = SHINGLE) -> DataFrame:
     """Columns ``ids`` of each row and its fingerprint as a signed long."""
-    rows = docs.select(*[docs[c] for c in ids], docs[text].alias("__text"))
+    inner = unused(docs, "__text")
+    rows = docs.select(*[docs[c] for c in ids], docs[text].alias(inner))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            made = np.array([fingerprint(t, shingle) for t in frame.pop("__text")], dtype=np.uint64)
+            made = np.array([fingerprint(t, shingle) for t in frame.pop(inner)], dtype=np.uint64)
             frame[name] = made.view(np.int64)
             yield frame
 
@@ -244,7 +246,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     own, own_id = unused(docs, "__own"), unused(docs, "__own_id")
     keyed = docs.withColumns({own: text_key(docs[text]), own_id: docs[id_col]})
     rows = keyed.join(stay, keyed[own_id].eqNullSafe(stay["__id"]) & (keyed[own] == stay["__key"]), "left_semi")
-    return rows.dropDuplicates([own_id, own]).select(*[rows[c] for c in docs.columns])
+    # Rows of one id and text: the least by all other columns that can be ordered.
+    others = [f.name for f in rows.schema.fields if f.name not in (own_id, own, id_col, text)]
+    ordered = [f.name for f in rows.schema.fields if f.name in others and "map<" not in f.dataType.simpleString()]
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rank = F.struct(F.lit(0).alias("r"), *[F.col(f"`{c}`") for c in ordered])
+    least = rows.groupBy(own_id, own).agg(F.min_by(whole, rank).alias("row"))
+    return least.select("row.*")
 
 
 def hex_of(fp: Column) -> Column:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped
+from tidemark.llm.common import mapped, unused
 from tidemark.llm.quality_rules import bounded, sample_labelled
 
 SAMPLE = 20_000
@@ -289,14 +289,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
 
 def with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str], text: str) -> DataFrame:
-    rows = docs.select(*[docs[c] for c in keep], docs[text].alias("__text"))
+    inner = unused(docs, "__text")
+    rows = docs.select(*[docs[c] for c in keep], docs[text].alias(inner))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(sent.value)
         for frame in frames:
-            made = [scorer.features(t) for t in frame.pop("__text")]
+            made = [scorer.features(t) for t in frame.pop(inner)]
             for n in range(FEATURES):
                 frame[f"f{n}"] = [m[n] for m in made]
             yield frame
@@ -307,8 +308,9 @@ def with_features(docs: DataFrame, lexicon: dict[str, float], keep: list[str], t
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` of each row and its ``score``."""
     keep = docs.columns if keep is None else keep
-    keep = [c for c in keep if c != "score"]
-    rows = docs.select(*[docs[c] for c in keep], docs[text].alias("__text"))
+    keep = [c for c in keep if c.lower() != "score"]
+    inner = unused(docs, "__text")
+    rows = docs.select(*[docs[c] for c in keep], docs[text].alias(inner))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -316,7 +318,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
         model = sent.value
         scorer = Scorer(model.lexicon)
         for frame in frames:
-            frame["score"] = [model.score(scorer.features(t)) for t in frame.pop("__text")]
+            frame["score"] = [model.score(scorer.features(t)) for t in frame.pop(inner)]
             yield frame
 
     return mapped(rows, run, ", ".join([*kinds, "score double"]))
