@@ -2,9 +2,11 @@
 
 import hashlib
 import html
+import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from oracle import compare, connect
@@ -23,6 +25,31 @@ def test_query_against_sql(spark, folder, name):
     assert compare(spark, connect(folder), Query(name), folder) is None
 
 
+IBANS = [
+    "ES91 2100 0418 4502 0005 1332 EUR", "AT61 1904 3002 3457 3201 A", "BE68539007547034 BANK", "DE89 3704 0044 0532 0130 00 DE89 3704 0044 0532 0130 00",
+    "xDE89370400440532013000", "DE89370400440532013000x", "_DE89370400440532013000_", "ZZ68 5390 0754 7034", "ZZ685390075470341", "QQ00 ABCD EFGH DE89 3704 0044 0532 0130 00",
+    "GB82 WEST 1234 5698 7654 32.", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S", "AA11 DE89 3704 0044 0532 0130 00", "DE89", "GB82WEST 12345698 765432 and FR14 2004 1010 0505 0001 3M02 606!",
+    "account 123-45-6789 ssn", "1123-45-6789 ssn", "123-45-67890 ssn", None, "",
+]
+KEYS = ["q8Zr2Lw9Xc4Vb7Nm1Kj5Hg3Fd6Sa0PoIuYt", "3f9a1c7e5b2d8064af13", "Zk3/9+aQ8_xW=7Lm2-PoR5tYu1Ib", "A1b2C3d4E5f6G7h8I9j0K1l2"]
+SECRETS = [
+    *KEYS, *[f"sample-app/{k}" for k in KEYS], *[f"your_key={k}" for k in KEYS], *[f"{k}Example{k}" for k in KEYS], *[f"{k}xxxxxxx" for k in KEYS],
+    "dummy" + KEYS[0] + "0123456789" + KEYS[2] + "00000000", "123e4567-e89b-12d3-a456-426614174000", f"id=123e4567-e89b-12d3-a456-426614174000 token={KEYS[3]}", None, "",
+]
+
+
+@pytest.mark.parametrize("name, texts", [("op5_pii", IBANS), ("op2_secret_scan", SECRETS)])
+def test_sql_knows_what_the_operator_knows(spark, tmp_path, name, texts):
+    """Texts that the given tables lack, alone and between others."""
+    rng = random.Random(4)
+    rows = texts + [" ".join(rng.choice(texts) or "" for _ in range(4)) for _ in range(60)] + [f"é{t}🙂 {t}" for t in texts]
+    docs = pd.DataFrame({"doc_id": range(len(rows)), "text": rows})
+    docs.to_parquet(tmp_path / "documents.parquet")
+    found = QUERIES[name](spark, str(tmp_path))
+    assert found.filter("spans <> ''").count() > 20
+    assert compare(spark, connect(str(tmp_path)), Query(name), str(tmp_path)) is None
+
+
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 

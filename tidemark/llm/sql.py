@@ -25,6 +25,8 @@ def _places(kind: str, pattern: str) -> str:
 _NAME = "[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]"
 _HEAD = f"""(?:{_NAME})["'']?\\x20*[:=]\\x20*["'']?"""
 
+_PIECES = "(?i)(?:example|sample|dummy|placeholder|changeme|your[_-]|0123456789|abcdefghij|1234567890|x{6,}|0{8,}|[*]{3,})"
+
 SECRETS = rf"""
 WITH d AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text FROM documents),
 found AS ({_places('assign', _HEAD + '[A-Za-z0-9+/_.=-]+')}
@@ -39,9 +41,13 @@ cands AS (
   SELECT doc, m, s, CASE WHEN regexp_full_match(m, '[0-9a-fA-F]+') THEN 3.0
       WHEN regexp_full_match(m, '[A-Za-z0-9]+') THEN 3.6 ELSE 3.8 END AS least
   FROM runs WHERE length(m) >= 20 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')
-    AND NOT regexp_full_match(m, '[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}')
-    AND NOT regexp_matches(m, '(?i)example|sample|dummy|placeholder|changeme|your[_-]|0123456789|abcdefghij|1234567890|x{{6,}}|0{{8,}}|[*]{{3,}}')),
-wins AS (SELECT doc, s, least, o, unnest(string_split(substr(m, o + 1, 20), '')) AS ch FROM cands, unnest(range(0, length(m) - 19)) AS t(o)),
+    AND NOT regexp_full_match(m, '[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}')),
+cut AS (SELECT doc, s, least, string_split_regex(m, '{_PIECES}') AS parts, regexp_extract_all(m, '{_PIECES}') AS pieces FROM cands),
+parts AS (
+  SELECT doc, parts[n] AS m, least, s + coalesce(list_sum(list_transform(parts[1:n-1], lambda x: length(x))), 0)::BIGINT
+    + coalesce(list_sum(list_transform(pieces[1:n-1], lambda x: length(x))), 0)::BIGINT AS s
+  FROM cut, unnest(range(1, len(parts) + 1)) AS t(n) WHERE length(parts[n]) >= 20),
+wins AS (SELECT doc, s, least, o, unnest(string_split(substr(m, o + 1, 20), '')) AS ch FROM parts, unnest(range(0, length(m) - 19)) AS t(o)),
 counts AS (SELECT doc, s, least, o, ch, count(*) AS c FROM wins GROUP BY ALL),
 ent AS (SELECT doc, s, least, o, -sum(c / 20.0 * log2(c / 20.0)) AS h FROM counts GROUP BY ALL),
 rnd AS (SELECT doc, 'entropy' AS kind, s + min(o) AS s, s + max(o) + 20 AS e, 3 AS num FROM ent WHERE round(h, 9) >= least GROUP BY doc, ent.s),
@@ -63,13 +69,38 @@ _CONTEXT = {
     "ssn": "ssn|social|security|taxpayer",
 }
 
+# Registered lengths of account numbers.
+_LENGTHS = (
+    "15 NO,16 BE,18 DK FI FK FO GL NL SD,19 MK SI,20 AT BA EE KZ LT LU MN XK,21 CH HR LI LV,22 BG BH CR DE GB GE IE ME RS VA,"
+    "23 AE GI IL IQ OM SO TL,24 AD CZ ES MD PK RO SA SE SK TN VG,25 LY PT ST,26 IS TR,27 BI DJ FR GR IT MC MR SM,"
+    "28 AL AZ BY CY DO GT HN HU LB NI PL SV,29 BR EG PS QA UA,30 JO KW MU YE,31 MT SC,32 LC,33 RU"
+)
+_BY_LENGTH = [(int(x.split()[0]), x.split()[1:]) for x in _LENGTHS.split(",")]
+_CODES = "|".join(c for _, codes in _BY_LENGTH for c in codes)
+_SIZED = "|".join(
+    f"(?:{'|'.join(codes)})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, codes in _BY_LENGTH
+)
+
 PII = rf"""
-WITH d AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text FROM documents),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text FROM documents),
+heads AS (SELECT doc, i - 1 AS s, substr(text, i, 60) AS rest FROM d, unnest(range(1, length(text) - 13)) AS t(i)
+  WHERE regexp_matches(text, '[A-Z]{{2}}[0-9]{{2}}') AND regexp_full_match(substr(text, i, 4), '[A-Z]{{2}}[0-9]{{2}}')
+    AND (i = 1 OR NOT regexp_full_match(substr(text, i - 1, 1), '[A-Za-z0-9]'))),
+numbers AS (
+  SELECT doc, s, m, row_number() OVER (PARTITION BY doc ORDER BY s) AS n FROM (
+    SELECT doc, s, CASE WHEN regexp_matches(rest, '^(?:{_CODES})') THEN regexp_extract(rest, '^({_SIZED})(?:[^A-Za-z0-9]|$)', 1)
+      ELSE regexp_extract(string_split_regex(rest, ' (?:{_CODES})[0-9]{{2}}')[1], '^([A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?:[^A-Za-z0-9]|$)', 1) END AS m
+    FROM heads) WHERE m <> ''),
+-- One after the other: a number that begins within the one before is none.
+apart AS (
+  SELECT doc, s, m, n, true AS own, s + length(m) AS e FROM numbers WHERE n = 1
+  UNION ALL SELECT x.doc, x.s, x.m, x.n, x.s >= a.e, CASE WHEN x.s >= a.e THEN x.s + length(x.m) ELSE a.e END FROM apart a JOIN numbers x ON x.doc = a.doc AND x.n = a.n + 1),
+ibans AS (SELECT doc, s, m FROM apart WHERE own),
 found AS ({_places('email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+')}
   UNION ALL {_places('ip', '[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+')}
   UNION ALL {_places('card', '[0-9](?:[ -]?[0-9])+')}
   UNION ALL {_places('phone', '[+][0-9][ ().0-9-]+[0-9]')}
-  UNION ALL {_places('iban', '[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?')}
+  UNION ALL SELECT doc, 'iban', m, s, s + length(m) FROM ibans
   UNION ALL {_places('ssn', '[0-9]{3}-[0-9]{2}-[0-9]{4}')}),
 seen AS (SELECT found.*, regexp_replace(m, '[^0-9]', '', 'g') AS digits, replace(m, ' ', '') AS code, substr(d.text, s, 1) AS prior,
     substr(d.text, e + 1, 1) AS next, lower(substr(d.text, greatest(s - 39, 1), least(s, 40)::BIGINT) || ' ' || substr(d.text, e + 1, 40)) AS near
@@ -82,7 +113,7 @@ good AS (
     WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
         CASE WHEN i % 2 = 1 THEN reverse(digits)[i]::INT ELSE (reverse(digits)[i]::INT * 2) - CASE WHEN reverse(digits)[i]::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0
     WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
-    WHEN 'iban' THEN NOT regexp_matches(prior, '[A-Za-z0-9]') AND NOT regexp_matches(next, '[A-Za-z0-9]') AND list_reduce(list_prepend(0::HUGEINT, list_transform(string_split(code[5:] || code[1:4], ''), lambda c:
+    WHEN 'iban' THEN list_reduce(list_prepend(0::HUGEINT, list_transform(string_split(code[5:] || code[1:4], ''), lambda c:
         (CASE WHEN ascii(c) < 58 THEN ascii(c) - 48 ELSE ascii(c) - 55 END)::HUGEINT)), lambda a, v: (CASE WHEN v < 10 THEN a * 10 ELSE a * 100 END + v) % 97) = 1
     ELSE NOT regexp_matches(prior, '[0-9-]') AND NOT regexp_matches(next, '[0-9-]') AND digits[1:3] NOT IN ('000', '666') AND digits[1:1] <> '9'
       AND digits[4:5] <> '00' AND digits[6:9] <> '0000' AND regexp_matches(near, '{_CONTEXT['ssn']}') END)
