@@ -212,6 +212,17 @@ def test_license_forms(spark):
     assert got[22].license is None and got[2].digest is None
 
 
+def test_documents_are_brought_to_their_form_once(spark, folder, monkeypatch):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.union(docs.limit(20))
+    usual = license_scan.find_licenses(docs, license_scan.known_texts(spark))
+    assert usual._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2  # one for each side of the union
+    monkeypatch.setattr(license_scan, "BROADCAST_BYTES", 0)
+    by_shuffle = license_scan.find_licenses(docs, license_scan.known_texts(spark))
+    found = [sorted((tuple(r) for r in d.collect()), key=repr) for d in (usual, by_shuffle)]
+    assert found[0] == found[1] and len(found[0]) == docs.count()
+
+
 def test_licenses_at_any_width(spark):
     """A line of prose that begins with 'copyright' or '(c)' is no copyright statement."""
     statements = ["", "Copyright (c) 2020 Some One", "(c) 2020 Some One", "© Some One", "COPYRIGHT 2019, 2020 SOME ONE", "Copyright by Some One",

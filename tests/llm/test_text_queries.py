@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import textwrap
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ import xxhash
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from tidemark.llm.license_scan import known_rows
 from tidemark.llm.queries import QUERIES, SQL
 
 
@@ -38,15 +40,30 @@ SECRETS = [
 ]
 
 
-@pytest.mark.parametrize("name, texts", [("op5_pii", IBANS), ("op2_secret_scan", SECRETS)])
-def test_sql_knows_what_the_operator_knows(spark, tmp_path, name, texts):
+def license_documents():
+    """Whole licences at several widths, parts of them, and lines that are statements or only look like one."""
+    rng, rows = random.Random(6), []
+    heads = ["", "Copyright (c) 2020 Some One", "# Copyright Some One", "Copyright Notice", "copyright holders of this", "(C) Acme Inc", "© 2020", "All rights reserved."]
+    known = dict(known_rows())
+    for name, text in sorted(known.items()):
+        rows += [text, f"{rng.choice(heads)}\n{text}", text[: len(text) // 2]]
+        for width in (60, 80):
+            rows.append("\n \n".join(textwrap.fill(part, width) for part in re.split(r"\n\s*\n", text)))
+        parts = re.split(r"\n\s*\n", text)
+        rows += ["Some words.\n\n" + "\n \r\n".join(rng.sample(parts, min(3, len(parts)))) + "\n\nMore words\non lines", "\n".join(f" * {x}" for x in text.split("\n")[:90])]
+    return rows + heads + ["Sub\nlicense", "#\n#\n", "\n\n", None, ""]
+
+
+@pytest.mark.parametrize(
+    "name, texts, found", [("op5_pii", IBANS, "spans <> ''"), ("op2_secret_scan", SECRETS, "spans <> ''"), ("op4_license_scan", license_documents(), "n_lines > 0")]
+)
+def test_sql_knows_what_the_operator_knows(spark, tmp_path, name, texts, found):
     """Texts that the given tables lack, alone and between others."""
     rng = random.Random(4)
     rows = texts + [" ".join(rng.choice(texts) or "" for _ in range(4)) for _ in range(60)] + [f"é{t}🙂 {t}" for t in texts]
     docs = pd.DataFrame({"doc_id": range(len(rows)), "text": rows})
     docs.to_parquet(tmp_path / "documents.parquet")
-    found = QUERIES[name](spark, str(tmp_path))
-    assert found.filter("spans <> ''").count() > 20
+    assert QUERIES[name](spark, str(tmp_path)).filter(found).count() > 20
     assert compare(spark, connect(str(tmp_path)), Query(name), str(tmp_path)) is None
 
 

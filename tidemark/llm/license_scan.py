@@ -6,7 +6,8 @@ those of known texts. The same is done for each line of a document and each para
 to a blank one, so a notice within a document is found as well. A paragraph of a known text stands
 for it there if it has ``LEAST_WORDS`` words and no other licence has it. The known texts are those of
 ``KNOWN`` and of the folder ``licenses`` (by SPDX name) with their usual variants, or a table of the
-caller's; a table is broadcast only by Spark's own size limit.
+caller's; its digests are broadcast up to ``BROADCAST_BYTES``, a larger table is joined by shuffle.
+Documents are read and brought to their form once.
 
 Defined results: a null text is an empty one; an empty canonical text matches nothing; of known
 texts with one canonical form, the smallest name counts.
@@ -20,7 +21,7 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, text_key
+from tidemark.llm.common import ascii_lower, cut, text_key
 
 _LEAD = r"^[\x20\x09\x0D*#/;-]*"
 _SIGN = r"(?:\(c\)|©|&copy;)"
@@ -34,6 +35,8 @@ NAMED = (
 )
 #: A paragraph of so many words that only one licence has stands for it.
 LEAST_WORDS = 25
+#: The most the known digests may take, in bytes, to be sent to all executors.
+BROADCAST_BYTES = 32 << 20
 # Lines with nothing but comment signs are blank.
 BLANK = r"\n[\x20\x09\x0B-\x0D*#/;-]*(?=\n)"
 MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—•©]+"
@@ -147,6 +150,19 @@ def paragraph_digests(texts: DataFrame) -> DataFrame:
     return found.filter("license = last").select("digest", "license")
 
 
+def _lookup(known: DataFrame) -> DataFrame:
+    """(digest, license, whole_license): what a line or paragraph says, and what a whole text does."""
+    digests = known_digests(known).withColumn("whole", F.lit(True))
+    parts = paragraph_digests(known).withColumn("whole", F.lit(False))
+    table = digests.unionByName(parts).groupBy("digest").agg(
+        F.min("license").alias("license"), F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_license")
+    )
+    table = cut(table)
+    names = F.octet_length("license") + F.coalesce(F.octet_length("whole_license"), F.lit(0))
+    size = table.agg(F.sum(F.octet_length("digest") + names + 64)).first()[0] or 0
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+
 def _variants(text: str) -> set[str]:
     """A full text, without what follows its terms, each without its title, each without list numbers."""
     out = {text, re.split(r"END OF TERMS AND CONDITIONS", text)[0]}
@@ -160,7 +176,8 @@ def _variants(text: str) -> set[str]:
     return {t for t in out if len(t.split()) >= LEAST_WORDS}
 
 
-def known_texts(spark: SparkSession) -> DataFrame:
+def known_rows() -> list[tuple[str, str]]:
+    """(licence, text) of every known text and its variants."""
     rows = set(KNOWN)
     for name, text in KNOWN:
         rows |= {(name, t) for t in _variants(text)}
@@ -168,7 +185,11 @@ def known_texts(spark: SparkSession) -> DataFrame:
         if file.name.endswith(".txt"):
             name = file.name.removesuffix(".txt").split("__")[0]
             rows |= {(name, t) for t in _variants(file.read_text(encoding="utf-8"))}
-    return spark.createDataFrame(sorted(rows), "license string, text string")
+    return sorted(rows)
+
+
+def known_texts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(known_rows(), "license string, text string")
 
 
 def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -180,8 +201,6 @@ def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     """
     rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), _paragraphs(docs[text]).alias("parts"))
     rows = rows.withColumn("lines", F.flatten("parts"))
-    digests = known_digests(known)
-    units = digests.union(paragraph_digests(known)).groupBy("digest").agg(F.min("license").alias("license"))
     whole = _joined(F.col("lines"))
     rows = rows.withColumn("digest", F.when(whole != "", _digest(whole)))
     # A line is (place, 1, digest); a paragraph of several lines is (place of the first, lines, digest).
@@ -200,20 +219,23 @@ def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
         ),
         lambda acc: acc["all"],
     )
-    spots = rows.select("id", "key", F.explode(F.concat(lines, parts)).alias("spot")).select("id", "key", "spot.*")
+    # The whole text is one more spot, of no lines; it stays without a match too, so no row is lost.
+    own = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("size"), F.col("digest")))
+    spots = rows.select("id", "key", F.explode(F.concat(own, lines, parts)).alias("spot")).select("id", "key", "spot.*")
+    met = spots.join(_lookup(known), "digest", "left")
+    is_whole, is_unit = F.col("at") < 0, (F.col("at") >= 0) & F.col("license").isNotNull()
     found = (
-        spots.join(units, "digest")
-        .select("id", "key", "license", F.explode(F.expr("sequence(at, at + size - 1)")).alias("at"))
+        met.filter(is_whole | is_unit)
         .groupBy("id", "key")
-        .agg(F.count_distinct("at").alias("n_lines"), F.array_sort(F.collect_set("license")).alias("line_licenses"))
-        .withColumnsRenamed({"id": "__id", "key": "__key"})
-    )
-    out = rows.select("id", "key", "digest").join(digests, "digest", "left")
-    out = out.join(found, out["id"].eqNullSafe(found["__id"]) & (out["key"] == found["__key"]), "left")
-    return out.select(
-        "id",
-        "digest",
-        "license",
-        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("line_licenses", F.array().cast("array<string>")).alias("line_licenses"),
+        .agg(
+            F.max(F.when(is_whole, F.col("digest"))).alias("digest"),
+            F.max(F.when(is_whole, F.col("whole_license"))).alias("license"),
+            F.count_if(is_whole).cast("int").alias("copies"),
+            F.collect_set(F.when(is_unit, F.struct("at", "size"))).alias("spots"),
+            F.array_sort(F.collect_set(F.when(is_unit, F.col("license")))).alias("line_licenses"),
+        )
     )
+    places = F.array_distinct(F.flatten(F.transform("spots", lambda s: F.sequence(s["at"], s["at"] + s["size"] - 1))))
+    # Rows of equal id and text get equal results.
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return found.select("id", "digest", "license", F.size(places).cast("long").alias("n_lines"), "line_licenses")

@@ -1,12 +1,12 @@
 """SQL counterparts of the text queries, for DuckDB over whole tables.
 
-They share no code with the operators: patterns are those of the contracts, places come from running
-sums over the texts between matches.
+They share fixed values with the operators (known licence texts, equal spellings) and no other code:
+patterns are those of the contracts, places come from running sums over the texts between matches.
 """
 
 from __future__ import annotations
 
-from tidemark.llm.license_scan import EQUAL, KNOWN
+from tidemark.llm.license_scan import EQUAL, known_rows
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -144,35 +144,65 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (doc) LEFT JOIN items USING (doc)"""
 
 
-def _canonical(line: str) -> str:
-    form = f"trim(regexp_replace({line}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F“”‘’–—•©]+', ' ', 'g'))"
-    for other, usual in EQUAL:
+_LEAD = r"^[\x20\x09\x0D*#/;-]*"
+_OF_LAW = (
+    "Notices?|Licen[cs]es?|Holders?|Owners?|Laws?|Acts?|Statements?|Rights?|Treat(?:y|ies)|Interests?|Protection|Infringement|Information|"
+    "Permissions?|Status|Office|Conventions?|Grants?|Terms|And|Or|In|On|Of|To|Is"
+)
+
+
+def _spelt(form: str, pairs: list[tuple[str, str]]) -> str:
+    for other, usual in pairs:
         form = f"replace({form}, '{other}', '{usual}')"
     return form
 
 
-def _lines(source: str) -> str:
-    lines = f"string_split({_LOWER}, chr(10))"
-    kept = f"list_filter({lines}, lambda x: NOT regexp_matches(x, '^[\\x20\\x09\\x0D*#/;-]*(?:copyright|\\(c\\)|©|all rights reserved)'))"
-    return f"list_filter(list_transform({kept}, lambda x: {_canonical('x')}), lambda x: x <> '')"
+def _line_forms(texts: str, ids: str) -> str:
+    """(ids, part, ln, form): canonical lines of a table of texts, numbered, with the number of their paragraph."""
+    stated = (
+        rf"regexp_matches(low, '{_LEAD}(?:copyright[\x20\x09]*(?:\(c\)|©|&copy;|[:,]?[\x20\x09]*(?:[0-9]{{4}}|by[\x20\x09]|[<\[{{]|year|yyyy|name of|holder name))"
+        rf"|\(c\)[\x20\x09]*(?:copyright|[0-9]{{4}}|by[\x20\x09]|[<\[{{])|©|&copy;|all rights reserved)')"
+        rf" OR (regexp_matches(line, '{_LEAD}(?:Copyright|\(C\))[\x20\x09]+[A-Z][^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[a-z]')"
+        rf" AND NOT regexp_matches(line, '{_LEAD}(?:Copyright|\(C\))[\x20\x09]+(?:{_OF_LAW})\b'))"
+    )
+    marks = r"[\x00-\x2F\x3A-\x60\x7B-\x7F“”‘’–—•©]+"
+    return rf"""
+  SELECT {ids}, part, row_number() OVER (PARTITION BY {ids} ORDER BY n) - 1 AS ln, form FROM (
+    SELECT {ids}, n, part, {_spelt(f"trim(regexp_replace(low, '{marks}', ' ', 'g'))", EQUAL)} AS form FROM (
+      SELECT {ids}, n, line, translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+        sum(CASE WHEN regexp_full_match(line, '[\x20\x09\x0B-\x0D*#/;-]*') THEN 1 ELSE 0 END) OVER (PARTITION BY {ids} ORDER BY n) AS part
+      FROM (SELECT {ids}, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM {texts}))
+    WHERE NOT ({stated})) WHERE form <> ''"""
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN)
+_KNOWN = ",\n".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in known_rows())
+_TWO_WORDS = [e for e in EQUAL if " " in e[0]]
+_WHOLE = _spelt("string_agg(form, ' ' ORDER BY ln)", _TWO_WORDS)
 
 LICENSES = rf"""
-WITH known AS (
-  SELECT sha256(form) AS digest, min(license) AS license FROM (
-    SELECT license, array_to_string({_lines('t')}, ' ') AS form FROM (VALUES {_KNOWN}) AS t(license, text)) WHERE form <> '' GROUP BY 1),
-d AS (SELECT row_number() OVER () AS doc, doc_id, {_lines('d')} AS lines FROM documents),
-found AS (SELECT doc, count(*) AS n_lines, array_to_string(list_sort(list_distinct(list(license))), ',') AS line_licenses
-  FROM (SELECT doc, sha256(unnest(lines)) AS digest FROM d) JOIN known USING (digest) GROUP BY doc),
-whole AS (SELECT doc, doc_id, CASE WHEN len(lines) > 0 THEN sha256(array_to_string(lines, ' ')) END AS digest FROM d)
+WITH k AS (SELECT row_number() OVER () AS t, license, text FROM (VALUES {_KNOWN}) AS v(license, text)),
+kl AS ({_line_forms('k', 't')}),
+digests AS (SELECT sha256(form) AS digest, min(license) AS license FROM (SELECT t, {_WHOLE} AS form FROM kl GROUP BY t) JOIN k USING (t) GROUP BY 1),
+notices AS (
+  SELECT digest, min(license) AS license FROM (
+    SELECT sha256(form) AS digest, license FROM (SELECT t, part, {_WHOLE} AS form FROM kl GROUP BY t, part) JOIN k USING (t) WHERE len(string_split(form, ' ')) >= 25)
+  GROUP BY digest HAVING count(DISTINCT license) = 1),
+units AS (SELECT digest, min(license) AS license FROM (SELECT * FROM digests UNION ALL SELECT * FROM notices) GROUP BY digest),
+d AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text FROM documents),
+dl AS ({_line_forms('d', 'doc')}),
+spots AS (
+  SELECT doc, ln, 1 AS size, sha256(form) AS digest FROM dl
+  UNION ALL SELECT doc, min(ln), count(*), sha256({_WHOLE}) FROM dl GROUP BY doc, part HAVING count(*) > 1),
+found AS (
+  SELECT doc, count(DISTINCT place) AS n_lines, array_to_string(list_sort(list_distinct(list(license))), ',') AS line_licenses
+  FROM (SELECT doc, license, unnest(range(ln, ln + size)) AS place FROM spots JOIN units USING (digest)) GROUP BY doc),
+whole AS (SELECT doc, sha256({_WHOLE}) AS digest FROM dl GROUP BY doc)
 SELECT doc_id, digest, license, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(line_licenses, '') AS line_licenses
-FROM whole LEFT JOIN known USING (digest) LEFT JOIN found USING (doc)"""
+FROM d LEFT JOIN whole USING (doc) LEFT JOIN digests USING (digest) LEFT JOIN found USING (doc)"""
 
 SUBSTRINGS = r"""
 WITH d AS (SELECT row_number() OVER () AS doc, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents),
