@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, unused
+from tidemark.llm.common import cut, mapped, unused
 
 #: Documents of each language that are learned from, about.
 SAMPLE = 4000
@@ -205,7 +205,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     names = spark.createDataFrame([(n, name, sizes[name]) for n, name in enumerate(languages)], "code int, lang string, n long")
     rows = rows.join(F.broadcast(names), "lang")
     drawn = F.pmod(F.xxhash64("id", "text", "lang"), F.lit(1 << 30)) * F.col("n") < F.lit(bound << 30)
-    sample = rows.filter(drawn).select("code", "id", "text").dropDuplicates()
+    # Written once: it is asked for its size and for its n-grams, and holds few rows.
+    sample = cut(rows.filter(drawn).select("code", "id", "text").dropDuplicates())
     docs_of = Window.partitionBy("gram")
     sampled = sample.groupBy("code").agg(F.count("*").alias("sampled"))
     counted = _count(sample).join(F.broadcast(sampled), "code")
