@@ -390,6 +390,22 @@ def test_substrings_against_all_windows(spark, monkeypatch, hot):
     assert got == plain_dedup(rows, 8)
 
 
+@pytest.mark.parametrize("kind", ["string", "int", "date", "timestamp_ntz"])
+def test_substrings_with_ids_of_any_order(spark, kind):
+    rng = random.Random(11)
+    rows = [(n, " ".join(rng.choice("abc") for _ in range(60))) for n in range(30)]
+    made = {"date": "date_add(date'2024-01-01', n)", "timestamp_ntz": "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, n)"}
+    docs = spark.createDataFrame(rows, "n int, text string").selectExpr(f"{made.get(kind, f'cast(n as {kind})')} AS doc_id", "text", "n")
+    order = [r.n for r in docs.orderBy("doc_id").collect()]
+    docs = docs.selectExpr(f"if(n = {order[-1]}, null, doc_id) AS doc_id", "text", "n")
+    got = {r.id: (r.n_words, r.n_removed, r.kept) for r in substring_dedup.dedup(docs, length=8, seed_words=3).collect()}
+    ids = {r.n: r.doc_id for r in docs.collect()}
+    expected = plain_dedup([(place, dict(rows)[n]) for place, n in enumerate(order)], 8)
+    assert got == {ids[n]: expected[place] for place, n in enumerate(order)}
+    with pytest.raises(TypeError):
+        substring_dedup.dedup(docs.selectExpr("cast(n as double) AS doc_id", "text"))
+
+
 def test_substring_edges(spark):
     rows = substring_dedup.dedup(table(spark, *ODD)).collect()
     assert len(rows) == len(ODD)

@@ -22,7 +22,8 @@ streamed to the shards that can match:
 
 Defined results: a null text has no words; null ids come last in order; rows with equal id and text
 count as one document, so repeated rows get the same result; rows with equal id and different texts
-are ordered by place, then by a hash of the text.
+are ordered by place, then by a hash of the text. Ids may be whole numbers, texts, dates or times;
+ids of another type raise a TypeError.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import LAST_ID, mapped, text_key
 
@@ -190,7 +192,7 @@ def _stretch_rows(rows: DataFrame, length: int, seed_words: int) -> DataFrame:
     found = mapped(
         rows.select("doc", "key", "text", "picks"),
         run,
-        "seed long, doc long, key long, start int, size int, part binary",
+        f"seed long, doc {rows.schema['doc'].dataType.simpleString()}, key long, start int, size int, part binary",
     )
     return found.withColumn("part_key", F.xxhash64("part"))
 
@@ -227,9 +229,8 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
         if rest is not None:
             yield found(rest)
 
-    return mapped(
-        dealt, run, "seed long, doc long, key long, start int, part_key long, low int, high int"
-    )
+    kind = rows.schema["doc"].dataType.simpleString()
+    return mapped(dealt, run, f"seed long, doc {kind}, key long, start int, part_key long, low int, high int")
 
 
 def removed_ranges(rows: DataFrame, dealt: DataFrame, length: int = LENGTH, seed_words: int = SEED_WORDS) -> DataFrame:
@@ -275,11 +276,24 @@ def removed_ranges(rows: DataFrame, dealt: DataFrame, length: int = LENGTH, seed
     return cold.union(again)
 
 
+def _ordered(id_: Column, kind: T.DataType) -> Column:
+    """A value that is ordered as the ids are, null last, and never null itself."""
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.concat(F.lit("0"), id_), F.lit("1"))
+    if isinstance(kind, T.DateType):
+        id_ = F.unix_date(id_)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        id_ = F.unix_micros(id_.cast("timestamp"))
+    elif not isinstance(kind, T.IntegralType):
+        raise TypeError(f"ids of type {kind.simpleString()} are not supported: whole numbers, texts, dates or times are")
+    return F.coalesce(id_.cast("long"), F.lit(LAST_ID))
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, seed_words: int = SEED_WORDS, digest: bool = False) -> DataFrame:
     """(id, n_words, n_removed, kept): the kept words joined by one space, or their SHA-256."""
     rows = docs.select(
         docs[id_col].alias("id"),
-        F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)).alias("doc"),
+        _ordered(docs[id_col], docs.schema[id_col].dataType).alias("doc"),
         text_key(docs[text]).alias("key"),
         docs[text].alias("text"),
     )
