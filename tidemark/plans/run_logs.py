@@ -257,13 +257,17 @@ def log_facts(logs: DataFrame, batch: str, text: str, order: Sequence[str] = ())
     def fact(kind: str, name: Column, n: Column = none) -> Column:
         return F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"), n.cast("bigint").alias("n"))
 
-    metrics = [fact("metric", F.lit(name), _largest(body, p)) for name, p in TEXT_METRICS.items()]
+    # What a pattern needs in any case spares most texts the search.
+    low = F.lower(body)
+    needs = {name: low.contains("finished insert of" if name == "rows_inserted" else "record") for name in TEXT_METRICS}
+    metrics = [fact("metric", F.lit(name), F.when(needs[name], _largest(body, p))) for name, p in TEXT_METRICS.items()]
+    reported = F.when(low.contains("record"), F.transform(_reported(body), lambda h: fact("stream", h["stream_name"], h["row_count"])))
     place = [F.coalesce(F.lpad(F.col(c).cast("string"), 40, " "), F.lit("~")) for c in order]
     streams = text_streams(body)
     held = F.when(streams.isNotNull(), F.concat(*place, F.lit("\n"), streams))
     facts = F.concat(
         F.filter(F.array(*metrics), lambda f: f["n"].isNotNull()),
-        F.transform(_reported(body), lambda h: fact("stream", h["stream_name"], h["row_count"])),
+        F.coalesce(reported, F.array().cast("array<struct<kind:string,name:string,n:bigint>>")),
         F.array(fact("object", held)),
     )
     rows = logs.select(batch, F.explode(facts).alias("fact")).select(batch, "fact.*")

@@ -31,10 +31,10 @@ def q_accepted_range_exclusive(t: Tables) -> DataFrame:
 @query(
     "q_at_least_one",
     """SELECT user_id, count(big) AS filler_column FROM (
-  SELECT user_id, CASE WHEN value > 60 THEN value END AS big FROM events) GROUP BY user_id HAVING count(big) = 0""",
+  SELECT user_id, CASE WHEN value > 180 THEN value END AS big FROM events) GROUP BY user_id HAVING count(big) = 0""",
 )
 def q_at_least_one(t: Tables) -> DataFrame:
-    rows = t.events.select("user_id", F.when(F.col("value") > 60, F.col("value")).alias("big"))
+    rows = t.events.select("user_id", F.when(F.col("value") > 180, F.col("value")).alias("big"))
     return C.at_least_one(rows, "big", ["user_id"])
 
 
@@ -236,11 +236,11 @@ def q_not_empty_string(t: Tables) -> DataFrame:
     """SELECT event_type, not_null_proportion FROM (
   SELECT event_type, CAST(sum(CASE WHEN v IS NULL THEN 0 ELSE 1 END) AS DOUBLE) / count(*) AS not_null_proportion
   FROM (SELECT event_type, CASE WHEN value > 10 THEN value END AS v FROM events) GROUP BY event_type)
-WHERE not_null_proportion < 0.61 OR not_null_proportion > 1""",
+WHERE not_null_proportion < 0.8195 OR not_null_proportion > 1""",
 )
 def q_not_null_proportion(t: Tables) -> DataFrame:
     rows = t.events.select("event_type", F.when(F.col("value") > 10, F.col("value")).alias("v"))
-    return C.not_null_proportion(rows, "v", 0.61, group=["event_type"])
+    return C.not_null_proportion(rows, "v", 0.8195, group=["event_type"])
 
 
 @query(
