@@ -467,6 +467,60 @@ def test_rules_are_ordered_conditions(spark):
     assert rows.filter(F.col("kept") != (F.col("quality") == 1)).count() == 0
 
 
+# -- clauses ----------------------------------------------------------------------------------
+
+
+def plain_clauses(text, words, stems):
+    """Clause scores by looking back from each match, without any machine."""
+    tokens, found, now, last = text.lower().split(), [], 0.0, {}
+    for n, token in enumerate(tokens):
+        word = token.strip(toxicity._MARKS)
+        weight = max([words.get(word, 0.0)] + [stems.get(word[:k], 0.0) for k in toxicity.STEMS if len(word) >= k])
+        if not weight and word in toxicity.THREATS:
+            weight = 1.0
+        if weight:
+            for names, reach, factor in (("target", 4, 1.5), ("negation", 3, 0.4), ("report", 6, 0.6)):
+                if n - last.get(names, -99) <= reach:
+                    weight *= factor
+            now += weight
+        else:
+            for names, group in (("target", toxicity.TARGETS), ("negation", toxicity.NEGATIONS), ("report", toxicity.REPORTS)):
+                if word in group:
+                    last[names] = n
+                    break
+        if token[-1] in toxicity._ENDS:
+            found += [now] if now else []
+            now, last = 0.0, {}
+    return len(tokens), found + ([now] if now else [])
+
+
+def test_clause_scores_against_looking_back():
+    rng = random.Random(12)
+    lexicon = {"=idiot": 2.0, "^moro": 1.5, "^idio": 0.5, "=scum": 3.0}
+    words, stems = {"idiot": 2.0, "scum": 3.0}, {"moro": 1.5, "idio": 0.5}
+    vocabulary = ["idiot", "idiotic", "moron", "Scum", "kill", "you", "not", "said", "the", "a", "tree", "never", "claimed", "your", "töten", "é"]
+    scorer = toxicity.Scorer(lexicon)
+    for _ in range(500):
+        text = " ".join(rng.choice(vocabulary) + rng.choice(["", "", "", ",", ".", "!", "?", ";"]) for _ in range(rng.randrange(40)))
+        size, found = scorer.clauses(text)
+        expected = plain_clauses(text, words, stems)
+        assert size == expected[0] and found == pytest.approx(expected[1]), text
+
+
+def test_scores_are_those_of_the_plain_features(spark, folder):
+    """The whole table, from texts to scores, without machine, batches or broadcast."""
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    words = {w[1:]: v for w, v in model.lexicon.items() if w[0] == "="}
+    stems = {w[1:]: v for w, v in model.lexicon.items() if w[0] == "^"}
+    for row in toxicity.score(docs, model).select("text", "score").collect():
+        size, found = plain_clauses(row.text or "", words, stems)
+        total = sum(found)
+        features = [np.log1p(total), np.log1p(len(found)), max(found, default=0.0), np.log1p(100 * total / size) if size else 0.0, np.log1p(size)]
+        z = sum(w * (f - m) / d for w, f, m, d in zip(model.weights, features, model.middle, model.spread)) + (model.weights[-1] if model.weights else 0)
+        assert row.score == pytest.approx(1 / (1 + np.exp(-z)) if model.weights else 0.0, abs=1e-9)
+
+
 # -- pages ------------------------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ import xxhash
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from tidemark.llm import quality_rules
 from tidemark.llm.license_scan import known_rows
 from tidemark.llm.queries import QUERIES, SQL
 
@@ -108,6 +109,15 @@ def test_quality_rules_hold_on_labels(spark):
     assert (judged.kept == (judged.quality == 1)).mean() > 0.98
 
 
+def test_quality_rules_hold_on_labels_they_have_not_seen(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    seen = quality_rules.judge(docs, labels.filter("doc_id % 2 = 0"), keep=["doc_id"])
+    rest = seen.filter("not base_failed").join(labels.filter("doc_id % 2 = 1 AND quality IS NOT NULL"), "doc_id")
+    n, right = rest.selectExpr("count(*)", "count_if(kept = (quality = 1))").first()
+    assert n > 1000 and right > 0.98 * n
+
+
 def test_sentencepiece_against_the_library(spark, folder, docs):
     import public_tokenizers
     import sentencepiece
