@@ -104,5 +104,5 @@ def number_after(text: Column, *labels: str) -> Column:
 
 
 def rounded(column: Column, digits: int) -> Column:
-    """Rounded decimal form used when numbers are compared."""
+    """Rounded decimal form used when numbers are compared; ten decimals of a number count."""
     return F.round(column.cast("decimal(28,10)"), digits)

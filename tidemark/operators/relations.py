@@ -217,7 +217,7 @@ def boundaries_between(part: str, start: Column, end: Column) -> Column:
 def date_spine(
     spark: SparkSession, part: str, start: date | datetime, end: date | datetime
 ) -> DataFrame:
-    """One row per ``part`` from ``start`` up to, and without, ``end``."""
+    """One row per ``part`` from ``start`` up to, and without, ``end``; at most 2^31 - 1 parts."""
     kind = "timestamp_ntz" if isinstance(start, datetime) else "date"
     first, last = (F.lit(v).cast("timestamp_ntz") for v in (start, end))
     span = spark.range(1).select(boundaries_between(part, first, last)).first()[0]
