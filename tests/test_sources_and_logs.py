@@ -191,8 +191,13 @@ def test_sync_payload_spellings(spark):
             ]
         }
     }
-    payloads = frame(spark, "batch string, payload string", ("w", json.dumps(wrapped)), ("e", "{}"))
+    loose = "\n\t " + json.dumps({"job": {"recordsSynced": "12", "attempts": [7, None, {"status": " Failed "}]}}, indent=2)
+    payloads = frame(
+        spark, "batch string, payload string", ("w", json.dumps(wrapped)), ("e", "{}"), ("l", loose), ("n", None), ("b", "[1]"),
+    )
     rows = {r["batch"]: r for r in L.payload_stats(payloads, "batch", "payload").collect()}
+    assert rows["l"]["rows_synced"] == 12 and len(rows) == 5
+    assert rows["n"]["rows_synced"] is None and rows["b"]["has_totals"] is False
     assert rows["w"]["stream_stats_summary"] == "a=2, c=5"
     assert rows["w"]["rows_stream_stats_total"] == 14 and not rows["w"]["has_totals"]
     assert rows["e"]["stream_stats_summary"] is None and rows["e"]["rows_stream_stats_total"] is None

@@ -395,7 +395,8 @@ def payload_stats(payloads: DataFrame, batch: str, payload: str) -> DataFrame:
     object itself or in its totals; streams may be a list, one stream or a map by name, with
     the metrics in their stats or beside them; names come in two spellings.
     """
-    rows = payloads.select(F.col(batch), _parsed(F.col(payload)).alias("__top"))
+    text = F.regexp_replace(payload, r"^\s+", "")
+    rows = payloads.select(F.col(batch), _parsed(text).alias("__top"))
     rows = rows.withColumn("__job", F.coalesce(_parsed(F.col("__top.job")), F.col("__top")))
     rows = rows.withColumn("__attempts", F.transform(_objects(F.col("__job.attempts")), _parsed))
     attempts = F.col("__attempts")
