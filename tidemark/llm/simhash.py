@@ -242,17 +242,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = MAX_BITS) -> DataFrame:
     """One row of each component, with the columns of ``docs``."""
     found = near_duplicates(docs, id_col, text, shingle, radius)
-    stay = found.select(F.col("keeper.id").alias("__id"), F.col("keeper.text_key").alias("__key")).distinct()
+    kept = F.col("id").eqNullSafe(F.col("keeper.id")) & (F.col("text_key") == F.col("keeper.text_key"))
+    stay = found.filter(kept).groupBy("id", "text_key").agg((F.count("*") > 1).alias("__many"))
+    stay = cut(stay.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), "__many"))
     own, own_id = unused(docs, "__own"), unused(docs, "__own_id")
     keyed = docs.withColumns({own: text_key(docs[text]), own_id: docs[id_col]})
-    rows = keyed.join(stay, keyed[own_id].eqNullSafe(stay["__id"]) & (keyed[own] == stay["__key"]), "left_semi")
-    # Rows of one id and text: the least by all other columns that can be ordered.
+
+    def those(many: bool) -> DataFrame:
+        of = stay.filter(F.col("__many") == many)
+        return keyed.join(of, keyed[own_id].eqNullSafe(of["__id"]) & (keyed[own] == of["__key"]), "left_semi")
+
+    # Only rows that share id and text are compared: the least by all other columns that can be ordered.
+    rows = those(True)
     others = [f.name for f in rows.schema.fields if f.name not in (own_id, own, id_col, text)]
     ordered = [f.name for f in rows.schema.fields if f.name in others and "map<" not in f.dataType.simpleString()]
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rank = F.struct(F.lit(0).alias("r"), *[F.col(f"`{c}`") for c in ordered])
-    least = rows.groupBy(own_id, own).agg(F.min_by(whole, rank).alias("row"))
-    return least.select("row.*")
+    least = rows.groupBy(own_id, own).agg(F.min_by(whole, rank).alias("row")).select("row.*")
+    return those(False).select(*[keyed[c] for c in docs.columns]).union(least)
 
 
 def hex_of(fp: Column) -> Column:
