@@ -166,14 +166,17 @@ def test_decontamination_edges(spark):
     assert cleaned[11] == "the -" and cleaned[12] == "alpha beta gamma delta" and cleaned[2] is None
 
 
-@pytest.mark.parametrize("bounds", [{"BROADCAST_BYTES": 0}, {"PROBED": 0}, {"BROADCAST_BYTES": 0, "PROBED": 0}])
+@pytest.mark.parametrize("bounds", [{"BROADCAST_BYTES": 0}, {"PROBED": 0}, {"BROADCAST_BYTES": 0, "PROBED": 0}, {"LISTED": 0}])
 def test_decontamination_beyond_the_bounds_is_the_same(spark, folder, monkeypatch, bounds):
     docs, bench = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     docs, bench = docs.union(docs.limit(30)), bench.union(spark.createDataFrame([(None, "the of"), (900, "the")], bench.schema))
 
     def found():
         rows = decontaminate.contamination(docs, bench).select("id", "key", "n_words", "n_hit", F.array_join("items", ",").alias("items"))
-        return sorted(map(tuple, rows.collect()))
+        rows = sorted(map(tuple, rows.collect()))
+        kept = sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect())
+        assert kept == sorted(r[0] for r in rows if r[3] == 0)
+        return rows
 
     usual = found()
     assert sum(r[3] > 0 for r in usual) > 20
@@ -182,6 +185,12 @@ def test_decontamination_beyond_the_bounds_is_the_same(spark, folder, monkeypatc
     assert usual == found()
 
 
+def test_dropping_shuffles_no_text(spark, folder):
+    docs, bench = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    plan = decontaminate.drop_contaminated(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_only_windows_in_the_set_are_spelt(spark):
     """A window whose ends are known but whose middle is not never becomes text."""
     bench = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, cut, text_key, unused
+from tidemark.llm.common import apart, ascii_lower, cut, own_name, text_key, unused
 
 WINDOW = 10
 #: What stands between words: ASCII other than letters and digits.
@@ -33,6 +33,8 @@ WORD = r"[0-9A-Za-z\u0080-\x{10FFFF}]+"
 BROADCAST_BYTES = 32 << 20
 #: The most windows whose hashes go into the plan.
 PROBED = 50_000
+#: The most characters of windows that go into the plan to decide rows by themselves.
+LISTED = 4 << 20
 SPELT = "array<struct<start:int,size:int,gram:string>>"
 
 
@@ -104,7 +106,7 @@ class GramSet:
         self.small = sum(r["bytes"] for r in sums) <= BROADCAST_BYTES
         self.probed = None
         if self.small and sum(r["n"] for r in sums) <= PROBED:
-            self.probed = self.grams.select("size", "hash", "ends").collect()
+            self.probed = self.grams.select("size", "hash", "ends", "gram").collect()
 
     def _candidates(self, size: int) -> Column:
         """Starts of windows whose hash is in the set, from the column ``hashes``."""
@@ -116,22 +118,31 @@ class GramSet:
         begun = f"filter(transform({pairs}, (p, i) -> if(p IN ({ends}), i, null)), i -> i IS NOT NULL)"
         return F.expr(f"filter({begun}, i -> xxhash64(slice(hashes, i + 1, {size})) IN ({whole}))")
 
-    def spelt(self, docs: DataFrame, id_col: str, text: str) -> DataFrame:
-        """(id, key, n_words, spelt): the windows of each document whose hash is in the set."""
-        source = F.coalesce(docs[text], F.lit(""))
+    def probe(self, rows: DataFrame, text: Column) -> DataFrame:
+        """Add n_words and spelt, the windows of the text whose hash is in the set, to rows without such names."""
+        source = F.coalesce(text, F.lit(""))
         plain = F.octet_length(source) == F.char_length(source)
         # Text in ASCII is lowered at once, other text word by word.
-        rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), plain.alias("plain"), words(F.when(plain, F.lower(source)).otherwise(source)).alias("tokens"))
+        given = rows.columns
+        rows = rows.withColumns({"plain": plain, "tokens": words(F.when(plain, F.lower(source)).otherwise(source))})
+        tokens = F.col("tokens")
+        hashes = F.when(F.col("plain"), F.transform(tokens, lambda w: F.xxhash64(w))).otherwise(_word_hashes(tokens))
+        rows = rows.withColumns({"n_words": F.size("tokens").cast("long"), "hashes": hashes})
+        rows = rows.withColumns({f"at_{n}": self._candidates(n) for n in self.sizes})
+        every = F.concat(*[_windows(tokens, F.col(f"at_{n}"), n) for n in self.sizes])
+        return rows.select(*given, "n_words", every.alias("spelt"))
+
+    def spelt(self, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+        """(id, key, n_words, spelt): the windows of each document whose hash is in the set."""
+        rows = docs.select(docs[id_col].alias("id"), text_key(docs[text]).alias("key"), docs[text].alias("text"))
+        none = F.array().cast(SPELT)
+        if self.sizes and self.probed is not None:
+            return self.probe(rows, F.col("text")).drop("text")
+        rows = rows.select("id", "key", words(ascii_lower(F.col("text"))).alias("tokens"))
         rows = rows.withColumn("n_words", F.size("tokens").cast("long"))
-        tokens, none = F.col("tokens"), F.array().cast(SPELT)
+        tokens = F.col("tokens")
         if not self.sizes:
             return rows.select("id", "key", "n_words", none.alias("spelt"))
-        if self.probed is not None:
-            hashes = F.when(F.col("plain"), F.transform(tokens, lambda w: F.xxhash64(w))).otherwise(_word_hashes(tokens))
-            rows = rows.withColumn("hashes", hashes)
-            rows = rows.withColumns({f"at_{n}": self._candidates(n) for n in self.sizes})
-            every = F.concat(*[_windows(tokens, F.col(f"at_{n}"), n) for n in self.sizes])
-            return rows.select("id", "key", "n_words", every.alias("spelt"))
         hashes = rows.select("id", "key", _word_hashes(tokens).alias("hashes"))
 
         def hashed(n: int) -> Column:
@@ -202,10 +213,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """The rows without any hit, with their columns."""
-    found = hits(docs, benchmark, id_col, text, **names)
-    gone = found.select(F.col("id").alias("__id"), F.col("key").alias("__key")).distinct()
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows without any hit, with their columns.
+
+    Where the set is in the plan, each row is decided by itself: its candidates are compared with the
+    windows word by word, and no text is shuffled.
+    """
+    grams = GramSet(benchmark, item_col, item_text, window)
+    if not grams.sizes:
+        return docs
+    if grams.probed is not None and sum(len(r["gram"]) for r in grams.probed) <= LISTED:
+        rows, names = apart(docs)
+        rows = grams.probe(rows, F.col(own_name(names, text)))
+        # Windows hold letters, digits, signs beyond ASCII and blanks alone, so they need no escape.
+        known = ", ".join(f"'{g}'" for g in sorted({r["gram"] for r in grams.probed}))
+        clean = rows.filter(~F.expr(f"exists(spelt, w -> w.gram IN ({known}))"))
+        return clean.select(*[F.col(inner).alias(c) for c, inner in names.items()])
+    seen = grams.spelt(docs, id_col, text).select("id", "key", F.explode_outer("spelt").alias("w"))
+    gone = grams.join(seen.select("id", "key", "w.gram"), "inner")
+    gone = gone.select(F.col("id").alias("__id"), F.col("key").alias("__key")).distinct()
     key = unused(docs, "__own")
     keyed = docs.withColumn(key, text_key(docs[text]))
     on = keyed[id_col].eqNullSafe(gone["__id"]) & (keyed[key] == gone["__key"])
