@@ -7,6 +7,7 @@ import textwrap
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -24,6 +25,7 @@ from tidemark.llm import (
     substring_dedup,
     toxicity,
 )
+from tidemark.llm.common import whole_groups
 from tidemark.llm.spans import listed, with_places
 
 SCHEMA = "doc_id long, text string, seed long, score string, key string, n_words string, start int"
@@ -365,6 +367,16 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{n: 0 for n in range(1, 61)}, 101: 100}
 
 
+@given(st.lists(st.integers(0, 4), max_size=40), st.integers(1, 7))
+def test_groups_are_never_cut(values, size):
+    rows = pd.DataFrame({"g": sorted(values), "n": range(len(values))})
+    frames = [rows[at : at + size] for at in range(0, len(rows), size)]
+    found = list(whole_groups(iter([rows[:0], *frames]), "g"))
+    assert [n for f in found for n in f["n"]] == list(range(len(rows)))
+    seen = [set(f["g"]) for f in found]
+    assert all(not a & b for n, a in enumerate(seen) for b in seen[n + 1 :])
+
+
 # -- substrings -------------------------------------------------------------------------------
 
 

@@ -38,6 +38,28 @@ def mapped(rows: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.
     return rows.mapInPandas(run, schema)
 
 
+def whole_groups(frames: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
+    """The rows of sorted frames, dealt anew so that rows of one value are never in two frames.
+
+    Frames within one value are only kept until it ends, so a value over many frames is put together once.
+    """
+    kept: list[pd.DataFrame] = []
+    for frame in frames:
+        if frame.empty:
+            continue
+        first, last = frame[column].iloc[0], frame[column].iloc[-1]
+        if kept and first == last == kept[-1][column].iloc[-1]:
+            kept.append(frame)
+            continue
+        rows = pd.concat([*kept, frame], ignore_index=True) if kept else frame
+        open_ = rows[column] == last
+        if not open_.all():
+            yield rows[~open_]
+        kept = [rows[open_]]
+    if kept:
+        yield pd.concat(kept, ignore_index=True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written to the shared checkpoint folder, so that nothing before runs again."""
     context = df.sparkSession.sparkContext

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, mapped, text_key, unused
+from tidemark.llm.common import cut, mapped, text_key, unused, whole_groups
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -165,16 +165,8 @@ def links(prints: DataFrame, name: str, radius: int = MAX_BITS) -> DataFrame:
     met = met.repartition("meeting").sortWithinPartitions("meeting")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for frame in frames:
-            if frame.empty:
-                continue
-            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = frame["meeting"].iloc[-1]
-            rest = frame[frame["meeting"] == last]
-            yield _linked(frame[frame["meeting"] != last], radius)
-        if rest is not None:
-            yield _linked(rest, radius)
+        for frame in whole_groups(frames, "meeting"):
+            yield _linked(frame, radius)
 
     return mapped(met, run, "a long, b long").distinct()
 

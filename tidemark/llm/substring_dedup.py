@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import LAST_ID, mapped, text_key
+from tidemark.llm.common import LAST_ID, mapped, text_key, whole_groups
 
 LENGTH = 20
 SEED_WORDS = 8
@@ -218,16 +218,8 @@ def _shards(rows: DataFrame, length: int) -> DataFrame:
         return out
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for frame in frames:
-            if frame.empty:
-                continue
-            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = frame["seed"].iloc[-1]
-            rest = frame[frame["seed"] == last]
-            yield found(frame[frame["seed"] != last])
-        if rest is not None:
-            yield found(rest)
+        for frame in whole_groups(frames, "seed"):
+            yield found(frame)
 
     kind = rows.schema["doc"].dataType.simpleString()
     return mapped(dealt, run, f"seed long, doc {kind}, key long, start int, part_key long, low int, high int")
