@@ -80,6 +80,22 @@ def test_files_are_found_for_keys_of_any_type(spark, kind, key_bytes, monkeypatc
     assert table.matching(wanted.select("k")).join(wanted, "k").count() == 2
 
 
+def test_rewritten_files_keep_their_ranges(spark, monkeypatch):
+    """What is left of a file is written without a shuffle, still in order."""
+    monkeypatch.setattr(tables, "MANY_SMALL", 1000)
+    table = KeyedTable(spark, work_folder(spark, "ranges"), ["k"], 10)
+    table.merge(numbers(spark, 0, 10_000, v="a"))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(256 << 20))  # a task for each file
+    try:
+        table.merge(numbers(spark, 0, 10_000, v="b").filter("k % 500 = 7"))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert rows_of(table) == [("a", 9980), ("b", 20)]
+    bounds = table.read().filter("v = 'a'").groupBy(F.col("_metadata.file_name")).agg(F.min("k"), F.max("k"))
+    spans = sorted((r[1], r[2]) for r in bounds.collect())
+    assert len(spans) == 10 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_small_files_are_put_together(spark, monkeypatch):
     monkeypatch.setattr(tables, "MANY_SMALL", 4)
     table = KeyedTable(spark, work_folder(spark, "small"), ["k"])

@@ -202,16 +202,28 @@ class KeyedTable(_StoredTable):
         self._small_bytes = small_bytes
         self._wanted_parts = parts
 
+    def _day(self) -> list[Column]:
+        if not self.day_column:
+            return []
+        return [F.col(self.day_column).cast("date").cast("string").alias(self.DAY)]
+
+    def _write(self, rows: DataFrame) -> dict[str, int]:
+        run = f"data/{uuid.uuid4().hex[:16]}"
+        writer = rows.write.partitionBy(self.DAY) if self.day_column else rows.write
+        writer.parquet(f"{self.root}/{run}")
+        return self._files(run)
+
+    def _write_left(self, rows: DataFrame) -> dict[str, int]:
+        """Write what is left of some files as it stands: their order is kept and nothing is shuffled."""
+        return self._write(rows.select("*", *self._day()))
+
     def _write_files(self, df: DataFrame, least: int = 1) -> dict[str, int]:
         """Write ``df`` in files of sorted key ranges; returns the files and sizes."""
-        day = [F.col(self.day_column).cast("date").cast("string").alias(self.DAY)] if self.day_column else []
+        day = self._day()
         by = [*([self.DAY] if day else []), *self.keys]
 
         def write(rows: DataFrame) -> dict[str, int]:
-            run = f"data/{uuid.uuid4().hex[:16]}"
-            writer = rows.sortWithinPartitions(*by).write
-            (writer.partitionBy(self.DAY) if day else writer).parquet(f"{self.root}/{run}")
-            return self._files(run)
+            return self._write(rows.sortWithinPartitions(*by))
 
         if least <= 1 and input_bytes(df) <= FILE_BYTES:
             # By the day, or every task would write a file for each.
@@ -341,7 +353,9 @@ class KeyedTable(_StoredTable):
             rewritten: dict[str, int] = {}
             if stale:
                 old = align(self._read_folders(stale, previous), schema)
-                rewritten = self._write_files(old.join(self._sent(keys, facts), self.keys, "left_anti"))
+                left = old.join(self._sent(keys, facts), self.keys, "left_anti")
+                in_place = facts["__bytes"] <= KEY_BYTES
+                rewritten = self._write_left(left) if in_place else self._write_files(left)
             listing.folders = _without(listing.folders, stale) | rewritten | written
             self._gather_small(listing, schema)
         listing.schema = schema.json()
@@ -385,7 +399,7 @@ class KeyedTable(_StoredTable):
         if not removed:
             return 0
         rows = self._read_folders(sorted(removed), self.schema())
-        rewritten = self._write_files(rows.filter(~condition | condition.isNull()))
+        rewritten = self._write_left(rows.filter(~condition | condition.isNull()))
         listing.folders = _without(listing.folders, list(removed)) | rewritten
         self._publish(listing)
         return sum(removed.values())
