@@ -63,7 +63,8 @@ def beside(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFra
     kind = sample.schema["p"].dataType
     step = max(len(drawn) // stretches, 1)
     bounds = [_literal(r["p"], kind) for r in drawn[step::step]]
-    rows = df.withColumns({"__place": place, "__stretch": _stretch(place, bounds)})
+    rows = df.withColumn("__place", place)
+    rows = rows.withColumn("__stretch", _stretch(F.col("__place"), bounds))
     edges = rows.groupBy("__stretch").agg(F.min("__place").alias("low"), F.max("__place").alias("high"))
     # One row for each stretch.
     along = Window.orderBy("__stretch")
