@@ -130,7 +130,10 @@ class GramSet:
         rows = rows.withColumns({"n_words": F.size("tokens").cast("long"), "hashes": hashes})
         rows = rows.withColumns({f"at_{n}": self._candidates(n) for n in self.sizes})
         every = F.concat(*[_windows(tokens, F.col(f"at_{n}"), n) for n in self.sizes])
-        return rows.select(*given, "n_words", every.alias("spelt"))
+        # A generator of one row, in its outer form: a filter on what it makes stays behind it. Moved
+        # before it, the filter would work out the hashes again for each window.
+        made = F.explode_outer(F.array(F.struct("n_words", every.alias("spelt")))).alias("made")
+        return rows.select(*given, made).select(*given, "made.n_words", "made.spelt")
 
     def spelt(self, docs: DataFrame, id_col: str, text: str) -> DataFrame:
         """(id, key, n_words, spelt): the windows of each document whose hash is in the set."""
