@@ -15,7 +15,6 @@ from tidemark.sources.readers import changed_since
 from tidemark.sources.quarantine import DELIVERY, Quarantine
 from tidemark.sources.tables import KeyedTable
 from tidemark.spec import (
-    BATCH_ID,
     LANDING_EXTRACTED_AT,
     SOURCE_UPDATED_AT,
     TIME_SENTINEL,

@@ -29,7 +29,7 @@ from tidemark.plans.dimension import (
     watermark_slice,
 )
 from tidemark.plans.domain import Warehouse, run_domain
-from tidemark.plans.retention import before_day, retained, retention_counts
+from tidemark.plans.retention import retained, retention_counts
 from tidemark.queries.registry import RUN_1, RUN_2, Tables, query
 from tidemark.session import work_folder
 from tidemark.sources.tables import AppendTable, KeyedTable

@@ -435,16 +435,11 @@ class AppendTable(_StoredTable):
         listing.schema = schema.json()
         self._publish(listing)
 
-    def append(self, df: DataFrame, writer: str | None = None, batch: str = "") -> int:
-        """Add rows; a batch that its writer has already added is skipped."""
-        if writer is not None and self.listing().applied.get(writer) == batch:
-            return 0
+    def append(self, df: DataFrame) -> int:
+        """Add rows; returns how many."""
         day = F.col(self.day_column).cast("date").cast("string")
         fresh = self._write_split(df, day, self.DAY)
-        listing = self.listing()
-        if writer is not None:
-            listing.applied[writer] = batch
-        self._publish_more(listing, fresh, df.schema)
+        self._publish_more(self.listing(), fresh, df.schema)
         return self._read_folders(list(fresh), df.schema).count()
 
     def append_rows(
