@@ -310,11 +310,16 @@ def test_codec_on_long_runs(codecs, text):
     assert own.encode(text) == library.encode(text, add_eos=True)
 
 
-def test_codec_starts_its_table_anew(codecs, monkeypatch):
-    own, library, _ = codecs
-    monkeypatch.setattr(piece_codec, "KEPT_STRETCHES", 3)
+@pytest.mark.parametrize("bound, most", [("KEPT_STRETCHES", 3), ("KEPT_CHARACTERS", 40), ("LONGEST_KEPT", 4)])
+def test_codec_starts_its_table_anew(codecs, monkeypatch, bound, most):
+    library, path = codecs[1:]
+    own = piece_codec.PieceCodec(path)
+    monkeypatch.setattr(piece_codec, bound, most)
     text = "one two three four five six seven one two"
-    assert own.encode(text) == library.encode(text, add_eos=True)
+    for _ in range(2):
+        assert own.encode(text) == library.encode(text, add_eos=True)
+        held = sum(len(k) + len(v) for k, v in own._ids.items())
+        assert held == own._held <= 60 and len(own._ids) < 8
 
 
 def test_encoded_documents(spark, codecs):

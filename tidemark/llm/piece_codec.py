@@ -29,8 +29,11 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import mapped, unused
 
 SPACE = "▁"
-#: Stretches whose ids a task keeps; beyond it the table starts anew, results stay the same.
+#: Stretches whose ids a task keeps, and their characters with those of the ids; beyond it the table
+#: starts anew, results stay the same. Longer ones than LONGEST_KEPT are not kept at all.
 KEPT_STRETCHES = 300_000
+KEPT_CHARACTERS = 24_000_000
+LONGEST_KEPT = 400
 NEVER = 1 << 60
 
 
@@ -72,6 +75,7 @@ class PieceCodec:
         self._fits: dict[tuple[int, int], bool] = {}
         self._stretch = self._cut_pattern()
         self._ids: dict[str, str] = {}
+        self._held = 0
         self._bytes_of = {str(i): b for i, b in enumerate(self.surface)}
 
     # -- tables -------------------------------------------------------------------------------
@@ -217,9 +221,13 @@ class PieceCodec:
         for stretch in self._stretch.findall(SPACE + text.replace(" ", SPACE)):
             ids = known.get(stretch)
             if ids is None:
-                if len(known) >= KEPT_STRETCHES:
-                    known.clear()
-                ids = known[stretch] = " ".join(map(str, self._encode_stretch(stretch)))
+                ids = " ".join(map(str, self._encode_stretch(stretch)))
+                if len(stretch) <= LONGEST_KEPT:
+                    self._held += len(stretch) + len(ids)
+                    if self._held > KEPT_CHARACTERS or len(known) >= KEPT_STRETCHES:
+                        known.clear()
+                        self._held = len(stretch) + len(ids)
+                    known[stretch] = ids
             parts.append(ids)
         parts.append(str(self.end_id))
         return " ".join(parts)
