@@ -326,7 +326,7 @@ def sequential_values(
     else:
         follows = F.col(column) == F.col(previous) + interval
     counted = df.groupBy(*group, column).agg(F.count("*").alias("__n"))
-    ordered = beside(counted, group, [column])
+    ordered = beside(counted, group, [column], df)
     # The first copy follows the value before, the others one another.
     copies = F.array(
         F.struct(F.col("before")[column].alias("p"), F.lit(1).cast("bigint").alias("n")),
@@ -376,7 +376,7 @@ def mutually_exclusive_ranges(
     columns = [*group, "lower_bound", "upper_bound", "next_lower_bound", "is_last_record"]
 
     counted = rows.groupBy(*group, "lower_bound", "upper_bound").agg(F.count("*").alias("__n"))
-    placed = beside(counted, group, ["lower_bound", "upper_bound"])
+    placed = beside(counted, group, ["lower_bound", "upper_bound"], rows)
     copies = F.array(
         F.struct(
             F.col("after")["lower_bound"].alias("lo"),
