@@ -270,6 +270,28 @@ def test_files_follow_the_size_of_the_rows(spark, folder, monkeypatch):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_files_of_rows_that_compress_well_fit_a_sort(spark, monkeypatch):
+    """Equal texts take next to nothing on disk; the rows of a file still have to be sorted in one task."""
+    monkeypatch.setattr(tables, "SORT_BYTES", 4 << 20, raising=False)
+    table = KeyedTable(spark, work_folder(spark, "dense"), ["k"], 2)
+    table.merge(numbers(spark, 0, 50_000, v="x" * 1000))
+    before = table.listing().folders
+    assert 12 <= len(before) <= 16 and sum(before.values()) < 4 << 20
+    most = table.read().groupBy(F.col("_metadata.file_name")).count().agg(F.max("count")).first()[0]
+    assert most < 8_000
+    # They are full, so later merges leave them alone.
+    monkeypatch.setattr(tables, "MANY_SMALL", 4)
+    table.merge(numbers(spark, 50_000, 50_001, v="y"))
+    assert set(before) < set(table.listing().folders) and table.rows() == 50_001
+
+
+def test_memory_of_rows_counts_their_values(spark):
+    rows = numbers(spark, 0, 1000, v="x" * 1000, d=True).withColumn("a", F.array(F.lit("y" * 500)))
+    rows = rows.withColumn("a.b`c", F.lit(None).cast("string"))
+    assert 1_500_000 <= tables.memory_bytes(rows) <= 1_700_000
+    assert tables.memory_bytes(rows.limit(0)) == 0
+
+
 def test_a_local_session_without_the_setting_gets_a_folder(spark):
     from tidemark import session
 

@@ -39,6 +39,8 @@ class Listing:
     serial: int = 0
     # Least number of files of a full write of a keyed table.
     parts: int = 0
+    # Bytes that a full file of a keyed table takes on disk; 0 until rows were sized.
+    file_bytes: int = 0
     # Largest values seen by the writers, under the names they chose.
     highest: dict[str, Any] = field(default_factory=dict)
 
@@ -158,10 +160,13 @@ class _StoredTable:
         return sizes
 
 
-# A file of a keyed table aims at this size.
+# A file of a keyed table aims at this size,
 FILE_BYTES = 256 * 1024 * 1024
 
-# Files below a quarter of that are put together once a day or table has more of them.
+# or at rows of this size in the memory of the task that sorts them, whichever is less.
+SORT_BYTES = 512 * 1024 * 1024
+
+# Files below a quarter of a full one are put together once a day or table has more of them.
 MANY_SMALL = 16
 
 # A table up to this size is read whole.
@@ -217,8 +222,11 @@ class KeyedTable(_StoredTable):
         """Write what is left of some files as it stands: their order is kept and nothing is shuffled."""
         return self._write(rows.select("*", *self._day()))
 
-    def _write_files(self, df: DataFrame, least: int = 1) -> dict[str, int]:
-        """Write ``df`` in files of sorted key ranges; returns the files and sizes."""
+    def _write_files(self, df: DataFrame, listing: Listing, least: int = 1) -> dict[str, int]:
+        """Write ``df`` in files of sorted key ranges; returns the files and sizes.
+
+        The listing gets to know the size of a full file, if the rows are many enough to be sized.
+        """
         day = self._day()
         by = [*([self.DAY] if day else []), *self.keys]
 
@@ -233,8 +241,12 @@ class KeyedTable(_StoredTable):
         copy = f"data/{uuid.uuid4().hex[:16]}"
         df.write.parquet(f"{self.root}/{copy}")
         size = sum(self._files(copy).values())
-        rows = self._read_folders([copy], df.schema).select("*", *day)
-        written = write(rows.repartitionByRange(max(size // FILE_BYTES + 1, least), *by))
+        rows = self._read_folders([copy], df.schema)
+        # Equal values take next to nothing in a file, but not in a sort.
+        sorted_bytes = memory_bytes(rows)
+        listing.file_bytes = min(FILE_BYTES, size * SORT_BYTES // max(sorted_bytes, 1))
+        files = max(size // FILE_BYTES, sorted_bytes // SORT_BYTES) + 1
+        written = write(rows.select("*", *day).repartitionByRange(max(files, least), *by))
         path, fs = self._hadoop_path(copy)
         fs.delete(path, True)
         return written
@@ -333,7 +345,7 @@ class KeyedTable(_StoredTable):
         listing.parts = listing.parts or self._wanted_parts or 1
         # Written once, so that the files they touch are known before any is rewritten and a
         # lost executor does not repeat the work behind them.
-        written = self._write_files(changes, listing.parts if first else 1)
+        written = self._write_files(changes, listing, listing.parts if first else 1)
         fresh = self._read_folders(list(written), schema)
         facts = self._key_facts(fresh, [c.alias(n) for n, c in (highest or {}).items()])
         for name in highest or {}:
@@ -355,7 +367,7 @@ class KeyedTable(_StoredTable):
                 old = align(self._read_folders(stale, previous), schema)
                 left = old.join(self._sent(keys, facts), self.keys, "left_anti")
                 in_place = facts["__bytes"] <= KEY_BYTES
-                rewritten = self._write_left(left) if in_place else self._write_files(left)
+                rewritten = self._write_left(left) if in_place else self._write_files(left, listing)
             listing.folders = _without(listing.folders, stale) | rewritten | written
             self._gather_small(listing, schema)
         listing.schema = schema.json()
@@ -367,20 +379,21 @@ class KeyedTable(_StoredTable):
     def _gather_small(self, listing: Listing, schema: T.StructType) -> None:
         """Put the small files of a day, or of a table without days, together when they are many."""
         small: dict[str, list[str]] = {}
+        full = listing.file_bytes or FILE_BYTES
         for file, size in listing.folders.items():
-            if size < FILE_BYTES // 4:
+            if size < full // 4:
                 small.setdefault(self._day_of(file), []).append(file)
         many = [f for files in small.values() if len(files) > MANY_SMALL + listing.parts for f in files]
         if many:
             least = 1 if self.day_column else listing.parts
-            gathered = self._write_files(self._read_folders(sorted(many), schema), least)
+            gathered = self._write_files(self._read_folders(sorted(many), schema), listing, least)
             listing.folders = _without(listing.folders, many) | gathered
 
     def overwrite(self, df: DataFrame) -> None:
         """Publish exactly these rows."""
         listing = self.listing()
         listing.parts = listing.parts or self._wanted_parts or 1
-        listing.folders = self._write_files(df, listing.parts)
+        listing.folders = self._write_files(df, listing, listing.parts)
         listing.schema = df.schema.json()
         self._publish(listing)
 
@@ -502,6 +515,22 @@ def input_bytes(df: DataFrame) -> int:
     return sum(s for s in sizes if s < 1 << 60)
 
 
+def memory_bytes(rows: DataFrame) -> int:
+    """Size of the rows in a sort: a word for each column, what texts and the like hold, and the pointers."""
+    fixed, held = 48, []
+    for f in rows.schema.fields:
+        kind, value = f.dataType, F.col(f"`{f.name.replace('`', '``')}`")
+        fixed += 8
+        if isinstance(kind, T.DecimalType):
+            fixed += 16
+        elif isinstance(kind, (T.StringType, T.BinaryType)):
+            held.append(F.octet_length(value) + 8)
+        elif not isinstance(kind, (T.NumericType, T.BooleanType, T.DatetimeType)):
+            held.append(F.octet_length(value.cast("string")) + 8)
+    each = sum((F.coalesce(h, F.lit(0)) for h in held), F.lit(fixed))
+    return rows.agg(F.coalesce(F.sum(each.cast("bigint")), F.lit(0))).first()[0]
+
+
 def _storable(value: Any) -> Any:
     return value.isoformat(timespec="microseconds") if isinstance(value, datetime) else value
 
