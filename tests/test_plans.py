@@ -4,7 +4,7 @@ import pytest
 
 from tidemark.operators.keys import allocate_missing_keys
 from tidemark.queries import REGISTRY
-from tidemark.session import work_folder
+from tidemark.session import tune, work_folder
 
 STORED = {
     # These write tables while they are built; their plan is only the final read.
@@ -79,3 +79,13 @@ def test_known_rows_stay_out_of_the_window_for_new_keys(spark):
     assert "IsNotNull(sk)" in known
     assert {r["sk"] for r in keyed.collect()} == {*range(90), *range(1001, 1011)}
 
+
+def test_a_scan_is_cut_unless_the_cluster_cuts_it_finer(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    kept = spark.conf.get(name)
+    try:
+        for given, wanted in (("128m", str(32 << 20)), ("16m", "16m")):
+            spark.conf.set(name, given)
+            assert tune(spark).conf.get(name) == wanted
+    finally:
+        spark.conf.set(name, kept)
