@@ -2,9 +2,15 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tidemark import entities as E
 from tidemark.operators.keys import allocate_missing_keys
+from tidemark.plans.current_state import landing_changes
 from tidemark.queries import REGISTRY
+from tidemark.queries.registry import RUN_1
 from tidemark.session import tune, work_folder
+from tidemark.sources import tables
 
 STORED = {
     # These write tables while they are built; their plan is only the final read.
@@ -89,3 +95,15 @@ def test_a_scan_is_cut_unless_the_cluster_cuts_it_finer(spark):
             assert tune(spark).conf.get(name) == wanted
     finally:
         spark.conf.set(name, kept)
+
+
+def test_a_slice_of_farms_is_cut_before_it_is_shuffled(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "FILE_BYTES", 50_000)
+    monkeypatch.setattr(tables, "SAMPLED_OF", 4)
+    landing = REGISTRY["source_farm_view"].run(spark, folder).withColumn("_airbyte_extracted_at", F.lit(RUN_1))
+    changes = landing_changes(E.FARM, landing, None, RUN_1, "run-1")
+    cuts = tables.KeyedTable(spark, work_folder(spark, "farms"), E.FARM.key)._cuts(changes)
+    parts = [changes.filter(c) for c in cuts]
+    assert len(cuts) > 2 and sum(p.count() for p in parts) == changes.count()
+    above = plan(parts[1]).split("FileScan parquet [l_")[0].split("Exchange")[-1]
+    assert "Filter" in above and "struct(" in above

@@ -1,3 +1,4 @@
+import time
 from datetime import date, datetime
 
 import pytest
@@ -285,6 +286,49 @@ def test_files_of_rows_that_compress_well_fit_a_sort(spark, monkeypatch):
     assert set(before) < set(table.listing().folders) and table.rows() == 50_001
 
 
+def shuffles_on_disk(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n.split("_")[1] for n in names if n.startswith("shuffle_")}
+
+
+def test_a_stored_write_leaves_no_shuffle_on_disk(spark, table):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept, before = spark.conf.get(setting), shuffles_on_disk(spark)
+    table.merge(spark.range(1000).groupBy((F.col("id") % 500).alias("k")).agg(F.max("id").alias("v")))
+    assert table.rows() == 500 and spark.conf.get(setting) == kept
+    # Those of three counts may stay, with a row for each task; those of the rows are removed in the background.
+    most, end = 3, time.time() + 10
+    while len(left := shuffles_on_disk(spark) - before) > most and time.time() < end:
+        time.sleep(0.2)
+    assert len(left) <= most
+
+
+def test_many_changes_are_stored_slice_by_slice(spark, monkeypatch):
+    """Each row is in one slice, those with nulls in the key and repeated keys too."""
+    root = work_folder(spark, "sliced")
+    keys = "if(id % 7 = 0, null, id % 40) AS a", "if(id % 11 = 0, null, 'k' || id % 300) AS b"
+    spark.range(3000).selectExpr(*keys, "id AS v").write.parquet(f"{root}/source")
+    changes = spark.read.parquet(f"{root}/source")
+    made = []
+
+    def make(cuts):
+        made.append([rows(changes.filter(c)) for c in cuts])
+        return [changes.filter(c) for c in cuts]
+
+    for small, n in ((1 << 30, 0), (4000, 1)):
+        monkeypatch.setattr(tables, "FILE_BYTES", small)
+        monkeypatch.setattr(tables, "SAMPLED_OF", 2)
+        table = KeyedTable(spark, f"{root}/{n}", ["a", "b"])
+        assert table.merge(changes, slices=tables.Slices(changes, make)) == 3000
+        assert rows(table.read()) == rows(changes) and len(made) == n
+    parts = made[0]
+    assert 3 <= len(parts) <= tables.MOST_SLICES and sum(map(len, parts)) == 3000
+    assert max(map(len, parts)) < 1500
+    order = [sorted((r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "") for r in p) for p in parts]
+    assert all(a[-1] < b[0] for a, b in zip(order, order[1:]))
+
+
 def test_memory_of_rows_counts_their_values(spark):
     rows = numbers(spark, 0, 1000, v="x" * 1000, d=True).withColumn("a", F.array(F.lit("y" * 500)))
     rows = rows.withColumn("a.b`c", F.lit(None).cast("string"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import entities as E
 from tidemark.operators.checks import entity_checks
-from tidemark.operators.keys import allocate_missing_keys, highest_key
+from tidemark.operators.keys import allocate_in_slices, allocate_missing_keys, highest_key
 from tidemark.plans.control import Control
 from tidemark.plans.current_state import extract, merge_current_state
 from tidemark.plans.dimension import dimension_watermark, load_dimension, unknown_member
@@ -26,6 +26,7 @@ from tidemark.plans.monitor import (
 )
 from tidemark.plans.retention import purge_control, purge_current_state
 from tidemark.session import work_folder
+from tidemark.sources import tables
 from tidemark.sources.quarantine import Quarantine
 from tidemark.sources.tables import AppendTable, KeyedTable
 from tidemark.spec import EXTRACTED_AT, TIME_SENTINEL, EntitySpec, struct_type
@@ -214,6 +215,47 @@ def test_allocated_keys_are_unique_and_stable(spark, batches, lanes):
         assert len(set(known.values())) == len(known) and min(known.values(), default=1) > 0
 
 
+@pytest.mark.parametrize("lanes", [1, 7, 4096])
+def test_slices_get_the_keys_that_all_rows_get_at_once(spark, lanes):
+    data = [(k, "x", 900 + k if k % 5 == 0 else None) for k in range(60)] + [(None, None, None), (None, "y", None)]
+    df = spark.createDataFrame(data, struct_type({"k": "bigint", "t": "string", "sk": "bigint"}))
+    cuts = [F.col("k").isNull() | (F.col("k") < 13), F.col("k").between(13, 14), F.col("k") > 14, F.col("k") > 99]
+    parts = allocate_in_slices(df, "sk", ["k", "t"], 1000, cuts, lanes)
+    whole = allocate_missing_keys(df, "sk", ["k", "t"], 1000, lanes)
+    assert [p.count() for p in parts] == [15, 2, 45, 0]
+    assert sorted(map(repr, whole.collect())) == sorted(repr(r) for p in parts for r in p.collect())
+    assert [p.count() for p in allocate_in_slices(df.filter("false"), "sk", ["k"], 0, cuts, lanes)] == [0] * 4
+
+
+def test_two_loads_by_slices_store_the_same_rows(spark, monkeypatch):
+    """State, dimension and surrogate keys do not depend on whether a load is cut."""
+    root, stored, cut = work_folder(spark, "cut"), [], []
+    write = KeyedTable._write_files
+    monkeypatch.setattr(tables, "SAMPLED_OF", 2)
+    for i, n in enumerate((2000, 2500)):
+        at = T0 + timedelta(days=i)
+        texts = [f"'{i}' || id % 13 AS desc_estado", *[f"'t' AS desc_estado_{x}" for x in ("en_us", "pt_br", "es_es")]]
+        times = [f"timestamp_ntz '{at}' AS {x}" for x in ("source_updated_at", "_airbyte_extracted_at")]
+        spark.range(i * 1500, n).selectExpr("'c' || id AS cd_estado", *texts, *times).write.parquet(f"{root}/{i}")
+
+    def counted(self, *args):
+        cut[-1] += 1
+        return write(self, *args)
+
+    monkeypatch.setattr(KeyedTable, "_write_files", counted)
+    for small in (1 << 30, 4000):
+        monkeypatch.setattr(tables, "FILE_BYTES", small)
+        state, dimension = state_table(spark), state_table(spark)
+        cut.append(0)
+        for i in range(2):
+            at = T0 + timedelta(days=i)
+            merge_current_state(E.STATE, spark.read.parquet(f"{root}/{i}"), state, at, f"b{i}")
+            load_dimension(E.STATE, state.read(), dimension, T0 if i else None, at, f"b{i}")
+        stored.append([sorted(map(repr, t.read().collect())) for t in (state, dimension)])
+        assert [len(x) for x in stored[-1]] == [2500, 2501] and dimension.highest("surrogate_key") == 2500
+    assert stored[0] == stored[1] and cut[1] > cut[0] + 8
+
+
 def test_highest_key_ignores_the_unknown_member(spark):
     df = spark.createDataFrame([(-1,)], "sk bigint")
     assert highest_key(df, "sk") == 0 and highest_key(df.filter("false"), "sk") == 0

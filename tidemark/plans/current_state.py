@@ -13,7 +13,7 @@ from tidemark.operators.latest import latest_in_landing, latest_in_staging
 from tidemark.operators.merge import upsert
 from tidemark.sources.readers import changed_since
 from tidemark.sources.quarantine import DELIVERY, Quarantine
-from tidemark.sources.tables import KeyedTable
+from tidemark.sources.tables import KeyedTable, Slices
 from tidemark.spec import (
     LANDING_EXTRACTED_AT,
     SOURCE_UPDATED_AT,
@@ -96,7 +96,8 @@ def merge_current_state(
     latest = latest_in_landing(complete, spec.key)
     changes = changed_or_new(latest, target, spec, run_ts, batch_id)
     record = {CURSOR: F.max(SOURCE_UPDATED_AT)}
-    return MergeOutcome(table.merge(changes, writer, batch_id, record), rejected, quarantined)
+    slices = Slices(changes, lambda cuts: [changes.filter(cut) for cut in cuts])
+    return MergeOutcome(table.merge(changes, writer, batch_id, record, slices), rejected, quarantined)
 
 
 def extract(

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import allocate_missing_keys, highest_key
+from tidemark.operators.keys import allocate_in_slices, allocate_missing_keys, highest_key
 from tidemark.operators.merge import upsert
 from tidemark.plans.current_state import newer_rows, staging_slice, staging_view
-from tidemark.sources.tables import KeyedTable
+from tidemark.sources.tables import KeyedTable, Slices
 from tidemark.spec import (
     BATCH_ID,
     CREATED_AT,
@@ -55,6 +56,14 @@ def dimension_rows(
     highest: int = 0,
 ) -> DataFrame:
     """The slice in dimension form; known natural keys keep their surrogate key."""
+    rows = _with_known_keys(spec, slice_, dimension)
+    if spec.surrogate_key:
+        rows = allocate_missing_keys(rows, spec.surrogate_key, spec.key, highest)
+    return rows.select(*spec.dimension_columns)
+
+
+def _with_known_keys(spec: EntitySpec, slice_: DataFrame, dimension: DataFrame | None) -> DataFrame:
+    """The slice in dimension form; the surrogate key of a new natural key is null."""
     rows = slice_.select(
         *[_stored(spec, c.name) for c in spec.columns],
         BATCH_ID,
@@ -71,8 +80,6 @@ def dimension_rows(
             rows = rows.withColumn(CREATED_AT, F.least(CREATED_AT, "__first_created"))
     elif sk:
         rows = rows.withColumn(sk, F.lit(None).cast("bigint"))
-    if sk:
-        rows = allocate_missing_keys(rows, sk, spec.key, highest)
     return rows.select(*spec.dimension_columns)
 
 
@@ -113,6 +120,7 @@ def load_dimension(
     The unknown member counts on the first load, as it is a row that the load has written.
     """
     sk = spec.surrogate_key
+    used, known = 0, None
     if table.exists():
         slice_ = staging_slice(spec, current_state, watermark)
         used = table.highest(SURROGATE) if sk else 0
@@ -120,19 +128,29 @@ def load_dimension(
             used = highest_key(table.read(), sk)
         arriving = conform_current_state(newer_rows(current_state, watermark), spec)
         known = table.matching(arriving.select(*[_stored(spec, k) for k in spec.key]))
-        rows = dimension_rows(spec, slice_, known, max(used, 0))
     else:
-        rows = dimension_rows(spec, staging_view(spec, current_state), None)
-        if sk:
-            spark = current_state.sparkSession
-            rows = unknown_member(spark, spec, run_ts, batch_id).unionByName(rows)
-    if spec.dropped_keys:
+        slice_ = staging_view(spec, current_state)
+    highest = max(used, 0)
+    rows = dimension_rows(spec, slice_, known, highest)
+    unnumbered = _with_known_keys(spec, slice_, known)
+    if known is None and sk:
+        unknown = unknown_member(current_state.sparkSession, spec, run_ts, batch_id)
+        rows, unnumbered = unknown.unionByName(rows), unknown.unionByName(unnumbered)
+
+    def kept(part: DataFrame) -> DataFrame:
         # Taken out before they are stored, so the dimension need not be searched for them.
-        rows = rows.filter(~F.col(spec.key[0]).isin(list(spec.dropped_keys)))
+        gone = spec.dropped_keys
+        return part.filter(~F.col(spec.key[0]).isin(list(gone))) if gone else part
+
+    def numbered(cuts: Sequence[Column]) -> list[DataFrame]:
+        if not sk:
+            return [kept(unnumbered.filter(cut)) for cut in cuts]
+        return [kept(p) for p in allocate_in_slices(unnumbered, sk, spec.key, highest, cuts)]
+
     record = {WATERMARK: F.max(_business_update_time(spec))}
     if sk:
         record[SURROGATE] = F.max(sk)
-    return table.merge(rows, highest=record)
+    return table.merge(kept(rows), highest=record, slices=Slices(unnumbered, numbered))
 
 
 def next_dimension(

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
 from typing import Any
 from urllib.parse import unquote
 
@@ -22,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.merge import align
+from tidemark.session import shuffles_freed
 
 # Lists of earlier versions that stay readable on disk.
 KEPT_LISTINGS = 100
@@ -175,11 +178,33 @@ SMALL_TABLE_BYTES = 64 * 1024 * 1024
 # Keys up to this size in memory are sent to every task.
 KEY_BYTES = 16 * 1024 * 1024
 
+# Rows that are made of more than a full file are made and stored in slices of their keys, one for each
+# full file that is read, so that shuffles hold one slice at a time. There are no more than this, as each
+# may read everything again.
+MOST_SLICES = 8
+
+# Slices are cut at this many sampled keys, drawn by a hash from one in so many.
+SAMPLED_KEYS = 4096
+SAMPLED_OF = 64
+
 _FILE = "__file"
 # Types whose bounds Parquet keeps in an order that Spark shares.
 _RANGED = (T.IntegralType, T.DecimalType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+@dataclass(frozen=True)
+class Slices:
+    """A way to make the changes of a merge slice by slice.
+
+    ``rows`` hold the keys of all of them. ``make`` is given a condition on the keys for each slice, in the order
+    of the keys, and returns the changes of each. It is worth it where the conditions reach what is
+    read before it is shuffled.
+    """
+
+    rows: DataFrame
+    make: Callable[[Sequence[Column]], Sequence[DataFrame]]
+
+
 class KeyedTable(_StoredTable):
     """One row per key, in files that each hold a range of keys.
 
@@ -214,8 +239,9 @@ class KeyedTable(_StoredTable):
 
     def _write(self, rows: DataFrame) -> dict[str, int]:
         run = f"data/{uuid.uuid4().hex[:16]}"
-        writer = rows.write.partitionBy(self.DAY) if self.day_column else rows.write
-        writer.parquet(f"{self.root}/{run}")
+        with shuffles_freed(self.spark):
+            writer = rows.write.partitionBy(self.DAY) if self.day_column else rows.write
+            writer.parquet(f"{self.root}/{run}")
         return self._files(run)
 
     def _write_left(self, rows: DataFrame) -> dict[str, int]:
@@ -239,7 +265,8 @@ class KeyedTable(_StoredTable):
         # Ranges need a first look at the keys; they are taken from a copy, so that what is
         # behind the rows runs once.
         copy = f"data/{uuid.uuid4().hex[:16]}"
-        df.write.parquet(f"{self.root}/{copy}")
+        with shuffles_freed(self.spark):
+            df.write.parquet(f"{self.root}/{copy}")
         size = sum(self._files(copy).values())
         rows = self._read_folders([copy], df.schema)
         # Equal values take next to nothing in a file, but not in a sort.
@@ -251,6 +278,52 @@ class KeyedTable(_StoredTable):
         fs.delete(path, True)
         return written
 
+    def _cuts(self, rows: DataFrame) -> list[Column]:
+        """Conditions that cut the rows into slices of about the same number, in the order of the keys.
+
+        Nulls are smallest in it, as in a struct, so each row meets one condition.
+        """
+        size, schema = input_bytes(rows), rows.schema
+        if size <= FILE_BYTES or not all(isinstance(schema[k].dataType, _RANGED) for k in self.keys):
+            return []
+        wanted = min(size // FILE_BYTES + 1, MOST_SLICES)
+        drawn = F.xxhash64(*self.keys)
+        with shuffles_freed(self.spark):
+            sample = rows.select(*self.keys).filter(F.pmod(drawn, F.lit(SAMPLED_OF)) == 0)
+            sample = sample.orderBy(drawn, *self.keys).limit(SAMPLED_KEYS).orderBy(*self.keys).collect()
+        at = [sample[i * len(sample) // wanted] for i in range(1, wanted) if sample]
+        at = list(dict.fromkeys(at))
+        first = F.col(self.keys[0])
+
+        def key_of(bound: Row) -> list[Column]:
+            return [F.lit(v).cast(schema[k].dataType).alias(k) for k, v in zip(self.keys, bound)]
+
+        def cut(low: Row | None, high: Row | None) -> Column:
+            # The bounds of the first part come first: a scan can use them, and they spare most rows the others.
+            has_floor = low is not None and low[0] is not None
+            tests = [first >= key_of(low)[0]] if has_floor else []
+            if high is not None:
+                below = first <= key_of(high)[0]
+                tests.append(below if has_floor else first.isNull() | below)
+                tests.append(F.struct(*self.keys) < F.struct(*key_of(high)))
+            if low is not None:
+                tests.append(F.struct(*self.keys) >= F.struct(*key_of(low)))
+            return reduce(and_, tests)
+
+        return [cut(low, high) for low, high in zip([None, *at], [*at, None])] if at else []
+
+    def _write_changes(
+        self, changes: DataFrame, slices: Slices | None, listing: Listing, least: int
+    ) -> dict[str, int]:
+        """Write the changes of a merge in files, by slices if they are made of much; returns the files and sizes."""
+        cuts = self._cuts(slices.rows) if slices else []
+        if not cuts:
+            return self._write_files(changes, listing, least)
+        written: dict[str, int] = {}
+        for part in slices.make(cuts):
+            written |= self._write_files(part, listing, -(-least // len(cuts)))
+        return written
+
     def _files(self, run: str) -> dict[str, int]:
         """Data files below a folder, with their sizes."""
         path, fs = self._hadoop_path(run)
@@ -314,9 +387,10 @@ class KeyedTable(_StoredTable):
         # The name of a file stands behind the root in every file system.
         name = F.regexp_extract("_metadata.file_path", r"/(data/.*)$", 1)
         rows = self._in_range(rows.select(*self.keys, name.alias(_FILE)), facts)
-        met = rows.join(self._sent(keys, facts), self.keys, "left_semi").select(_FILE).distinct()
+        with shuffles_freed(self.spark):
+            met = rows.join(self._sent(keys, facts), self.keys, "left_semi").select(_FILE).distinct().collect()
         plain = {unquote(f): f for f in files}
-        return sorted(plain[unquote(r[0])] for r in met.collect())
+        return sorted(plain[unquote(r[0])] for r in met)
 
     def highest(self, name: str) -> Any:
         """The largest value a writer has recorded under this name, or None."""
@@ -329,13 +403,15 @@ class KeyedTable(_StoredTable):
         writer: str | None = None,
         batch: str = "",
         highest: Mapping[str, Column] | None = None,
+        slices: Slices | None = None,
     ) -> int:
         """Replace or add the rows of ``changes``; returns how many there were.
 
         The columns of ``changes`` become the columns of the table. A batch that its
         writer has already published is skipped. ``highest`` names aggregates (numbers
         or times) over the changes whose maximum is kept with the table, so that it can
-        be known without reading the table.
+        be known without reading the table. With ``slices`` many changes are made and stored
+        one slice of their keys after the other.
         """
         listing = self.listing()
         if writer is not None and listing.applied.get(writer) == batch:
@@ -345,7 +421,7 @@ class KeyedTable(_StoredTable):
         listing.parts = listing.parts or self._wanted_parts or 1
         # Written once, so that the files they touch are known before any is rewritten and a
         # lost executor does not repeat the work behind them.
-        written = self._write_files(changes, listing, listing.parts if first else 1)
+        written = self._write_changes(changes, slices, listing, listing.parts if first else 1)
         fresh = self._read_folders(list(written), schema)
         facts = self._key_facts(fresh, [c.alias(n) for n, c in (highest or {}).items()])
         for name in highest or {}:
