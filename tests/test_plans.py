@@ -98,7 +98,7 @@ def test_a_scan_is_cut_unless_the_cluster_cuts_it_finer(spark):
 
 
 def test_a_slice_of_farms_is_cut_before_it_is_shuffled(spark, folder, monkeypatch):
-    monkeypatch.setattr(tables, "FILE_BYTES", 50_000)
+    monkeypatch.setattr(tables, "SLICE_BYTES", 50_000)
     monkeypatch.setattr(tables, "SAMPLED_OF", 4)
     landing = REGISTRY["source_farm_view"].run(spark, folder).withColumn("_airbyte_extracted_at", F.lit(RUN_1))
     changes = landing_changes(E.FARM, landing, None, RUN_1, "run-1")

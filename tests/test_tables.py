@@ -304,6 +304,14 @@ def test_a_stored_write_leaves_no_shuffle_on_disk(spark, table):
     assert len(left) <= most
 
 
+def test_stored_files_are_compact(spark, table):
+    table.merge(numbers(spark, 0, 20_000).withColumn("v", F.concat(F.lit("farm "), "k")))
+    plain = f"{table.root}-plain"
+    table.read().repartitionByRange(4, "k").sortWithinPartitions("k").write.option("compression", "snappy").parquet(plain)
+    usual = spark.read.format("binaryFile").load(f"{plain}/*.parquet").agg(F.sum("length")).first()[0]
+    assert len(table.listing().folders) == 4 and sum(table.listing().folders.values()) < 0.85 * usual
+
+
 def test_many_changes_are_stored_slice_by_slice(spark, monkeypatch):
     """Each row is in one slice, those with nulls in the key and repeated keys too."""
     root = work_folder(spark, "sliced")
@@ -318,6 +326,7 @@ def test_many_changes_are_stored_slice_by_slice(spark, monkeypatch):
 
     for small, n in ((1 << 30, 0), (4000, 1)):
         monkeypatch.setattr(tables, "FILE_BYTES", small)
+        monkeypatch.setattr(tables, "SLICE_BYTES", small)
         monkeypatch.setattr(tables, "SAMPLED_OF", 2)
         table = KeyedTable(spark, f"{root}/{n}", ["a", "b"])
         assert table.merge(changes, slices=tables.Slices(changes, make)) == 3000

@@ -245,6 +245,7 @@ def test_two_loads_by_slices_store_the_same_rows(spark, monkeypatch):
     monkeypatch.setattr(KeyedTable, "_write_files", counted)
     for small in (1 << 30, 4000):
         monkeypatch.setattr(tables, "FILE_BYTES", small)
+        monkeypatch.setattr(tables, "SLICE_BYTES", small)
         state, dimension = state_table(spark), state_table(spark)
         cut.append(0)
         for i in range(2):
